@@ -13,6 +13,7 @@ from sitepulse.operators import union_all
 from sitepulse.plans import (
     availability, footage, outages, penalties, recordings, repeats, sla, slots, tickets,
 )
+from sitepulse.session import reuse
 
 ASOF_SQL = f"timestamp '{b.ASOF}'"
 DAYS_SQL = f"generate_series(date '{b.FIRST_DAY}', date '{b.LAST_DAY}', interval 1 day)"
@@ -559,7 +560,8 @@ def _(spark, sf):
 # ---- ticket lifecycle ------------------------------------------------------------------------
 
 def _open_faults(spark: SparkSession, sf: str) -> DataFrame:
-    return b.fault_tickets(spark, sf).filter("closed_on is null")
+    """Stands for the stored table of open tickets."""
+    return reuse(b.fault_tickets(spark, sf).filter("closed_on is null"))
 
 
 _DISK = (("open", "select * from fault_tickets where closed_on is null"),

@@ -145,8 +145,9 @@ def _(spark, sf):
       from customer)""")
 def _(spark, sf):
     return op.bucket_by_rank(
-        b.table(spark, sf, "customer").select("c_custkey", "c_acctbal"), "c_acctbal", "priority",
-        [-1, 0.2, 0.4, 0.6, 0.8, 1], ["P5", "P4", "P3", "P2", "P1"]).drop("c_acctbal")
+        b.table(spark, sf, "customer").select("c_custkey", "c_acctbal"),
+        {"c_acctbal": ("priority", ["P5", "P4", "P3", "P2", "P1"])},
+        [-1, 0.2, 0.4, 0.6, 0.8, 1]).drop("c_acctbal")
 
 
 @query("cut_right_closed", """
@@ -535,12 +536,14 @@ def _(spark, sf):
 
 
 @query("slope", """
-    select o_custkey, round(regr_slope(o_totalprice, month(o_orderdate)), 2) as slope
-    from orders group by o_custkey""")
+    select o_custkey, case when not isnan(s) then cast(round(cast(s as decimal(18, 6)), 2)
+      as double) end as slope
+    from (select o_custkey, regr_slope(o_totalprice, month(o_orderdate)) as s from orders
+          group by o_custkey)""")
 def _(spark, sf):
     df = b.table(spark, sf, "orders").withColumn("m", F.month("o_orderdate"))
     return op.slope(df, ["o_custkey"], "o_totalprice", "m").withColumn(
-        "slope", F.round("slope", 2))
+        "slope", F.round(F.col("slope").cast("decimal(18,6)"), 2).cast("double"))
 
 
 _MONTHS = {4: "apr", 5: "may", 6: "june", 7: "july"}

@@ -9,6 +9,7 @@ from sitepulse import bindings as b
 from sitepulse.bindings import with_views
 from sitepulse.catalog.registry import minutes, query
 from sitepulse.plans import portfolio, priority, sensors
+from sitepulse.session import reuse
 
 ASOF_SQL = f"timestamp '{b.ASOF}'"
 # Two weeks after the sample ends, so that sensors fall into several age bands.
@@ -93,7 +94,7 @@ def _video_daily(spark: SparkSession, sf: str) -> DataFrame:
 def _(spark, sf):
     risk = sensors.sensor_risk(_matrix(spark, sf), list(COLUMNS.values()),
                                _video_daily(spark, sf))
-    return sensors.most_urgent_first(sensors.sensor_priority(risk)).select(
+    return sensors.most_urgent_first(sensors.sensor_priority(reuse(risk))).select(
         "site_id", "bank", F.col("risk_score").cast("long").alias("risk_score"), "priority")
 
 
@@ -101,7 +102,7 @@ def _(spark, sf):
 def _(spark, sf):
     risk = sensors.sensor_risk(_matrix(spark, sf), list(COLUMNS.values()),
                                _video_daily(spark, sf), weighted=False)
-    return sensors.sensor_priority(risk, sensors.LOW_RANK_EDGES).select(
+    return sensors.sensor_priority(reuse(risk), sensors.LOW_RANK_EDGES).select(
         "site_id", "bank", F.col("risk_score").cast("long").alias("risk_score"), "priority")
 
 
@@ -156,7 +157,7 @@ def _(spark, sf):
       from (select *, round(cbrt(manual_closure * footfall * night_visit) + security, 2) as score
             from features))""", *_FEATURES))
 def _(spark, sf):
-    return priority.site_priority(_features(spark, sf))
+    return priority.site_priority(reuse(_features(spark, sf)))
 
 
 # ---- portfolio -------------------------------------------------------------------------------

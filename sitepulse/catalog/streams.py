@@ -137,25 +137,25 @@ _STREAM_DISK = (
 
 
 @query("stream_fault_lifecycle", with_views("fault_tickets disk_status sites", f"""
-    select box_id, error, opened_on, case when closed_on is null and ticket_id in
-      (select ticket_id from closing) then timestamp '{b.ASOF}' else closed_on end as closed_on
-    from fault_tickets union all
+    select box_id, error, opened_on, case when ticket_id in (select ticket_id from closing)
+      then timestamp '{b.ASOF}' end as closed_on from open union all
     select box_id, error, at_time, null from fresh
     where box_id in (select box_id from sites)""", *_STREAM_DISK))
 def _(spark, sf):
     folder = _folder(spark)
-    tickets = b.fault_tickets(spark, sf).select(
+    tickets = b.fault_tickets(spark, sf).filter("closed_on is null").select(
         "ticket_id", "site_id", "box_id", "site_name", "bank", "error", "opened_on", "closed_on",
         F.lit(None).cast("timestamp_ntz").alias("latest_remote_recording"))
-    replace_table(tickets, f"{folder}/tickets")
+    replace_table(tickets, f"{folder}/open", version=-1)
     k = F.col("k")
     status = _plain(_events(spark, sf).filter("event_type in ('error', 'click')").select(
         F.col("user_id").alias("site_id"), F.col("user_id").alias("box_id"),
         F.when(F.col("event_type") == "error", "0").otherwise("1").alias("hdd"),
         F.when(k < 40, "ENOENT").when(k < 80, "ENODR").otherwise("EIO").alias("error"),
         F.col("ts").alias("at_time")))
-    handler = st.fault_lifecycle(spark, f"{folder}/tickets", b.sites(spark, sf),
+    handler = st.fault_lifecycle(spark, f"{folder}/open", f"{folder}/archive", b.sites(spark, sf),
                                  b.recorder_signals(spark, sf), lambda: b.ASOF)
     st.run_batches(status, folder, handler)
-    return current_version(spark, f"{folder}/tickets").select("box_id", "error", "opened_on",
-                                                              "closed_on")
+    columns = ["box_id", "error", "opened_on", "closed_on"]
+    archive = spark.read.parquet(f"{folder}/archive").select(*columns)
+    return current_version(spark, f"{folder}/open").select(*columns).unionByName(archive)

@@ -103,7 +103,7 @@ def share_of_total(df: DataFrame, keys: Sequence[str], *, count: str = "count",
                    digits: int = 2) -> DataFrame:
     """Rows per group and their share of all rows, NULL keys counting toward the total only."""
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count))
-    total = counted.agg(F.sum(count)).scalar()
+    total = df.agg(F.count(F.lit(1))).scalar()
     return counted.dropna(subset=list(keys)).select(
         *keys, count, F.round(F.col(count) * scale / total, digits).alias(share))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
@@ -12,7 +12,7 @@ from sitepulse.functions.labels import cut
 from sitepulse.operators.joins import null_safe_left
 
 # Ranges per doubling of the value. A double spans fewer than 2,100 doublings on either side of
-# zero, so there are at most about 2 * 2,100 * 256 (1.1 million) ranges, whatever the row count.
+# zero, so a column has at most 2 * 2,100 * 256 (1.1 million) ranges, whatever the row count.
 _RANGES_PER_DOUBLING = 256
 
 
@@ -22,35 +22,55 @@ def _value_range(value: Column) -> Column:
     return F.when(value == 0, F.lit(0)).otherwise(F.signum(value).cast("long") * size)
 
 
-def pct_rank(df: DataFrame, value: str, name: str, digits: int | None = 2) -> DataFrame:
-    """Rank divided by the number of ranked rows; equal values share their average rank.
-
-    NULL values get NULL and do not count. Rows collapse to one per distinct value first. The
-    running count is then taken inside value ranges, and only the range totals (a bounded table)
-    go through one ordered pass.
-    """
-    ranked = F.col(value).cast("double")
-    counts = (df.select(ranked.alias("_v")).filter("_v is not null")
-              .groupBy("_v").agg(F.count(F.lit(1)).alias("_n"))
+def _scores(df: DataFrame, values: Sequence[str]) -> DataFrame:
+    """Average rank divided by count, per column position ``_c`` and distinct value ``_v``."""
+    cells = F.explode(F.array(*[
+        F.struct(F.lit(pos).alias("_c"), F.col(name).cast("double").alias("_v"))
+        for pos, name in enumerate(values)]))
+    counts = (df.select(cells.alias("cell")).select("cell.*").filter("_v is not null")
+              .groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
               .withColumn("_range", _value_range(F.col("_v"))))
-    whole = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    every = Window.partitionBy()
-    totals = (counts.groupBy("_range").agg(F.sum("_n").alias("_rn"))
-              .select("_range", F.coalesce(F.sum("_rn").over(whole), F.lit(0)).alias("_before"),
-                      F.sum("_rn").over(every).alias("_total")))
-    inside = (Window.partitionBy("_range").orderBy("_v")
+    column = Window.partitionBy("_c")
+    before = column.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = (counts.groupBy("_c", "_range").agg(F.sum("_n").alias("_rn"))
+              .select("_c", "_range",
+                      F.coalesce(F.sum("_rn").over(before), F.lit(0)).alias("_before"),
+                      F.sum("_rn").over(column).alias("_total")))
+    inside = (Window.partitionBy("_c", "_range").orderBy("_v")
               .rowsBetween(Window.unboundedPreceding, -1))
-    score = ((F.col("_before") + F.coalesce(F.sum("_n").over(inside), F.lit(0))
-              + (F.col("_n") + 1) / 2.0) / F.col("_total"))
-    scored = counts.join(totals, "_range").select("_v", score.alias(name))
-    if digits is not None:
-        scored = scored.withColumn(name, F.round(name, digits))
-    keyed = df.withColumn("_v", ranked)
-    return null_safe_left(keyed, scored, ["_v"]).drop("_v")
-
-
-def bucket_by_rank(df: DataFrame, value: str, name: str, edges: Sequence[float],
-                   labels: Sequence[Any]) -> DataFrame:
-    """Labels for right-closed bands of the rounded rank."""
-    ranked = pct_rank(df, value, "_rank")
-    return ranked.withColumn(name, cut(F.col("_rank"), edges, labels)).drop("_rank")
+    rank = (F.col("_before") + F.coalesce(F.sum("_n").over(inside), F.lit(0))
+            + (F.col("_n") + 1) / 2.0)
+    return counts.join(totals, ["_c", "_range"]).select(
+        "_c", "_v", (rank / F.col("_total")).alias("_score"))
+
+
+def pct_ranks(df: DataFrame, names: Mapping[str, str], digits: int | None = 2) -> DataFrame:
+    """Rank divided by the number of ranked rows, for each value column -> new column.
+
+    Equal values share their average rank; NULL gets NULL and does not count. Rows collapse to
+    one per distinct value first. The running count is then taken inside value ranges, and only
+    the range totals (a bounded table) go through one ordered pass per column.
+    """
+    scores = _scores(df, list(names))
+    out = df
+    for pos, (value, name) in enumerate(names.items()):
+        score = F.col("_score") if digits is None else F.round("_score", digits)
+        ranked = scores.filter(F.col("_c") == pos).select("_v", score.alias(name))
+        out = null_safe_left(out.withColumn("_v", F.col(value).cast("double")), ranked,
+                             ["_v"]).drop("_v")
+    return out
+
+
+def pct_rank(df: DataFrame, value: str, name: str, digits: int | None = 2) -> DataFrame:
+    """``pct_ranks`` for one column."""
+    return pct_ranks(df, {value: name}, digits)
+
+
+def bucket_by_rank(df: DataFrame, bands: Mapping[str, tuple[str, Sequence[Any]]],
+                   edges: Sequence[float]) -> DataFrame:
+    """Labels for right-closed bands of the rounded rank: value column -> (name, labels)."""
+    ranked = pct_ranks(df, {value: f"_rank_{value}" for value in bands})
+    return ranked.withColumns({
+        name: cut(F.col(f"_rank_{value}"), edges, labels)
+        for value, (name, labels) in bands.items()
+    }).drop(*[f"_rank_{value}" for value in bands])

@@ -10,9 +10,7 @@ from pyspark.sql import functions as F
 from sitepulse.functions import (
     as_of, clip, days_before, drop_blanks, first_match, minutes_between, percent,
 )
-from sitepulse.operators import (
-    clip_intervals, dedupe, downtime_minutes, first_per_key, pivot_agg,
-)
+from sitepulse.operators import clip_intervals, dedupe, downtime_minutes, first_per_key
 
 MINUTES_PER_DAY = 1440
 FILES_PER_DAY = 1000
@@ -109,14 +107,16 @@ def video_availability(sites: DataFrame, cameras: DataFrame, recordings: DataFra
                   .agg(F.coalesce(F.sum("files"), F.lit(0)).alias("files"))
                   .withColumn("share", clip(percent(F.col("files"), per_day), 0, 100)))
     lowest = F.min(F.struct("share", "camera"))["camera"]
-    wide = pivot_agg(per_camera, ["box_id", "date"], "camera", camera_names, "share", F.max)
+    share = F.col("share")
     stats = per_camera.groupBy("box_id", "date").agg(
+        *[F.max(F.when(F.col("camera") == name, share)).alias(column)
+          for name, column in camera_names.items()],
         # Decimal, so that the mean does not depend on the order of the additions.
-        F.round(F.avg(F.col("share").cast("decimal(9,2)")), 2).cast("double").alias("video_pct"),
-        (F.max("share") - F.min("share")).alias("spread"), lowest.alias("worst_camera"))
+        F.round(F.avg(share.cast("decimal(9,2)")), 2).cast("double").alias("video_pct"),
+        (F.max(share) - F.min(share)).alias("spread"), lowest.alias("worst_camera"))
     offline = daily_offline_pct(episodes, heartbeats, first_day, last_day)
     joined = (sites.select("site_id", "box_id", "site_name", "bank")
-              .join(wide.join(stats, ["box_id", "date"]), "box_id")
+              .join(stats, "box_id")
               .join(offline, ["site_id", "date"], "left")
               .withColumn("site_pct", F.round(
                   F.lit(100.0) - F.coalesce("offline_pct", F.lit(0.0)), 2))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitepulse.functions import as_of, days_before
-from sitepulse.operators import conditional_counts, group_size
+from sitepulse.operators import conditional_counts, group_size, union_all
 from sitepulse.sources.readers import look_back, scope
 from sitepulse.sources.writers import nested_document
 
@@ -76,11 +76,13 @@ def dashboard_counts(motion: DataFrame, door: DataFrame, near: DataFrame, daily:
     sums = scope(daily, banks).agg(*[
         F.coalesce(F.sum(F.when(test, _violated())), F.lit(0)).alias(f"violated_{name}")
         for name, test in violation_tests(asof).items()])
-    out = sums
-    for row in (motion_row, door_row, near_row):
-        one = row.select(F.struct("*")).scalar()
-        out = out.withColumns({c: one[c] for c in row.columns})
-    return out
+    rows = [motion_row, door_row, near_row, sums]
+    tiles = union_all([row.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("tile"), F.col(c).cast("long").alias("value"))
+        for c in row.columns]))) for row in rows])
+    return tiles.groupBy().agg(*[
+        F.max(F.when(F.col("tile") == c, F.col("value"))).alias(c)
+        for row in rows for c in row.columns])
 
 
 def dashboard_document(counts: DataFrame) -> DataFrame:

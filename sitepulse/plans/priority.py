@@ -9,6 +9,7 @@ from sitepulse.functions import as_of, contains, cube_root, minutes_between
 from sitepulse.operators import (
     bucket_by_rank, dedupe, densify, flag_members, latest_per_key,
 )
+from sitepulse.session import reuse
 from sitepulse.sources.readers import look_back
 
 # Codes of the back room and motion tickets, night hours and rank bands.
@@ -39,12 +40,13 @@ def site_features(sites: DataFrame, tickets: DataFrame, asof, *, days: int = 7)
 
     base = flag_members(sites.select("bank", "site_name", "site_id"), guarded, ["site_id"],
                         "security")
-    base = base.join(closures, "site_id", "left")
-    base = bucket_by_rank(base, "since_closure", "manual_closure", EDGES, RECENCY_SCORES)
-    base = densify(base, visits, ["site_id"], ["visits", "nights"])
-    base = bucket_by_rank(base, "visits", "footfall", EDGES, VISIT_SCORES)
-    base = bucket_by_rank(base, "nights", "night_visit", EDGES, VISIT_SCORES)
-    any_visit = F.coalesce(visits.agg(F.sum("visits")).scalar(), F.lit(0)) > 0
+    base = densify(base.join(closures, "site_id", "left"), visits, ["site_id"],
+                   ["visits", "nights"])
+    # One row per site, needed once per rank and once more for the result.
+    base = bucket_by_rank(reuse(base), {
+        "since_closure": ("manual_closure", RECENCY_SCORES), "visits": ("footfall", VISIT_SCORES),
+        "nights": ("night_visit", VISIT_SCORES)}, EDGES)
+    any_visit = base.agg(F.sum("visits")).scalar() > 0
     return base.select(
         "bank", "site_name", "site_id", "security",
         F.coalesce("manual_closure", F.lit(1)).alias("manual_closure"),
@@ -53,9 +55,12 @@ def site_features(sites: DataFrame, tickets: DataFrame, asof, *, days: int = 7)
 
 
 def site_priority(features: DataFrame) -> DataFrame:
-    """Geometric mean of the three scores plus the guard flag, ranked into S1..S5."""
+    """Geometric mean of the three scores plus the guard flag, ranked into S1..S5.
+
+    ``features`` is read three times: pass a stored table or ``reuse(features)``.
+    """
     score = F.round(cube_root(F.col("manual_closure"), F.col("footfall"), F.col("night_visit"))
                     + F.col("security"), 2)
-    ranked = bucket_by_rank(features.withColumn("_score", score), "_score", "site_priority",
-                            EDGES, CLASSES)
+    ranked = bucket_by_rank(features.withColumn("_score", score),
+                            {"_score": ("site_priority", CLASSES)}, EDGES)
     return ranked.drop("_score")

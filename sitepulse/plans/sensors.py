@@ -91,8 +91,9 @@ def sensor_risk(matrix: DataFrame, columns: Sequence[str], video_daily: DataFram
 
 
 def sensor_priority(risk: DataFrame, edges: Sequence[float] = RANK_EDGES) -> DataFrame:
-    """P1 (most urgent fifth) to P5."""
-    return bucket_by_rank(risk, "risk_score", "priority", edges, PRIORITIES)
+    """P1 (most urgent fifth) to P5. ``risk`` is read three times: pass a stored table or
+    ``reuse(risk)``."""
+    return bucket_by_rank(risk, {"risk_score": ("priority", PRIORITIES)}, edges)
 
 
 def most_urgent_first(prioritised: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Sizes are per cluster; only the switches matter for right results.
 CLUSTER_CONF = {
@@ -43,3 +43,15 @@ def shared_dir(spark: SparkSession) -> str:
     fallback = tempfile.mkdtemp(prefix="sitepulse-")
     spark.conf.set("spark.checkpoint.dir", fallback)
     return fallback
+
+
+def reuse(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once, now, for several later uses.
+
+    The rows go to the shared checkpoint folder, so a lost executor costs nothing. Meant for
+    results much smaller than their inputs, such as one row per site.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(df.sparkSession))
+    return df.checkpoint()

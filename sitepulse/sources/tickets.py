@@ -13,13 +13,14 @@ from sitepulse.functions.time import as_of
 def apply_ticket_changes(tickets: DataFrame, asof: str | datetime | Column, *,
                          closed: DataFrame | None = None, touched: DataFrame | None = None,
                          touch_column: str = "latest_remote_recording",
-                         opened: DataFrame | None = None, id_column: str = "ticket_id"
-                         ) -> DataFrame:
+                         opened: DataFrame | None = None, id_column: str = "ticket_id",
+                         ids_in_use: DataFrame | None = None) -> DataFrame:
     """Next state of the ticket table; write it with ``replace_table``.
 
     ``closed`` lists ids to close at ``asof`` (a ticket closed before keeps its time),
     ``touched`` brings ids with a new ``touch_column``, ``opened`` brings new rows, whose ids
-    follow the highest id in use. Running the same change again alters nothing in closed rows.
+    follow the highest id in use (in ``ids_in_use``, else in ``tickets``). Running the same
+    change again alters nothing in closed rows.
     """
     out = tickets
     changes = []
@@ -42,7 +43,8 @@ def apply_ticket_changes(tickets: DataFrame, asof: str | datetime | Column, *,
         out = out.drop("_close", "_touch").select(*tickets.columns)
     if opened is None:
         return out
-    highest = tickets.agg(F.coalesce(F.max(id_column), F.lit(0))).scalar()
+    used = ids_in_use if ids_in_use is not None else tickets
+    highest = used.agg(F.coalesce(F.max(id_column), F.lit(0))).scalar()
     # Unique and increasing per partition without gathering the new rows in one task.
     fresh = opened.withColumn(id_column, highest + 1 + F.monotonically_increasing_id())
     return out.unionByName(fresh.select(*[c for c in tickets.columns if c in fresh.columns]),

@@ -37,24 +37,26 @@ def _versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(p.getName()[2:]) for p in done)
 
 
-def replace_table(df: DataFrame, path: str, *, skip_empty: bool = False) -> str:
+def replace_table(df: DataFrame, path: str, *, skip_empty: bool = False,
+                  version: int | None = None) -> str:
     """Write the next version of a whole table and return its folder.
 
     ``df`` may read the current version: that one stays until readers have moved on. A version
     counts only once its ``_SUCCESS`` file exists, so a failed run leaves the old table in place.
+    A given ``version`` is written again when the same step is repeated.
     """
-    spark = df.sparkSession
-    found = _versions(spark, path)
+    found = _versions(df.sparkSession, path)
     if skip_empty and found and df.isEmpty():
         return f"{path}/v={found[-1]}"
-    target = f"{path}/v={found[-1] + 1 if found else 1}"
-    df.write.mode("overwrite").parquet(target)
-    return target
+    if version is None:
+        version = found[-1] + 1 if found else 1
+    df.write.mode("overwrite").parquet(f"{path}/v={version}")
+    return f"{path}/v={version}"
 
 
-def current_version(spark: SparkSession, path: str) -> DataFrame:
-    """The newest finished version written by ``replace_table``."""
-    found = _versions(spark, path)
+def current_version(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
+    """The newest finished version, or the newest one below ``before``."""
+    found = [v for v in _versions(spark, path) if before is None or v < before]
     if not found:
         raise FileNotFoundError(path)
     return spark.read.parquet(f"{path}/v={found[-1]}")

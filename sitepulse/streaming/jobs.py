@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from sitepulse.operators import latest_per_key
 from sitepulse.plans import sla
 from sitepulse.plans.tickets import disk_tickets
-from sitepulse.sources import apply_ticket_changes, current_version, replace_table
+from sitepulse.session import reuse
+from sitepulse.sources import apply_ticket_changes, current_version, look_back, replace_table
 
 
 def slot_counts(events: DataFrame, at: str, keys: Sequence[str], delay: str = "1 hour",
@@ -71,35 +72,49 @@ def silent_sites(signals: DataFrame, at: str, key: str, *, silence: str,
 
 
 def near_violation_feed(spark: SparkSession, tickets_path: str, feed_path: str,
-                        remarks: DataFrame, sites: DataFrame, asof: Callable[[], str],
-                        **options) -> Callable[[DataFrame, int], None]:
+                        remarks: DataFrame, sites: DataFrame, asof: Callable[[], str], *,
+                        days: int = 1, **options) -> Callable[[DataFrame, int], None]:
     """Batch handler: merge the tickets that arrived, then replace the list of urgent ones.
 
-    The newest row of a ticket wins, so a ticket that arrives closed leaves the list, and a
+    The newest row of a ticket wins, so a ticket that arrives closed leaves the list. Only the
+    look-back is stored. Every batch writes a version of its own from the one before it, so a
     batch that is handled twice changes nothing.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
         arrived = batch.withColumn("_seen", F.lit(batch_id))
         if batch_id > 0:
-            arrived = current_version(spark, tickets_path).unionByName(arrived)
-        replace_table(latest_per_key(arrived, ["event_id"], ["_seen", "opened_on"]), tickets_path)
-        known = current_version(spark, tickets_path).drop("_seen")
+            arrived = current_version(spark, tickets_path, before=batch_id).unionByName(arrived)
+        latest = latest_per_key(look_back(arrived, "at_time", asof(), days=days), ["event_id"],
+                                ["_seen", "opened_on"])
+        known = spark.read.parquet(replace_table(latest, tickets_path, version=batch_id))
         urgent = sla.near_violation(
-            sla.open_tickets(known, remarks, sites, asof(), **options))
-        replace_table(urgent, feed_path)
+            sla.open_tickets(known.drop("_seen"), remarks, sites, asof(), days=days, **options))
+        replace_table(urgent, feed_path, version=batch_id)
 
     return handle
 
 
-def fault_lifecycle(spark: SparkSession, tickets_path: str, sites: DataFrame, signals: DataFrame,
-                    asof: Callable[[], str]) -> Callable[[DataFrame, int], None]:
-    """Batch handler: open, close and touch disk tickets from the status rows that arrived."""
+def fault_lifecycle(spark: SparkSession, open_path: str, archive_path: str, sites: DataFrame,
+                    signals: DataFrame, asof: Callable[[], str]
+                    ) -> Callable[[DataFrame, int], None]:
+    """Batch handler: open, close and touch disk tickets from the status rows that arrived.
+
+    Open tickets are a small versioned table (start it with ``version=-1``); closed ones move to
+    the archive, one folder per batch. A batch reads the version before its own, so handling it
+    twice gives the same files.
+    """
     def handle(batch: DataFrame, batch_id: int) -> None:
-        tickets = current_version(spark, tickets_path)
-        change = disk_tickets(sites, batch, signals, tickets.filter("closed_on is null"))
-        replace_table(apply_ticket_changes(
-            tickets, asof(), closed=change.closed, touched=change.touched,
-            opened=change.opened.withColumn("closed_on", F.lit(None).cast("timestamp_ntz"))),
-            tickets_path)
+        tickets = current_version(spark, open_path, before=batch_id)
+        ids = tickets.select("ticket_id")
+        if batch_id > 0:
+            archived = spark.read.parquet(archive_path).filter(F.col("batch") < batch_id)
+            ids = ids.unionByName(archived.select("ticket_id"))
+        change = disk_tickets(sites, batch, signals, tickets)
+        after = reuse(apply_ticket_changes(
+            tickets, asof(), closed=change.closed, touched=change.touched, ids_in_use=ids,
+            opened=change.opened.withColumn("closed_on", F.lit(None).cast("timestamp_ntz"))))
+        done = after.filter("closed_on is not null")
+        done.write.mode("overwrite").parquet(f"{archive_path}/batch={batch_id}")
+        replace_table(after.filter("closed_on is null"), open_path, version=batch_id)
 
     return handle
