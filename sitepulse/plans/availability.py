@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitepulse.functions import (
-    as_of, clip, days_before, drop_blanks, first_match, minutes_between, percent,
+    as_of, clip, days_before, drop_blanks, first_match, minutes_between, percent, recode,
+    row_argmin, row_null_count, row_range,
 )
 from sitepulse.operators import clip_intervals, dedupe, downtime_minutes, first_per_key
 
@@ -91,29 +92,38 @@ def video_availability(sites: DataFrame, cameras: DataFrame, recordings: DataFra
     The earliest count of a camera and day is taken. ``camera_names`` maps camera names (without
     blanks) to output columns.
     """
-    days = F.sequence(F.lit(first_day).cast("date"), F.lit(last_day).cast("date"))
+    first, last = F.lit(first_day).cast("date"), F.lit(last_day).cast("date")
     named = cameras.filter("active").select(
         "box_id", "camera_id", drop_blanks(F.col("camera_name")).alias("camera"))
+    columns = list(camera_names.values())
+    installed = named.groupBy("box_id").agg(*[
+        F.count_if(F.col("camera") == name).alias(f"_n_{column}")
+        for name, column in camera_names.items()])
     stamped = recordings.withColumn("date", F.to_date("at_time")).filter(
-        F.col("date").between(F.lit(first_day).cast("date"), F.lit(last_day).cast("date")))
+        F.col("date").between(first, last))
     order = ["at_time", "file_count", "remote_file_count"]
-    first_counts = first_per_key(stamped, ["box_id", "camera_id", "date"], order).select(
-        "box_id", "camera_id", "date",
-        (F.coalesce("file_count", F.lit(0)) + F.coalesce("remote_file_count", F.lit(0)))
-        .alias("files"))
-    per_camera = (named.select("*", F.explode(days).alias("date"))
-                  .join(first_counts, ["box_id", "camera_id", "date"], "left")
-                  .groupBy("box_id", "date", "camera")
-                  .agg(F.coalesce(F.sum("files"), F.lit(0)).alias("files"))
-                  .withColumn("share", clip(percent(F.col("files"), per_day), 0, 100)))
-    lowest = F.min(F.struct("share", "camera"))["camera"]
-    share = F.col("share")
-    stats = per_camera.groupBy("box_id", "date").agg(
-        *[F.max(F.when(F.col("camera") == name, share)).alias(column)
-          for name, column in camera_names.items()],
-        # Decimal, so that the mean does not depend on the order of the additions.
-        F.round(F.avg(share.cast("decimal(9,2)")), 2).cast("double").alias("video_pct"),
-        (F.max(share) - F.min(share)).alias("spread"), lowest.alias("worst_camera"))
+    counted = (first_per_key(stamped, ["box_id", "camera_id", "date"], order)
+               .join(named, ["box_id", "camera_id"]))
+    files = F.coalesce("file_count", F.lit(0)) + F.coalesce("remote_file_count", F.lit(0))
+    recorded = counted.groupBy("box_id", "date").agg(*[
+        F.sum(F.when(F.col("camera") == name, files)).alias(column)
+        for name, column in camera_names.items()])
+
+    # Days without any recording appear here, one row per box and day, not per camera.
+    calendar = installed.select("*", F.explode(F.sequence(first, last)).alias("date"))
+    shares = calendar.join(recorded, ["box_id", "date"], "left").withColumns({
+        c: F.when(F.col(f"_n_{c}") > 0, clip(
+            percent(F.coalesce(F.col(c), F.lit(0)), per_day), 0, 100)) for c in columns})
+    # Decimal sums, so that the mean does not depend on the order of the additions.
+    total = sum((F.coalesce(F.col(c).cast("decimal(9,2)"), F.lit(0).cast("decimal(9,2)"))
+                 for c in columns[1:]),
+                F.coalesce(F.col(columns[0]).cast("decimal(9,2)"), F.lit(0).cast("decimal(9,2)")))
+    present = F.lit(len(columns)) - row_null_count(columns)
+    by_name = sorted(columns, key={c: n for n, c in camera_names.items()}.get)
+    worst = recode(row_argmin(by_name), {c: n for n, c in camera_names.items()})
+    stats = shares.filter(present > 0).withColumns({
+        "video_pct": F.round(total / present, 2).cast("double"), "spread": row_range(columns),
+        "worst_camera": worst})
     offline = daily_offline_pct(episodes, heartbeats, first_day, last_day)
     joined = (sites.select("site_id", "box_id", "site_name", "bank")
               .join(stats, "box_id")
@@ -129,5 +139,5 @@ def video_availability(sites: DataFrame, cameras: DataFrame, recordings: DataFra
     remark = F.when(F.col("status") == "Camera Issue",
                     F.concat("worst_camera", F.lit(" Issue"))).otherwise(F.col("status"))
     return joined.withColumn("status", status).withColumn("remark", remark).select(
-        "date", "bank", "site_name", "site_id", "box_id", *camera_names.values(), "video_pct",
+        "date", "bank", "site_name", "site_id", "box_id", *columns, "video_pct",
         "site_pct", "remark")

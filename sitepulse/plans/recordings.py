@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitepulse.functions import clip, first_match, percent, recode, row_sum
-from sitepulse.operators import latest_per_key, pivot_agg, pivot_text
+from sitepulse.operators import latest_per_key, pivot_text
 
 # Camera codes, their names, and the file count of a full day.
 CAMERA_ALIASES = {"0702R": "0702"}
@@ -33,13 +33,21 @@ def daily_totals(recordings: DataFrame) -> DataFrame:
 def camera_matrix(cameras: DataFrame, totals: DataFrame, first_day: str,
                   last_day: str) -> DataFrame:
     """Mean files per box, day and camera name; NULL where no such camera is installed."""
-    days = F.sequence(F.lit(first_day).cast("date"), F.lit(last_day).cast("date"))
-    installed = cameras.filter("active").select(
-        "box_id", "camera_id", "camera_name", F.explode(days).alias("date"))
+    installed = cameras.filter("active").select("box_id", "camera_id", "camera_name")
+    per_box = installed.groupBy("box_id").agg(*[
+        F.count_if(F.col("camera_name") == name).alias(f"_n_{column}")
+        for name, column in CAMERA_COLUMNS.items()])
     named = totals.withColumn("camera_name", recode(F.col("camera_id"), CAMERA_NAMES))
-    filled = installed.join(named, ["box_id", "camera_id", "camera_name", "date"], "left")
-    return pivot_agg(filled.fillna(0, ["files"]), ["box_id", "date"], "camera_name",
-                     CAMERA_COLUMNS, "files", F.avg)
+    recorded = (named.join(installed, ["box_id", "camera_id", "camera_name"])
+                .groupBy("box_id", "date").agg(*[
+                    F.sum(F.when(F.col("camera_name") == name, F.col("files"))).alias(column)
+                    for name, column in CAMERA_COLUMNS.items()]))
+    # Days without any recording appear here, one row per box and day, not per camera.
+    days = F.sequence(F.lit(first_day).cast("date"), F.lit(last_day).cast("date"))
+    calendar = per_box.select("*", F.explode(days).alias("date"))
+    return calendar.join(recorded, ["box_id", "date"], "left").select("box_id", "date", *[
+        F.when(F.col(f"_n_{c}") > 0, F.coalesce(F.col(c), F.lit(0)) / F.col(f"_n_{c}")).alias(c)
+        for c in CAMERA_COLUMNS.values()])
 
 
 def _label(files: Column, full: float) -> Column:

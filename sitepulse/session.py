@@ -16,6 +16,11 @@ CLUSTER_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # Plans are built from many small expressions; do not record a stack trace for each.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+    "spark.sql.dataFrameQueryContext.enabled": "false",
+    # Sessions of a busy site are merged on the map side first.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }

@@ -37,10 +37,19 @@ def sliding_counts(events: DataFrame, at: str, keys: Sequence[str], delay: str =
                     F.col("w.end").alias("window_end"), "signals"))
 
 
-def distinct_tickets(events: DataFrame, at: str, keys: Sequence[str],
-                     delay: str = "1 hour") -> DataFrame:
-    """First arrival per key; repeats inside the delay are dropped, then the key is forgotten."""
-    return events.withWatermark(at, delay).dropDuplicatesWithinWatermark(list(keys))
+def distinct_tickets(events: DataFrame, at: str, keys: Sequence[str], delay: str = "1 hour", *,
+                     spread: int | None = None) -> DataFrame:
+    """First arrival per key; repeats inside the delay are dropped, then the key is forgotten.
+
+    ``spread`` drops repeats per key and input partition first, in that many groups per key, so
+    one key with very many repeats does not end up in one task. State grows accordingly.
+    """
+    marked = events.withWatermark(at, delay)
+    if spread is not None:
+        part = F.pmod(F.spark_partition_id(), F.lit(spread))
+        marked = (marked.withColumn("_part", part)
+                  .dropDuplicatesWithinWatermark([*keys, "_part"]).drop("_part"))
+    return marked.dropDuplicatesWithinWatermark(list(keys))
 
 
 def acknowledged_tickets(tickets: DataFrame, acks: DataFrame, *, delay: str = "30 minutes",
