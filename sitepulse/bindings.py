@@ -308,7 +308,7 @@ _NEEDS = {
 
 def half_up(value: str, digits: int) -> str:
     """SQL for rounding .5 away from zero by the decimal digits, as Spark does."""
-    return f"cast(round(cast({value} as decimal(18, 8)), {digits}) as double)"
+    return f"cast(round(cast({value} as decimal(28, 12)), {digits}) as double)"
 
 
 def with_views(names: str, body: str, *ctes: tuple[str, str]) -> str:

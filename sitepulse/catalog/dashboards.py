@@ -32,26 +32,26 @@ _VIEWS = "doors tickets remarks sites"
 _STEPS = (*_OPEN, *_RATED, _DAILY)
 
 
-def _counts(spark: SparkSession, sf: str) -> DataFrame:
+def _counts(spark: SparkSession, sf: str, banks="ALL") -> DataFrame:
     sites = b.sites(spark, sf)
     return dashboard.dashboard_counts(
         b.door_events(spark, sf, "purchase"), b.door_events(spark, sf, "click"),
         sla.near_violation(open_due(spark, sf)), sla.bank_violations(_rated(spark, sf), sites),
-        b.ASOF, hours=HOURS)
+        b.ASOF, hours=HOURS, banks=banks)
 
 
-def _cells() -> str:
+def _cells(scope: str = "true") -> str:
     cells = []
     for prefix, event_type, names in (("motion", "purchase", list(_TESTS)),
                                       ("door", "click", [">12", ">8", ">4"])):
-        base = f"from doors where event_type = '{event_type}' and {_OPEN_DOORS}"
+        base = f"from doors where event_type = '{event_type}' and {_OPEN_DOORS} and {scope}"
         cells.append(f"(select count(*) {base}) as {prefix}_all")
         cells += [f"(select count(*) {base} and {_TESTS[n]}) as \"{prefix}_{n}\"" for n in names]
-    cells.append("(select count(*) from near) as near_all")
-    cells += [f"(select count(*) from near where {t}) as \"near_{n}\""
+    cells.append(f"(select count(*) from near where {scope}) as near_all")
+    cells += [f"(select count(*) from near where {t} and {scope}) as \"near_{n}\""
               for n, t in _ACTIONS.items()]
-    cells += [f"(select cast(coalesce(sum({_VIOLATIONS}), 0) as bigint) from daily where {t}) "
-              f"as \"violated_{n}\"" for n, t in _RANGES.items()]
+    cells += [f"(select cast(coalesce(sum({_VIOLATIONS}), 0) as bigint) from daily where {t} and "
+              f"{scope}) as \"violated_{n}\"" for n, t in _RANGES.items()]
     return "select " + ", ".join(cells)
 
 
@@ -60,6 +60,12 @@ def _(spark, sf):
     return _counts(spark, sf)
 
 
+@query("dashboard_counts_two_banks", with_views(
+    _VIEWS, _cells("bank in ('BUILDING', 'FURNITURE')"), *_STEPS))
+def _(spark, sf):
+    return _counts(spark, sf, ["BUILDING", "FURNITURE"])
+
+
 @query("dashboard_document", with_views(_VIEWS, f"""
     select cast("motion_all" as varchar) as motion_total, cast("door_>8" as varchar)
       as door_over_8, cast("violated_Yesterday" as varchar) as violated_yesterday,

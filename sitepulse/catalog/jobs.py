@@ -9,7 +9,7 @@ from sitepulse import bindings as b
 from sitepulse.bindings import with_views
 from sitepulse.catalog.registry import minutes, query
 from sitepulse.functions.time import SLOT_NAMES
-from sitepulse.operators import union_all
+from sitepulse.operators import top_rows, union_all
 from sitepulse.plans import (
     availability, footage, outages, penalties, recordings, repeats, sla, slots, tickets,
 )
@@ -130,22 +130,35 @@ def _(spark, sf):
 
 # ---- penalties -------------------------------------------------------------------------------
 
-@query("penalty_tickets", with_views("tickets remarks sites", f"""
-    select distinct event_id, site_id, site_name, event_type, msg, opened_on, closed_on,
-      updated_by, updated_on, lower(remarks) as remarks, age, ack_age,
-      'Penalty Applicable' as penalty from (
-      select *, {minutes('opened_on', 'closed_on')} as age,
-        {minutes('opened_on', 'updated_on')} as ack_age
-      from tickets join remarks using (event_id) join sites using (site_id)
-      where active and (closed_by is null or lower(closed_by) <> 'system')
-        and contains(lower(remarks), 'working') and not contains(lower(remarks), 'closed'))
-    where (event_type = 'SOS' and (age > 30 or ack_age > 5))
-      or (event_type = 'Critical' and (age > 60 or ack_age > 10))"""))
+def _penalty_check(tickets_where: str, remarks_where: str) -> str:
+    return with_views("tickets remarks sites", f"""
+        select distinct event_id, site_id, site_name, event_type, msg, opened_on, closed_on,
+          updated_by, updated_on, lower(remarks) as remarks, age, ack_age,
+          'Penalty Applicable' as penalty from (
+          select *, {minutes('opened_on', 'closed_on')} as age,
+            {minutes('opened_on', 'updated_on')} as ack_age
+          from tickets join remarks using (event_id) join sites using (site_id)
+          where active and (closed_by is null or lower(closed_by) <> 'system')
+            and {tickets_where} and {remarks_where}
+            and contains(lower(remarks), 'working') and not contains(lower(remarks), 'closed'))
+        where (event_type = 'SOS' and (age > 30 or ack_age > 5))
+          or (event_type = 'Critical' and (age > 60 or ack_age > 10))""")
+
+
+@query("penalty_tickets", _penalty_check("true", "true"))
 def _(spark, sf):
     return penalties.penalty_tickets(b.tickets(spark, sf).drop("ack_on"), b.remarks(spark, sf),
                                      b.sites(spark, sf))
 
 
+@query("penalty_tickets_month", _penalty_check(
+    "opened_on >= timestamp '2024-01-01' and opened_on < timestamp '2024-02-01'",
+    "updated_on >= timestamp '2024-01-01' and updated_on < timestamp '2024-02-01'"))
+def _(spark, sf):
+    return penalties.penalty_tickets(b.tickets(spark, sf).drop("ack_on"), b.remarks(spark, sf),
+                                     b.sites(spark, sf), "2024-01-01")
+
+
 FEEDS = {"mcu": "1-URGENT", "equipment": "2-HIGH", "footage": "3-MEDIUM",
          "pm": "4-NOT SPECIFIED"}
 
@@ -164,6 +177,17 @@ def _(spark, sf):
     return out.withColumns({c: F.round(c, 2) for c in [*FEEDS, "total"]})
 
 
+@query("penalty_ranking", with_views("penalties", """
+    select site, month, sum(amount) as total from penalties where month not in (8, 9)
+      and item <> '5-LOW' group by site, month order by total desc, site, month limit 200"""))
+def _(spark, sf):
+    df = b.penalties(spark, sf)
+    total = penalties.consolidate(
+        {name: df.filter(F.col("item") == item) for name, item in FEEDS.items()})
+    return top_rows(total.select("site", "month", "total"),
+                    [F.desc("total"), F.asc("site"), F.asc("month")], 200)
+
+
 @query("penalty_matrix", with_views("penalties", """
     select site, month, """ + ", ".join(
     f"round(coalesce(sum(amount) filter (item = '{i}'), 0), 2) as {n}"
@@ -191,7 +215,7 @@ _BANDS = [("<100", 99), ("100-200", 199), ("200-500", 499), ("500-1000", 999),
         when cv >= -0.5 and cv < 0.5 and slope > 0 then 'Increasing'
         when cv >= -0.5 and cv < 0.5 and slope < 0 then 'Decreasing'
         when slope > 0 then 'Agg Increasing' when slope < 0 then 'Agg Decreasing' end as trend
-    from (select *, round(std / mean, 2) as cv from (
+    from (select *, {b.half_up('std / mean', 2)} as cv from (
       select site, "Apr", "May", "June", "July", total, total / 4 as mean,
         round(sqrt((power("Apr" - total / 4, 2) + power("May" - total / 4, 2)
           + power("June" - total / 4, 2) + power("July" - total / 4, 2)) / 4), 2) as std,
@@ -391,51 +415,70 @@ def _(spark, sf):
 _REPORT_DATES = {f"2024-01-{d:02d}": f"d{d:02d}" for d in range(1, 31)}
 
 
-@query("vod_report_pinhole", with_views("sites cameras recordings", "select site_id, "
-       + ", ".join(f"string_agg(coalesce(pinhole, '0'), ' ') filter (date = date '{d}') as {n}"
-                   for d, n in _REPORT_DATES.items())
-       + " from labelled group by site_id", *_VOD))
-def _(spark, sf):
-    return recordings.vod_matrix(_vod(spark, sf), "pinhole", _REPORT_DATES)
+for _sheet in ("lobby", "pinhole"):
+    def _vod_sheet(spark, sf, sheet=_sheet):
+        return recordings.vod_matrix(_vod(spark, sf), sheet, _REPORT_DATES)
+
+    query(f"vod_report_{_sheet}", with_views(
+        "sites cameras recordings", "select site_id, " + ", ".join(
+            f"string_agg(coalesce({_sheet}, '0'), ' ') filter (date = date '{d}') as {n}"
+            for d, n in _REPORT_DATES.items()) + " from labelled group by site_id",
+        *_VOD))(_vod_sheet)
 
 
 # ---- footage ---------------------------------------------------------------------------------
 
-_SPAN = ("exists (select 1 from {t} s where s.site_id = q.site_id and s.{a} <= q.asked_at "
-         "and (s.closed_on >= q.asked_at or s.closed_on is null) {more})")
-
-
-@query("footage_status", with_views("tickets episodes recordings fault_tickets", """
-    select ticket_id, site_id, asked_at, coalesce(availability, 0.0) as availability,
-      case when coalesce(availability, 0) > 99 then 'Available' when offline or camera then
-        'Not Available' when availability > 1 then 'Available' else 'Not Available' end
-        as video_status,
-      case when coalesce(availability, 0) > 99 then null when offline then 'Offline'
-        when camera then 'Camera Issue' when disk then 'HDD Issue' when availability > 1 then
-        'No HDD Issue' else 'Online - No HDD Issue' end as reason,
-      case when site_id in (select site_id from episodes where closed_on is null)
-        then 'Offline' else 'Online' end as current_status
-    from (select *, """ + _SPAN.format(t="episodes", a="at_time", more="") + " as offline, "
-    + _SPAN.format(t="fault_tickets", a="opened_on", more="and s.camera_id = '0702'")
-    + " as camera, " + _SPAN.format(t="fault_tickets", a="opened_on",
-                                    more="and s.error = 'EIO'") + """ as disk
-      from (select event_id as ticket_id, site_id, site_id as box_id,
-              at_time + to_minutes(90) as asked_at from tickets) q)
-    left join (select box_id, date, least(greatest(round(sum(files) * 100.0 / 1000, 2), 0), 100)
-      as availability from (select box_id, cast(at_time as date) as date, file_count
-        + coalesce(remote_file_count, 0) as files from recordings
-        where camera_id in ('0702', '0702R') qualify row_number() over (partition by box_id,
-          camera_id, cast(at_time as date) order by at_time desc, file_count desc,
-          remote_file_count desc nulls last) = 1) group by box_id, date) v
-      on v.box_id = site_id and v.date = cast(asked_at as date)"""))
-def _(spark, sf):
+def _span(table: str, start: str, open_covers: bool, more: str = "") -> str:
+    reach = "s.closed_on >= q.asked_at" + (" or s.closed_on is null" if open_covers else "")
+    return (f"exists (select 1 from {table} s where s.site_id = q.site_id "
+            f"and s.{start} <= q.asked_at and ({reach}) {more})")
+
+
+def _footage_check(open_covers: bool) -> str:
+    return with_views("tickets episodes recordings fault_tickets", f"""
+        select ticket_id, site_id, asked_at, coalesce(availability, 0.0) as availability,
+          case when coalesce(availability, 0) > 99 then 'Available' when offline or camera then
+            'Not Available' when availability > 1 then 'Available' else 'Not Available' end
+            as video_status,
+          case when coalesce(availability, 0) > 99 then null when offline then 'Offline'
+            when camera then 'Camera Issue' when disk then 'HDD Issue' when availability > 1 then
+            'No HDD Issue' else 'Online - No HDD Issue' end as reason,
+          case when site_id in (select site_id from episodes where closed_on is null)
+            then 'Offline' else 'Online' end as current_status
+        from (select *, {_span('episodes', 'at_time', open_covers)} as offline,
+            {_span('fault_tickets', 'opened_on', open_covers, "and s.camera_id = '0702'")}
+              as camera,
+            {_span('fault_tickets', 'opened_on', open_covers, "and s.error = 'EIO'")} as disk
+          from (select event_id as ticket_id, site_id, site_id as box_id,
+                  at_time + to_minutes(90) as asked_at from tickets) q)
+        left join (select box_id, date, least(greatest(round(sum(files) * 100.0 / 1000, 2), 0),
+            100) as availability from (select box_id, cast(at_time as date) as date, file_count
+              + coalesce(remote_file_count, 0) as files from recordings
+              where camera_id in ('0702', '0702R') qualify row_number() over (partition by
+                box_id, camera_id, cast(at_time as date) order by at_time desc, file_count desc,
+                remote_file_count desc nulls last) = 1) group by box_id, date) v
+          on v.box_id = site_id and v.date = cast(asked_at as date)""")
+
+
+def _footage(spark: SparkSession, sf: str, open_covers: bool) -> DataFrame:
     faults = b.fault_tickets(spark, sf)
     asked = b.tickets(spark, sf).select(
         F.col("event_id").alias("ticket_id"), "site_id", F.col("site_id").alias("box_id"),
         (F.col("at_time") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(90))).alias("asked_at"))
     return footage.footage_status(asked, footage.lobby_availability(b.recordings(spark, sf)),
-                                  b.episodes(spark, sf), faults,
-                                  faults.filter("error = 'EIO'"))
+                                  b.episodes(spark, sf), faults, faults.filter("error = 'EIO'"),
+                                  open_covers=open_covers)
+
+
+@query("footage_status", _footage_check(True))
+def _(spark, sf):
+    return _footage(spark, sf, True)
+
+
+@query("footage_status_closed_only", _footage_check(False))
+def _(spark, sf):
+    """Tickets and episodes without an end explain nothing."""
+    return _footage(spark, sf, False)
 
 
 # ---- outages ---------------------------------------------------------------------------------
@@ -510,28 +553,41 @@ def _(spark, sf):
     return outages.frequent_sites(patterns, b.sites(spark, sf), b.ASOF)
 
 
-@query("business_hour_outages", with_views("tickets sites", """
-    select date '2024-01-31' as date, bank, site_name, site_id, c3 as count_3days,
-      c7 as count_7days, c15 as count_15days, 'Business hour sites' as remark
-    from (select site_id, count(*) filter (at_time >= timestamp '2024-01-28') as c3,
-        count(*) filter (at_time >= timestamp '2024-01-24') as c7, count(*) as c15
-      from (select *, strftime(at_time, '%H') as ho, strftime(closed_on + to_hours(9), '%H')
-              as hn from base)
-      where ho in ('16', '17', '18', '19', '20', '21', '22', '23', '24', '01')
-        and hn in ('06', '07', '08', '09', '10') group by site_id
-      having c3 >= 1 and c7 >= 1 and c15 >= 1)
-    join sites using (site_id) where on_site = 1
-      and site_id not in (select site_id from strict_busy)""", _PATTERNS[0],
-    ("strict_busy", "select site_id from base group by site_id having count(*) filter (at_time >= "
-     "timestamp '2024-01-28') >= 5 and count(*) filter (at_time >= timestamp '2024-01-24') >= 10 "
-     "and count(*) >= 20")))
-def _(spark, sf):
+def _night_check(least: tuple[int, int, int], where: str) -> str:
+    return with_views("tickets sites", f"""
+        select date '2024-01-31' as date, bank, site_name, site_id, c3 as count_3days,
+          c7 as count_7days, c15 as count_15days, 'Business hour sites' as remark
+        from (select site_id, count(*) filter (at_time >= timestamp '2024-01-28') as c3,
+            count(*) filter (at_time >= timestamp '2024-01-24') as c7, count(*) as c15
+          from (select *, strftime(at_time, '%H') as ho, strftime(closed_on + to_hours(9), '%H')
+                  as hn from base)
+          where ho in ('16', '17', '18', '19', '20', '21', '22', '23', '24', '01')
+            and hn in ('06', '07', '08', '09', '10') group by site_id
+          having c3 >= {least[0]} and c7 >= {least[1]} and c15 >= {least[2]})
+        join sites using (site_id) where {where} and site_id not in (
+          select site_id from base group by site_id
+          having count(*) filter (at_time >= timestamp '2024-01-28') >= 5
+            and count(*) filter (at_time >= timestamp '2024-01-24') >= 10 and count(*) >= 20)
+        """, _PATTERNS[0])
+
+
+def _night(spark: SparkSession, sf: str, least: tuple[int, int, int], **options) -> DataFrame:
     """Sample outages are short, so the end is moved by nine hours to reach the morning."""
     base = _outage_base(spark, sf)
-    patterns = outages.all_patterns(base, b.ASOF).filter("remark = 'TotalTickets'")
+    busy = outages.all_patterns(base, b.ASOF).filter("remark = 'TotalTickets'")
     moved = base.withColumn("closed_on", F.col("closed_on") + F.make_dt_interval(
         F.lit(0), F.lit(9)))
-    return outages.business_hour_outages(moved, patterns, b.sites(spark, sf), b.ASOF, LOW.night)
+    return outages.business_hour_outages(moved, busy, b.sites(spark, sf), b.ASOF, least, **options)
+
+
+@query("business_hour_outages", _night_check(LOW.night, "on_site = 1"))
+def _(spark, sf):
+    return _night(spark, sf, LOW.night)
+
+
+@query("business_hour_outages_any_site", _night_check((0, 1, 2), "true"))
+def _(spark, sf):
+    return _night(spark, sf, (0, 1, 2), on_site_only=False)
 
 
 # ---- repeated faults -------------------------------------------------------------------------

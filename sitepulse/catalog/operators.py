@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sitepulse import bindings as b
 from sitepulse import operators as op
 from sitepulse import sources as src
-from sitepulse.bindings import with_views
+from sitepulse.bindings import half_up, with_views
 from sitepulse.catalog.registry import minutes, query
 from sitepulse.functions import (
     clamp, clip, combine_date_time, contains, cube_root, cut, days_before, drop_blanks,
@@ -116,33 +116,31 @@ def _(spark, sf):
 
 # ---- ranks, buckets, labels ------------------------------------------------------------------
 
-@query("pct_rank_sites", with_views("", """
-    select user_id, n, round((rank() over (order by n)
-      + (count(*) over (partition by n) - 1) / 2.0) / count(*) over (), 2) as pct
-    from (select user_id, count(*) as n from events group by user_id)"""))
+_RANK = "(rank() over (order by {v}) + (count(*) over (partition by {v}) - 1) / 2.0) / count(*) over ()"
+
+
+@query("pct_rank_sites", f"""
+    select user_id, n, {half_up(_RANK.format(v='n'), 2)} as pct
+    from (select user_id, count(*) as n from events group by user_id)""")
 def _(spark, sf):
     counts = b.table(spark, sf, "events").groupBy("user_id").agg(F.count("*").alias("n"))
     return op.pct_rank(counts, "n", "pct")
 
 
-@query("pct_rank_orders", """
-    select o_orderkey, case when o_orderstatus <> 'P' then round((
-        rank() over (partition by o_orderstatus <> 'P' order by o_totalprice)
-        + (count(*) over (partition by o_orderstatus <> 'P', o_totalprice) - 1) / 2.0)
-      / count(*) over (partition by o_orderstatus <> 'P'), 4) end as pct
-    from orders""")
+@query("pct_rank_orders", f"""
+    select o_orderkey, {half_up(_RANK.format(v='o_totalprice'), 4)} as pct
+    from orders where o_orderstatus <> 'P'
+    union all select o_orderkey, null from orders where o_orderstatus = 'P'""")
 def _(spark, sf):
     priced = b.table(spark, sf, "orders").select(
         "o_orderkey", F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice")).alias("v"))
     return op.pct_rank(priced, "v", "pct", digits=4).drop("v")
 
 
-@query("bucket_by_rank", """
+@query("bucket_by_rank", f"""
     select c_custkey, case when pct <= 0.2 then 'P5' when pct <= 0.4 then 'P4'
       when pct <= 0.6 then 'P3' when pct <= 0.8 then 'P2' else 'P1' end as priority
-    from (select c_custkey, round((rank() over (order by c_acctbal)
-      + (count(*) over (partition by c_acctbal) - 1) / 2.0) / count(*) over (), 2) as pct
-      from customer)""")
+    from (select c_custkey, {half_up(_RANK.format(v='c_acctbal'), 2)} as pct from customer)""")
 def _(spark, sf):
     return op.bucket_by_rank(
         b.table(spark, sf, "customer").select("c_custkey", "c_acctbal"),
@@ -395,11 +393,11 @@ def _(spark, sf):
 
 @query("pivot_mean", f"""
     select user_id, {_types("cast(round(cast(avg(value) filter (event_type = '{t}') "
-                            "as decimal(18, 8)), 4) as double) as {t}")}
+                            "as decimal(28, 12)), 4) as double) as {t}")}
     from events group by user_id""")
 def _(spark, sf):
     return op.pivot_agg(b.table(spark, sf, "events"), ["user_id"], "event_type", TYPES, "value",
-                        lambda c: F.round(F.avg(c.cast("decimal(12,2)")), 4).cast("double"))
+                        lambda c: F.round(F.avg(c.cast("decimal(18,8)")), 4).cast("double"))
 
 
 @query("pivot_sum", """
@@ -511,9 +509,9 @@ def _(spark, sf):
     return op.two_level_sums(named, ["bank"], ["site_id"], ["tickets", "sos"])
 
 
-@query("share_of_total", """
+@query("share_of_total", f"""
     select l_returnflag, l_linestatus, count(*) as count,
-      round(count(*) * 100.0 / (select count(*) from lineitem), 2) as percentage
+      {half_up('count(*) * 100.0 / (select count(*) from lineitem)', 2)} as percentage
     from lineitem group by all""")
 def _(spark, sf):
     return op.share_of_total(b.table(spark, sf, "lineitem"), ["l_returnflag", "l_linestatus"])
@@ -854,3 +852,34 @@ def _(spark, sf):
                           ["opened_on", "ticket_id"], "ticket_id")
     return src.apply_ticket_changes(tickets, b.ASOF, closed=older).select("ticket_id",
                                                                           "closed_on")
+
+
+@query("ticket_touch", with_views("fault_tickets recorder_signals", """
+    select ticket_id, closed_on, case when closed_on is null then coalesce(seen, opened_on)
+      else opened_on end as latest_remote_recording
+    from fault_tickets left join (select box_id, max(at_time) as seen from recorder_signals
+      where event_code = 'REMOTERECORD' group by box_id) using (box_id)"""))
+def _(spark, sf):
+    """Open tickets take the latest remote recording of their box."""
+    tickets = b.fault_tickets(spark, sf).select(
+        "ticket_id", "box_id", "closed_on", F.col("opened_on").alias("latest_remote_recording"))
+    seen = b.recorder_signals(spark, sf).filter("event_code = 'REMOTERECORD'").groupBy(
+        "box_id").agg(F.max("at_time").alias("latest_remote_recording"))
+    touched = tickets.filter("closed_on is null").select("ticket_id", "box_id").join(
+        seen, "box_id")
+    return src.apply_ticket_changes(tickets, b.ASOF, touched=touched).drop("box_id")
+
+
+@query("customer_slice_replaced", """
+    select c_custkey, case when c_mktsegment in ('BUILDING', 'FURNITURE') then -1.0
+      else c_acctbal end as c_acctbal, c_mktsegment from customer
+    where c_mktsegment <> 'FURNITURE'""")
+def _(spark, sf):
+    """Two customers are replaced; one of them has no new rows and ends up empty."""
+    path = _folder(spark)
+    customer = b.table(spark, sf, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    src.replace_table(customer, path)
+    scope = customer.filter("c_mktsegment in ('BUILDING', 'FURNITURE')")
+    fresh = customer.filter("c_mktsegment = 'BUILDING'").withColumn("c_acctbal", F.lit(-1.0))
+    src.replace_customers(fresh, path, scope, key="c_mktsegment")
+    return src.current_version(spark, path)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitepulse import bindings as b
-from sitepulse.bindings import with_views
+from sitepulse.bindings import half_up, with_views
 from sitepulse.catalog.registry import minutes, query
 from sitepulse.plans import portfolio, priority, sensors
 from sitepulse.session import reuse
@@ -64,6 +64,16 @@ def _(spark, sf):
     return _matrix(spark, sf)
 
 
+@query("sensor_matrix_heartbeat", with_views(
+    _VIEWS, "select date '2024-02-13' as date, bank, site_name, site_id, state, zone, "
+    + ", ".join(f"max(heartbeat_label) filter (item_name = '{item}') as {name}"
+                for item, name in COLUMNS.items())
+    + " from sites left join recency using (site_id) group by all", *_RECENCY))
+def _(spark, sf):
+    return sensors.sensor_matrix(_recency(spark, sf), b.sites(spark, sf), COLUMNS, SENSOR_ASOF,
+                                 "heartbeat")
+
+
 def _scores(name: str) -> str:
     return (f"case {name} when '<15days' then 0 when '15-30days' then 2 when '1-3months' then 3 "
             f"when '3-6months' then 4 when 'Sensor Installed but No Trigger' then 5 end")
@@ -76,9 +86,10 @@ def _risk_check(weighted: bool, edges: list[float]) -> str:
     risk = f"({score}) * ({problems})" if weighted else f"({score})"
     bands = " ".join(f"when pct <= {e} then '{p}'" for e, p in zip(edges[1:], sensors.PRIORITIES))
     return with_views(_VIEWS, f"""
-        select site_id, bank, cast(risk_score as bigint) as risk_score, case {bands} end as priority from (
-          select *, round((rank() over (order by risk_score)
-            + (count(*) over (partition by risk_score) - 1) / 2.0) / count(*) over (), 2) as pct
+        select site_id, bank, cast(risk_score as bigint) as risk_score,
+          case {bands} end as priority
+        from (select *, {half_up("(rank() over (order by risk_score) + (count(*) over (partition "
+                                 "by risk_score) - 1) / 2.0) / count(*) over ()", 2)} as pct
           from (select site_id, bank, {risk} as risk_score from matrix
                 where site_id in (select user_id from events group by user_id
                                   having avg(value) <> 0)) where risk_score <> 0)""", *_RECENCY)
@@ -107,9 +118,9 @@ def _(spark, sf):
 
 
 def _pct(value: str) -> str:
-    return (f"case when {value} is not null then round((rank() over (partition by {value} is null "
-            f"order by {value}) + (count(*) over (partition by {value}) - 1) / 2.0) "
-            f"/ count({value}) over (), 2) end")
+    rank = (f"(rank() over (partition by {value} is null order by {value}) "
+            f"+ (count(*) over (partition by {value}) - 1) / 2.0) / count({value}) over ()")
+    return f"case when {value} is not null then {half_up(rank, 2)} end"
 
 
 def _band(value: str, labels: str) -> str:
@@ -152,8 +163,8 @@ def _(spark, sf):
 
 @query("site_priority", with_views("sites tickets", f"""
     select * exclude (score, pct), {_band('pct', "'S1' 'S2' 'S3' 'S4' 'S5'")} as site_priority
-    from (select *, round((rank() over (order by score)
-        + (count(*) over (partition by score) - 1) / 2.0) / count(*) over (), 2) as pct
+    from (select *, {half_up("(rank() over (order by score) + (count(*) over (partition by score) "
+                             "- 1) / 2.0) / count(*) over ()", 2)} as pct
       from (select *, round(cbrt(manual_closure * footfall * night_visit) + security, 2) as score
             from features))""", *_FEATURES))
 def _(spark, sf):
@@ -164,8 +175,8 @@ def _(spark, sf):
 
 def _share(columns: str, scale: float, digits: int) -> str:
     return with_views("sites", f"""
-        select {columns}, count(*) as count, round(count(*) * {scale}
-          / (select count(*) from sites), {digits}) as percentage
+        select {columns}, count(*) as count,
+          {half_up(f"count(*) * {scale} / (select count(*) from sites)", digits)} as percentage
         from (select zone as customer, bank as bank_name, zone as city,
                 upper(state[1]) || lower(state[2:]) as state from sites) group by {columns}""")
 
