@@ -16,6 +16,8 @@ CLUSTER_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # Files of stored intermediate results go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Plans are built from many small expressions; do not record a stack trace for each.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.dataFrameQueryContext.enabled": "false",

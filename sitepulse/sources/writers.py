@@ -26,7 +26,8 @@ def replace_slices(df: DataFrame, path: str, slice_by: Sequence[str] = ("bank",)
      .partitionBy(*slice_by).parquet(path))
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
+def finished_versions(spark: SparkSession, path: str) -> list[int]:
+    """Versions of a table whose write was completed, oldest first."""
     hadoop = spark._jvm.org.apache.hadoop.fs
     root = hadoop.Path(path)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -37,26 +38,37 @@ def _versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(p.getName()[2:]) for p in done)
 
 
+def _forget(spark: SparkSession, path: str, versions: Sequence[int]) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for version in versions:
+        fs.delete(hadoop.Path(f"{path}/v={version}"), True)
+
+
 def replace_table(df: DataFrame, path: str, *, skip_empty: bool = False,
-                  version: int | None = None) -> str:
+                  version: int | None = None, keep: int | None = None) -> str:
     """Write the next version of a whole table and return its folder.
 
     ``df`` may read the current version: that one stays until readers have moved on. A version
     counts only once its ``_SUCCESS`` file exists, so a failed run leaves the old table in place.
-    A given ``version`` is written again when the same step is repeated.
+    A given ``version`` is written again when the same step is repeated. ``keep`` removes all but
+    that many of the newest versions.
     """
-    found = _versions(df.sparkSession, path)
+    found = finished_versions(df.sparkSession, path)
     if skip_empty and found and df.isEmpty():
         return f"{path}/v={found[-1]}"
     if version is None:
         version = found[-1] + 1 if found else 1
     df.write.mode("overwrite").parquet(f"{path}/v={version}")
+    if keep is not None:
+        older = [v for v in found if v < version]
+        _forget(df.sparkSession, path, older[:max(0, len(older) - keep + 1)])
     return f"{path}/v={version}"
 
 
 def current_version(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
     """The newest finished version, or the newest one below ``before``."""
-    found = [v for v in _versions(spark, path) if before is None or v < before]
+    found = [v for v in finished_versions(spark, path) if before is None or v < before]
     if not found:
         raise FileNotFoundError(path)
     return spark.read.parquet(f"{path}/v={found[-1]}")
@@ -66,7 +78,7 @@ def replace_customers(df: DataFrame, path: str, customers: DataFrame,
                       key: str = "bank") -> str:
     """Next version of a table: rows of the listed customers are replaced by ``df``."""
     spark = df.sparkSession
-    if not _versions(spark, path):
+    if not finished_versions(spark, path):
         return replace_table(df, path)
     kept = anti(current_version(spark, path), customers, [key])
     return replace_table(kept.unionByName(df), path)

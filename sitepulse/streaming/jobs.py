@@ -17,6 +17,9 @@ from sitepulse.plans.tickets import disk_tickets
 from sitepulse.session import reuse
 from sitepulse.sources import apply_ticket_changes, current_version, look_back, replace_table
 
+# Versions of a table that a handler leaves for readers and for a repeated batch.
+KEEP = 5
+
 
 def slot_counts(events: DataFrame, at: str, keys: Sequence[str], delay: str = "1 hour",
                 width: str = "4 hours") -> DataFrame:
@@ -95,10 +98,10 @@ def near_violation_feed(spark: SparkSession, tickets_path: str, feed_path: str,
             arrived = current_version(spark, tickets_path, before=batch_id).unionByName(arrived)
         latest = latest_per_key(look_back(arrived, "at_time", asof(), days=days), ["event_id"],
                                 ["_seen", "opened_on"])
-        known = spark.read.parquet(replace_table(latest, tickets_path, version=batch_id))
+        known = spark.read.parquet(replace_table(latest, tickets_path, version=batch_id, keep=KEEP))
         urgent = sla.near_violation(
             sla.open_tickets(known.drop("_seen"), remarks, sites, asof(), days=days, **options))
-        replace_table(urgent, feed_path, version=batch_id)
+        replace_table(urgent, feed_path, version=batch_id, keep=KEEP)
 
     return handle
 
@@ -124,6 +127,7 @@ def fault_lifecycle(spark: SparkSession, open_path: str, archive_path: str, site
             opened=change.opened.withColumn("closed_on", F.lit(None).cast("timestamp_ntz"))))
         done = after.filter("closed_on is not null")
         done.write.mode("overwrite").parquet(f"{archive_path}/batch={batch_id}")
-        replace_table(after.filter("closed_on is null"), open_path, version=batch_id)
+        replace_table(after.filter("closed_on is null"), open_path, version=batch_id,
+                      keep=KEEP)
 
     return handle
