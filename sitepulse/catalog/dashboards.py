@@ -10,6 +10,7 @@ from sitepulse.bindings import with_views
 from sitepulse.catalog.jobs import _COUNTS, _OPEN, _RATED, _rated, open_due
 from sitepulse.catalog.registry import query
 from sitepulse.plans import dashboard, sla
+from sitepulse.session import reuse
 
 ASOF_SQL = f"timestamp '{b.ASOF}'"
 HOURS = 30 * 24
@@ -111,7 +112,8 @@ _SUMS = ", ".join(f"cast(sum({m}) as bigint) as {m}" for m in dashboard.VIOLATIO
     f"select '{n}' as tile, bank, cast(sum({_VIOLATIONS}) as bigint) as total_violations, {_SUMS} "
     f"from daily where {t} group by bank" for n, t in _RANGES.items()), *_RATED, _DAILY))
 def _(spark, sf):
-    daily = sla.bank_violations(_rated(spark, sf), b.sites(spark, sf))
+    # Stands for the stored daily table; each tile is a query of its own.
+    daily = reuse(sla.bank_violations(_rated(spark, sf), b.sites(spark, sf)))
     parts = [dashboard.violation_records(daily, b.ASOF, tile).select(
         F.lit(tile).alias("tile"), "*") for tile in _RANGES]
     out = parts[0]

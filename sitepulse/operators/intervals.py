@@ -57,9 +57,13 @@ def covered_points(points: DataFrame, intervals: Mapping[str, DataFrame], key: s
 
     spans = reduce(lambda a, b: a.unionByName(b),
                    [spans_of(i, intervals[flag]) for i, flag in enumerate(flags)])
+    # Points without time or key match nothing; they are spread instead of forming one group.
+    blank = F.col(at).isNull() | F.col(key).isNull()
+    spread = F.pmod(F.xxhash64(*points.columns) + F.spark_partition_id(), F.lit(1024))
     asked = points.withColumns({
         "_t": F.col(at).cast("timestamp_ntz"),
-        "_bin": F.date_trunc(bin_unit, F.col(at)).cast("timestamp_ntz"), "_kind": F.lit(2)})
+        "_bin": F.date_trunc(bin_unit, F.col(at)).cast("timestamp_ntz"), "_kind": F.lit(2),
+        "_part": F.when(blank, spread).otherwise(0)})
 
     # Latest end per bin, handed to every later bin of the key.
     per_bin = (spans.select(key, "_bin", *ends)
@@ -71,13 +75,15 @@ def covered_points(points: DataFrame, intervals: Mapping[str, DataFrame], key: s
     handed = (per_bin.select(key, "_bin", *[F.max(e).over(earlier).alias(e) for e in ends])
               .dropna(how="all", subset=ends))
 
+    none = F.lit(0).cast("long")
     rows = (asked
-            .unionByName(spans.withColumn("_kind", F.lit(1)), allowMissingColumns=True)
-            .unionByName(handed.withColumns({"_t": F.col("_bin"), "_kind": F.lit(0)}),
-                         allowMissingColumns=True))
-    so_far = (Window.partitionBy(key, "_bin").orderBy("_t", "_kind")
+            .unionByName(spans.withColumns({"_kind": F.lit(1), "_part": none}),
+                         allowMissingColumns=True)
+            .unionByName(handed.withColumns({"_t": F.col("_bin"), "_kind": F.lit(0),
+                                             "_part": none}), allowMissingColumns=True))
+    so_far = (Window.partitionBy(key, "_bin", "_part").orderBy("_t", "_kind")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     reached = rows.withColumns({
         flag: F.coalesce(F.max(e).over(so_far) >= F.col("_t"), F.lit(False))
         for flag, e in zip(flags, ends)})
-    return reached.filter("_kind = 2").drop("_t", "_bin", "_kind", *ends)
+    return reached.filter("_kind = 2").drop("_t", "_bin", "_kind", "_part", *ends)

@@ -16,6 +16,8 @@ HEARTBEAT_CODE = "20"
 TRIGGER_CODES = ["40", "48", "58", "59"]
 SENSOR_UNITS = ["08", "09", "10", "11", "65", "66", "67", "12", "13", "14", "15", "75", "76",
                 "77", "32", "33", "36", "56", "46", "47", "48", "49", "60", "61", "62"]
+# The first version of the report covers the first 18 units only.
+FIRST_UNITS = SENSOR_UNITS[:18]
 AGE_EDGES = [-100, 359, 719, 2159, 4319, 8759, 999999]
 AGE_LABELS = ["<15days", "15-30days", "1-3months", "3-6months", "6-12months", ">1year"]
 NO_TRIGGER = "Sensor Installed but No Trigger"
