@@ -1,7 +1,8 @@
 """One call per job: read the stored tables, compute, store the result the way reports expect.
 
-Daily tables are partitioned by date and customer, so running a day again replaces it. Tables
-that are rewritten as a whole, or that a job reads and writes, are versioned folders.
+Daily tables are partitioned by date and a run covers the customers in ``sites``, so running a
+day again replaces it. Tables that are rewritten as a whole, or that a job reads and writes, are
+versioned folders.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from sitepulse.plans import (
 from sitepulse.schemas import schema
 from sitepulse.session import reuse
 from sitepulse.sources import (
-    apply_ticket_changes, current_version, day_slice, replace_customers, replace_slices,
+    apply_ticket_changes, current_version, day_slice, replace_customers, replace_day,
     replace_table, scope, write_csv, write_sheets,
 )
 from sitepulse.sources.writers import finished_versions
@@ -48,8 +49,8 @@ class Store:
             return self.read(name)
         return self.spark.createDataFrame([], schema("fault_tickets"))
 
-    def daily(self, df: DataFrame, name: str) -> None:
-        replace_slices(df, self.path(name), ["date", "bank"])
+    def daily(self, df: DataFrame, name: str, day: str) -> None:
+        replace_day(df, self.path(name), day)
 
 
 def sla_daily(store: Store, day: str, asof: str | None = None) -> None:
@@ -61,9 +62,9 @@ def sla_daily(store: Store, day: str, asof: str | None = None) -> None:
         (F.col("updated_on") >= as_of(day)) & (F.col("updated_on") < end))
     sites = store.read("sites")
     rated = reuse(sla.rated_tickets(kept, notes, as_of(asof) if asof else end))
-    store.daily(sla.bank_violations(rated, sites), "sla_bankwise")
-    store.daily(sla.site_violations(rated, sites, day, day), "sla_sitewise")
-    store.daily(sla.violated_tickets(rated, sites), "tickets_violated")
+    store.daily(sla.bank_violations(rated, sites), "sla_bankwise", day)
+    store.daily(sla.site_violations(rated, sites, day, day), "sla_sitewise", day)
+    store.daily(sla.violated_tickets(rated, sites), "tickets_violated", day)
 
 
 def near_violation(store: Store, asof: str) -> None:
@@ -85,7 +86,7 @@ def slot_counts(store: Store, kind: str, day: str) -> None:
     sites = store.read("sites")
     installed = slots.installed_sites(store.read("installed_items"), unit)
     store.daily(slots.slot_counts(pick(events), at, sites, installed, day, day),
-                f"slots_{kind}")
+                f"slots_{kind}", day)
     if kind == "door":
         portfolio.publish_site_master(sites, store.path("site_master"))
 
@@ -153,7 +154,7 @@ def outage_patterns(store: Store, asof: str,
             .unionByName(outages.frequent_sites(found, sites, asof), allowMissingColumns=True)
             .unionByName(outages.business_hour_outages(base, found, sites, asof),
                          allowMissingColumns=True))
-    store.daily(rows, "outage_patterns")
+    store.daily(rows, "outage_patterns", asof[:10])
 
 
 def video_daily(store: Store, day: str, camera_names: Mapping[str, str],
@@ -161,7 +162,7 @@ def video_daily(store: Store, day: str, camera_names: Mapping[str, str],
     episodes = store.read("tickets").filter(F.col("msg").isin(list(messages)) & F.col("active"))
     store.daily(availability.video_availability(
         store.read("sites"), store.read("cameras"), store.read("recording_counts"), episodes,
-        store.read("heartbeats"), day, day, camera_names), "video_daily")
+        store.read("heartbeats"), day, day, camera_names), "video_daily", day)
 
 
 def vod_daily(store: Store, day: str) -> None:
@@ -171,10 +172,9 @@ def vod_daily(store: Store, day: str) -> None:
     matrix = reuse(recordings.camera_matrix(
         store.read("cameras"), recordings.daily_totals(recorded), day, day))
     daily = recordings.vod_daily(sites, matrix)
-    store.daily(daily, "vod_daily")
-    store.daily(recordings.vod_summary(daily), "vod_summary")
-    counts = recordings.vod_counts(sites, matrix)
-    store.daily(counts.withColumn("date", F.lit(day).cast("date")), "vod_counts")
+    store.daily(daily, "vod_daily", day)
+    store.daily(recordings.vod_summary(daily), "vod_summary", day)
+    store.daily(recordings.vod_counts(sites, matrix), "vod_counts", day)
 
 
 def vod_report(store: Store, last_day: str, dates: Mapping[str, str],

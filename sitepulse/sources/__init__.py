@@ -6,13 +6,13 @@ from sitepulse.sources.readers import (
 )
 from sitepulse.sources.tickets import apply_ticket_changes
 from sitepulse.sources.writers import (
-    append, current_version, json_records, nested_document, replace_customers, replace_slices,
-    replace_table, write_csv, write_json, write_sheets,
+    append, current_version, json_records, nested_document, replace_customers, replace_day,
+    replace_slices, replace_table, write_csv, write_json, write_sheets,
 )
 
 __all__ = [
     "append", "apply_ticket_changes", "canonical_names", "current_version", "day_slice",
     "drop_header_rows", "jdbc_options", "json_records", "look_back", "month_slice",
     "nested_document", "promote_header", "read_jdbc", "read_sheets", "read_table",
-    "replace_customers", "replace_slices", "replace_table", "scope", "write_csv", "write_json", "write_sheets",
+    "replace_customers", "replace_day", "replace_slices", "replace_table", "scope", "write_csv", "write_json", "write_sheets",
 ]

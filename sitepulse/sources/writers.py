@@ -26,6 +26,11 @@ def replace_slices(df: DataFrame, path: str, slice_by: Sequence[str] = ("bank",)
      .partitionBy(*slice_by).parquet(path))
 
 
+def replace_day(df: DataFrame, path: str, day: str, column: str = "date") -> None:
+    """Replace one day of a daily table, also by nothing. ``df`` holds that day only."""
+    df.drop(column).write.mode("overwrite").parquet(f"{path}/{column}={day}")
+
+
 def finished_versions(spark: SparkSession, path: str) -> list[int]:
     """Versions of a table whose write was completed, oldest first."""
     hadoop = spark._jvm.org.apache.hadoop.fs

@@ -52,6 +52,21 @@ def test_daily_tables_are_replaced_not_doubled(store):
     assert total == store.read("sla_bankwise").agg(F.sum("total_tickets")).first()[0] > 0
 
 
+def test_a_day_can_become_empty(store):
+    runs.sla_daily(store, "2024-01-27")
+    assert not store.read("tickets_violated").filter("date = '2024-01-27'").isEmpty()
+    rerun = runs.Store(store.spark, store.root + "/again")
+    for name in ("sites", "remarks"):
+        store.read(name).write.parquet(rerun.path(name))
+    store.read("tickets").write.parquet(rerun.path("tickets"))
+    runs.sla_daily(rerun, "2024-01-27")
+    store.read("tickets").filter("opened_on < timestamp_ntz'2024-01-27'").write.mode(
+        "overwrite").parquet(rerun.path("tickets"))
+    runs.sla_daily(rerun, "2024-01-27")
+    assert rerun.read("tickets_violated").isEmpty()
+    assert rerun.read("sla_sitewise").agg(F.sum("total_tickets")).first()[0] == 0
+
+
 def test_ticket_tables_settle(store):
     for run, name, options in (
             (runs.disk_tickets, "disk_tickets", {"minutes": 5000}),
