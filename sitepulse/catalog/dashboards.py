@@ -83,7 +83,7 @@ def _door_records(tile: str) -> str:
     test = "true" if tile == "All" else _TESTS[tile]
     return with_views("doors", f"""
         select ticket_id, bank, site_name, opened_on, main_door_open,
-          count(*) over (partition by site_name) as site_tickets
+          count(*) over (partition by site_name) as site_tickets, 'Site Link' as site_url
         from doors where event_type = 'purchase' and {_OPEN_DOORS} and {test}""")
 
 
@@ -105,6 +105,13 @@ def _(spark, sf):
                                             banks=["BUILDING", "MACHINERY"])
 
 
+@query("near_violation_list", with_views("tickets remarks sites", f"""
+    select * from near where {_ACTIONS['CriticalAck']}""", *_OPEN))
+def _(spark, sf):
+    return dashboard.near_violation_records(sla.near_violation(open_due(spark, sf)),
+                                            "CriticalAck", counted=False)
+
+
 _SUMS = ", ".join(f"cast(sum({m}) as bigint) as {m}" for m in dashboard.VIOLATIONS)
 
 

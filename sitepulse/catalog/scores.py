@@ -190,6 +190,12 @@ for _name, _columns, _scale, _digits in (
     query(f"portfolio_by_{_name}", _share(_columns, _scale, _digits))(_portfolio)
 
 
+@query("portfolio_by_customer", with_views(
+    "sites", "select zone as customer, count(*) as count from sites group by zone"))
+def _(spark, sf):
+    return portfolio.portfolio_shares(b.portfolio(spark, sf))["customer"]
+
+
 @query("site_master", with_views("sites", "select bank, site_name, site_id from sites"))
 def _(spark, sf):
     return portfolio.site_master(b.sites(spark, sf))

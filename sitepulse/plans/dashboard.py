@@ -19,6 +19,7 @@ MOTION_TITLE = "Movement in Lobby > 3 min and 1 critical sensor failure"
 DOOR_TITLE = "4 Main door ops in last 15 mins No PIR and 1 critical sensor failure"
 NEAR_TITLE = "Monitoring Events nearing SLA Violation"
 VIOLATED_TITLE = "SLA Violated on Monitoring"
+SITE_LINK = "Site Link"
 
 
 def door_tests() -> dict[str, Column]:
@@ -112,15 +113,19 @@ def door_records(events: DataFrame, asof, tile: str = "All", *, hours: int = 2,
     """Open door tickets behind a tile, with the number of such tickets of the site."""
     rows = recent_open(events, asof, hours, banks).filter(_chosen(door_tests(), tile)).select(
         "ticket_id", "bank", "site_name", "opened_on", "main_door_open")
-    return group_size(rows, ["site_name"], "site_tickets").orderBy(
-        *[F.desc(c) for c in ("site_tickets", "site_name", "opened_on", "main_door_open")])
+    return (group_size(rows, ["site_name"], "site_tickets")
+            .withColumn("site_url", F.lit(SITE_LINK)).orderBy(*[
+                F.desc(c) for c in ("site_tickets", "site_name", "opened_on", "main_door_open")]))
 
 
 def near_violation_records(near: DataFrame, tile: str = "All", *,
-                           banks: Sequence[str] | str = "ALL") -> DataFrame:
-    rows = scope(near, banks).filter(_chosen(action_tests(), tile)).select(
-        "bank", "site_name", "event_id", "event_type", "msg", "opened_on", "age_minutes",
-        "required_action")
+                           banks: Sequence[str] | str = "ALL", counted: bool = True) -> DataFrame:
+    """Urgent tickets behind a tile. Without ``counted`` it is the plain list with site ids."""
+    chosen = scope(near, banks).filter(_chosen(action_tests(), tile))
+    shown = ["event_id", "event_type", "msg", "opened_on", "age_minutes", "required_action"]
+    if not counted:
+        return chosen.select("bank", "site_name", "site_id", *shown)
+    rows = chosen.select("bank", "site_name", *shown)
     return group_size(rows, ["site_name"], "site_tickets").orderBy(
         *[F.desc(c) for c in ("site_tickets", "site_name", "opened_on", "event_id")])
 

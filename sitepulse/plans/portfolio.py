@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from sitepulse.functions import title_case
-from sitepulse.operators import share_of_total
+from sitepulse.operators import frequency, share_of_total
 from sitepulse.sources.writers import replace_slices
 
 
@@ -14,7 +14,7 @@ def clean_portfolio(portfolio: DataFrame) -> DataFrame:
 
 
 def portfolio_shares(portfolio: DataFrame) -> dict[str, DataFrame]:
-    """Sites per bank, state, state and city, customer and state."""
+    """Sites per bank, state, state and city, customer and state, with shares; per customer."""
     clean = clean_portfolio(portfolio)
     fine = {"scale": 1.0, "digits": 4}
     return {
@@ -22,6 +22,7 @@ def portfolio_shares(portfolio: DataFrame) -> dict[str, DataFrame]:
         "state": share_of_total(clean, ["state"]),
         "state_city": share_of_total(clean, ["state", "city"], **fine),
         "customer_state": share_of_total(clean, ["customer", "state"], **fine),
+        "customer": frequency(clean, "customer"),
     }
 
 
