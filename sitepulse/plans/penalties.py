@@ -33,9 +33,12 @@ def penalty_tickets(tickets: DataFrame, remarks: DataFrame, sites: DataFrame,
                          & ~contains(F.col("remarks"), "closed"))
     fit = fit.select("event_id", "updated_by", "updated_on",
                      F.lower("remarks").alias("remarks")).distinct()
-    open_to = tickets.filter(F.col("active")
-                             & not_text(F.col("closed_by"), "system", keep_null=True))
-    joined = open_to.join(fit, "event_id").join(sites.select("site_id", "site_name"), "site_id")
+    # Copies go before the join, so they are neither multiplied nor gathered in one task.
+    open_to = tickets.filter(
+        F.col("active") & not_text(F.col("closed_by"), "system", keep_null=True)).select(
+        "event_id", "site_id", "event_type", "msg", "opened_on", "closed_on").distinct()
+    names = sites.select("site_id", "site_name").distinct()
+    joined = open_to.join(fit, "event_id").join(names, "site_id")
     aged = joined.withColumns({"age": minutes_between("opened_on", "closed_on"),
                                "ack_age": minutes_between("opened_on", "updated_on")})
     late = (((F.col("event_type") == "SOS") & ((F.col("age") > 30) | (F.col("ack_age") > 5)))
@@ -44,7 +47,7 @@ def penalty_tickets(tickets: DataFrame, remarks: DataFrame, sites: DataFrame,
     return aged.filter(late).select(
         "event_id", "site_id", "site_name", "event_type", "msg", "opened_on", "closed_on",
         "updated_by", "updated_on", "remarks", "age", "ack_age",
-        F.lit("Penalty Applicable").alias("penalty")).distinct()
+        F.lit("Penalty Applicable").alias("penalty"))
 
 
 def consolidate(feeds: Mapping[str, DataFrame], *,

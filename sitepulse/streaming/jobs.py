@@ -56,13 +56,21 @@ def distinct_tickets(events: DataFrame, at: str, keys: Sequence[str], delay: str
 
 
 def acknowledged_tickets(tickets: DataFrame, acks: DataFrame, *, delay: str = "30 minutes",
-                         within: str = "1 hour") -> DataFrame:
-    """Each ticket with its acknowledgement, or without one after ``within`` has passed."""
-    left = tickets.withWatermark("opened_on", delay).alias("t")
-    right = acks.withWatermark("ack_on", delay).alias("a")
+                         within: str = "1 hour", distinct: bool = True) -> DataFrame:
+    """Each ticket with its acknowledgement, or without one after ``within`` has passed.
+
+    ``distinct`` keeps the first arrival per ticket on both sides, so repeats are not multiplied;
+    leave it out for inputs that have no repeats.
+    """
+    if distinct:
+        left = distinct_tickets(tickets, "opened_on", ["event_id"], delay)
+        right = distinct_tickets(acks, "ack_on", ["event_id"], delay)
+    else:
+        left = tickets.withWatermark("opened_on", delay)
+        right = acks.withWatermark("ack_on", delay)
     bound = F.expr(f"t.event_id = a.event_id and a.ack_on >= t.opened_on "
                    f"and a.ack_on <= t.opened_on + interval {within}")
-    return left.join(right, bound, "left_outer").select("t.*", "a.ack_on")
+    return left.alias("t").join(right.alias("a"), bound, "left_outer").select("t.*", "a.ack_on")
 
 
 def offline_sessions(signals: DataFrame, at: str, key: str, *, gap: str,

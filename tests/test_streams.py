@@ -44,9 +44,9 @@ def test_repeats_are_dropped_across_batches(spark, tmp_path):
 
 
 def test_tickets_without_acknowledgement_follow_the_watermark(spark, tmp_path):
-    opened = feed(spark, tmp_path / "t", [(1, "01 01:00"), (2, "01 01:00")], [(3, "01 09:00")], [(4, "01 20:00")],
+    opened = feed(spark, tmp_path / "t", [(1, "01 01:00"), (1, "01 01:00"), (2, "01 01:00")], [(3, "01 09:00")], [(4, "01 20:00")],
                   schema="event_id long, ts timestamp_ntz").withColumnRenamed("ts", "opened_on")
-    acks = feed(spark, tmp_path / "a", [(1, "01 01:10")], [(2, "01 08:00")], [(3, "01 20:00")],
+    acks = feed(spark, tmp_path / "a", [(1, "01 01:10"), (1, "01 01:12")], [(2, "01 08:00")], [(3, "01 20:00")],
                 schema="event_id long, ts timestamp_ntz").withColumnRenamed("ts", "ack_on")
     out = st.run_available(st.acknowledged_tickets(opened, acks), str(tmp_path / "out"))
     got = rows(out.select("event_id", F.date_format("ack_on", "HH:mm")))
