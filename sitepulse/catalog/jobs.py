@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sitepulse import bindings as b
 from sitepulse.bindings import with_views
 from sitepulse.catalog.registry import minutes, query
+from sitepulse.functions import recode
 from sitepulse.functions.time import SLOT_NAMES
 from sitepulse.operators import top_rows, union_all
 from sitepulse.plans import (
@@ -163,6 +164,12 @@ FEEDS = {"mcu": "1-URGENT", "equipment": "2-HIGH", "footage": "3-MEDIUM",
          "pm": "4-NOT SPECIFIED"}
 
 
+def _fed(spark: SparkSession, sf: str) -> DataFrame:
+    """All feeds in one table, read once; ``consolidate`` takes separate feeds."""
+    return b.penalties(spark, sf).withColumn("feed", recode(
+        F.col("item"), {item: name for name, item in FEEDS.items()}, keep_unmapped=False))
+
+
 @query("penalty_consolidation", with_views("penalties", """
     select site, case month when 4 then 'Apr' when 5 then 'May' when 6 then 'June' when 7 then
       'July' else cast(month as varchar) end as month, """ + ", ".join(
@@ -171,9 +178,7 @@ FEEDS = {"mcu": "1-URGENT", "equipment": "2-HIGH", "footage": "3-MEDIUM",
     from penalties where month not in (8, 9) and item <> '5-LOW' group by site, penalties.month
     """))
 def _(spark, sf):
-    df = b.penalties(spark, sf)
-    out = penalties.month_names(penalties.consolidate(
-        {name: df.filter(F.col("item") == item) for name, item in FEEDS.items()}))
+    out = penalties.month_names(penalties.consolidate_rows(_fed(spark, sf), list(FEEDS)))
     return out.withColumns({c: F.round(c, 2) for c in [*FEEDS, "total"]})
 
 
@@ -181,9 +186,7 @@ def _(spark, sf):
     select site, month, sum(amount) as total from penalties where month not in (8, 9)
       and item <> '5-LOW' group by site, month order by total desc, site, month limit 200"""))
 def _(spark, sf):
-    df = b.penalties(spark, sf)
-    total = penalties.consolidate(
-        {name: df.filter(F.col("item") == item) for name, item in FEEDS.items()})
+    total = penalties.consolidate_rows(_fed(spark, sf), list(FEEDS))
     return top_rows(total.select("site", "month", "total"),
                     [F.desc("total"), F.asc("site"), F.asc("month")], 200)
 

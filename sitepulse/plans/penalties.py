@@ -50,16 +50,23 @@ def penalty_tickets(tickets: DataFrame, remarks: DataFrame, sites: DataFrame,
         F.lit("Penalty Applicable").alias("penalty"))
 
 
+def consolidate_rows(stacked: DataFrame, feeds: Sequence[str], *,
+                     drop_months: Sequence[int] = (8, 9)) -> DataFrame:
+    """Rows of (site, month, amount, feed) as one column per feed and a total."""
+    summed = (stacked.filter(F.col("feed").isin(list(feeds))
+                             & ~F.col("month").isin(list(drop_months)))
+              .dropna(subset=["site", "month"]).groupBy("site", "month").agg(*[
+                  F.coalesce(F.sum(F.when(F.col("feed") == name, F.col("amount"))), F.lit(0.0))
+                  .alias(name) for name in feeds]))
+    return summed.withColumn("total", row_sum(list(feeds)))
+
+
 def consolidate(feeds: Mapping[str, DataFrame], *,
                 drop_months: Sequence[int] = (8, 9)) -> DataFrame:
     """Feeds of (site, month, amount) side by side per site and month, with the total."""
     stacked = union_all([df.select("site", "month", F.col("amount").cast("double"),
                                    F.lit(name).alias("feed")) for name, df in feeds.items()])
-    summed = (stacked.filter(~F.col("month").isin(list(drop_months)))
-              .dropna(subset=["site", "month"]).groupBy("site", "month").agg(*[
-                  F.coalesce(F.sum(F.when(F.col("feed") == name, F.col("amount"))), F.lit(0.0))
-                  .alias(name) for name in feeds]))
-    return summed.withColumn("total", row_sum(list(feeds)))
+    return consolidate_rows(stacked, list(feeds), drop_months=drop_months)
 
 
 def month_names(df: DataFrame, names: Mapping[int, str] = TREND_MONTHS) -> DataFrame:
