@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 # Sizes are per cluster; only the switches matter for right results.
@@ -41,15 +39,16 @@ def build_session(app: str = "sitepulse", master: str | None = None, **extra: st
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir``, else (tests) a local one."""
+    """Folder every executor can reach: ``spark.checkpoint.dir``, else one beside the warehouse tables.
+
+    Where the setting is missing it is set, so that checkpoints go to the same place.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="sitepulse-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
 
 
 def reuse(df: DataFrame) -> DataFrame:
