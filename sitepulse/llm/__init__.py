@@ -1,13 +1,20 @@
 """Operators for preparing training corpora, with their queries and SQL twins."""
 
-from sitepulse.llm import exact, mixing
+from sitepulse.llm import exact, licenses, mixing, packing, simhash, topk, toxicity
 
 QUERIES = {
+    "op1_simhash_dedup": simhash.op1_simhash_dedup,
+    "op2_toxicity": toxicity.op2_toxicity,
     "op3_exact_dedup": exact.op3_exact_dedup,
+    "op4_topk_search": topk.op4_topk_search,
     "op5_source_mix": mixing.op5_source_mix,
+    "op6_license_scan": licenses.op6_license_scan,
+    "op7_packing": packing.op7_packing,
 }
 
 CHECKS = {
     "op3_exact_dedup": exact.SQL,
+    "op4_topk_search": topk.SQL,
     "op5_source_mix": mixing.SQL,
+    "op6_license_scan": licenses.SQL,
 }
