@@ -30,7 +30,7 @@ from sitepulse.llm.common import stored, table
 PLACES_LOG2 = 20
 SAMPLE = 24_000
 THRESHOLD = 0.7
-EPOCHS = 3
+EPOCHS = 8
 _WORD = re.compile(r"\w+")
 _U = np.uint64
 _SALTS = [_U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
@@ -51,7 +51,7 @@ def features(text: str | None) -> np.ndarray:
 class Ftrl:
     """w is zero while |z| <= l1; otherwise it follows z with the place's own rate."""
 
-    def __init__(self, places: int, alpha: float = 0.1, beta: float = 1.0, l1: float = 0.5,
+    def __init__(self, places: int, alpha: float = 1.0, beta: float = 1.0, l1: float = 8.0,
                  l2: float = 1e-3):
         self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
         self.z, self.n = np.zeros(places + 1), np.zeros(places + 1)  # the last is the intercept
