@@ -1,6 +1,8 @@
 """Operators for preparing training corpora, with their queries and SQL twins."""
 
-from sitepulse.llm import exact, licenses, mixing, packing, simhash, topk, toxicity
+from sitepulse.llm import (
+    exact, licenses, lines, mixing, packing, simhash, suffix, tokens, topk, toxicity,
+)
 
 QUERIES = {
     "op1_simhash_dedup": simhash.op1_simhash_dedup,
@@ -10,6 +12,9 @@ QUERIES = {
     "op5_source_mix": mixing.op5_source_mix,
     "op6_license_scan": licenses.op6_license_scan,
     "op7_packing": packing.op7_packing,
+    "op8_suffix_dedup": suffix.op8_suffix_dedup,
+    "op9_line_dedup": lines.op9_line_dedup,
+    "op10_token_counts": tokens.op10_token_counts,
 }
 
 CHECKS = {

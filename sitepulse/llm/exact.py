@@ -69,13 +69,12 @@ class DigestIndex:
 
     def dedup(self, docs: DataFrame) -> DataFrame:
         """The documents of a batch that stay, with all their columns."""
-        kept = self.assign(docs).where("kept").select(
-            F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_digest"))
-        kept = kept.dropDuplicates()
-        marked = docs.withColumn("_digest", text_digest())
-        stays = marked.join(kept, marked["doc_id"].eqNullSafe(kept["_id"])
-                            & (marked["_digest"] == kept["_digest"]), "left_semi")
-        return stays.dropDuplicates(["doc_id", "_digest"]).drop("_digest")
+        kept = self.assign(docs).where("kept").select("doc_id", "text_sha256").distinct()
+        marked = docs.select(F.struct(*docs.columns).alias("row"), docs["doc_id"].alias("id"),
+                             text_digest().alias("digest"))
+        stays = marked.join(kept, marked["id"].eqNullSafe(kept["doc_id"])
+                            & (marked["digest"] == kept["text_sha256"]), "left_semi")
+        return stays.dropDuplicates(["id", "digest"]).select("row.*")
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

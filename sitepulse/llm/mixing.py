@@ -106,11 +106,11 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents of the mix, each as often as it is taken."""
     sizes = stored(sized(docs), "sizes")
-    copies = mix(sizes, budgets(sizes)).where("copies > 0").groupBy(
-        F.col("doc_id").alias("_id")).agg(F.max("copies").alias("_copies"))
-    taken = docs.join(copies, docs["doc_id"].eqNullSafe(copies["_id"]))
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))
-                            ).select(*[docs[c] for c in docs.columns])
+    copies = mix(sizes, budgets(sizes)).where("copies > 0").groupBy("doc_id").agg(
+        F.max("copies").cast("int").alias("copies"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), docs["doc_id"].alias("id"))
+    taken = rows.join(copies, rows["id"].eqNullSafe(copies["doc_id"]))
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
 
 
 SQL = r"""
