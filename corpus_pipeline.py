@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from sitepulse.llm.common import stored, table  # noqa: E402
+from sitepulse.llm.common import on_workers, stored, table  # noqa: E402
 from sitepulse.llm.exact import exact_stage  # noqa: E402
 from sitepulse.llm.mixing import mix_stage  # noqa: E402
 from sitepulse.llm.packing import packing_stage  # noqa: E402
@@ -17,11 +17,11 @@ from sitepulse.llm.simhash import simhash_stage  # noqa: E402
 from sitepulse.llm.toxicity import toxicity_stage  # noqa: E402
 
 STAGES = [
-    ("toxicity", toxicity_stage),
-    ("exact_dedup", exact_stage),
-    ("simhash_dedup", simhash_stage),
-    ("source_mix", mix_stage),
-    ("packing", packing_stage),
+    ("toxicity", on_workers(toxicity_stage)),
+    ("exact_dedup", on_workers(exact_stage)),
+    ("simhash_dedup", on_workers(simhash_stage)),
+    ("source_mix", on_workers(mix_stage)),
+    ("packing", on_workers(packing_stage)),
 ]
 
 # The classifier, the fingerprints and the tokenizer have no SQL form; tests/llm/test_pipeline.py

@@ -3,8 +3,9 @@
 from sitepulse.llm import (
     exact, licenses, lines, mixing, packing, simhash, suffix, tokens, topk, toxicity,
 )
+from sitepulse.llm.common import on_workers
 
-QUERIES = {
+_QUERIES = {
     "op1_simhash_dedup": simhash.op1_simhash_dedup,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_exact_dedup": exact.op3_exact_dedup,
@@ -16,6 +17,7 @@ QUERIES = {
     "op9_line_dedup": lines.op9_line_dedup,
     "op10_token_counts": tokens.op10_token_counts,
 }
+QUERIES = {name: on_workers(fn) for name, fn in _QUERIES.items()}
 
 CHECKS = {
     "op3_exact_dedup": exact.SQL,

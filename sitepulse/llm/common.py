@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import functools
+import os
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +17,25 @@ SPACES = r"[\x20\x09-\x0D]+"
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
+def on_workers(fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """``fn(spark, ...)`` with this package on the Python path of the workers.
+
+    That serves a driver started from another folder. On a cluster whose nodes do not share the
+    folder, ship the package with ``--py-files``; the entry does no harm there.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+    @functools.wraps(fn)
+    def run(spark: SparkSession, *args):
+        environment = spark.sparkContext.environment
+        paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+        if root not in paths:
+            environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+        return fn(spark, *args)
+
+    return run
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -34,11 +56,6 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def lower_ascii(column: Column) -> Column:
-    """A-Z to a-z, every other character as it is."""
-    return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 def look_up(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
     """``rows`` with the columns of their group (one row per ``key``), hot groups without a shuffle.
 

@@ -173,14 +173,13 @@ def build_index(vectors: DataFrame, rows: int = ROWS) -> DataFrame:
 def search(index: DataFrame, queries: DataFrame, k: int = K, group: int = QUERIES) -> DataFrame:
     """query_id, rank, vec_id, score of the k best rows for every query (vec_id, q)."""
     queries = queries.groupBy("vec_id").agg(F.min("q").alias("q"))
-    n, blocks = queries.count(), index.select("block").distinct()
+    n, blocks = queries.count(), index.count()
     groups = max(1, -(-n // group))
-    # A group of queries is one row; each group is sent to every block.
+    # A group of queries is one row; each group is sent to every block of the index.
     batches = queries.groupBy(F.pmod(F.xxhash64("vec_id"), F.lit(groups)).alias("batch")).agg(
         F.collect_list(F.struct("vec_id", "q")).alias("queries"))
-    numbers = [r["block"] for r in blocks.collect()]  # one number per ROWS vectors
-    grid = batches.withColumn("block", F.explode(F.array(*[F.lit(b) for b in numbers])
-                                                 if numbers else F.array().cast("array<int>")))
+    last = index.agg(F.max("block")).first()[0]
+    grid = batches.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(last or 0))))
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opened: tuple[int, Block] | None = None
@@ -200,7 +199,7 @@ def search(index: DataFrame, queries: DataFrame, k: int = K, group: int = QUERIE
 
     # One task per (batch, block) or so: a pair costs QUERIES searches over ROWS rows.
     pairs = grid.join(index, "block").repartition(
-        max(1, min(len(numbers) * groups, 20_000)), "block", "batch")
+        max(1, min(blocks * groups, 20_000)), "block", "batch")
     best = pairs.mapInArrow(run, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(

@@ -121,17 +121,19 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarra
     return weights
 
 
+def scores_of(texts: pa.Array, w: np.ndarray) -> np.ndarray:
+    margin = np.array([w[features(t.as_py())].sum(dtype=np.float64) for t in texts], np.float64)
+    return 1.0 / (1.0 + np.exp(-np.clip(margin + w[-1], -35, 35)))
+
+
 def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
     """doc_id, held_out, score, predicted. The weights have a fixed size (4 MB)."""
     model = docs.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = model.value
         for batch in batches:
-            margin = np.array([w[features(t.as_py())].sum(dtype=np.float64) for t in
-                               batch.column(1)] or [0.0])[:batch.num_rows] + w[-1]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(1.0 / (1.0 + np.exp(-np.clip(margin, -35, 35))))],
+                [batch.column(0), pa.array(scores_of(batch.column(1), model.value))],
                 ["doc_id", "score"])
 
     scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
@@ -147,17 +149,18 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, train(docs, table(spark, sf_dir, "labels")))
 
 
-def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that are not predicted toxic."""
-    weights = train(docs, table(spark, sf_dir, "labels"))
-    model = spark.sparkContext.broadcast(weights)
+def not_toxic(docs: DataFrame, weights: np.ndarray) -> DataFrame:
+    """The rows of ``docs`` that are not predicted toxic, with all their columns."""
+    model = docs.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, limit = model.value, np.log(THRESHOLD / (1 - THRESHOLD))
         for batch in batches:
-            at = batch.schema.get_field_index("text")
-            margin = [w[features(t.as_py())].sum(dtype=np.float64) + w[-1]
-                      for t in batch.column(at)]
-            yield batch.filter(pa.array([m < limit for m in margin], pa.bool_()))
+            texts = batch.column(batch.schema.get_field_index("text"))
+            yield batch.filter(pa.array(scores_of(texts, model.value) < THRESHOLD))
 
     return docs.mapInArrow(run, docs.schema)
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that are not predicted toxic."""
+    return not_toxic(docs, train(docs, table(spark, sf_dir, "labels")))
