@@ -162,7 +162,7 @@ def order_names(names: np.ndarray, depth: int) -> np.ndarray:
     return np.argsort(rank, kind="stable")
 
 
-def suffix_order(text: np.ndarray, depth: int, memory: int = 1 << 28, chunk: int = 1 << 20
+def suffix_order(text: np.ndarray, depth: int, memory: int = 1 << 26, chunk: int = 1 << 20
                  ) -> Iterator[np.ndarray]:
     """Blocks of suffix positions in ascending order of their first ``depth`` characters.
 

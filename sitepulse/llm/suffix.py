@@ -39,7 +39,7 @@ from sitepulse.llm.induced import suffix_order
 LENGTH, GRAM = 100, 24
 SEGMENT = 1 << 20
 FLUSH = 1 << 20
-SHARD = 1 << 23
+SHARD = 1 << 22
 LAST = (1 << 63) - 1
 _U = np.uint64
 _PLACE = _U((1 << 24) - 1)
@@ -217,7 +217,7 @@ def marks(rows: DataFrame) -> DataFrame:
 
 
 def shard_repeats(doc: np.ndarray, start: np.ndarray, parts: list[bytes], length: int = LENGTH,
-                  memory: int = 1 << 28):
+                  memory: int = 1 << 26):
     """(doc, start) of the strings in the parts that also have an earlier start there."""
     sizes = np.array([len(p) for p in parts], np.int64)
     plain = np.frombuffer(b"\0".join(parts) + b"\0" * 9, np.uint8)
@@ -237,10 +237,8 @@ def shard_repeats(doc: np.ndarray, start: np.ndarray, parts: list[bytes], length
         pair = pair[words[order[pair] + d] == words[order[pair + 1] + d]]
     same[pair] = True
     group = np.cumsum(np.concatenate([[0], ~same]))
-    at_doc, at = np.empty(n, np.int64), np.empty(n, np.int64)
-    at_doc[begins[owner] + inside] = doc[owner]
-    at[begins[owner] + inside] = start[owner] + inside
-    d, s = at_doc[order], at[order]
+    part = np.searchsorted(begins, order, "right") - 1
+    d, s = doc[part], start[part] + order - begins[part]
     by = np.lexsort((s, d, group))
     d, s, group = d[by], s[by], group[by]
     new = np.concatenate([[True], group[1:] != group[:-1]])
