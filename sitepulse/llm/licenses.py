@@ -25,7 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitepulse.llm.common import lower_ascii, stored, table, text_of
+from sitepulse.llm.common import stored, table, text_of
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BLOCK, STRIDE, THRESHOLD = 32, 16, 0.8
@@ -64,7 +64,11 @@ def template_sets(templates: list[tuple[str, str]], threshold: float) -> list[tu
 
 def word_rows(docs: DataFrame) -> DataFrame:
     """doc_id, key (tells rows with one doc_id apart), and the text's words."""
-    clean = F.trim(F.regexp_replace(lower_ascii(text_of()), SEPARATORS, " "))
+    # The only letters whose lower case would be or hold an ASCII one stay as they are; all other
+    # letters outside ASCII occur in no phrase or template, so their case does not matter.
+    kept = F.replace(F.replace(text_of(), F.lit("\u212A"), F.lit("\u1E9E")), F.lit("\u0130"),
+                     F.lit("\u1E9E"))
+    clean = F.trim(F.regexp_replace(F.lower(kept), SEPARATORS, " "))
     words = F.when(F.col("clean") == "", F.array().cast("array<string>")).otherwise(
         F.split("clean", " "))
     return docs.select("doc_id", F.xxhash64(text_of()).alias("key"), clean.alias("clean")).select(
