@@ -64,6 +64,7 @@ def look_up(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int)
     must not be null.
     """
     limit = max(200, total // 1000)
-    hot = groups.where(F.col(size) > limit)
+    hot = F.broadcast(groups.where(F.col(size) > limit))
     cold = groups.where(F.col(size) <= limit)
-    return rows.join(F.broadcast(hot), key).unionByName(rows.join(cold, key))
+    rest = rows.join(hot.select(key), key, "left_anti")  # hot rows don't meet in one task
+    return rows.join(hot, key).unionByName(rest.join(cold, key))

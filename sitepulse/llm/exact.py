@@ -58,8 +58,10 @@ class DigestIndex:
         ``group_size`` counts the rows of this batch that have the text.
         """
         rows = stored(docs.select("doc_id", text_digest().alias("digest")), "digests")
-        groups = rows.groupBy("digest").agg(F.min("doc_id").alias("keep_id"),
-                                            F.count(F.lit(1)).alias("group_size"))
+        # Stored, or the optimizer would join the single rows of a hot text before they are grouped.
+        groups = stored(rows.groupBy("digest").agg(F.min("doc_id").alias("keep_id"),
+                                                   F.count(F.lit(1)).alias("group_size")),
+                        "digest-groups")
         self.append(groups)
         owned = groups.drop("keep_id").join(self.rows().hint("merge"), "digest")
         found = look_up(rows, owned, "digest", "group_size", rows.count())
