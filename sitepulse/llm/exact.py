@@ -71,11 +71,13 @@ class DigestIndex:
 
     def dedup(self, docs: DataFrame) -> DataFrame:
         """The documents of a batch that stay, with all their columns."""
-        kept = self.assign(docs).where("kept").select("doc_id", "text_sha256").distinct()
-        marked = docs.select(F.struct(*docs.columns).alias("row"), docs["doc_id"].alias("id"),
+        # One key without nulls for the join and for repeated rows, so the texts move once.
+        name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+        kept = self.assign(docs).where("kept").select(
+            name.alias("id"), F.col("text_sha256").alias("digest")).distinct()
+        marked = docs.select(F.struct(*docs.columns).alias("row"), name.alias("id"),
                              text_digest().alias("digest"))
-        stays = marked.join(kept, marked["id"].eqNullSafe(kept["doc_id"])
-                            & (marked["digest"] == kept["text_sha256"]), "left_semi")
+        stays = marked.join(kept, ["id", "digest"], "left_semi")
         return stays.dropDuplicates(["id", "digest"]).select("row.*")
 
 
