@@ -10,7 +10,6 @@ from sitepulse.bindings import with_views
 from sitepulse.catalog.jobs import _COUNTS, _OPEN, _RATED, _rated, open_due
 from sitepulse.catalog.registry import query
 from sitepulse.plans import dashboard, sla
-from sitepulse.session import reuse
 
 ASOF_SQL = f"timestamp '{b.ASOF}'"
 HOURS = 30 * 24
@@ -67,16 +66,43 @@ def _(spark, sf):
     return _counts(spark, sf, ["BUILDING", "FURNITURE"])
 
 
-@query("dashboard_document", with_views(_VIEWS, f"""
-    select cast("motion_all" as varchar) as motion_total, cast("door_>8" as varchar)
-      as door_over_8, cast("violated_Yesterday" as varchar) as violated_yesterday,
-      '{dashboard.NEAR_TITLE}' as title from ({_cells()})""", *_STEPS))
+# Box -> (title, source table, subtitle, total, sub-totals) of the JSON document.
+_BOXES = {
+    "box1": (dashboard.MOTION_TITLE, dashboard.MOTION_TABLE, dashboard.OPENS_SUBTITLE, "motion_all",
+             [f"motion_{n}" for n in (">12", ">8", ">4", "DoorOff", "DoorOpened")]),
+    "box2": (dashboard.DOOR_TITLE, dashboard.DOOR_TABLE, dashboard.OPENS_SUBTITLE, "door_all",
+             [f"door_{n}" for n in (">12", ">8", ">4")]),
+    "box3": (dashboard.NEAR_TITLE, dashboard.NEAR_TABLE, dashboard.NEAR_SUBTITLE, "near_all",
+             [f"near_{n}" for n in ("SOSAck", "SOSClose", "CriticalAck", "CriticalClose")]),
+    "box4": (dashboard.VIOLATED_TITLE, dashboard.VIOLATED_TABLE, dashboard.VIOLATED_SUBTITLE,
+             "violated_All", [f"violated_{n}" for n in ("Yesterday", "Last7Days", "Last30Days")]),
+}
+
+
+def _boxes_sql() -> str:
+    rows = []
+    for box, (title, source, subtitle, total, parts) in _BOXES.items():
+        texts = {"title": f"'{title}'", "tablename": f"'{source}'", "subtitle": f"'{subtitle}'",
+                 "total": f'cast("{total}" as varchar)',
+                 **{"sub-total " + p.split("_", 1)[1]: f'cast("{p}" as varchar)' for p in parts}}
+        rows += [f"select '{box}' as box, '{key}' as key, {value} as value from cells"
+                 for key, value in texts.items()]
+    return f"with cells as ({_cells()}) " + " union all ".join(rows)
+
+
+@query("dashboard_document", with_views(_VIEWS, f"select * from ({_boxes_sql()})", *_STEPS))
 def _(spark, sf):
-    """Four spots of the JSON document."""
-    at = {"motion_total": "$.box1.total", "door_over_8": "$.box2['sub-total']['>8']",
-          "violated_yesterday": "$.box4['sub-total'].Yesterday", "title": "$.box3.title"}
-    return dashboard.dashboard_document(_counts(spark, sf)).select(
-        *[F.get_json_object("document", path).alias(name) for name, path in at.items()])
+    """Every value of the JSON document, one row each."""
+    spots = []
+    for box, (_, _, _, _, parts) in _BOXES.items():
+        paths = {key: f"$.{box}.{key}" for key in ("title", "tablename", "subtitle", "total")}
+        paths |= {"sub-total " + n: f"$.{box}['sub-total']['{n}']"
+                  for n in (p.split("_", 1)[1] for p in parts)}
+        spots += [F.struct(F.lit(box).alias("box"), F.lit(key).alias("key"),
+                           F.get_json_object("document", path).alias("value"))
+                  for key, path in paths.items()]
+    document = dashboard.dashboard_document(_counts(spark, sf))
+    return document.select(F.inline(F.array(*spots)))
 
 
 def _door_records(tile: str) -> str:
@@ -120,7 +146,7 @@ _SUMS = ", ".join(f"cast(sum({m}) as bigint) as {m}" for m in dashboard.VIOLATIO
     f"from daily where {t} group by bank" for n, t in _RANGES.items()), *_RATED, _DAILY))
 def _(spark, sf):
     # Stands for the stored daily table; each tile is a query of its own.
-    daily = reuse(sla.bank_violations(_rated(spark, sf), b.sites(spark, sf)))
+    daily = sla.bank_violations(_rated(spark, sf), b.sites(spark, sf))
     parts = [dashboard.violation_records(daily, b.ASOF, tile).select(
         F.lit(tile).alias("tile"), "*") for tile in _RANGES]
     out = parts[0]

@@ -10,11 +10,10 @@ from sitepulse.bindings import with_views
 from sitepulse.catalog.registry import minutes, query
 from sitepulse.functions import recode
 from sitepulse.functions.time import SLOT_NAMES
-from sitepulse.operators import top_rows, union_all
+from sitepulse.operators import union_all
 from sitepulse.plans import (
     availability, footage, outages, penalties, recordings, repeats, sla, slots, tickets,
 )
-from sitepulse.session import reuse
 
 ASOF_SQL = f"timestamp '{b.ASOF}'"
 DAYS_SQL = f"generate_series(date '{b.FIRST_DAY}', date '{b.LAST_DAY}', interval 1 day)"
@@ -104,9 +103,9 @@ _OPEN = (("open_acks", "select event_id, min(updated_on) as ack from remarks whe
                   "as required_action from due where to_ack or to_close"))
 
 
-def open_due(spark: SparkSession, sf: str) -> DataFrame:
-    return sla.open_tickets(b.tickets(spark, sf).drop("ack_on"), b.remarks(spark, sf),
-                            b.sites(spark, sf), b.ASOF, WIDE_LIMITS, days=31,
+def open_due(spark: SparkSession, sf: str, *, acks: bool = False) -> DataFrame:
+    return sla.open_tickets(b.tickets(spark, sf).drop("ack_on"),
+                            b.remarks(spark, sf) if acks else None, b.sites(spark, sf), b.ASOF, WIDE_LIMITS, days=31,
                             excluded=["nothing"])
 
 
@@ -126,7 +125,7 @@ def _(spark, sf):
       count(*) filter (to_ack) as near_ack, count(*) filter (to_close) as near_close
       from due group by all) using (bank, event_type)""", *_OPEN))
 def _(spark, sf):
-    return sla.class_summary(open_due(spark, sf), b.sites(spark, sf))
+    return sla.class_summary(open_due(spark, sf, acks=True), b.sites(spark, sf))
 
 
 # ---- penalties -------------------------------------------------------------------------------
@@ -161,7 +160,9 @@ def _(spark, sf):
 
 
 FEEDS = {"mcu": "1-URGENT", "equipment": "2-HIGH", "footage": "3-MEDIUM",
-         "pm": "4-NOT SPECIFIED"}
+         "pm_q2": "4-NOT SPECIFIED", "pm_q3": "5-LOW"}
+# Months that the consolidated report leaves out.
+LEFT_OUT = (8, 9)
 
 
 def _fed(spark: SparkSession, sf: str) -> DataFrame:
@@ -175,26 +176,27 @@ def _fed(spark: SparkSession, sf: str) -> DataFrame:
       'July' else cast(month as varchar) end as month, """ + ", ".join(
     f"round(coalesce(sum(amount) filter (item = '{i}'), 0), 2) as {n}"
     for n, i in FEEDS.items()) + """, round(sum(amount), 2) as total
-    from penalties where month not in (8, 9) and item <> '5-LOW' group by site, penalties.month
+    from penalties where month not in (8, 9) group by site, penalties.month
     """))
 def _(spark, sf):
-    out = penalties.month_names(penalties.consolidate_rows(_fed(spark, sf), list(FEEDS)))
+    out = penalties.month_names(penalties.consolidate_rows(_fed(spark, sf), list(FEEDS),
+                                                           drop_months=LEFT_OUT))
     return out.withColumns({c: F.round(c, 2) for c in [*FEEDS, "total"]})
 
 
 @query("penalty_ranking", with_views("penalties", """
-    select site, month, sum(amount) as total from penalties where month not in (8, 9)
-      and item <> '5-LOW' group by site, month order by total desc, site, month limit 200"""))
+    select site, month, round(sum(amount), 2) as total from penalties
+      where month not in (8, 9) group by site, month"""))
 def _(spark, sf):
-    total = penalties.consolidate_rows(_fed(spark, sf), list(FEEDS))
-    return top_rows(total.select("site", "month", "total"),
-                    [F.desc("total"), F.asc("site"), F.asc("month")], 200)
+    total = penalties.consolidate_rows(_fed(spark, sf), list(FEEDS), drop_months=LEFT_OUT)
+    return total.select("site", "month", F.round("total", 2).alias("total")).orderBy(
+        F.desc("total"), "site", "month")
 
 
 @query("penalty_matrix", with_views("penalties", """
     select site, month, """ + ", ".join(
     f"round(coalesce(sum(amount) filter (item = '{i}'), 0), 2) as {n}"
-    for n, i in FEEDS.items()) + """, round(coalesce(sum(amount) filter (item <> '5-LOW'), 0), 2)
+    for n, i in FEEDS.items()) + """, round(coalesce(sum(amount), 0), 2)
       as total from penalties group by site, month"""))
 def _(spark, sf):
     out = penalties.item_matrix(b.penalties(spark, sf), {i: n for n, i in FEEDS.items()})
@@ -203,14 +205,14 @@ def _(spark, sf):
 
 _BANDS = [("<100", 99), ("100-200", 199), ("200-500", 499), ("500-1000", 999),
           ("1000-2000", 1999), ("2000-3000", 2999), ("3000-5000", 4999), ("5000-10000", 9999),
-          ("10000-20000", 19999), (">20000", 24999)]
+          ("10000-20000", 19999), (">20000", float("inf"))]
 
 
 @query("penalty_trend", with_views("penalties", f"""
     select site, round("Apr", 2) as "Apr", round("May", 2) as "May", round("June", 2) as "June",
       round("July", 2) as "July", round(total, 2) as total, round(mean, 2) as mean, std, cv,
       slope, case when mean <= 0 then null {' '.join(
-          f"when mean <= {top} then '{label}'" for label, top in _BANDS)} end as bucket,
+          f"when mean <= '{top}'::double then '{label}'" for label, top in _BANDS)} end as bucket,
       case when cv <= -1 then null when cv <= 0.05 then 'Very Regular' when cv <= 0.5 then
         'Regular' when cv <= 1 then 'Tolerant' when cv <= 1.5 then 'Irregular' when cv <= 2 then
         'Very Irregular' end as regularity,
@@ -340,15 +342,17 @@ _PIECE = minutes("greatest(a, day)", "least(z, day + interval 1 day)")
                 least(coalesce(closed_on, {ASOF_SQL}), {ASOF_SQL}) as z from live)"""),
     ("offline", f"select site_id, cast(day as date) as date, round(sum(round({_PIECE} * 100.0 "
                 "/ 1440, 2)), 2) as offline_pct from pieces group by all"),
-    ("firsts", "select box_id, camera_id, cast(at_time as date) as date, file_count + "
-               "coalesce(remote_file_count, 0) as files from recordings qualify row_number() "
-               "over (partition by box_id, camera_id, cast(at_time as date) "
-               "order by at_time, file_count, remote_file_count) = 1"),
-    ("shares", f"""select box_id, date, camera, least(greatest(round(coalesce(sum(files), 0)
-        * 100.0 / 1000, 2), 0), 100) as share from (select box_id, camera_id,
-          replace(camera_name, ' ', '') as camera, cast(unnest({DAYS_SQL}) as date) as date
-          from cameras where active) left join firsts using (box_id, camera_id, date)
-        group by all"""),
+    ("named", "select distinct box_id, camera_id, replace(camera_name, ' ', '') as camera "
+              "from cameras where active"),
+    ("firsts", "select box_id, camera, cast(at_time as date) as date, coalesce(file_count, 0) + "
+               "coalesce(remote_file_count, 0) as files from recordings join named "
+               "using (box_id, camera_id) qualify row_number() over (partition by box_id, camera, "
+               "cast(at_time as date) order by at_time, file_count, remote_file_count, "
+               "camera_id) = 1"),
+    ("shares", f"""select box_id, date, camera, least(greatest(round(coalesce(files, 0)
+        * 100.0 / 1000, 2), 0), 100) as share from (select distinct box_id, camera,
+          cast(unnest({DAYS_SQL}) as date) as date from named)
+        left join firsts using (box_id, camera, date)"""),
     ("wide", "select box_id, date, " + ", ".join(
         f"max(share) filter (camera = '{c}') as {n}" for c, n in _VIDEO_COLUMNS.items())
      + f", {b.half_up('sum(cast(share as decimal(9, 2))) / count(*)', 2)} as video_pct, max(share) - min(share) as spread, "
@@ -418,7 +422,7 @@ def _(spark, sf):
 _REPORT_DATES = {f"2024-01-{d:02d}": f"d{d:02d}" for d in range(1, 31)}
 
 
-for _sheet in ("lobby", "pinhole"):
+for _sheet in ("lobby", "outdoor", "backroom", "pinhole"):
     def _vod_sheet(spark, sf, sheet=_sheet):
         return recordings.vod_matrix(_vod(spark, sf), sheet, _REPORT_DATES)
 
@@ -567,20 +571,18 @@ def _night_check(least: tuple[int, int, int], where: str) -> str:
           where ho in ('16', '17', '18', '19', '20', '21', '22', '23', '24', '01')
             and hn in ('06', '07', '08', '09', '10') group by site_id
           having c3 >= {least[0]} and c7 >= {least[1]} and c15 >= {least[2]})
-        join sites using (site_id) where {where} and site_id not in (
-          select site_id from base group by site_id
-          having count(*) filter (at_time >= timestamp '2024-01-28') >= 5
-            and count(*) filter (at_time >= timestamp '2024-01-24') >= 10 and count(*) >= 20)
-        """, _PATTERNS[0])
+        join sites using (site_id) where {where}
+          and site_id not in (select site_id from found)
+          and site_id not in (select site_id from busy)""", *_PATTERNS)
 
 
 def _night(spark: SparkSession, sf: str, least: tuple[int, int, int], **options) -> DataFrame:
     """Sample outages are short, so the end is moved by nine hours to reach the morning."""
     base = _outage_base(spark, sf)
-    busy = outages.all_patterns(base, b.ASOF).filter("remark = 'TotalTickets'")
+    shown = outages.all_patterns(base, b.ASOF, LOW)
     moved = base.withColumn("closed_on", F.col("closed_on") + F.make_dt_interval(
         F.lit(0), F.lit(9)))
-    return outages.business_hour_outages(moved, busy, b.sites(spark, sf), b.ASOF, least, **options)
+    return outages.business_hour_outages(moved, shown, b.sites(spark, sf), b.ASOF, least, **options)
 
 
 @query("business_hour_outages", _night_check(LOW.night, "on_site = 1"))
@@ -620,7 +622,7 @@ def _(spark, sf):
 
 def _open_faults(spark: SparkSession, sf: str) -> DataFrame:
     """Stands for the stored table of open tickets."""
-    return reuse(b.fault_tickets(spark, sf).filter("closed_on is null"))
+    return b.fault_tickets(spark, sf).filter("closed_on is null")
 
 
 _DISK = (("open", "select * from fault_tickets where closed_on is null"),
@@ -628,7 +630,8 @@ _DISK = (("open", "select * from fault_tickets where closed_on is null"),
                     "order by at_time desc, error desc) = 1"),
          ("ok", "select box_id from latest where hdd = '1'"),
          ("remote", "select box_id, max(at_time) as seen from recorder_signals "
-                    "where event_code = 'REMOTERECORD' group by box_id"),
+                    "where event_code = 'REMOTERECORD' and box_id in (select box_id from open) "
+                    "group by box_id"),
          ("older", "select ticket_id, box_id from open qualify row_number() over (partition by "
                    "box_id order by opened_on desc, ticket_id desc) > 1"),
          ("closing", "select ticket_id, box_id from open where box_id in (select box_id from ok) "

@@ -282,6 +282,22 @@ def _(spark, sf):
     return op.natural_join(df, counts)
 
 
+@query("natural_join_outer", with_views("tickets", """
+    select coalesce(o.site_id, t.site_id) as site_id, coalesce(o.closing_reason, t.closing_reason)
+      as closing_reason, o.n as opened, t.n as noted
+    from (select site_id, closing_reason, count(*) as n from tickets where event_code = '20'
+          group by all) o
+    full join (select site_id, closing_reason, count(*) as n from tickets where unit_no = '36'
+               group by all) t
+      on o.site_id = t.site_id and o.closing_reason is not distinct from t.closing_reason"""))
+def _(spark, sf):
+    tickets = b.tickets(spark, sf)
+    opened, noted = (tickets.filter(test).groupBy("site_id", "closing_reason").agg(
+        F.count("*").alias(name)) for test, name in (("event_code = '20'", "opened"),
+                                                     ("unit_no = '36'", "noted")))
+    return op.natural_join(opened, noted, "outer")
+
+
 @query("densify", with_views("sites tickets", """
     select site_id, bank, coalesce(n, 0) as n from sites left join (
       select site_id, count(*) as n from tickets group by site_id) using (site_id)"""))
@@ -525,12 +541,15 @@ def _(spark, sf):
 @query("column_profile", with_views("", """
     select 'o_totalprice' as "column", count(*) as rows, count(*) - count(o_totalprice) as nulls,
       round(avg(o_totalprice), 2) as mean, round(stddev(o_totalprice), 2) as std,
-      min(o_totalprice) as smallest, max(o_totalprice) as largest from orders
+      min(o_totalprice) as smallest, max(o_totalprice) as largest,
+      round(quantile_cont(o_totalprice, 0.25), 2) as q25,
+      round(quantile_cont(o_totalprice, 0.5), 2) as median,
+      round(quantile_cont(o_totalprice, 0.75), 2) as q75 from orders
     union all select 'o_orderstatus', count(*), count(*) - count(o_orderstatus), null, null,
-      null, null from orders"""))
+      null, null, null, null, null from orders"""))
 def _(spark, sf):
     out = op.column_profile(b.table(spark, sf, "orders"), ["o_totalprice"], ["o_orderstatus"])
-    return out.withColumns({c: F.round(c, 2) for c in ("mean", "std")})
+    return out.withColumns({c: F.round(c, 2) for c in ("mean", "std", "q25", "median", "q75")})
 
 
 @query("slope", """
@@ -840,6 +859,16 @@ def _(spark, sf):
             F.lit(name).alias("sheet"), "site", "item") for name, df in raw.items()])
 
 
+@query("csv_table", "select c_custkey, c_name, c_mktsegment from customer")
+def _(spark, sf):
+    """A table written as CSV with a header and read back."""
+    path = _folder(spark)
+    src.write_csv(b.table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment"),
+                  path)
+    return src.read_sheets(spark, {"t": path}, {
+        "t": "c_custkey long, c_name string, c_mktsegment string"})["t"]
+
+
 @query("ticket_changes", with_views("fault_tickets", f"""
     , open as (select * from fault_tickets where closed_on is null),
     newest as (select box_id, max(opened_on) as last_on from open group by box_id)

@@ -71,14 +71,15 @@ def _(spark, sf):
 
 
 @query("stream_acknowledged", with_views("tickets", """
-    select event_id, opened_on, ack_on from tickets where ack_on is not null"""))
+    select event_id, opened_on, ack_on from tickets where ack_on is not null
+      or opened_on + interval 1 hour < (select least(max(opened_on), max(ack_on)) from tickets)
+        - interval 30 minute"""))
 def _(spark, sf):
-    """The pairs; tickets without acknowledgement follow as the watermark moves on."""
+    """Pairs, and tickets whose hour for an acknowledgement had passed when the input ended."""
     opened = _events(spark, sf).select("event_id", F.col("ts").alias("opened_on"))
     acks = _events(spark, sf).filter("k < 75").select("event_id", (F.col("ts") + F.make_dt_interval(
         F.lit(0), F.lit(0), F.floor(F.col("k") / 5).cast("int"))).alias("ack_on"))
-    out = _drained(spark, st.acknowledged_tickets(opened, acks))
-    return out.filter("ack_on is not null")
+    return _drained(spark, st.acknowledged_tickets(opened, acks))
 
 
 _SESSIONS = """
@@ -118,7 +119,7 @@ def _(spark, sf):
                                                 F.floor("value").cast("int")))
         .alias("closed_on")))
     handler = st.near_violation_feed(
-        spark, f"{folder}/tickets", f"{folder}/feed", b.remarks(spark, sf), b.sites(spark, sf),
+        spark, f"{folder}/tickets", f"{folder}/feed", lambda: b.sites(spark, sf),
         lambda: b.ASOF, limits=WIDE_LIMITS, days=31, excluded=["nothing"])
     st.run_batches(stream, folder, handler)
     return current_version(spark, f"{folder}/feed")
@@ -153,8 +154,9 @@ def _(spark, sf):
         F.when(F.col("event_type") == "error", "0").otherwise("1").alias("hdd"),
         F.when(k < 40, "ENOENT").when(k < 80, "ENODR").otherwise("EIO").alias("error"),
         F.col("ts").alias("at_time")))
-    handler = st.fault_lifecycle(spark, f"{folder}/open", f"{folder}/archive", b.sites(spark, sf),
-                                 b.recorder_signals(spark, sf), lambda: b.ASOF)
+    handler = st.fault_lifecycle(
+        spark, f"{folder}/open", f"{folder}/archive", lambda: b.sites(spark, sf),
+        lambda: b.recorder_signals(spark, sf), lambda: b.ASOF, minutes=31 * 1440)
     st.run_batches(status, folder, handler)
     columns = ["box_id", "error", "opened_on", "closed_on"]
     archive = spark.read.parquet(f"{folder}/archive").select(*columns)

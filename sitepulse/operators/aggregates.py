@@ -8,6 +8,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sitepulse.operators.ranking import quantiles
+
 
 def crosstab_counts(df: DataFrame, rows: Sequence[str], column: str,
                     values: Mapping[Any, str] | Sequence[Any]) -> DataFrame:
@@ -119,7 +121,7 @@ def slope(df: DataFrame, keys: Sequence[str], y: str, x: str, name: str = "slope
 
 
 def column_profile(df: DataFrame, numeric: Sequence[str], nullable: Sequence[str]) -> DataFrame:
-    """One row per column: rows, nulls, mean, sample deviation, smallest and largest."""
+    """One row per column: rows, nulls, mean, sample deviation, smallest, quartiles, largest."""
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for name in dict.fromkeys([*numeric, *nullable]):
         aggs.append(F.count_if(F.col(name).isNull()).alias(f"_null_{name}"))
@@ -137,4 +139,8 @@ def column_profile(df: DataFrame, numeric: Sequence[str], nullable: Sequence[str
             F.lit(name).alias("column"), F.col("_rows").alias("rows"),
             F.col(f"_null_{name}").alias("nulls"), stats[0].alias("mean"),
             stats[1].alias("std"), stats[2].alias("smallest"), stats[3].alias("largest")))
-    return flat.select(F.inline(F.array(*lines)))
+    profile = flat.select(F.inline(F.array(*lines)))
+    shares = {"q25": 0.25, "median": 0.5, "q75": 0.75}
+    if not numeric:
+        return profile.withColumns({name: nothing for name in shares})
+    return profile.join(quantiles(df, list(numeric), shares), "column", "left")

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -60,12 +61,21 @@ def without_matches(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def natural_join(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
-    """Join on all common columns, NULL matching NULL; ``right`` is unique on them."""
-    if how not in ("inner", "left"):
-        raise ValueError("natural_join supports inner and left")
+    """Join on all common columns, NULL matching NULL; ``how``: inner, left or outer.
+
+    Several right rows of a key pair with each left row. An outer join adds the right rows that
+    no left row has, with NULL in the left columns.
+    """
+    if how not in ("inner", "left", "outer"):
+        raise ValueError("natural_join supports inner, left and outer")
     shared = [c for c in left.columns if c in right.columns]
-    joined = null_safe_left(left, right.withColumn("_hit", F.lit(1)), shared)
-    return (joined.filter("_hit = 1") if how == "inner" else joined).drop("_hit")
+    other = right.select(*[F.col(c).alias(f"_r_{c}") if c in shared else F.col(c)
+                           for c in right.columns], F.lit(True).alias("_right"))
+    marked = left.withColumn("_left", F.lit(True))
+    on = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in shared])
+    joined = marked.join(other, on, "full" if how == "outer" else how)
+    keys = {c: F.when(F.col("_left"), F.col(c)).otherwise(F.col(f"_r_{c}")) for c in shared}
+    return joined.withColumns(keys).drop("_left", "_right", *[f"_r_{c}" for c in shared])
 
 
 def active_sites(sites: DataFrame, customers: DataFrame | None = None, *,

@@ -39,12 +39,18 @@ def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = Non
     return df.dropDuplicates(list(keys)) if order is None else first_per_key(df, keys, order)
 
 
-def last_non_null(df: DataFrame, keys: Sequence[str], order: str,
-                  columns: Sequence[str]) -> DataFrame:
-    """Per key and column the last value that is not NULL."""
+def last_non_null(df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str], *,
+                  tie: str | None = None) -> DataFrame:
+    """Per key and column the last value that is not NULL.
+
+    Rows with equal ``order`` are told apart by ``tie``, and then by the value itself, so the
+    result does not depend on the order of the input.
+    """
+    place = [order] if tie is None else [order, tie]
     return df.groupBy(*keys).agg(*[
-        F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in columns
-    ])
+        F.max_by(F.col(c), F.when(F.col(c).isNotNull() & F.col(order).isNotNull(),
+                                  F.struct(*place, c))).alias(c)
+        for c in columns])
 
 
 def latest_values(df: DataFrame, keys: Sequence[str], order: str,

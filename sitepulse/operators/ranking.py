@@ -11,25 +11,40 @@ from pyspark.sql import functions as F
 from sitepulse.functions.labels import cut
 from sitepulse.operators.joins import null_safe_left
 
-# Ranges per doubling of the value. A double spans fewer than 2,100 doublings on either side of
-# zero, so a column has at most 2 * 2,100 * 256 (1.1 million) ranges, whatever the row count.
-_RANGES_PER_DOUBLING = 256
+# Value ranges per column, bounded by quantiles of the column's distinct values.
+RANGES = 1024
+_STEPS = [1 << i for i in reversed(range(RANGES.bit_length() - 1))]
 
 
-def _value_range(value: Column) -> Column:
-    """A number that never decreases as ``value`` grows and is equal for neighbouring values."""
-    size = F.floor(F.log2(F.abs(value)) * _RANGES_PER_DOUBLING) + 600_000
-    return F.when(value == 0, F.lit(0)).otherwise(F.signum(value).cast("long") * size)
-
-
-def _scores(df: DataFrame, values: Sequence[str]) -> DataFrame:
-    """Average rank divided by count, per column position ``_c`` and distinct value ``_v``."""
+def _cells(df: DataFrame, values: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """One row per value that is not NULL: keys, column position ``_c``, value ``_v``."""
     cells = F.explode(F.array(*[
         F.struct(F.lit(pos).alias("_c"), F.col(name).cast("double").alias("_v"))
         for pos, name in enumerate(values)]))
-    counts = (df.select(cells.alias("cell")).select("cell.*").filter("_v is not null")
-              .groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
-              .withColumn("_range", _value_range(F.col("_v"))))
+    return (df.select(*keys, cells.alias("_cell")).select(*keys, "_cell._c", "_cell._v")
+            .filter("_v is not null"))
+
+
+def _value_range(value: Column, bounds: Column) -> Column:
+    """How many of the ascending ``bounds`` lie below ``value`` (binary search)."""
+    return F.aggregate(F.array(*[F.lit(s) for s in _STEPS]), F.lit(0), lambda at, step: F.when(
+        F.get(bounds, at + step - 1) < value, at + step).otherwise(at))
+
+
+def _placed(cells: DataFrame) -> DataFrame:
+    """Per column position ``_c`` and distinct value ``_v``: rows ``_n`` with the value, rows
+    before it ``_start``, and rows of the column ``_total``.
+
+    The range bounds and the range totals hold at most ``RANGES`` numbers per value column, so
+    both are broadcast. NaN comes after infinity.
+    """
+    counts = cells.groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    shares = F.array(*[F.lit(i / RANGES) for i in range(1, RANGES)])
+    finite = F.when(F.abs("_v") < float("inf"), F.col("_v"))
+    bounds = counts.groupBy("_c").agg(
+        F.percentile_approx(finite, shares, F.lit(4 * RANGES)).alias("_bounds"))
+    counts = counts.join(F.broadcast(bounds), "_c").select("_c", "_v", "_n", F.coalesce(
+        _value_range(F.col("_v"), F.col("_bounds")), F.lit(0)).alias("_range"))
     column = Window.partitionBy("_c")
     before = column.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     totals = (counts.groupBy("_c", "_range").agg(F.sum("_n").alias("_rn"))
@@ -38,23 +53,56 @@ def _scores(df: DataFrame, values: Sequence[str]) -> DataFrame:
                       F.sum("_rn").over(column).alias("_total")))
     inside = (Window.partitionBy("_c", "_range").orderBy("_v")
               .rowsBetween(Window.unboundedPreceding, -1))
-    rank = (F.col("_before") + F.coalesce(F.sum("_n").over(inside), F.lit(0))
-            + (F.col("_n") + 1) / 2.0)
-    return counts.join(totals, ["_c", "_range"]).select(
-        "_c", "_v", (rank / F.col("_total")).alias("_score"))
+    start = F.col("_before") + F.coalesce(F.sum("_n").over(inside), F.lit(0))
+    return counts.join(F.broadcast(totals), ["_c", "_range"]).select(
+        "_c", "_v", "_n", start.alias("_start"), "_total")
+
+
+def _scores(cells: DataFrame) -> DataFrame:
+    """Average rank divided by count, per column position ``_c`` and distinct value ``_v``."""
+    rank = F.col("_start") + (F.col("_n") + 1) / 2.0
+    return _placed(cells).select("_c", "_v", (rank / F.col("_total")).alias("_score"))
+
+
+def quantiles(df: DataFrame, columns: Sequence[str], shares: Mapping[str, float]) -> DataFrame:
+    """One row per column with exact quantiles, interpolated between neighbouring values."""
+    asked = F.explode(F.array(*[F.struct(F.lit(n).alias("_q"), F.lit(s).alias("_share"))
+                                for n, s in shares.items()])).alias("_ask")
+    rows = _placed(_cells(df, columns)).select("*", asked).select("*", "_ask._q", "_ask._share")
+    place = F.col("_share") * (F.col("_total") - 1)
+    end = F.col("_start") + F.col("_n")
+
+    def at(index: Column) -> Column:
+        return F.max(F.when((F.col("_start") <= index) & (index < end), F.col("_v")))
+
+    found = rows.groupBy("_c", "_q").agg(at(F.floor(place)).alias("_low"),
+                                         at(F.ceil(place)).alias("_high"),
+                                         F.max(place - F.floor(place)).alias("_part"))
+    value = F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_part")
+    name = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("_c") + 1)
+    return found.groupBy("_c").agg(*[F.max(F.when(F.col("_q") == n, value)).alias(n)
+                                     for n in shares]).select(name.alias("column"), *shares)
 
 
-def pct_ranks(df: DataFrame, names: Mapping[str, str], digits: int | None = 2) -> DataFrame:
+def pct_ranks(df: DataFrame, names: Mapping[str, str], digits: int | None = 2,
+              key: str | None = None) -> DataFrame:
     """Rank divided by the number of ranked rows, for each value column -> new column.
 
-    Equal values share their average rank; NULL gets NULL and does not count. Rows collapse to
-    one per distinct value first. The running count is then taken inside value ranges, and only
-    the range totals (a bounded table) go through one ordered pass per column.
+    Equal values share their average rank; NULL gets NULL and does not count; NaN ranks above
+    infinity. Rows collapse to one per distinct value first. The running count is then taken
+    inside value ranges whose bounds are quantiles, so clustered values are spread as well, and
+    only the range totals go through one ordered pass per column. With a unique ``key`` column
+    all scores come back in one join.
     """
-    scores = _scores(df, list(names))
+    scores = _scores(_cells(df, list(names)))
+    score = F.col("_score") if digits is None else F.round("_score", digits)
+    if key is not None:
+        found = _cells(df, list(names), [key]).join(scores, ["_c", "_v"]).groupBy(key).agg(*[
+            F.max(F.when(F.col("_c") == pos, score)).alias(name)
+            for pos, name in enumerate(names.values())])
+        return df.join(found, key, "left")
     out = df
     for pos, (value, name) in enumerate(names.items()):
-        score = F.col("_score") if digits is None else F.round("_score", digits)
         ranked = scores.filter(F.col("_c") == pos).select("_v", score.alias(name))
         out = null_safe_left(out.withColumn("_v", F.col(value).cast("double")), ranked,
                              ["_v"]).drop("_v")
@@ -67,9 +115,9 @@ def pct_rank(df: DataFrame, value: str, name: str, digits: int | None = 2) -> Da
 
 
 def bucket_by_rank(df: DataFrame, bands: Mapping[str, tuple[str, Sequence[Any]]],
-                   edges: Sequence[float]) -> DataFrame:
+                   edges: Sequence[float], key: str | None = None) -> DataFrame:
     """Labels for right-closed bands of the rounded rank: value column -> (name, labels)."""
-    ranked = pct_ranks(df, {value: f"_rank_{value}" for value in bands})
+    ranked = pct_ranks(df, {value: f"_rank_{value}" for value in bands}, key=key)
     return ranked.withColumns({
         name: cut(F.col(f"_rank_{value}"), edges, labels)
         for value, (name, labels) in bands.items()

@@ -89,8 +89,8 @@ def video_availability(sites: DataFrame, cameras: DataFrame, recordings: DataFra
                        ) -> DataFrame:
     """Recorded share per camera, site and day, compared with the site's online share.
 
-    The earliest count of a camera and day is taken. ``camera_names`` maps camera names (without
-    blanks) to output columns.
+    The earliest count per camera name and day is taken, also where several camera ids have one
+    name. ``camera_names`` maps camera names (without blanks) to output columns.
     """
     first, last = F.lit(first_day).cast("date"), F.lit(last_day).cast("date")
     named = cameras.filter("active").select(
@@ -102,11 +102,14 @@ def video_availability(sites: DataFrame, cameras: DataFrame, recordings: DataFra
     stamped = recordings.withColumn("date", F.to_date("at_time")).filter(
         F.col("date").between(first, last))
     order = ["at_time", "file_count", "remote_file_count"]
-    counted = (first_per_key(stamped, ["box_id", "camera_id", "date"], order)
-               .join(named, ["box_id", "camera_id"]))
+    # One row per camera id goes into the join, one per name is left after it.
+    counted = first_per_key(
+        first_per_key(stamped, ["box_id", "camera_id", "date"], order)
+        .join(named.distinct(), ["box_id", "camera_id"]),
+        ["box_id", "camera", "date"], [*order, "camera_id"])
     files = F.coalesce("file_count", F.lit(0)) + F.coalesce("remote_file_count", F.lit(0))
     recorded = counted.groupBy("box_id", "date").agg(*[
-        F.sum(F.when(F.col("camera") == name, files)).alias(column)
+        F.max(F.when(F.col("camera") == name, files)).alias(column)
         for name, column in camera_names.items()])
 
     # Days without any recording appear here, one row per box and day, not per camera.

@@ -14,11 +14,15 @@ from sitepulse.sources.writers import nested_document
 
 VIOLATIONS = ["sos_ack", "sos_close", "critical_ack", "critical_close"]
 
-# Tile labels.
+# Tile labels, and the source tables that the document names.
 MOTION_TITLE = "Movement in Lobby > 3 min and 1 critical sensor failure"
 DOOR_TITLE = "4 Main door ops in last 15 mins No PIR and 1 critical sensor failure"
 NEAR_TITLE = "Monitoring Events nearing SLA Violation"
 VIOLATED_TITLE = "SLA Violated on Monitoring"
+OPENS_SUBTITLE, NEAR_SUBTITLE = "Main Door Open Count", "SLA Category"
+VIOLATED_SUBTITLE = "SLA Violations"
+MOTION_TABLE, DOOR_TABLE = "pir_events", "do2do_events"
+NEAR_TABLE, VIOLATED_TABLE = "RealTimeSlaViolatedTicket", "SlaViolationBankwise"
 SITE_LINK = "Site Link"
 
 
@@ -92,13 +96,15 @@ def dashboard_document(counts: DataFrame) -> DataFrame:
         return {name: f"{prefix}_{name}" for name in names}
 
     return nested_document(counts, {
-        "box1": {"title": MOTION_TITLE, "table": "pir_events", "total": "motion_all",
+        "box1": {"title": MOTION_TITLE, "table": MOTION_TABLE, "subtitle": OPENS_SUBTITLE,
+                 "total": "motion_all",
                  "parts": parts("motion", ">12", ">8", ">4", "DoorOff", "DoorOpened")},
-        "box2": {"title": DOOR_TITLE, "table": "do2do_events", "total": "door_all",
-                 "parts": parts("door", ">12", ">8", ">4")},
-        "box3": {"title": NEAR_TITLE, "table": "RealTimeSlaViolatedTicket", "total": "near_all",
+        "box2": {"title": DOOR_TITLE, "table": DOOR_TABLE, "subtitle": OPENS_SUBTITLE,
+                 "total": "door_all", "parts": parts("door", ">12", ">8", ">4")},
+        "box3": {"title": NEAR_TITLE, "table": NEAR_TABLE, "subtitle": NEAR_SUBTITLE,
+                 "total": "near_all",
                  "parts": parts("near", "SOSAck", "SOSClose", "CriticalAck", "CriticalClose")},
-        "box4": {"title": VIOLATED_TITLE, "table": "SlaViolationBankwise",
+        "box4": {"title": VIOLATED_TITLE, "table": VIOLATED_TABLE, "subtitle": VIOLATED_SUBTITLE,
                  "total": "violated_All",
                  "parts": parts("violated", "Yesterday", "Last7Days", "Last30Days")},
     })

@@ -16,7 +16,8 @@ from sitepulse.sources.readers import month_slice
 
 # Months of the trend report and the bands of mean, regularity and trend.
 TREND_MONTHS = {4: "Apr", 5: "May", 6: "June", 7: "July"}
-MEAN_EDGES = [0, 99, 199, 499, 999, 1999, 2999, 4999, 9999, 19999, 24999]
+MEAN_EDGES = [0, 99, 199, 499, 999, 1999, 2999, 4999, 9999, 19999,
+              float("inf")]
 MEAN_BANDS = ["<100", "100-200", "200-500", "500-1000", "1000-2000", "2000-3000", "3000-5000",
               "5000-10000", "10000-20000", ">20000"]
 REGULARITY_EDGES = [-1, 0.05, 0.5, 1, 1.5, 2]
@@ -51,7 +52,7 @@ def penalty_tickets(tickets: DataFrame, remarks: DataFrame, sites: DataFrame,
 
 
 def consolidate_rows(stacked: DataFrame, feeds: Sequence[str], *,
-                     drop_months: Sequence[int] = (8, 9)) -> DataFrame:
+                     drop_months: Sequence[int] = ()) -> DataFrame:
     """Rows of (site, month, amount, feed) as one column per feed and a total."""
     summed = (stacked.filter(F.col("feed").isin(list(feeds))
                              & ~F.col("month").isin(list(drop_months)))
@@ -62,7 +63,7 @@ def consolidate_rows(stacked: DataFrame, feeds: Sequence[str], *,
 
 
 def consolidate(feeds: Mapping[str, DataFrame], *,
-                drop_months: Sequence[int] = (8, 9)) -> DataFrame:
+                drop_months: Sequence[int] = ()) -> DataFrame:
     """Feeds of (site, month, amount) side by side per site and month, with the total."""
     stacked = union_all([df.select("site", "month", F.col("amount").cast("double"),
                                    F.lit(name).alias("feed")) for name, df in feeds.items()])

@@ -6,10 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitepulse.functions import as_of, contains, cube_root, minutes_between
-from sitepulse.operators import (
-    bucket_by_rank, dedupe, densify, flag_members, latest_per_key,
-)
-from sitepulse.session import reuse
+from sitepulse.operators import bucket_by_rank
 from sitepulse.sources.readers import look_back
 
 # Codes of the back room and motion tickets, night hours and rank bands.
@@ -22,32 +19,34 @@ CLASSES = ["S1", "S2", "S3", "S4", "S5"]
 
 
 def site_features(sites: DataFrame, tickets: DataFrame, asof, *, days: int = 7) -> DataFrame:
-    """Four scores per site from the tickets of the last days."""
+    """Four scores per site from the tickets of the last days, which are read once per use."""
     recent = look_back(tickets, "at_time", asof, days=days).filter(F.col("at_time") <= as_of(asof))
     unit = F.col("unit_no") == UNIT
-    guarded = recent.filter(unit & (F.col("group_no") == BACKROOM_GROUP)
-                            & contains(F.col("closing_reason"), "security"))
-    closures = latest_per_key(
-        recent.filter("closed_by is not null and closed_on is not null")
-        .select("site_id", "at_time", "event_id", "closed_on"),
-        ["site_id"], ["at_time", "event_id"]).select(
-        "site_id", minutes_between("closed_on", as_of(asof)).alias("since_closure"))
-    motion = dedupe(recent.filter(unit & (F.col("group_no") == MOTION_GROUP)),
-                    ["site_id", "msg", "at_time"])
-    visits = motion.groupBy("site_id").agg(
-        F.count(F.lit(1)).alias("visits"),
-        F.count_if(F.hour("at_time").isin(NIGHT_HOURS)).alias("nights"))
-
-    base = flag_members(sites.select("bank", "site_name", "site_id"), guarded, ["site_id"],
-                        "security")
-    base = densify(base.join(closures, "site_id", "left"), visits, ["site_id"],
-                   ["visits", "nights"])
-    # One row per site, needed once per rank and once more for the result.
-    base = bucket_by_rank(reuse(base), {
+    guarded = unit & (F.col("group_no") == BACKROOM_GROUP) & contains(F.col("closing_reason"),
+                                                                       "security")
+    closure = F.when(F.col("closed_by").isNotNull() & F.col("closed_on").isNotNull(),
+                     F.struct("at_time", "event_id", "closed_on"))
+    # Tickets that repeat a message and time count as one visit.
+    single = recent.groupBy("site_id", "msg", "at_time").agg(
+        F.max(guarded).alias("guarded"), F.max(closure).alias("closure"),
+        F.max(unit & (F.col("group_no") == MOTION_GROUP)).alias("motion"))
+    night = F.col("motion") & F.hour("at_time").isin(NIGHT_HOURS)
+    seen = single.groupBy("site_id").agg(
+        F.max("guarded").alias("guarded"), F.max("closure").alias("closure"),
+        F.count_if("motion").alias("visits"), F.count_if(night).alias("nights"))
+    base = sites.select("bank", "site_name", "site_id").join(seen, "site_id", "left").select(
+        "bank", "site_name", "site_id",
+        F.coalesce(F.col("guarded"), F.lit(False)).cast("int").alias("security"),
+        minutes_between("closure.closed_on", as_of(asof)).alias("since_closure"),
+        F.coalesce("visits", F.lit(0)).alias("visits"),
+        F.coalesce("nights", F.lit(0)).alias("nights"))
+    listed = recent.filter(unit & (F.col("group_no") == MOTION_GROUP)).join(
+        sites.select("site_id"), "site_id", "left_semi")
+    any_visit = listed.agg(F.count(F.lit(1))).scalar() > 0
+    ranked = bucket_by_rank(base, {
         "since_closure": ("manual_closure", RECENCY_SCORES), "visits": ("footfall", VISIT_SCORES),
-        "nights": ("night_visit", VISIT_SCORES)}, EDGES)
-    any_visit = base.agg(F.sum("visits")).scalar() > 0
-    return base.select(
+        "nights": ("night_visit", VISIT_SCORES)}, EDGES, key="site_id")
+    return ranked.select(
         "bank", "site_name", "site_id", "security",
         F.coalesce("manual_closure", F.lit(1)).alias("manual_closure"),
         F.when(any_visit, F.col("footfall")).otherwise(0).alias("footfall"),
@@ -57,7 +56,7 @@ def site_features(sites: DataFrame, tickets: DataFrame, asof, *, days: int = 7)
 def site_priority(features: DataFrame) -> DataFrame:
     """Geometric mean of the three scores plus the guard flag, ranked into S1..S5.
 
-    ``features`` is read three times: pass a stored table or ``reuse(features)``.
+    ``features`` is read twice; on large tables pass a stored one.
     """
     score = F.round(cube_root(F.col("manual_closure"), F.col("footfall"), F.col("night_visit"))
                     + F.col("security"), 2)

@@ -16,9 +16,7 @@ HEARTBEAT_CODE = "20"
 TRIGGER_CODES = ["40", "48", "58", "59"]
 SENSOR_UNITS = ["08", "09", "10", "11", "65", "66", "67", "12", "13", "14", "15", "75", "76",
                 "77", "32", "33", "36", "56", "46", "47", "48", "49", "60", "61", "62"]
-# The first version of the report covers the first 18 units only.
-FIRST_UNITS = SENSOR_UNITS[:18]
-AGE_EDGES = [-100, 359, 719, 2159, 4319, 8759, 999999]
+AGE_EDGES = [float("-inf"), 359, 719, 2159, 4319, 8759, float("inf")]
 AGE_LABELS = ["<15days", "15-30days", "1-3months", "3-6months", "6-12months", ">1year"]
 NO_TRIGGER = "Sensor Installed but No Trigger"
 SCORES = {"<15days": 0, "15-30days": 2, "1-3months": 3, "3-6months": 4, "6-12months": 5,
@@ -93,8 +91,7 @@ def sensor_risk(matrix: DataFrame, columns: Sequence[str], video_daily: DataFram
 
 
 def sensor_priority(risk: DataFrame, edges: Sequence[float] = RANK_EDGES) -> DataFrame:
-    """P1 (most urgent fifth) to P5. ``risk`` is read three times: pass a stored table or
-    ``reuse(risk)``."""
+    """P1 (most urgent fifth) to P5. ``risk`` is read twice; on large tables pass a stored one."""
     return bucket_by_rank(risk, {"risk_score": ("priority", PRIORITIES)}, edges)
 
 

@@ -116,17 +116,24 @@ def bank_violations(rated: DataFrame, sites: DataFrame) -> DataFrame:
     return counted.groupBy("date", "bank").agg(*[F.sum(m).alias(m) for m in MEASURES])
 
 
-def open_tickets(tickets: DataFrame, remarks: DataFrame, sites: DataFrame, asof,
+def open_tickets(tickets: DataFrame, remarks: DataFrame | None, sites: DataFrame, asof,
                  limits: Limits = Limits(), *, days: int = 1,
                  excluded: Sequence[str] = OFFLINE_MESSAGES) -> DataFrame:
-    """Open service tickets with their age and the action that is due."""
+    """Open service tickets with their age and the action that is due.
+
+    Acknowledgements matter to ``class_summary`` only; without ``remarks`` they are left out.
+    """
     kept = look_back(tickets, "at_time", asof, days=days).filter(
         F.col("closed_on").isNull() & F.col("event_type").isin(CLASSES)
         & ~F.col("msg").isin(list(excluded)))
     single = dedupe(kept, ["site_id", "event_type", "at_time"], ["event_id"])
-    acks = (look_back(remarks, "updated_on", asof, days=days).groupBy("event_id")
-            .agg(F.min("updated_on").alias("ack_on")))
-    aged = (single.join(acks, "event_id", "left")
+    if remarks is None:
+        noted = single.withColumn("ack_on", F.lit(None).cast("timestamp_ntz"))
+    else:
+        acks = (look_back(remarks, "updated_on", asof, days=days).groupBy("event_id")
+                .agg(F.min("updated_on").alias("ack_on")))
+        noted = single.join(acks, "event_id", "left")
+    aged = (noted
             .join(sites.select("site_id", "site_name", "bank"), "site_id").withColumns({
                 "age_minutes": minutes_between_exact("opened_on", as_of(asof)),
                 "ack_minutes": minutes_between_exact("opened_on", "ack_on")}))

@@ -1,7 +1,7 @@
 """Fault tickets: what to open, close and touch, given the latest signals and the open tickets.
 
-Each job reduces the signals to one row per box or camera, stores that with ``reuse`` and derives
-all changes from it, so the signals are read once per run.
+Each job reduces the signals to one row per box or camera and derives all changes from that. The
+frames are lazy: who needs only one of the changes computes only that one.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ from sitepulse.operators import (
     anti, latest_per_key, null_safe_anti, null_safe_semi, overlapping, peer_latest, semi,
     superseded, union_all,
 )
-from sitepulse.session import reuse
 from sitepulse.sources.readers import look_back
 
 # Signal codes, disk states and lobby cameras.
@@ -56,7 +55,7 @@ def disk_tickets(sites: DataFrame, disk_status: DataFrame, signals: DataFrame,
     if asof is not None:
         disk_status = look_back(disk_status, "at_time", asof, minutes=minutes)
         signals = look_back(signals, "at_time", asof, minutes=minutes)
-    latest = reuse(latest_per_key(disk_status, ["box_id"], ["at_time", "error"]))
+    latest = latest_per_key(disk_status, ["box_id"], ["at_time", "error"])
     faulty = (latest.filter(F.col("hdd") == DISK_FAULT)
               .join(sites.select(*_site_columns(sites)), ["site_id", "box_id"])
               .withColumnRenamed("at_time", "opened_on"))
@@ -74,7 +73,8 @@ def disk_tickets(sites: DataFrame, disk_status: DataFrame, signals: DataFrame,
             "ticket_id", "box_id")
     else:
         raise ValueError(close_on)
-    recorded = reuse(_remote_recordings(signals, sites))
+    # Only boxes that have an open ticket bring a recording time, to old and new tickets.
+    recorded = _remote_recordings(semi(signals, open_tickets, ["box_id"]), sites)
     waiting = anti(anti(open_tickets, healthy, ["box_id"]), closing, ["box_id"])
     touched = waiting.select("ticket_id", "box_id").join(recorded, "box_id").drop("box_id")
     return Changes(fresh.join(recorded, "box_id", "left"), closing.select("ticket_id"), touched)
@@ -86,12 +86,11 @@ def camera_lag_tickets(sites: DataFrame, cameras: DataFrame, signals: DataFrame,
     last = (signals.filter(F.col("event_code") == RECORD).groupBy("box_id", "device_id")
             .agg(F.max("at_time").alias("opened_on"))
             .withColumnRenamed("device_id", "camera_id"))
-    known = reuse(semi(cameras.filter("active"), sites, ["box_id"])
-                  .select("box_id", "camera_id", "camera_name")
-                  .join(last, ["box_id", "camera_id"]))
+    known = (semi(cameras.filter("active"), sites, ["box_id"])
+             .select("box_id", "camera_id", "camera_name").join(last, ["box_id", "camera_id"]))
     behind = peer_latest(known, ["box_id"], "opened_on", "_newest").filter(
         minutes_between("opened_on", "_newest") >= lag_minutes).drop("_newest")
-    faulty = reuse(behind.join(sites.select(*_site_columns(sites)), "box_id"))
+    faulty = behind.join(sites.select(*_site_columns(sites)), "box_id")
     key = ["box_id", "camera_id"]
     return Changes(anti(faulty, open_tickets, key),
                    anti(open_tickets, faulty, key).select("ticket_id"))
@@ -102,7 +101,7 @@ def camera_absent_tickets(sites: DataFrame, cameras: DataFrame, signals: DataFra
     """Installed cameras that did not record while another camera of their box did."""
     recent = semi(look_back(signals, "at_time", asof, minutes=minutes)
                   .filter(F.col("event_code") == RECORD), sites, ["box_id"])
-    seen = reuse(recent.select("box_id", F.col("device_id").alias("camera_id")).distinct())
+    seen = recent.select("box_id", F.col("device_id").alias("camera_id")).distinct()
     silent = anti(semi(cameras.filter("active"), seen, ["box_id"]), seen,
                   ["box_id", "camera_id"]).select("box_id", "camera_id", "camera_name")
     fresh = null_safe_anti(silent, open_tickets, ["box_id", "camera_id", "camera_name"])
@@ -120,9 +119,9 @@ def lobby_stale_tickets(sites: DataFrame, signals: DataFrame, open_tickets: Data
     that says it does not opens a ticket.
     """
     lobby = signals.filter(F.col("device_id").isin(LOBBY_CAMERAS))
-    latest = reuse(latest_per_key(lobby, ["box_id"], ["at_time", "device_id"])
-                   .join(sites.select(*_site_columns(sites)), "box_id")
-                   .withColumn("age", minutes_between("at_time", as_of(asof))))
+    latest = (latest_per_key(lobby, ["box_id"], ["at_time", "device_id"])
+              .join(sites.select(*_site_columns(sites)), "box_id")
+              .withColumn("age", minutes_between("at_time", as_of(asof))))
     fresh, stale = F.col("age") < minutes, F.col("age") > minutes
     works, fails = fresh, stale
     if use_status:

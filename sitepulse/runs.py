@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitepulse.functions import as_of, days_before
+from sitepulse.operators import active_sites, latest_per_key
 from sitepulse.plans import (
     availability, dashboard, outages, penalties, portfolio, priority, recordings, repeats, sensors,
     sla, slots, tickets,
@@ -21,12 +22,16 @@ from sitepulse.plans import (
 from sitepulse.schemas import schema
 from sitepulse.session import reuse
 from sitepulse.sources import (
-    apply_ticket_changes, current_version, day_slice, replace_customers, replace_day,
-    replace_table, scope, write_csv, write_sheets,
+    apply_ticket_changes, canonical_names, current_version, day_slice, look_back,
+    replace_customers, replace_day, replace_table, scope, write_csv, write_sheets,
 )
 from sitepulse.sources.writers import finished_versions
 
 
+# Hours for which a replaced version stays for its readers.
+KEEP_HOURS = 24.0
+
+
 @dataclass(frozen=True)
 class Store:
     """Tables by name under one folder that all executors can reach."""
@@ -38,10 +43,26 @@ class Store:
         return f"{self.root}/{name}"
 
     def read(self, name: str) -> DataFrame:
-        """A plain table, or the newest version of a versioned one."""
+        """A plain table, or the newest version of a versioned one, with the names used here."""
         if finished_versions(self.spark, self.path(name)):
-            return current_version(self.spark, self.path(name))
-        return self.spark.read.parquet(self.path(name))
+            return canonical_names(current_version(self.spark, self.path(name)))
+        return canonical_names(self.spark.read.parquet(self.path(name)))
+
+    def sites(self) -> DataFrame:
+        """Sites in service, without test tenants; customers out of service drop theirs.
+
+        A site table without the flags, or a store without a customer table, is taken as clean.
+        """
+        sites = self.read("sites")
+        customers = self.read("customers") if self._has("customers") else None
+        if "active" not in sites.columns:
+            sites = sites.withColumn("active", F.lit(True))
+        known = "status" in sites.columns
+        return active_sites(sites, customers, require_status=known, drop_test=True)
+
+    def _has(self, name: str) -> bool:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
 
     def ticket_table(self, name: str) -> DataFrame:
         """Fault tickets; empty before the first run."""
@@ -60,7 +81,7 @@ def sla_daily(store: Store, day: str, asof: str | None = None) -> None:
         (F.col("opened_on") >= as_of(day)) & (F.col("opened_on") < end))
     notes = store.read("remarks").filter(
         (F.col("updated_on") >= as_of(day)) & (F.col("updated_on") < end))
-    sites = store.read("sites")
+    sites = store.sites()
     rated = reuse(sla.rated_tickets(kept, notes, as_of(asof) if asof else end))
     store.daily(sla.bank_violations(rated, sites), "sla_bankwise", day)
     store.daily(sla.site_violations(rated, sites, day, day), "sla_sitewise", day)
@@ -69,10 +90,12 @@ def sla_daily(store: Store, day: str, asof: str | None = None) -> None:
 
 def near_violation(store: Store, asof: str) -> None:
     """The current list of urgent tickets and the counts per class, for all customers."""
-    sites = store.read("sites")
+    sites = store.sites()
     due = reuse(sla.open_tickets(store.read("tickets"), store.read("remarks"), sites, asof))
-    replace_customers(sla.near_violation(due), store.path("near_violation"), sites)
-    replace_customers(sla.class_summary(due, sites), store.path("ticket_class_counts"), sites)
+    replace_customers(sla.near_violation(due), store.path("near_violation"), sites,
+                      keep_hours=KEEP_HOURS)
+    replace_customers(sla.class_summary(due, sites), store.path("ticket_class_counts"), sites,
+                      keep_hours=KEEP_HOURS)
 
 
 def slot_counts(store: Store, kind: str, day: str) -> None:
@@ -83,7 +106,7 @@ def slot_counts(store: Store, kind: str, day: str) -> None:
         "motion": ("opened_on", slots.MOTION_UNIT, slots.motion_events)}[kind]
     end = as_of(day) + F.make_dt_interval(F.lit(1))
     events = store.read("tickets").filter((F.col(at) >= as_of(day)) & (F.col(at) < end))
-    sites = store.read("sites")
+    sites = store.sites()
     installed = slots.installed_sites(store.read("installed_items"), unit)
     store.daily(slots.slot_counts(pick(events), at, sites, installed, day, day),
                 f"slots_{kind}", day)
@@ -95,13 +118,14 @@ def _apply(store: Store, name: str, current: DataFrame, change: tickets.Changes,
            asof: str) -> None:
     opened = change.opened.withColumn("closed_on", F.lit(None).cast("timestamp_ntz"))
     replace_table(apply_ticket_changes(current, asof, closed=change.closed,
-                                       touched=change.touched, opened=opened), store.path(name))
+                                       touched=change.touched, opened=opened), store.path(name),
+                  keep_hours=KEEP_HOURS)
 
 
 def disk_tickets(store: Store, asof: str, **options) -> None:
     current = store.ticket_table("disk_tickets")
     change = tickets.disk_tickets(
-        store.read("sites"), store.read("disk_status"), store.read("recorder_signals"),
+        store.sites(), store.read("disk_status"), store.read("recorder_signals"),
         current.filter("closed_on is null"), asof, **options)
     _apply(store, "disk_tickets", current, change, asof)
 
@@ -109,15 +133,42 @@ def disk_tickets(store: Store, asof: str, **options) -> None:
 def camera_tickets(store: Store, asof: str, **options) -> None:
     current = store.ticket_table("camera_tickets")
     change = tickets.camera_absent_tickets(
-        store.read("sites"), store.read("cameras"), store.read("recorder_signals"),
+        store.sites(), store.read("cameras"), store.read("recorder_signals"),
         current.filter("closed_on is null"), asof, **options)
     _apply(store, "camera_tickets", current, change, asof)
 
 
+def new_signals(store: Store, overlap_minutes: int = 60) -> DataFrame:
+    """Signals since the stored latest ones, with some overlap for late arrivals."""
+    signals = store.read("recorder_signals")
+    if not finished_versions(store.spark, store.path("latest_signals")):
+        return signals
+    last = store.read("latest_signals").agg(F.max("at_time")).first()[0]
+    return signals if last is None else look_back(signals, "at_time", last,
+                                                  minutes=overlap_minutes)
+
+
+def latest_signals(store: Store, overlap_minutes: int = 60) -> DataFrame:
+    """The latest signal per box, device and code, brought up to date and stored.
+
+    A poll reads the signals since the last one only, and a camera that has been silent for
+    months keeps its last signal.
+    """
+    key = ["box_id", "device_id", "event_code"]
+    fresh = new_signals(store, overlap_minutes)
+    columns = [c for c in (*key, "at_time", "status") if c in fresh.columns]
+    fresh = fresh.select(*columns)
+    if finished_versions(store.spark, store.path("latest_signals")):
+        fresh = store.read("latest_signals").unionByName(fresh)
+    latest = latest_per_key(fresh, key, [c for c in columns if c not in key])
+    replace_table(latest, store.path("latest_signals"), keep_hours=KEEP_HOURS)
+    return store.read("latest_signals")
+
+
 def camera_lag_tickets(store: Store, asof: str, **options) -> None:
     current = store.ticket_table("camera_lag_tickets")
     change = tickets.camera_lag_tickets(
-        store.read("sites"), store.read("cameras"), store.read("recorder_signals"),
+        store.sites(), store.read("cameras"), latest_signals(store),
         current.filter("closed_on is null"), **options)
     _apply(store, "camera_lag_tickets", current, change, asof)
 
@@ -125,8 +176,8 @@ def camera_lag_tickets(store: Store, asof: str, **options) -> None:
 def lobby_tickets(store: Store, asof: str, **options) -> None:
     current = store.ticket_table("lobby_tickets")
     change = tickets.lobby_stale_tickets(
-        store.read("sites"), store.read("recorder_signals"), current.filter("closed_on is null"),
-        asof, **options)
+        store.sites(), latest_signals(store), current.filter("closed_on is null"), asof,
+        **options)
     _apply(store, "lobby_tickets", current, change, asof)
 
 
@@ -140,13 +191,14 @@ def repeated_faults(store: Store, asof: str) -> None:
     for name, find in (("camera", repeats.repeated_camera_faults),
                        ("disk", repeats.repeated_disk_faults)):
         replace_table(find(store.ticket_table(f"{name}_tickets"), asof),
-                      store.path(f"{name}_faults_repeated"), skip_empty=True)
+                      store.path(f"{name}_faults_repeated"), skip_empty=True,
+                      keep_hours=KEEP_HOURS)
 
 
 def outage_patterns(store: Store, asof: str,
                     messages: Sequence[str] = sla.OFFLINE_MESSAGES) -> None:
     """Patterns, frequent sites and night outages of the day, in one table."""
-    sites = store.read("sites")
+    sites = store.sites()
     base = reuse(outages.outage_base(
         store.read("tickets").filter(F.col("msg").isin(list(messages))), asof))
     found = reuse(outages.all_patterns(base, asof))
@@ -161,12 +213,12 @@ def video_daily(store: Store, day: str, camera_names: Mapping[str, str],
                 messages: Sequence[str] = sla.OFFLINE_MESSAGES) -> None:
     episodes = store.read("tickets").filter(F.col("msg").isin(list(messages)) & F.col("active"))
     store.daily(availability.video_availability(
-        store.read("sites"), store.read("cameras"), store.read("recording_counts"), episodes,
+        store.sites(), store.read("cameras"), store.read("recording_counts"), episodes,
         store.read("heartbeats"), day, day, camera_names), "video_daily", day)
 
 
 def vod_daily(store: Store, day: str) -> None:
-    sites = store.read("sites")
+    sites = store.sites()
     recorded = day_slice(store.read("recording_counts"), "at_time", day,
                          as_of(day) + F.make_dt_interval(F.lit(1)))
     matrix = reuse(recordings.camera_matrix(
@@ -189,14 +241,14 @@ def vod_report(store: Store, last_day: str, dates: Mapping[str, str],
 
 def sensor_matrices(store: Store, asof: str, columns: Mapping[str, str]) -> None:
     """Last trigger and last heartbeat, replaced for the customers in ``sites``."""
-    sites = store.read("sites")
+    sites = store.sites()
     recency = reuse(sensors.sensor_recency(store.read("installed_items"),
                                            store.read("sensor_signals"),
                                            store.read("event_dictionary"), asof))
     for kind in ("trigger", "heartbeat"):
         matrix = sensors.sensor_matrix(recency, sites, columns, asof, kind)
         replace_customers(matrix.withColumn("priority", F.lit(None).cast("string")),
-                          store.path(f"sensor_{kind}"), sites)
+                          store.path(f"sensor_{kind}"), sites, keep_hours=KEEP_HOURS)
 
 
 def sensor_priority(store: Store, asof: str, columns: Sequence[str], *, weighted: bool = True,
@@ -209,30 +261,33 @@ def sensor_priority(store: Store, asof: str, columns: Sequence[str], *, weighted
         matrix = store.read(f"sensor_{kind}").drop("priority")
         risk = reuse(sensors.sensor_risk(matrix, columns, online, weighted=weighted))
         ranked = sensors.most_urgent_first(sensors.sensor_priority(risk, edges))
-        replace_table(ranked.drop("risk_score"), store.path(f"sensor_{kind}"))
+        replace_table(ranked.drop("risk_score"), store.path(f"sensor_{kind}"),
+                      keep_hours=KEEP_HOURS)
 
 
 def site_features(store: Store, asof: str) -> None:
-    sites = store.read("sites")
+    sites = store.sites()
     features = priority.site_features(sites, store.read("tickets"), asof)
     replace_customers(features.withColumn("site_priority", F.lit(None).cast("string")),
-                      store.path("site_priority"), sites)
+                      store.path("site_priority"), sites, keep_hours=KEEP_HOURS)
 
 
 def site_priority(store: Store) -> None:
     """Ranks all stored sites and rewrites the table it reads."""
     features = store.read("site_priority").drop("site_priority")
-    replace_table(priority.site_priority(features), store.path("site_priority"))
+    replace_table(priority.site_priority(features), store.path("site_priority"),
+                  keep_hours=KEEP_HOURS)
 
 
 def penalty_tickets(store: Store, month: str) -> None:
     found = penalties.penalty_tickets(store.read("tickets"), store.read("remarks"),
-                                      store.read("sites"), month)
+                                      store.sites(), month)
     write_csv(found, store.path(f"reports/penalty-{month}"))
 
 
-def penalty_consolidation(store: Store, feeds: Mapping[str, DataFrame]) -> None:
-    merged = penalties.month_names(penalties.consolidate(feeds))
+def penalty_consolidation(store: Store, feeds: Mapping[str, DataFrame], *,
+                          drop_months: Sequence[int] = ()) -> None:
+    merged = penalties.month_names(penalties.consolidate(feeds, drop_months=drop_months))
     write_csv(merged.orderBy(F.desc("total"), "site", "month"),
               store.path("reports/penalty-consolidated"))
 

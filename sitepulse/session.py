@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Sizes are per cluster; only the switches matter for right results.
@@ -52,12 +54,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def reuse(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once, now, for several later uses.
+    """Compute ``df`` once, now, for several later uses: written to the shared folder, read back.
 
-    The rows go to the shared checkpoint folder, so a lost executor costs nothing. Meant for
-    results much smaller than their inputs, such as one row per site.
+    A lost executor costs nothing. Only the end-to-end runs and the stream handlers call it;
+    functions in ``plans`` return lazy frames. Folders lie below one folder per application,
+    which may be removed once the application has ended.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()
+    spark = df.sparkSession
+    folder = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/reuse-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)

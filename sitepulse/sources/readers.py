@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import date, datetime
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -110,18 +112,17 @@ def read_sheets(spark: SparkSession, paths: Mapping[str, str],
 
 
 def promote_header(df: DataFrame, marker: str) -> DataFrame:
-    """Use the row whose first cell equals ``marker`` as the header and drop every copy of it.
+    """Use a row whose first cell equals ``marker`` as the header and drop every copy of that row.
 
-    One row travels to the driver; rows in front of the header are not told apart by position
-    and must hold NULL or blank in the first cell.
+    One row travels to the driver. All other rows stay, also those with a blank first cell.
     """
     first = df.columns[0]
     head = df.filter(F.trim(F.col(first)) == marker).limit(1).first()
     if head is None:
         raise ValueError(f"no header row starts with {marker!r}")
     names = [str(cell).strip() if cell is not None else old for cell, old in zip(head, df.columns)]
-    body = df.filter(F.trim(F.col(first)) != marker).filter(F.trim(F.col(first)) != "")
-    return body.toDF(*names)
+    copy = reduce(and_, [F.col(c).eqNullSafe(F.lit(cell)) for c, cell in zip(df.columns, head)])
+    return df.filter(~copy).toDF(*names)
 
 
 def drop_header_rows(df: DataFrame, column: str, text: str | None = None) -> DataFrame:

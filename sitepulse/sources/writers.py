@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,10 +11,16 @@ from pyspark.sql import functions as F
 from sitepulse.operators.joins import anti
 
 
+def _gathered(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows of one slice together, so that a slice is few files; Spark splits large slices."""
+    return df.hint("rebalance", *columns) if columns else df
+
+
 def append(df: DataFrame, path: str, *, partition_by: Sequence[str] = (),
            fmt: str = "parquet") -> None:
     """Append by column name."""
-    df.write.format(fmt).mode("append").partitionBy(*partition_by).save(path)
+    (_gathered(df, partition_by).write.format(fmt).mode("append").partitionBy(*partition_by)
+     .save(path))
 
 
 def replace_slices(df: DataFrame, path: str, slice_by: Sequence[str] = ("bank",)) -> None:
@@ -22,13 +29,29 @@ def replace_slices(df: DataFrame, path: str, slice_by: Sequence[str] = ("bank",)
     A slice without any new row keeps its old rows; ``replace_customers`` empties it. The target
     must not be an input of ``df``.
     """
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*slice_by).parquet(path))
+    (_gathered(df, slice_by).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*slice_by).parquet(path))
+
+
+def _swap(spark: SparkSession, new: str, path: str) -> None:
+    """Put the finished folder ``new`` in the place of ``path``."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target = hadoop.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(target.getParent())
+    fs.delete(target, True)
+    if not fs.rename(hadoop.Path(new), target):
+        raise OSError(f"{new} could not be moved to {path}")
 
 
 def replace_day(df: DataFrame, path: str, day: str, column: str = "date") -> None:
-    """Replace one day of a daily table, also by nothing. ``df`` holds that day only."""
-    df.drop(column).write.mode("overwrite").parquet(f"{path}/{column}={day}")
+    """Replace one day of a daily table, also by nothing. ``df`` holds that day only.
+
+    The day is written beside the table first; a run that fails leaves the old day in place.
+    """
+    new = f"{path}/_new-{column}-{day}"
+    df.drop(column).write.mode("overwrite").parquet(new)
+    _swap(df.sparkSession, new, f"{path}/{column}={day}")
 
 
 def finished_versions(spark: SparkSession, path: str) -> list[int]:
@@ -50,14 +73,24 @@ def _forget(spark: SparkSession, path: str, versions: Sequence[int]) -> None:
         fs.delete(hadoop.Path(f"{path}/v={version}"), True)
 
 
+def _written_at(spark: SparkSession, path: str, version: int) -> float:
+    """Seconds since 1970 at which the version was finished."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    done = hadoop.Path(f"{path}/v={version}/_SUCCESS")
+    fs = done.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.getFileStatus(done).getModificationTime() / 1000
+
+
 def replace_table(df: DataFrame, path: str, *, skip_empty: bool = False,
-                  version: int | None = None, keep: int | None = None) -> str:
+                  version: int | None = None, keep: int | None = None,
+                  keep_hours: float | None = None) -> str:
     """Write the next version of a whole table and return its folder.
 
     ``df`` may read the current version: that one stays until readers have moved on. A version
     counts only once its ``_SUCCESS`` file exists, so a failed run leaves the old table in place.
     A given ``version`` is written again when the same step is repeated. ``keep`` removes all but
-    that many of the newest versions.
+    that many of the newest versions; ``keep_hours`` removes versions that were followed by a
+    newer one longer ago than that, so a reader has that time for its scan.
     """
     found = finished_versions(df.sparkSession, path)
     if skip_empty and found and df.isEmpty():
@@ -68,6 +101,11 @@ def replace_table(df: DataFrame, path: str, *, skip_empty: bool = False,
     if keep is not None:
         older = [v for v in found if v < version]
         _forget(df.sparkSession, path, older[:max(0, len(older) - keep + 1)])
+    if keep_hours is not None:
+        kept = [v for v in finished_versions(df.sparkSession, path) if v <= version]
+        limit = time.time() - 3600 * keep_hours
+        _forget(df.sparkSession, path, [v for v, newer in zip(kept, kept[1:]) if _written_at(
+            df.sparkSession, path, newer) < limit])
     return f"{path}/v={version}"
 
 
@@ -79,14 +117,14 @@ def current_version(spark: SparkSession, path: str, before: int | None = None) -
     return spark.read.parquet(f"{path}/v={found[-1]}")
 
 
-def replace_customers(df: DataFrame, path: str, customers: DataFrame,
-                      key: str = "bank") -> str:
+def replace_customers(df: DataFrame, path: str, customers: DataFrame, key: str = "bank", *,
+                      keep_hours: float | None = None) -> str:
     """Next version of a table: rows of the listed customers are replaced by ``df``."""
     spark = df.sparkSession
     if not finished_versions(spark, path):
         return replace_table(df, path)
     kept = anti(current_version(spark, path), customers, [key])
-    return replace_table(kept.unionByName(df), path)
+    return replace_table(kept.unionByName(df), path, keep_hours=keep_hours)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -121,15 +159,17 @@ def write_json(df: DataFrame, path: str) -> None:
 def nested_document(df: DataFrame, boxes: Mapping[str, Mapping]) -> DataFrame:
     """One JSON document per row: box -> title, total and a map of sub-totals.
 
-    A box is ``{"title": text, "table": text, "total": column, "parts": {label: column}}``.
+    A box is ``{"title": text, "table": text, "total": column, "parts": {label: column}}`` and
+    may have a ``"subtitle"``.
     """
     out = []
     for name, box in boxes.items():
         parts = []
         for label, column in box["parts"].items():
             parts += [F.lit(label), F.col(column)]
+        subtitle = [F.lit(box["subtitle"]).alias("subtitle")] if "subtitle" in box else []
         out.append(F.struct(
-            F.lit(box["title"]).alias("title"), F.lit(box["table"]).alias("tablename"),
+            F.lit(box["title"]).alias("title"), *subtitle, F.lit(box["table"]).alias("tablename"),
             F.col(box["total"]).alias("total"), F.create_map(*parts).alias("sub-total"),
         ).alias(name))
     return df.select(F.to_json(F.struct(*out)).alias("document"))

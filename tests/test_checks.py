@@ -8,6 +8,7 @@ import re
 import duckdb
 import pytest
 
+from sitepulse.bindings import table
 from sitepulse.catalog import CHECKS, QUERIES
 from tests.conftest import SF
 
@@ -15,7 +16,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "pages benchmark labels conversations").split()
 # Only these end in one task: their aggregates are already one row per map task.
 ONE_ROW = {"conditional_counts", "column_profile", "share_of_total", "time_slices",
-           "site_features", "dashboard_counts", "dashboard_counts_two_banks",
+           "site_features", "site_priority", "dashboard_counts", "dashboard_counts_two_banks",
            "dashboard_document", "portfolio_by_bank", "portfolio_by_state",
            "portfolio_by_state_city", "portfolio_by_customer_state"}
 
@@ -60,3 +61,27 @@ def test_same_rows(spark, duck, name):
     order = [names.index(c) for c in columns]
     wanted = sorted((tuple(_plain(r[i]) for i in order) for r in cursor.fetchall()), key=repr)
     assert found == wanted
+
+
+# These write something, run a stream, or look up a header row or a schema while they are built.
+EAGER = {"scan_pushdown", "append_table", "replace_one_slice", "replace_whole_table", "customer_slice_replaced",
+         "csv_sheets", "csv_table", "json_records"}
+
+
+def test_building_a_query_starts_no_job(spark):
+    lazy = [n for n in sorted(QUERIES) if n not in EAGER and not n.startswith("stream_")]
+    for name in TABLES:  # schemas are looked up once per application
+        table(spark, SF, name)
+    context = spark.sparkContext
+    context.setJobGroup("building", "building queries")
+    for name in lazy:
+        QUERIES[name](spark, SF)
+        assert not context.statusTracker().getJobIdsForGroup("building"), name
+    context.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_site_features_shuffles(spark):
+    df = QUERIES["site_features"](spark, SF)
+    df.collect()
+    *ran, _ = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")
+    assert 0 < max(plan.count("Exchange hashpartitioning") for plan in ran) <= 15

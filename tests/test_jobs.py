@@ -119,7 +119,7 @@ def test_consolidation_invariants(spark):
 
     out = penalties.consolidate({
         "mcu": feed(("a", 4, 10.0), ("a", 4, 5.0), ("a", 8, 1.0)), "pm": feed(("a", 4, 2.0), ("b", 6, 3.0)),
-        "footage": feed((None, 4, 9.0))})
+        "footage": feed((None, 4, 9.0))}, drop_months=(8, 9))
     assert rows(penalties.month_names(out)) == [("a", "Apr", 15.0, 2.0, 0.0, 17.0),
                                                 ("b", "June", 0.0, 3.0, 0.0, 3.0)]
 
@@ -303,7 +303,7 @@ def test_disk_ticket_lifecycle(frame):
         {"box_id": b, "event_code": "REMOTERECORD", "at_time": at} for b, at in
         (("b4", "30 23:51"), ("b4", "30 23:56"), ("b1", "30 23:52"), ("b2", "30 23:52"), ("b6", "30 23:52"))])
     change = tickets.disk_tickets(sites, status, signals, open_, NOW)
-    assert rows(change.opened, "box_id", "latest_remote_recording") == [("b1", t("30 23:52")), ("b5", None)]
+    assert rows(change.opened, "box_id", "latest_remote_recording") == [("b1", None), ("b5", None)]
     assert rows(change.closed) == [(1,), (4,)]
     assert rows(change.touched) == [(2, t("30 23:56"))]
     after = apply_ticket_changes(open_, NOW, closed=change.closed, touched=change.touched, opened=change.opened)
@@ -447,3 +447,33 @@ def test_portfolio_title_case(frame):
     assert rows(shares["state"]) == [("Kerala", 1, 25.0), ("Tamil Nadu", 2, 50.0)]
     assert rows(shares["bank"]) == [("b", 4, 100.0)]
     assert rows(shares["customer_state"], "percentage") == [(0.25,), (0.5,)]
+
+
+def test_earliest_record_per_camera_name(frame):
+    """Two ids of one camera: the first record of the day counts, not the sum of both."""
+    cams = frame("cameras", [{"box_id": "b1", "camera_id": c, "camera_name": "Lobby Camera", "active": True}
+                             for c in ("0702", "0702R")])
+    records = frame("recording_counts", [
+        {"box_id": "b1", "camera_id": "0702", "file_count": 500, "at_time": "29 01:00"},
+        {"box_id": "b1", "camera_id": "0702R", "file_count": 400, "at_time": "29 02:00"},
+        {"box_id": "b1", "camera_id": "0702", "file_count": 900, "at_time": "29 03:00"}])
+    out = availability.video_availability(
+        frame("sites", [site(1)]), cams, records, frame("tickets", []), frame("heartbeats", []),
+        "2024-01-29", "2024-01-29", {"LobbyCamera": "lobby"})
+    assert rows(out, "lobby", "video_pct") == [(50.0, 50.0)]
+
+
+def test_months_are_dropped_on_request_only(spark):
+    feed = spark.createDataFrame([("s", m, 1.0) for m in (7, 8, 9)], "site string, month int, amount double")
+    assert penalties.consolidate({"a": feed}).count() == 3
+    assert penalties.consolidate({"a": feed}, drop_months=(8, 9)).count() == 1
+
+
+def test_last_bands_are_open(spark, frame):
+    paid = spark.createDataFrame([("s", 4, 120_000.0)], "site string, month int, amount double")
+    assert penalties.penalty_trend(paid).first()["bucket"] == ">20000"
+    items = frame("installed_items", [{"site_id": "1", "group_no": "01", "unit_no": "33", "item_name": "n", "active": True}])
+    words = frame("event_dictionary", [{"group_no": "01", "unit_no": "33", "event_code": "40"}])
+    old = frame("sensor_signals", [{"site_id": "1", "group_no": "01", "unit_no": "33", "event_code": "40",
+                                    "at_time": "1800-01-01 00:00"}])
+    assert sensors.sensor_recency(items, old, words, NOW).first()["trigger_label"] == ">1year"

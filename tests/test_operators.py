@@ -172,3 +172,60 @@ def test_active_sites_flags(frame):
                                     {"bank_code": "C", "bank": "Other", "active": False}])
     assert rows(op.active_sites(sites, customers, drop_test=True), "site_id", "bank") == [("1", "Bank")]
     assert rows(op.active_sites(sites, customers, require_status=False), "site_id") == [("1",), ("2",), ("5",)]
+
+
+def test_last_non_null_with_ties(spark):
+    data = [("a", 1, 1, "a"), ("a", 1, 2, "b"), ("a", 1, 0, "c")]
+    for order in (data, data[::-1]):
+        df = spark.createDataFrame(order, "k string, at int, i int, p string").coalesce(1)
+        assert rows(op.last_non_null(df, ["k"], "at", ["p"])) == [("a", "c")]
+        assert rows(op.last_non_null(df, ["k"], "at", ["p"], tie="i")) == [("a", "b")]
+
+
+def test_natural_join_kinds(spark):
+    left = spark.createDataFrame([(1, None, "l1"), (2, 5, "l2"), (None, None, "l3")], "a int, b int, x string")
+    right = spark.createDataFrame([(1, None, "r1"), (1, None, "r2"), (3, None, "r3"), (None, None, "r4")],
+                                  "a int, b int, y string")
+    assert rows(op.natural_join(left, right), "x", "y") == [("l1", "r1"), ("l1", "r2"), ("l3", "r4")]
+    assert rows(op.natural_join(left, right, "left"), "x", "y") == [
+        ("l1", "r1"), ("l1", "r2"), ("l2", None), ("l3", "r4")]
+    assert rows(op.natural_join(left, right, "outer")) == [
+        (None, None, "l3", "r4"), (1, None, "l1", "r1"), (1, None, "l1", "r2"), (2, 5, "l2", None), (3, None, None, "r3")]
+
+
+def slow_ranks(values):
+    known = sorted((v for v in values if v is not None), key=lambda v: (v != v, v))
+    same = lambda x, y: x == y or (x != x and y != y)
+    return [None if v is None else (
+        sum(1 for w in known if not same(v, w) and ((v != v) or w < v)) + (sum(same(v, w) for w in known) + 1) / 2
+    ) / len(known) for v in values]
+
+
+def test_ranks_of_odd_and_clustered_values(spark):
+    nan, inf = float("nan"), float("inf")
+    values = [1.0, nan, None, inf, -inf, 1.0, nan, 0.0, -0.0, 3.5, None] + [1.7e9 + i for i in range(300)]
+    df = spark.createDataFrame(list(enumerate(values)), "i int, v double")
+    wanted = slow_ranks(values)
+    for key in (None, "i"):
+        got = [r["p"] for r in op.pct_ranks(df, {"v": "p"}, None, key=key).orderBy("i").collect()]
+        assert all(a == b or abs(a - b) < 1e-12 for a, b in zip(got, wanted))
+    only_nan = spark.createDataFrame([(nan,), (nan,)], "v double")
+    assert rows(op.pct_rank(only_nan, "v", "p"), "p") == [(0.75,), (0.75,)]
+
+
+def test_clustered_values_fall_into_many_ranges(spark):
+    from sitepulse.operators import ranking
+
+    seconds = spark.range(200_000).select((F.col("id") + 1_700_000_000).cast("double").alias("v"))
+    bounds = seconds.agg(F.percentile_approx("v", F.array(*[
+        F.lit(i / ranking.RANGES) for i in range(1, ranking.RANGES)]), F.lit(4 * ranking.RANGES)).alias("_bounds"))
+    sizes = seconds.join(F.broadcast(bounds)).groupBy(
+        ranking._value_range(F.col("v"), F.col("_bounds")).alias("r")).count()
+    found = [r["count"] for r in sizes.collect()]
+    assert len(found) > 900 and max(found) < 2000
+
+
+def test_quantiles(spark):
+    df = spark.createDataFrame([(float(v), w) for v, w in ((1, None), (2, 5.0), (4, None), (8, 7.0))], "a double, b double")
+    got = rows(op.quantiles(df, ["a", "b"], {"q25": 0.25, "median": 0.5, "q75": 0.75}))
+    assert got == [("a", 1.75, 3.0, 5.0), ("b", 5.5, 6.0, 6.5)]

@@ -74,6 +74,7 @@ def test_ticket_tables_settle(store):
             (runs.camera_lag_tickets, "camera_lag_tickets", {}),
             (runs.lobby_tickets, "lobby_tickets", {"minutes": 60})):
         run(store, NOW, **options)
+        run(store, NOW, **options)  # a new disk ticket takes its recording time with the next run
         first = rows(store.read(name))
         run(store, NOW, **options)
         assert rows(store.read(name)) == first and first, name
@@ -127,3 +128,33 @@ def test_old_versions_are_forgotten(spark, tmp_path):
     for i in range(6):
         replace_table(spark.range(i).toDF("a"), path, keep=3)
     assert sorted(os.listdir(path)) == ["v=4", "v=5", "v=6"]
+
+
+def test_sites_out_of_service_are_left_out(spark, tmp_path):
+    store = runs.Store(spark, str(tmp_path / "s"))
+    spark.createDataFrame(
+        [("1", "A", "True", 1, "X"), ("2", "B", "False", 1, "X"), ("3", "C", "True", 0, "X"), ("4", "Test", "True", 1, "X"),
+         ("5", "D", "True", 1, "TEST BED")],
+        "McuID string, SiteName string, qStatus string, status int, BankName string").write.parquet(store.path("sites"))
+    assert rows(store.sites(), "site_id") == [("1",)]
+    spark.createDataFrame([("9", "A", "X")], "site_id string, site_name string, bank string").write.mode("overwrite").parquet(store.path("sites"))
+    assert rows(store.sites(), "site_id") == [("9",)]
+
+
+def test_polls_read_new_signals_only(spark, frame, tmp_path):
+    """A camera silent for months keeps its ticket, and the scan gets a time filter."""
+    from tests.test_jobs import cam, signal, site
+    store = runs.Store(spark, str(tmp_path / "s"))
+    frame("sites", [site(1)]).write.parquet(store.path("sites"))
+    frame("cameras", [cam(1, "0701"), cam(1, "0702")]).write.parquet(store.path("cameras"))
+    frame("recorder_signals", [signal(1, "0701", "2023-10-01 00:00"), signal(1, "0702", "30 23:00")]
+          ).write.parquet(store.path("recorder_signals"))
+    runs.camera_lag_tickets(store, NOW)
+    first = rows(store.read("camera_lag_tickets"), "camera_id", "closed_on")
+    assert first == [("0701", None)]
+    frame("recorder_signals", [signal(1, "0702", "31 10:00")]).write.mode("append").parquet(store.path("recorder_signals"))
+    plan = runs.new_signals(store)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(at_time,2024-01-30T22:00)" in plan
+    runs.camera_lag_tickets(store, "2024-01-31 12:00:00")
+    assert rows(store.read("camera_lag_tickets"), "camera_id", "closed_on") == first
+    assert store.read("latest_signals").count() == 2

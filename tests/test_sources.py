@@ -49,7 +49,7 @@ def test_header_rows(spark, tmp_path):
     raw = src.read_sheets(spark, {"s": str(tmp_path / "sheet.csv")}, header=False)["s"]
     body = src.promote_header(raw.filter("_c0 is null or _c0 not like 'Report%'"), "Site")
     assert body.columns == ["Site", "Month", "Amount"]
-    assert rows(src.drop_header_rows(body, "Month")) == [("a", "May", "1")]
+    assert rows(src.drop_header_rows(body, "Month")) == [(None, "May", "9"), ("a", "May", "1")]
     with pytest.raises(ValueError):
         src.promote_header(raw, "nothing")
 
@@ -121,3 +121,54 @@ def test_append_by_name(spark, tmp_path):
     src.append(spark.createDataFrame([("x", 1)], "bank string, v int"), str(tmp_path / "a"), partition_by=["bank"])
     src.append(spark.createDataFrame([(2, "y")], "v int, bank string"), str(tmp_path / "a"), partition_by=["bank"])
     assert rows(spark.read.parquet(str(tmp_path / "a")), "bank", "v") == [("x", 1), ("y", 2)]
+
+
+def test_header_keeps_rows_with_a_blank_first_cell(spark):
+    raw = spark.createDataFrame([("Site", "Month"), ("a", "1"), (None, "2"), ("", "3"), ("Site", "Month"), ("Site", "4")],
+                                "_c0 string, _c1 string")
+    assert rows(src.promote_header(raw, "Site"), "Month") == [("1",), ("2",), ("3",), ("4",)]
+
+
+def test_a_failed_run_keeps_the_old_day(spark, tmp_path):
+    path = str(tmp_path / "daily")
+    src.replace_day(spark.createDataFrame([("x", "2024-01-01")], "v string, date string"), path, "2024-01-01")
+    broken = spark.range(1).select(F.raise_error(F.lit("no")).cast("string").alias("v"), F.lit("2024-01-01").alias("date"))
+    with pytest.raises(Exception):
+        src.replace_day(broken, path, "2024-01-01")
+    assert rows(spark.read.parquet(path), "v") == [("x",)]
+    src.replace_day(spark.createDataFrame([("y", "2024-01-01")], "v string, date string"), path, "2024-01-01")
+    assert rows(spark.read.parquet(path), "v") == [("y",)]
+
+
+def test_a_slice_is_few_files(spark, tmp_path):
+    df = spark.range(4000).select(F.col("id").alias("v"), (F.col("id") % 5).cast("string").alias("bank")).repartition(40)
+    for write, name in ((src.replace_slices, "r"), (lambda d, p: src.append(d, p, partition_by=["bank"]), "a")):
+        write(df, str(tmp_path / name))
+        files = list((tmp_path / name).glob("bank=*/*.parquet"))
+        assert 5 <= len(files) <= 10
+
+
+def test_versions_are_kept_for_some_hours(spark, tmp_path):
+    import os
+    import time
+    path = str(tmp_path / "t")
+    for i in range(4):
+        src.replace_table(spark.range(i + 1).toDF("a"), path, keep_hours=1)
+    assert len(os.listdir(path)) == 4
+    for v in (1, 2, 3):
+        os.utime(f"{path}/v={v}/_SUCCESS", (time.time() - 7200 - 10 * v,) * 2)
+    src.replace_table(spark.range(9).toDF("a"), path, keep_hours=1)
+    assert sorted(os.listdir(path)) == ["v=3", "v=4", "v=5"]
+
+
+def test_numbers_do_not_depend_on_the_partitions(spark):
+    from sitepulse.sources.tickets import number_rows
+    df = spark.range(700).select((F.col("id") % 350).alias("a"), F.col("id").alias("b"))
+    one, two = (rows(number_rows(df.repartition(n), "ticket_id", 41), "b", "ticket_id") for n in (1, 13))
+    assert one == two and sorted(i for _, i in one) == list(range(42, 742))
+
+
+def test_subtitle_of_a_box(spark):
+    df = spark.createDataFrame([(7, 3)], "total int, part int")
+    doc = src.nested_document(df, {"b": {"title": "T", "table": "t", "subtitle": "S", "total": "total", "parts": {"p": "part"}}})
+    assert json.loads(doc.first()[0])["b"]["subtitle"] == "S"

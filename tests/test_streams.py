@@ -1,12 +1,13 @@
 """Several micro-batches, late rows, repeats and replays."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from sitepulse import streaming as st
 from sitepulse.plans import sla
 from sitepulse.sources import current_version, replace_table
 from tests.conftest import rows, t
-from tests.test_jobs import NOW, ack, disk, open_ticket, signal, site, ticket
+from tests.test_jobs import NOW, disk, open_ticket, signal, site, ticket
 
 
 def feed(spark, folder, *batches, schema="k string, ts timestamp_ntz"):
@@ -67,8 +68,7 @@ def test_sessions_and_alarms(spark, tmp_path):
 
 def test_near_violation_feed_follows_closures_and_replays(spark, frame, tmp_path):
     handler = st.near_violation_feed(
-        spark, str(tmp_path / "t"), str(tmp_path / "f"), frame("remarks", [ack(1, "30 23:59")]),
-        frame("sites", [site(1)]), lambda: NOW)
+        spark, str(tmp_path / "t"), str(tmp_path / "f"), lambda: frame("sites", [site(1)]), lambda: NOW)
     first = frame("tickets", [ticket(1, "30 23:56", None), ticket(2, "30 23:33", None), ticket(3, "29 10:00", None)])
     second = frame("tickets", [ticket(2, "30 23:33", "30 23:59"), ticket(4, "30 23:32", None)])
     handler(first, 0)
@@ -87,8 +87,9 @@ def test_fault_lifecycle_replay(spark, frame, tmp_path):
     open_path, archive = str(tmp_path / "open"), str(tmp_path / "archive")
     start = frame("fault_tickets", [open_ticket(7, "2"), open_ticket(9, "3")])
     replace_table(start, open_path, version=-1)
-    handler = st.fault_lifecycle(spark, open_path, archive, frame("sites", [site(i) for i in (1, 2, 3)]),
-                                 frame("recorder_signals", [signal(3, "0701", "30 23:00", code="REMOTERECORD")]), lambda: NOW)
+    handler = st.fault_lifecycle(
+        spark, open_path, archive, lambda: frame("sites", [site(i) for i in (1, 2, 3)]),
+        lambda: frame("recorder_signals", [signal(3, "0701", "30 23:00", code="REMOTERECORD")]), lambda: NOW, minutes=90)
     handler(frame("disk_status", [disk("1", "0", "30 10:00"), disk("2", "1", "30 10:00")]), 0)
     for _ in range(2):
         handler(frame("disk_status", [disk("1", "1", "30 11:00"), disk("2", "0", "30 11:00"), disk("3", "0", "30 11:00")]), 1)
@@ -98,3 +99,39 @@ def test_fault_lifecycle_replay(spark, frame, tmp_path):
         assert rows(closed, "box_id", "batch") == [("b1", 1), ("b2", 0)]
         ids = [r[0] for r in now_open.select("ticket_id").union(closed.select("ticket_id")).collect()]
         assert len(set(ids)) == 4 and {7, 9} <= set(ids)
+
+
+def test_stream_sees_sites_and_recordings_that_arrive_between_batches(spark, frame, tmp_path):
+    """Dimension tables are read in every batch, and signals only back to the look-back."""
+    open_path, archive = str(tmp_path / "open"), str(tmp_path / "archive")
+    sites, signals = str(tmp_path / "sites"), str(tmp_path / "signals")
+    frame("sites", [site(1)]).write.parquet(sites)
+    frame("recorder_signals", [signal(1, "0701", "30 23:55", code="REMOTERECORD")]).write.parquet(signals)
+    replace_table(frame("fault_tickets", []), open_path, version=-1)
+    handler = st.fault_lifecycle(spark, open_path, archive, lambda: spark.read.parquet(sites),
+                                 lambda: spark.read.parquet(signals), lambda: NOW)
+    handler(frame("disk_status", [disk("1", "0", "30 10:00"), disk("2", "0", "30 10:00")]), 0)
+    assert rows(current_version(spark, open_path), "box_id") == [("b1",)]
+    frame("sites", [site(2)]).write.mode("append").parquet(sites)
+    frame("recorder_signals", [signal(1, "0701", "30 23:58", code="REMOTERECORD"),
+                               signal(2, "0701", "30 22:00", code="REMOTERECORD")]).write.mode("append").parquet(signals)
+    handler(frame("disk_status", [disk("1", "0", "30 11:00"), disk("2", "0", "30 11:00")]), 1)
+    handler(frame("disk_status", [disk("1", "0", "30 11:05"), disk("2", "0", "30 11:05")]), 2)
+    assert rows(current_version(spark, open_path), "box_id", "latest_remote_recording") == [
+        ("b1", t("30 23:58")), ("b2", None)]
+    ids = [r[0] for r in current_version(spark, open_path).select("ticket_id").collect()]
+    assert sorted(ids) == [1, 2]
+
+
+def test_a_new_checkpoint_does_not_forget_the_table(spark, frame, tmp_path):
+    def handler(**options):
+        return st.near_violation_feed(
+            spark, str(tmp_path / "t"), str(tmp_path / "f"), lambda: frame("sites", [site(1)]), lambda: NOW,
+            **options)
+
+    handler()(frame("tickets", [ticket(1, "30 23:56", None)]), 0)
+    handler()(frame("tickets", [ticket(2, "30 23:33", None)]), 1)
+    with pytest.raises(ValueError, match="start=2"):
+        handler()(frame("tickets", [ticket(4, "30 23:32", None)]), 0)
+    handler(start=2)(frame("tickets", [ticket(4, "30 23:32", None)]), 0)
+    assert rows(current_version(spark, str(tmp_path / "f")), "event_id") == [(1,), (2,), (4,)]
