@@ -492,9 +492,11 @@ def _(spark, sf):
 
 # All event types count as outages here, and limits are low: sample times are random.
 LOW = outages.Thresholds(pattern=(1, 1, 2), total=(5, 13, 33), night=(1, 1, 1))
+# With these some sites show a pattern and some do not.
+SOME = outages.Thresholds(pattern=(2, 3, 5), total=(5, 13, 33), night=(1, 1, 1))
 
 
-def _pattern(remark: str, unit: str, off: str, on: str, by: str) -> str:
+def _pattern(remark: str, unit: str, off: str, on: str, by: str, least: tuple) -> str:
     off_key, on_key = off or "null", on or "null"
     horizon = "at_time" if by == "off" else "closed_on"
     return f"""select site_id, '{remark}' as remark, '{unit}' as unit,
@@ -502,40 +504,45 @@ def _pattern(remark: str, unit: str, off: str, on: str, by: str) -> str:
       count(*) filter ({horizon} >= timestamp '2024-01-28') as c3,
       count(*) filter ({horizon} >= timestamp '2024-01-24') as c7, count(*) as c15
       from base group by site_id, {off_key}, {on_key}
-      having c3 >= 1 and c7 >= 1 and c15 >= 2"""
+      having c3 >= {least[0]} and c7 >= {least[1]} and c15 >= {least[2]}"""
 
 
 _TO = "strftime(at_time, '%H:%M')"
 _TN = "strftime(closed_on, '%H:%M')"
 _HO = "strftime(at_time, '%H')"
 _HN = "strftime(closed_on, '%H')"
-_PATTERNS = (
-    ("base", f"""select * from tickets where at_time between timestamp '2024-01-16' and {ASOF_SQL}
-        and closed_on < {ASOF_SQL} qualify row_number() over (partition by site_id, msg, at_time
-        order by event_id) = 1"""),
-    ("mp", _pattern("Offline-Online", "minute", _TO, _TN, "off")),
-    ("hp", _pattern("Offline-Online", "hour", _HO, _HN, "off")),
-    ("mf", _pattern("Offline", "minute", _TO, "", "off")
-     + " and (site_id, o) not in (select site_id, o from mp)"),
-    ("mn", _pattern("Online", "minute", "", _TN, "on")
-     + " and (site_id, n) not in (select site_id, n from mp)"),
-    ("hf0", _pattern("Offline", "hour", _HO, "", "off")
-     + " and (site_id, o) not in (select site_id, o from hp)"),
-    ("hn0", _pattern("Online", "hour", "", _HN, "on")
-     + " and (site_id, n) not in (select site_id, n from hp)"),
-    ("hf", "select * from hf0 where (site_id, o) not in (select site_id, o[1:2] from mf)"),
-    ("hn", "select * from hn0 where (site_id, n) not in (select site_id, n[1:2] from mn)"),
-    ("hp1", "select * from hp where (site_id, o, n) not in "
-            "(select site_id, o[1:2], n[1:2] from mp)"),
-    ("busy", """select site_id, count(*) filter (at_time >= timestamp '2024-01-28') as c3,
-        count(*) filter (at_time >= timestamp '2024-01-24') as c7, count(*) as c15 from base
-        group by site_id having c3 >= 5 and c7 >= 13 and c15 >= 33"""),
-    ("found", """select * from (select * from mp union all select * from hp1
-        union all select * from mf where site_id not in (select site_id from hp1)
-        union all select * from mn where site_id not in (select site_id from hp1)
-        union all select * from hf where site_id not in (select site_id from mp)
-        union all select * from hn where site_id not in (select site_id from mp))
-        where site_id not in (select site_id from busy)"""))
+def _patterns(limits: outages.Thresholds) -> tuple:
+    return (
+        ("base", f"""select * from tickets where at_time between timestamp '2024-01-16' and {ASOF_SQL}
+            and closed_on < {ASOF_SQL} qualify row_number() over (partition by site_id, msg, at_time
+            order by event_id) = 1"""),
+        ("mp", _pattern("Offline-Online", "minute", _TO, _TN, "off", limits.pattern)),
+        ("hp", _pattern("Offline-Online", "hour", _HO, _HN, "off", limits.pattern)),
+        ("mf", _pattern("Offline", "minute", _TO, "", "off", limits.pattern)
+         + " and (site_id, o) not in (select site_id, o from mp)"),
+        ("mn", _pattern("Online", "minute", "", _TN, "on", limits.pattern)
+         + " and (site_id, n) not in (select site_id, n from mp)"),
+        ("hf0", _pattern("Offline", "hour", _HO, "", "off", limits.pattern)
+         + " and (site_id, o) not in (select site_id, o from hp)"),
+        ("hn0", _pattern("Online", "hour", "", _HN, "on", limits.pattern)
+         + " and (site_id, n) not in (select site_id, n from hp)"),
+        ("hf", "select * from hf0 where (site_id, o) not in (select site_id, o[1:2] from mf)"),
+        ("hn", "select * from hn0 where (site_id, n) not in (select site_id, n[1:2] from mn)"),
+        ("hp1", "select * from hp where (site_id, o, n) not in "
+                "(select site_id, o[1:2], n[1:2] from mp)"),
+        ("busy", f"""select site_id, count(*) filter (at_time >= timestamp '2024-01-28') as c3,
+            count(*) filter (at_time >= timestamp '2024-01-24') as c7, count(*) as c15 from base
+            group by site_id having c3 >= {limits.total[0]} and c7 >= {limits.total[1]}
+            and c15 >= {limits.total[2]}"""),
+        ("found", """select * from (select * from mp union all select * from hp1
+            union all select * from mf where site_id not in (select site_id from hp1)
+            union all select * from mn where site_id not in (select site_id from hp1)
+            union all select * from hf where site_id not in (select site_id from mp)
+            union all select * from hn where site_id not in (select site_id from mp))
+            where site_id not in (select site_id from busy)"""))
+
+
+_PATTERNS = _patterns(LOW)
 
 
 def _outage_base(spark: SparkSession, sf: str) -> DataFrame:
@@ -573,13 +580,13 @@ def _night_check(least: tuple[int, int, int], where: str) -> str:
           having c3 >= {least[0]} and c7 >= {least[1]} and c15 >= {least[2]})
         join sites using (site_id) where {where}
           and site_id not in (select site_id from found)
-          and site_id not in (select site_id from busy)""", *_PATTERNS)
+          and site_id not in (select site_id from busy)""", *_patterns(SOME))
 
 
 def _night(spark: SparkSession, sf: str, least: tuple[int, int, int], **options) -> DataFrame:
     """Sample outages are short, so the end is moved by nine hours to reach the morning."""
     base = _outage_base(spark, sf)
-    shown = outages.all_patterns(base, b.ASOF, LOW)
+    shown = outages.all_patterns(base, b.ASOF, SOME)
     moved = base.withColumn("closed_on", F.col("closed_on") + F.make_dt_interval(
         F.lit(0), F.lit(9)))
     return outages.business_hour_outages(moved, shown, b.sites(spark, sf), b.ASOF, least, **options)
