@@ -12,8 +12,8 @@ from sitepulse.functions.labels import cut
 from sitepulse.operators.joins import null_safe_left
 
 # Value ranges per column, bounded by quantiles of the column's distinct values.
-RANGES = 1024
-_STEPS = [1 << i for i in reversed(range(RANGES.bit_length() - 1))]
+_FAN = 16
+RANGES = _FAN * _FAN
 
 
 def _cells(df: DataFrame, values: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
@@ -25,10 +25,18 @@ def _cells(df: DataFrame, values: Sequence[str], keys: Sequence[str] = ()) -> Da
             .filter("_v is not null"))
 
 
-def _value_range(value: Column, bounds: Column) -> Column:
-    """How many of the ascending ``bounds`` lie below ``value`` (binary search)."""
-    return F.aggregate(F.array(*[F.lit(s) for s in _STEPS]), F.lit(0), lambda at, step: F.when(
-        F.get(bounds, at + step - 1) < value, at + step).otherwise(at))
+def _in_ranges(df: DataFrame) -> DataFrame:
+    """Adds ``_range``: how many of the ascending ``_bounds`` lie below ``_v``.
+
+    Two rounds of comparisons, both compiled: every ``_FAN``-th bound, then those in between.
+    """
+    def below(places: Sequence[str]) -> str:
+        return " + ".join(f"int(coalesce(get(_bounds, {p}) < _v, false))" for p in places)
+
+    coarse = F.expr(below([str(_FAN * i - 1) for i in range(1, _FAN)]))
+    fine = F.expr(f"_coarse * {_FAN} + "
+                  + below([f"_coarse * {_FAN} + {i}" for i in range(_FAN - 1)]))
+    return df.withColumn("_coarse", coarse).withColumn("_range", fine).drop("_coarse")
 
 
 def _placed(cells: DataFrame) -> DataFrame:
@@ -39,22 +47,23 @@ def _placed(cells: DataFrame) -> DataFrame:
     both are broadcast. NaN comes after infinity.
     """
     counts = cells.groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
-    shares = F.array(*[F.lit(i / RANGES) for i in range(1, RANGES)])
+    shares = F.expr(f"array({', '.join(f'{i / RANGES}D' for i in range(1, RANGES))})")
     finite = F.when(F.abs("_v") < float("inf"), F.col("_v"))
     bounds = counts.groupBy("_c").agg(
-        F.percentile_approx(finite, shares, F.lit(4 * RANGES)).alias("_bounds"))
-    counts = counts.join(F.broadcast(bounds), "_c").select("_c", "_v", "_n", F.coalesce(
-        _value_range(F.col("_v"), F.col("_bounds")), F.lit(0)).alias("_range"))
-    column = Window.partitionBy("_c")
-    before = column.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    totals = (counts.groupBy("_c", "_range").agg(F.sum("_n").alias("_rn"))
-              .select("_c", "_range",
-                      F.coalesce(F.sum("_rn").over(before), F.lit(0)).alias("_before"),
-                      F.sum("_rn").over(column).alias("_total")))
+        F.percentile_approx(finite, shares, F.lit(4 * RANGES)).alias("_bounds"),
+        F.sum("_n").alias("_total"))
+    counts = _in_ranges(counts.join(F.broadcast(bounds), "_c")).drop("_bounds")
+    # The totals need ``_total`` no more than the rows do, but with equal columns on both ways
+    # Spark computes the distinct values and the bounds once.
+    before = (Window.partitionBy("_c").orderBy("_range")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    totals = (counts.groupBy("_c", "_range", "_total").agg(F.sum("_n").alias("_rn"))
+              .select("_c", "_range", "_total",
+                      F.coalesce(F.sum("_rn").over(before), F.lit(0)).alias("_before")))
     inside = (Window.partitionBy("_c", "_range").orderBy("_v")
               .rowsBetween(Window.unboundedPreceding, -1))
     start = F.col("_before") + F.coalesce(F.sum("_n").over(inside), F.lit(0))
-    return counts.join(F.broadcast(totals), ["_c", "_range"]).select(
+    return counts.join(F.broadcast(totals), ["_c", "_range", "_total"]).select(
         "_c", "_v", "_n", start.alias("_start"), "_total")
 
 
