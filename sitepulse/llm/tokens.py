@@ -7,6 +7,7 @@ by walking down the character sums, pre-tokens are split anew from the last one
 have touched (its end lies at least two characters in front, which is as far as the split looks
 ahead) until a border falls on an old border behind the edit, and only the leaves in between are
 replaced and their sums updated on the way to the root. Everything else keeps its count.
+``build_trees`` gives a table to store, ``apply_edits`` its next state; ``recount`` does both at once.
 
 Defined cases: a null text is empty and has no tokens; edits are applied from the last to the
 first, in places of the text before all edits, cut at its end; an edit with a null insert deletes;
@@ -101,6 +102,10 @@ class TokenTree:
     def total(self) -> int:
         return self.tokens[1]
 
+    def flat(self) -> tuple[list[int], list[int]]:
+        """Characters and tokens of every pre-token; ``TokenTree(*flat)`` needs no encoding."""
+        return ([n for ls, _ in self.leaves for n in ls], [n for _, cs in self.leaves for n in cs])
+
     def find(self, at: int) -> tuple[int, int]:
         """(leaf, characters before it) of the leaf that holds character ``at`` (or the last)."""
         node, before = 1, 0
@@ -181,12 +186,10 @@ class TokenTree:
         return new, len(parts)
 
 
-def count_edited(text: str, edits: list[dict], count: Counter) -> tuple[int, int, int, int, str]:
-    """(tokens before, tokens after, pre-tokens, pre-tokens encoded anew, text after)."""
-    tree = TokenTree.of(text, count)
-    before, size, anew = tree.total, sum(len(ls) for ls, _ in tree.leaves), 0
-    special = count.has_special(text)
-    limit = float("inf")
+def edited(tree: TokenTree, text: str, edits: list[dict], count: Counter
+           ) -> tuple[TokenTree, str, int]:
+    """(tree, text, pre-tokens encoded anew) after the edits; ``tree`` belongs to ``text``."""
+    special, limit, anew = count.has_special(text), float("inf"), 0
     for e in sorted(edits, key=lambda e: (e["start"], e["length"]), reverse=True):
         if e["start"] + e["length"] > limit:
             raise ValueError("edits overlap")
@@ -197,12 +200,69 @@ def count_edited(text: str, edits: list[dict], count: Counter) -> tuple[int, int
         else:
             text, n = tree.edit(text, e["start"], e["length"], e["insert"] or "", count)
             anew += n
-    if special or (edits and count.has_special(text)):
+    if edits and (special or count.has_special(text)):
         tree = TokenTree.of(text, count)
         anew = sum(len(ls) for ls, _ in tree.leaves)
+    return tree, text, anew
+
+
+def count_edited(text: str, edits: list[dict], count: Counter) -> tuple[int, int, int, int, str]:
+    """(tokens before, tokens after, pre-tokens, pre-tokens encoded anew, text after)."""
+    tree = TokenTree.of(text, count)
+    before, size = tree.total, sum(len(ls) for ls, _ in tree.leaves)
+    tree, text, anew = edited(tree, text, edits, count)
     return before, tree.total, size, anew, text
 
 
+TREE = "doc_id long, text string, lengths array<int>, counts array<int>, n_tokens long"
+
+
+def _tree_batch(ids: list, texts: list[str], trees: list[TokenTree]) -> pa.RecordBatch:
+    flat = [t.flat() for t in trees]
+    kind = pa.list_(pa.int32())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(ids, pa.int64()), pa.array(texts, pa.string()),
+         pa.array([f[0] for f in flat], kind), pa.array([f[1] for f in flat], kind),
+         pa.array([t.total for t in trees], pa.int64())],
+        ["doc_id", "text", "lengths", "counts", "n_tokens"])
+
+
+def build_trees(docs: DataFrame, files: tuple[str, str | None] | None = None) -> DataFrame:
+    """The leaves of every document's tree, to be stored beside its text."""
+    files = files or default_files()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = counter(*files)
+        for batch in batches:
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            yield _tree_batch(batch.column(0).to_pylist(), texts,
+                              [TokenTree.of(t, count) for t in texts])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                       F.col("text").cast("string").alias("text")).mapInArrow(run, TREE)
+
+
+def apply_edits(trees: DataFrame, edits: DataFrame, files: tuple[str, str | None] | None = None
+                ) -> DataFrame:
+    """Next state of a table of ``build_trees``; ``edits`` has one row per document (doc_id, edits).
+
+    Documents without edits stay as they are.
+    """
+    files = files or default_files()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = counter(*files)
+        for batch in batches:
+            ids, texts, lengths, counts, changes = (c.to_pylist() for c in batch.columns)
+            done = [edited(TokenTree(ls, cs), t, e or [], count)
+                    for t, ls, cs, e in zip(texts, lengths, counts, changes)]
+            yield _tree_batch(ids, [d[1] for d in done], [d[0] for d in done])
+
+    changes = edits.select(F.col("doc_id").alias("_id"), F.col("edits").cast(EDIT).alias("edits"))
+    rows = trees.join(changes, trees["doc_id"] == changes["_id"], "left")
+    return rows.select("doc_id", "text", "lengths", "counts", "edits").mapInArrow(run, TREE)
+
+
 def recount(docs: DataFrame, files: tuple[str, str | None] | None = None) -> DataFrame:
     """Counts of ``docs`` (doc_id, text, edits) before and after the edits, and the new text."""
     files = files or default_files()

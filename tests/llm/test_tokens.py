@@ -98,3 +98,23 @@ def test_overlapping_edits_are_refused(count):
     with pytest.raises(ValueError):
         tokens.count_edited("abcdef", [{"start": 0, "length": 4, "insert": ""},
                                        {"start": 2, "length": 1, "insert": ""}], count)
+
+
+def test_stored_trees_follow_edits(spark, full):
+    texts = {1: "one two three " * 400, 2: None, 3: "a <|endoftext|> b", 4: "left as it is"}
+    docs = spark.createDataFrame([*texts.items(), (None, "x")], "doc_id long, text string")
+    trees = spark.createDataFrame(tokens.build_trees(docs).collect(), tokens.TREE)
+    assert {r["doc_id"]: r["n_tokens"] for r in trees.collect()} == {
+        **{d: full(t or "") for d, t in texts.items()}, None: 1}
+    edits = spark.createDataFrame([(1, [(4, 3, "five"), (2000, 5, None)]), (2, [(0, 0, "new")]),
+                                   (3, [(0, 1, "c")]), (9, [(0, 1, "none")])],
+                                  f"doc_id long, edits {tokens.EDIT}")
+    for _ in range(2):
+        trees = spark.createDataFrame(tokens.apply_edits(trees, edits).collect(), tokens.TREE)
+        rows = {r["doc_id"]: r for r in trees.collect()}
+        assert len(rows) == 5
+        for r in rows.values():
+            assert r["n_tokens"] == full(r["text"]) == sum(r["counts"])
+            assert sum(r["lengths"]) == len(r["text"])
+    assert rows[1]["text"].startswith("one fivee ")
+    assert rows[2]["text"] == "newnew" and rows[4]["text"] == texts[4]
