@@ -135,13 +135,24 @@ def removals(rows: DataFrame, least: int = MIN_WORDS) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(found, kind)],
                                              ["doc_id", "key", "partner", "blocks"])
 
-    met = pairs(rows)
-    later = met.join(rows, ["doc_id", "key"])
+    met = stored(pairs(rows), "line-pairs")
+    # A partner of very many documents (the first of a large group of copies) is dealt out: its
+    # lines go to several places. At most a thousand partners exceed a thousandth of all pairs.
+    limit = max(200, met.count() // 1000)
+    hot = F.broadcast(met.groupBy("partner").agg(F.count(F.lit(1)).alias("n")).where(
+        F.col("n") > limit).select("partner", F.ceil(F.col("n") / limit).cast("int").alias(
+            "places")))
+    places = F.coalesce("places", F.lit(1))
+    later = met.join(hot, "partner", "left").withColumn(
+        "place", F.pmod(F.xxhash64("doc_id", "key"), places).cast("int")).drop("places")
+    later = later.join(rows, ["doc_id", "key"])
     # Of rows repeated with one id, the smallest text key is the partner.
     single = rows.groupBy("doc_id").agg(F.min(F.struct("key", "lines")).alias("r"))
     earlier = single.select(F.col("doc_id").alias("partner"), F.col("r.lines").alias("earlier"))
-    both = later.join(earlier, "partner").select("doc_id", "key", "partner", "earlier", "lines",
-                                                 F.col("words").cast("array<int>"))
+    earlier = earlier.join(hot, "partner", "left").withColumn("place", F.explode(
+        F.sequence(F.lit(0), places - 1))).drop("places")
+    both = later.join(earlier, ["partner", "place"]).select(
+        "doc_id", "key", "partner", "earlier", "lines", F.col("words").cast("array<int>"))
     aligned = both.mapInArrow(align, "doc_id long, key long, partner long, "
                                      "blocks array<struct<first:int,last:int>>")
     return aligned.where(F.size("blocks") > 0).groupBy("doc_id", "key").agg(
