@@ -6,6 +6,10 @@
    holder. The rarest line of a stretch makes a pair of the two documents. So a document meets
    at most as many partners as it has stretches, a line in very many documents makes one pair
    for each of them with its first holder, and no line with an earlier holder is left out.
+   Lines that are common one by one may form a passage that is not, so the same is done for runs:
+   from every line, forwards and backwards, the shortest run of lines with ``MIN_WORDS`` words.
+   Each run makes a pair with its earliest holder. Every line of a block that may go lies in such
+   a run inside the block, so it has a partner that holds that run whole.
 3. Each pair is aligned with a patience diff: lines that occur once on both sides and are in the
    same order on both are anchors; between them the diff is taken again, and equal lines next to
    an anchor join its block.
@@ -24,6 +28,7 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -31,6 +36,7 @@ from pyspark.sql import functions as F
 from sitepulse.llm.common import look_up, stored, table, text_of
 
 MIN_WORDS = 20
+_U = np.uint64
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
@@ -67,6 +73,59 @@ def _total(rows: DataFrame) -> int:
     return rows.count()
 
 
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
+    return x ^ (x >> _U(31))
+
+
+def run_hashes(lines: np.ndarray, words: np.ndarray, least: int) -> np.ndarray:
+    """Hashes of the shortest runs of ``least`` words from each line, forwards and backwards.
+
+    ``lines`` holds no blank ones. Runs of one line are left out: ``pairs`` has their holders.
+    """
+    n = len(lines)
+    total = np.concatenate([[0], np.cumsum(words)])
+    stop = np.searchsorted(total, total[:-1] + least)
+    start = np.searchsorted(total, total[1:] - least, "right") - 1
+    first = np.concatenate([np.arange(n), start])
+    last = np.concatenate([stop, np.arange(1, n + 1)])
+    real = (first >= 0) & (last <= n) & (last - first > 1)
+    first, last = first[real], last[real]
+    base = 0x9E3779B97F4A7C15
+    up, down = np.full(n + 1, base, _U), np.full(n + 1, pow(base, -1, 1 << 64), _U)
+    up[0] = down[0] = 1
+    sums = np.concatenate([np.zeros(1, _U), np.cumsum(_mix(lines.view(_U)) * np.cumprod(up)[:n])])
+    body = (sums[last] - sums[first]) * np.cumprod(down)[first]
+    return np.unique(_mix(body + (last - first).astype(_U) * _U(0xC2B2AE3D27D4EB4F)))
+
+
+def run_pairs(rows: DataFrame, least: int = MIN_WORDS) -> DataFrame:
+    """(doc_id, key, partner): each run of lines with ``least`` words and its earliest holder."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, sizes = [np.zeros(0, _U)], []
+            for lines, words in zip(batch.column(2), batch.column(3)):
+                values, real = lines.values, lines.values.is_valid()
+                found.append(run_hashes(
+                    values.filter(real).to_numpy(),
+                    words.values.filter(real).to_numpy().astype(np.int64), least))
+                sizes.append(len(found[-1]))
+            ids, keys = (np.repeat(batch.column(i).to_numpy(), sizes) for i in range(2))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids), pa.array(keys), pa.array(np.concatenate(found).view(np.int64))],
+                ["doc_id", "key", "run"])
+
+    runs = rows.where("doc_id is not null").select("doc_id", "key", "lines", "words").mapInArrow(
+        run, "doc_id long, key long, run long")
+    holders = stored(runs.groupBy("run").agg(
+        F.min("doc_id").alias("holder"), F.max("doc_id").alias("last"),
+        F.count(F.lit(1)).alias("n")).where("holder < last").drop("last"), "run-holders")
+    total = holders.agg(F.sum("n")).first()[0] or 0
+    return look_up(runs, holders, "run", "n", total).where("holder < doc_id").select(
+        "doc_id", "key", F.col("holder").alias("partner")).distinct()
+
+
 def _anchors(a: list, b: list) -> list[tuple[int, int]]:
     """Longest run of pairs, rising on both sides, of values that occur once in each list."""
     in_a, in_b = Counter(a), Counter(b)
@@ -135,7 +194,7 @@ def removals(rows: DataFrame, least: int = MIN_WORDS) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(found, kind)],
                                              ["doc_id", "key", "partner", "blocks"])
 
-    met = stored(pairs(rows), "line-pairs")
+    met = stored(pairs(rows).unionByName(run_pairs(rows, least)).distinct(), "line-pairs")
     # A partner of very many documents (the first of a large group of copies) is dealt out: its
     # lines go to several places. At most a thousand partners exceed a thousandth of all pairs.
     limit = max(200, met.count() // 1000)

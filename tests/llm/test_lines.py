@@ -114,3 +114,45 @@ def test_odd_rows(documents):
 
 def test_empty_table(documents):
     assert lines.dedup_lines(documents([])).count() == 0
+
+
+def all_earlier(texts, least=lines.MIN_WORDS):
+    """Align each document with every earlier one."""
+    out = {}
+    for d, text in texts.items():
+        clean = [x.strip() or None for x in text.split("\n")]
+        words = [len((x or "").split()) for x in clean]
+        gone = set()
+        for p in (p for p in texts if p < d):
+            other = [x.strip() or None for x in texts[p].split("\n")]
+            for s, e in lines.common_blocks(other, clean, words, least):
+                gone |= set(range(s, e + 1))
+        out[d] = "\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone)
+    return out
+
+
+def test_passage_of_lines_with_other_earliest_holders(documents):
+    """The lines have earlier holders one by one; only a later document holds the passage."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(12)) for x in "abc")
+    texts = {1: f"{a}\nfar\naway\n{b}", 2: f"two\n{a}\n\n{b}\nend", 3: f"three\n{a}\n{b}",
+             11: c, 12: f"{c}\nx\n{b}", 13: f"{b}\n{c}\nthirteen", 14: f"own\n{b}\n{c}"}
+    got = run(documents(list(texts.items())))
+    assert {d: r["text"] for d, r in got.items()} == all_earlier(texts)
+    assert got[3]["text"] == "three" and got[3]["partners"] == [2]
+    assert got[14]["text"] == "own" and got[14]["partners"] == [13]
+
+
+def test_runs_against_all_earlier_documents(documents):
+    """Passages cut from one sequence of lines, so that blocks never cross."""
+    rnd = random.Random(8)
+    pool = [" ".join(f"w{k}x{i}" for i in range(rnd.choice([2, 5, 9, 25]))) for k in range(60)]
+    texts = {}
+    for d in range(60):
+        parts, at = [], 0
+        while at < len(pool):
+            n = rnd.randint(1, 6)
+            parts += pool[at:at + n] + [f"own {d} {at}"]
+            at += n + rnd.randint(0, 25)
+        texts[d] = "\n".join(parts)
+    got = run(documents(list(texts.items())))
+    assert {d: r["text"] for d, r in got.items()} == all_earlier(texts)
