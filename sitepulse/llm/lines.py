@@ -12,7 +12,8 @@
    a run inside the block, so it has a partner that holds that run whole.
 3. Each pair is aligned with a patience diff: lines that occur once on both sides and are in the
    same order on both are anchors; between them the diff is taken again, and equal lines next to
-   an anchor join its block.
+   an anchor join its block. Where a range has no line that is unique on both sides, its common
+   run with the most words is aligned, and the diff is taken again on both sides of it.
 4. Aligned blocks of at least ``MIN_WORDS`` words go from the later document; shorter ones, such
    as a shared greeting, stay.
 
@@ -27,6 +28,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -147,24 +149,93 @@ def _anchors(a: list, b: list) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def patience(a: list, b: list) -> list[tuple[int, int]]:
-    """Aligned (place in a, place in b); null values match nothing."""
+def _heaviest(a: list, b: list, words: list[int], least: int) -> tuple[int, int, int] | None:
+    """(start in a, start in b, lines) of the common run with the most words; None below ``least``.
+
+    A suffix automaton of ``a`` gives the longest run that ends at each line of ``b``.
+    """
+    known = set(a)
+    best = now = 0
+    for x, w in zip(b, words):
+        now = now + w if x in known else 0
+        best = max(best, now)
+    if not best or best < least:
+        return None
+    after: list[dict] = [{}]
+    length, link, ends = [0], [-1], [-1]
+    tip = 0
+    for i, x in enumerate(a):
+        new = len(after)
+        after.append({})
+        length.append(length[tip] + 1)
+        link.append(0)
+        ends.append(i)
+        p, tip = tip, new
+        while p >= 0 and x not in after[p]:
+            after[p][x] = new
+            p = link[p]
+        if p >= 0:
+            q = after[p][x]
+            if length[q] == length[p] + 1:
+                link[new] = q
+            else:
+                copy = len(after)
+                after.append(dict(after[q]))
+                length.append(length[p] + 1)
+                link.append(link[q])
+                ends.append(ends[q])
+                while p >= 0 and after[p].get(x) == q:
+                    after[p][x] = copy
+                    p = link[p]
+                link[q] = link[new] = copy
+    total = [0, *accumulate(words)]
+    found, most = None, max(least, 1) - 1
+    at = size = 0
+    for j, x in enumerate(b, 1):
+        while at and x not in after[at]:
+            at = link[at]
+            size = length[at]
+        if x in after[at]:
+            at = after[at][x]
+            size += 1
+            if total[j] - total[j - size] > most:
+                most = total[j] - total[j - size]
+                found = ends[at] + 1 - size, j - size, size
+    return found
+
+
+def patience(a: list, b: list, words: list[int] | None = None,
+             least: int = 1) -> list[tuple[int, int]]:
+    """Aligned (place in a, place in b); null values match nothing.
+
+    ``words`` are those of b's lines (one each by default). Ranges without an anchor are aligned
+    as far as they have common runs of ``least`` words.
+    """
+    real_a, real_b = ([i for i, x in enumerate(y) if x is not None] for y in (a, b))
+    words = [words[j] if words else 1 for j in real_b]
+    a, b = [a[i] for i in real_a], [b[j] for j in real_b]
     out, todo = [], [(0, len(a), 0, len(b))]
     while todo:
         a0, a1, b0, b1 = todo.pop()
-        while a0 < a1 and b0 < b1 and a[a0] is not None and a[a0] == b[b0]:
+        while a0 < a1 and b0 < b1 and a[a0] == b[b0]:
             out.append((a0, b0))
             a0, b0 = a0 + 1, b0 + 1
-        while a0 < a1 and b0 < b1 and a[a1 - 1] is not None and a[a1 - 1] == b[b1 - 1]:
+        while a0 < a1 and b0 < b1 and a[a1 - 1] == b[b1 - 1]:
             a1, b1 = a1 - 1, b1 - 1
             out.append((a1, b1))
         anchors = _anchors(a[a0:a1], b[b0:b1])
-        if anchors:
-            edges = [(-1, -1), *anchors, (a1 - a0, b1 - b0)]
-            out += [(a0 + i, b0 + j) for i, j in anchors]
-            todo += [(a0 + i + 1, a0 + k, b0 + j + 1, b0 + m)
-                     for (i, j), (k, m) in zip(edges, edges[1:]) if k > i + 1 and m > j + 1]
-    return sorted(out)
+        if not anchors:
+            run = _heaviest(a[a0:a1], b[b0:b1], words[b0:b1], least)
+            if run:
+                i, j, size = run
+                out += [(a0 + i + k, b0 + j + k) for k in range(size)]
+                todo += [(a0, a0 + i, b0, b0 + j), (a0 + i + size, a1, b0 + j + size, b1)]
+            continue
+        edges = [(-1, -1), *anchors, (a1 - a0, b1 - b0)]
+        out += [(a0 + i, b0 + j) for i, j in anchors]
+        todo += [(a0 + i + 1, a0 + k, b0 + j + 1, b0 + m)
+                 for (i, j), (k, m) in zip(edges, edges[1:]) if k > i + 1 and m > j + 1]
+    return sorted((real_a[i], real_b[j]) for i, j in out)
 
 
 def common_blocks(a: list, b: list, words: list[int], least: int) -> list[tuple[int, int]]:
@@ -174,7 +245,7 @@ def common_blocks(a: list, b: list, words: list[int], least: int) -> list[tuple[
     """
     blocks: list[list[int]] = []
     reach = -1
-    for i, j in patience(a, b):
+    for i, j in patience(a, b, words, least):
         if blocks and all(x is None for x in a[reach + 1:i]) and all(
                 x is None for x in b[blocks[-1][1] + 1:j]):
             blocks[-1][1] = j

@@ -156,3 +156,31 @@ def test_runs_against_all_earlier_documents(documents):
         texts[d] = "\n".join(parts)
     got = run(documents(list(texts.items())))
     assert {d: r["text"] for d, r in got.items()} == all_earlier(texts)
+
+
+def test_passage_that_occurs_twice(documents):
+    """No line is unique on both sides: the passage stands twice in one of the documents."""
+    p = LONG[:3]
+    twice = ["u", *p, "v", *p, "w"]
+    once = ["x", *p, "y"]
+    got = run(documents([(1, "\n".join(once)), (2, "\n".join(twice))]))
+    assert got[2]["n_removed"] == 3 and got[2]["text"].split("\n") == ["u", "v", *p, "w"]
+    got = run(documents([(1, "\n".join(twice)), (2, "\n".join(["s", *once]))]))
+    assert got[2]["text"] == "s\nx\ny"
+    got = run(documents([(1, "\n".join(["r", *twice])), (2, "\n".join(["s", *p, "", *p, "t"]))]))
+    assert got[2]["text"] == "s\n\nt"
+
+
+def test_fallback_finds_the_heaviest_common_run():
+    rnd = random.Random(6)
+    for _ in range(300):
+        a, b = ([rnd.choice("abc") for _ in range(rnd.randint(0, 14))] for _ in range(2))
+        words = [rnd.randint(1, 5) for _ in b]
+        runs = [(sum(words[j:j + n]), n) for n in range(1, 15) for j in range(len(b) - n + 1)
+                if any(a[i:i + n] == b[j:j + n] for i in range(len(a) - n + 1))]
+        best = max(runs, default=(0, 0))[0]
+        got = lines._heaviest(a, b, words, 4)
+        assert (got is None) == (best < 4)
+        if got:
+            i, j, n = got
+            assert a[i:i + n] == b[j:j + n] and sum(words[j:j + n]) == best
