@@ -16,10 +16,11 @@ A byte goes if it lies in a string of ``LENGTH`` bytes that also starts earlier
    repeats of one string. All but the first go.
 3. The spans of a document are joined and cut out.
 
-Defined cases: a null text is empty; a document shorter than LENGTH keeps all its bytes; a null
-``doc_id`` comes after all others (such rows count as one place each, so they never remove each
-other's strings at equal starts); rows repeated with one ``doc_id`` are one document where their
-texts are equal; an empty table gives no rows; other columns are not read.
+Defined cases: a null text is empty; a document shorter than LENGTH keeps all its bytes; rows
+without a ``doc_id`` come after all others, each as a document of its own, in any order; rows
+repeated with one ``doc_id`` are one document where their texts are equal, and otherwise documents
+of their own, in the order of a hash of the text; an empty table gives no rows; other columns are
+not read.
 """
 
 from __future__ import annotations
@@ -103,15 +104,26 @@ def contexts(data: bytes) -> Iterator[tuple[np.ndarray, ...]]:
         yield grams[anchor], own, anchor + at, first + at, last + at
 
 
+def _ranks(doc: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rank of each (doc, row) among the different ones, and the index of one row of each rank."""
+    by = np.lexsort((row, doc))
+    new = np.ones(len(by), bool)
+    new[1:] = (doc[by][1:] != doc[by][:-1]) | (row[by][1:] != row[by][:-1])
+    rank = np.empty(len(by), np.int64)
+    rank[by] = np.cumsum(new) - 1
+    return rank, by[new]
+
+
+# A document is its ``doc`` and ``row`` (a hash of the text, or a number where there is no id).
 # A row of the shuffle: a context (place >= 0: anchor, strings before it and strings after the
 # first, packed) or a span that is settled already (place < 0: ~end, own: start).
-ROW = "anchor long, own long, doc long, place long"
+ROW = "anchor long, own long, doc long, row long, place long"
 
 
-def _batch(anchor, own, doc, place) -> pa.RecordBatch:
+def _batch(anchor, own, doc, row, place) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(x.view(np.int64)) for x in (anchor, own, doc, place)],
-        ["anchor", "own", "doc", "place"])
+        [pa.array(x.view(np.int64)) for x in (anchor, own, doc, row, place)],
+        ["anchor", "own", "doc", "row", "place"])
 
 
 def _first_of_class(anchor, own, doc, place):
@@ -128,32 +140,37 @@ def _span(place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start, start + (place & 255) + LENGTH
 
 
+def _settle(parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """Rows of contexts (anchor, own, doc, row, place) with the copies among them settled."""
+    anchor, own, doc, row, place = (np.concatenate(x) for x in zip(*parts))
+    rank, at = _ranks(doc, row)
+    by, first = _first_of_class(anchor, own, rank, place)
+    keep = by[first == np.arange(len(by))]
+    yield _batch(anchor[keep], own[keep], doc[keep], row[keep], place[keep])
+    later = (rank[by] != rank[by[first]]) | (place[by] != place[by[first]])
+    gone = by[later]
+    rank, start, end = merge_spans(rank[gone], *_span(place[gone]))
+    doc, row = doc[at][rank], row[at][rank]
+    yield _batch(_mix(doc.view(np.uint64) ^ _mix(row.view(np.uint64))), start, doc, row, ~end)
+
+
 def context_rows(docs: DataFrame) -> DataFrame:
     """Contexts of all documents, copies inside an input partition settled."""
-    def settle(parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        anchor, own, doc, place = (np.concatenate(x) for x in zip(*parts))
-        by, first = _first_of_class(anchor, own, doc, place)
-        is_first = first == np.arange(len(by))
-        keep = by[is_first]
-        yield _batch(anchor[keep], own[keep], doc[keep], place[keep])
-        later = (doc[by] != doc[by[first]]) | (place[by] != place[by[first]])
-        gone = by[later]
-        doc, start, end = merge_spans(doc[gone], *_span(place[gone]))
-        yield _batch(_mix(doc.view(np.uint64)), start, doc, ~end)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for doc, row, text in zip(*(batch.column(i).to_pylist() for i in range(2)),
+                                      batch.column(2)):
                 for anchor, own, at, first, last in contexts(text.as_py().encode()):
                     place = at << 16 | (at - first) << 8 | (last - first)
-                    parts.append([anchor, own, np.full(len(at), doc_id, np.int64), place])
+                    parts.append([anchor, own, np.full(len(at), doc, np.int64),
+                                  np.full(len(at), row, np.int64), place])
                     held += len(at)
                 if held > FLUSH:
-                    yield from settle(parts)
+                    yield from _settle(parts)
                     parts, held = [], 0
         if held:
-            yield from settle(parts)
+            yield from _settle(parts)
 
     return docs.mapInArrow(run, ROW)
 
@@ -182,38 +199,69 @@ def _groups(batches: Iterator[pa.RecordBatch], key: int, least: int, weigh=None)
         yield pa.Table.from_batches(held)
 
 
-MARK = "doc long, start long, stop long, anchor long"
+MARK = "doc long, row long, start long, stop long, anchor long"
 
 
 def marks(rows: DataFrame) -> DataFrame:
-    """Settled spans (no anchor), and the first places of contexts that share an anchor."""
+    """Settled spans (no anchor), and the first places of contexts that share an anchor.
+
+    Rows come in order and only the last context is carried along, so an anchor of very many
+    contexts is never held as a whole.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _groups(batches, 0, 1 << 18):
-            anchor, own, doc, place = (part.column(i).to_numpy() for i in range(4))
-            settled, open_ = place < 0, place >= 0
-            spans = [(doc[settled], own[settled], ~place[settled])]
-            anchor, own, doc, place = (x[open_] for x in (anchor, own, doc, place))
-            shared = np.zeros(0, np.int64)
-            if len(anchor):
-                by, first = _first_of_class(anchor, own, doc, place)
-                later = (doc[by] != doc[by[first]]) | (place[by] != place[by[first]])
-                spans.append((doc[by[later]], *_span(place[by[later]])))
-                only = by[first == np.arange(len(by))]
-                a = anchor[only]
-                same = a[1:] == a[:-1]
-                shared = only[np.append(same, False) | np.concatenate([[False], same])]
-            found = merge_spans(*(np.concatenate(x) for x in zip(*spans)))
-            start, stop = _span(place[shared])
-            none = np.ones(len(found[0]), bool)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.concatenate([found[0], doc[shared]])),
-                pa.array(np.concatenate([found[1], start])),
-                pa.array(np.concatenate([found[2], stop])),
-                pa.array(np.concatenate([np.zeros(len(none), np.int64), anchor[shared]]),
-                         mask=np.concatenate([none, np.zeros(len(shared), bool)]))],
-                ["doc", "start", "stop", "anchor"])
-
-    return rows.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, MARK)
+        carry, sent = None, False
+
+        def out(part: pa.Table) -> pa.RecordBatch:
+            nonlocal carry, sent
+            columns = [part.column(i).to_numpy() for i in range(5)]
+            settled = columns[4] < 0
+            _, begin, gone_doc, gone_row, end = (x[settled] for x in columns)
+            columns = [x[~settled] for x in columns]
+            if carry is not None:
+                columns = [np.concatenate(x) for x in zip(carry, columns)]
+            anchor, own, doc, row, place = columns
+            new = np.ones(len(anchor), bool)
+            new[1:] = (anchor[1:] != anchor[:-1]) | (own[1:] != own[:-1])
+            first = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+            later = ((doc != doc[first]) | (row != row[first]) | (place != place[first]))
+            start, stop = _span(place[later])
+            gone_doc = np.concatenate([gone_doc, doc[later]])
+            gone_row = np.concatenate([gone_row, row[later]])
+            rank, at = _ranks(gone_doc, gone_row)
+            rank, begin, end = merge_spans(rank, np.concatenate([begin, start]),
+                                           np.concatenate([~end, stop]))
+            only = np.flatnonzero(new)
+            shared = np.zeros(len(only), bool)
+            shared[1:] = anchor[only[1:]] == anchor[only[:-1]]
+            shared[:-1] |= shared[1:]
+            last_shared = len(only) > 0 and bool(shared[-1]) or len(only) == 1 and sent
+            if carry is not None and sent:
+                shared[0] = False
+            if len(only):
+                carry, sent = [x[only[-1:]] for x in columns], last_shared
+            only = only[shared]
+            start, stop = _span(place[only])
+            return pa.RecordBatch.from_arrays([
+                pa.array(np.concatenate([gone_doc[at][rank], doc[only]])),
+                pa.array(np.concatenate([gone_row[at][rank], row[only]])),
+                pa.array(np.concatenate([begin, start])),
+                pa.array(np.concatenate([end, stop])),
+                pa.array(np.concatenate([np.zeros(len(rank), np.int64), anchor[only]]),
+                         mask=np.arange(len(rank) + len(only)) < len(rank))],
+                ["doc", "row", "start", "stop", "anchor"])
+
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size >= 1 << 18:
+                yield out(pa.Table.from_batches(held))
+                held, size = [], 0
+        if size:
+            yield out(pa.Table.from_batches(held))
+
+    return rows.repartition("anchor").sortWithinPartitions(
+        "anchor", "own", "doc", "row", "place").mapInArrow(run, MARK)
 
 
 def shard_repeats(doc: np.ndarray, start: np.ndarray, parts: list[bytes], length: int = LENGTH,
@@ -247,51 +295,62 @@ def shard_repeats(doc: np.ndarray, start: np.ndarray, parts: list[bytes], length
     return d[later], s[later]
 
 
-def shared_strings(found: DataFrame, docs: DataFrame) -> DataFrame:
-    """Spans of repeated strings in contexts that share an anchor."""
-    places = found.where("anchor is not null").groupBy("doc").agg(
+def _with_text(places: DataFrame, docs: DataFrame) -> DataFrame:
+    """doc, row, text and places (list of anchor, start, stop) of documents that have some."""
+    listed = places.groupBy("doc", "row").agg(
         F.collect_list(F.struct("anchor", "start", "stop")).alias("places"))
+    return docs.join(listed, ["doc", "row"]).select("doc", "row", "text", "places")
 
+
+def shared_strings(places: DataFrame, docs: DataFrame) -> DataFrame:
+    """Spans of repeated strings in contexts that share an anchor."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc, anchor, start, body = [], [], [], []
-            for doc_id, text, places in zip(batch.column(0).to_pylist(), batch.column(1),
-                                            batch.column(2).to_pylist()):
-                data = text.as_py().encode()
-                for p in places:
+            doc, row, anchor, start, body = [], [], [], [], []
+            for doc_id, row_id, text, listed in zip(*(batch.column(i).to_pylist()
+                                                      for i in range(4))):
+                data = text.encode()
+                for p in listed:
                     doc.append(doc_id)
+                    row.append(row_id)
                     anchor.append(p["anchor"])
                     start.append(p["start"])
                     body.append(data[p["start"]:p["stop"]])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(doc, pa.int64()), pa.array(anchor, pa.int64()),
-                 pa.array(start, pa.int64()), pa.array(body, pa.binary())],
-                ["doc", "anchor", "start", "body"])
+                [*(pa.array(x, pa.int64()) for x in (doc, row, anchor, start)),
+                 pa.array(body, pa.binary())], ["doc", "row", "anchor", "start", "body"])
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _groups(batches, 1, SHARD, lambda b: b.column(3).nbytes):
-            doc, s = shard_repeats(part.column(0).to_numpy(), part.column(2).to_numpy(),
-                                   part.column(3).to_pylist())
-            doc, s, e = merge_spans(doc, s, s + LENGTH)
+        for part in _groups(batches, 2, SHARD, lambda b: b.column(4).nbytes):
+            doc, row, start = (part.column(i).to_numpy() for i in (0, 1, 3))
+            rank, at = _ranks(doc, row)
+            rank, s = shard_repeats(rank, start, part.column(4).to_pylist())
+            rank, s, e = merge_spans(rank, s, s + LENGTH)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(doc), pa.array(s), pa.array(e)], ["doc", "start", "stop"])
+                [pa.array(x) for x in (doc[at][rank], row[at][rank], s, e)],
+                ["doc", "row", "start", "stop"])
 
-    pieces = docs.join(places, "doc").select("doc", "text", "places").mapInArrow(
-        cut, "doc long, anchor long, start long, body binary")
+    pieces = _with_text(places, docs).mapInArrow(
+        cut, "doc long, row long, anchor long, start long, body binary")
     return pieces.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(
-        sort, "doc long, start long, stop long")
+        sort, "doc long, row long, start long, stop long")
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """doc_id, text and spans (list of start, stop) of every document; spans are disjoint."""
-    # Both joins with the texts take the same two columns, so that one shuffle serves both.
-    keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"),
-                        text_of().alias("text"))
+    # All joins with the texts take the same columns, so that one shuffle serves them.
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc"), text_of().alias("text"))
+    # Rows without an id are numbered once and stored, so that the numbers stay.
+    no_id = stored(plain.where("doc is null").select(
+        F.lit(LAST).alias("doc"), F.monotonically_increasing_id().alias("row"), "text"), "no-id")
+    keyed = plain.where("doc is not null").select(
+        "doc", F.xxhash64("text").alias("row"), "text").unionByName(no_id)
     found = stored(marks(context_rows(keyed)), "repeat-marks")
     spans = found.where("anchor is null").drop("anchor").unionByName(
-        shared_strings(found, keyed))
-    spans = spans.groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    return keyed.join(spans, "doc", "left").select(
+        shared_strings(found.where("anchor is not null"), keyed))
+    spans = spans.groupBy("doc", "row").agg(
+        F.collect_list(F.struct("start", "stop")).alias("spans"))
+    return keyed.join(spans, ["doc", "row"], "left").select(
         F.when(F.col("doc") != LAST, F.col("doc")).alias("doc_id"), "text", "spans")
 
 

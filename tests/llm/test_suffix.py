@@ -106,3 +106,22 @@ def test_shard_larger_than_memory():
                 expected.add((d, i))
             seen.add(p[i:i + 100])
     assert set(zip(found[0].tolist(), found[1].tolist())) == expected
+
+
+def test_rows_without_an_id_and_one_id_with_two_texts(documents):
+    """Each row loses its own repeats only, and repeated rows without an id do go."""
+    rnd = random.Random(9)
+    a, b, c, d, e, passage = (text(rnd, 300) for _ in range(6))
+    docs = documents([(1, passage), (None, a + passage + a[:50]), (None, b + c), (None, b + c),
+                      (None, d[:120]), (7, e + passage), (7, d + a)])
+    rows = [(r["doc_id"], r["n_bytes"], bytes(r["kept"])) for r in
+            suffix.remove_repeats(docs).collect()]
+    size = {x: len(x.encode()) for x in (a, b, c, d, e, passage)}
+    kept = sorted(k for i, n, k in rows if i is None)
+    # a stands in document 7 as well, the first copy of b + c stays, d[:120] goes.
+    both = (b + c).encode()
+    assert both in kept and kept.count(b"") == 2 and len(kept) == 4
+    left = next(k for k in kept if k not in (both, b""))
+    assert left == a[:50].encode()
+    assert sorted(k for i, n, k in rows if i == 7) == sorted([e.encode(), (d + a).encode()])
+    assert [k for i, n, k in rows if i == 1] == [passage.encode()] and size
