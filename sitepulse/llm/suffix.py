@@ -13,7 +13,8 @@ A byte goes if it lies in a string of ``LENGTH`` bytes that also starts earlier
 2. Contexts that share an anchor but differ elsewhere may still share strings. The first places
    of these go, with their bytes, into the text of a shard; its suffixes are ordered by external
    induced sorting (``induced.py``), and neighbours in that order with LENGTH bytes in common are
-   repeats of one string. All but the first go.
+   repeats of one string. All but the first go. An anchor with more than SHARD bytes of contexts
+   is cut first, by finer keys that equal strings share as well, until each part is smaller.
 3. The spans of a document are joined and cut out.
 
 Defined cases: a null text is empty; a document shorter than LENGTH keeps all its bytes; rows
@@ -302,6 +303,85 @@ def _with_text(places: DataFrame, docs: DataFrame) -> DataFrame:
     return docs.join(listed, ["doc", "row"]).select("doc", "row", "text", "places")
 
 
+def finer_contexts(data: bytes, depth: int) -> tuple[np.ndarray, ...]:
+    """(anchor, own, first string, last string) of a context cut by a finer key of its strings.
+
+    The key of a string is the hash of its ``depth`` smallest gram hashes, or of the string itself
+    when it has no more than ``depth`` grams; equal strings have equal keys.
+    """
+    up, down, numbers = _powers()
+    n = len(data)
+    hashed = numbers[np.frombuffer(data, np.uint8)] * up[:n]
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashed)])
+    wide = LENGTH - GRAM + 1
+    if depth < wide:
+        grams = _mix((sums[GRAM:] - sums[:-GRAM]) * down[:n - GRAM + 1])
+        least = np.lib.stride_tricks.sliding_window_view(grams, wide)
+        least = np.sort(np.partition(least, depth - 1, axis=1)[:, :depth], axis=1)
+        salt = np.arange(1, depth + 1, dtype=np.uint64) * _U(0x165667B19E3779F9)
+        key = _mix(_mix(least + salt).sum(axis=1, dtype=np.uint64))
+    else:
+        key = _mix((sums[LENGTH:] - sums[:-LENGTH]) * down[:n - LENGTH + 1])
+    new = np.ones(len(key), bool)
+    if depth < wide:
+        new[1:] = key[1:] != key[:-1]
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(key)) - 1
+    body = (sums[last + LENGTH] - sums[first]) * down[first]
+    return key[first], _mix(body + (last - first).astype(np.uint64) * _U(0x165667B19E3779F9)), \
+        first, last
+
+
+# Smallest gram hashes in the key of a string, from one cut of a hot anchor to the next; in the
+# end the key is the string, and then no two different contexts share one.
+DEPTHS = (2, 8, 32, LENGTH)
+
+
+def split_hot(found: DataFrame, docs: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
+    """(places, spans): places by anchor, none with more than ``limit`` bytes, and settled spans.
+
+    Contexts of an anchor above the limit are cut by finer keys of their strings until each key is
+    below it; copies of the smaller contexts are settled like those of the first ones.
+    """
+    spans = found.where("anchor is null").drop("anchor")
+    todo, places = found.where("anchor is not null"), None
+    for depth in DEPTHS:
+        # Counted with a map-side part; one anchor at most in ``limit`` bytes is too large.
+        large = stored(todo.groupBy("anchor").agg(F.sum(F.col("stop") - F.col("start")).alias(
+            "size")).where(F.col("size") > limit).select("anchor"), "hot-anchors")
+        if large.isEmpty():
+            break
+
+        def cut(batches: Iterator[pa.RecordBatch], depth=depth) -> Iterator[pa.RecordBatch]:
+            parts, held = [], 0
+            for batch in batches:
+                for doc, row, text, listed in zip(*(batch.column(i).to_pylist()
+                                                    for i in range(4))):
+                    data = text.encode()
+                    for p in listed:
+                        anchor, own, first, last = finer_contexts(data[p["start"]:p["stop"]],
+                                                                  depth)
+                        n = len(anchor)
+                        parts.append([anchor, own, np.full(n, doc, np.int64),
+                                      np.full(n, row, np.int64),
+                                      (first + p["start"]) << 16 | (last - first)])
+                        held += n
+                    if held > FLUSH:
+                        yield from _settle(parts)
+                        parts, held = [], 0
+            if held:
+                yield from _settle(parts)
+
+        small = todo.join(F.broadcast(large), "anchor", "left_anti")
+        small = small.select("doc", "row", "start", "stop", "anchor")
+        places = small if places is None else places.unionByName(small)
+        hot = todo.join(F.broadcast(large), "anchor", "left_semi")
+        again = stored(marks(_with_text(hot, docs).mapInArrow(cut, ROW)), "finer-marks")
+        spans = spans.unionByName(again.where("anchor is null").drop("anchor"))
+        todo = again.where("anchor is not null")
+    return todo if places is None else places.unionByName(todo), spans
+
+
 def shared_strings(places: DataFrame, docs: DataFrame) -> DataFrame:
     """Spans of repeated strings in contexts that share an anchor."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -336,7 +416,7 @@ def shared_strings(places: DataFrame, docs: DataFrame) -> DataFrame:
         sort, "doc long, row long, start long, stop long")
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
+def repeated_spans(docs: DataFrame, limit: int = SHARD) -> DataFrame:
     """doc_id, text and spans (list of start, stop) of every document; spans are disjoint."""
     # All joins with the texts take the same columns, so that one shuffle serves them.
     plain = docs.select(F.col("doc_id").cast("long").alias("doc"), text_of().alias("text"))
@@ -346,8 +426,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     keyed = plain.where("doc is not null").select(
         "doc", F.xxhash64("text").alias("row"), "text").unionByName(no_id)
     found = stored(marks(context_rows(keyed)), "repeat-marks")
-    spans = found.where("anchor is null").drop("anchor").unionByName(
-        shared_strings(found.where("anchor is not null"), keyed))
+    places, spans = split_hot(found, keyed, limit)
+    spans = spans.unionByName(shared_strings(places, keyed))
     spans = spans.groupBy("doc", "row").agg(
         F.collect_list(F.struct("start", "stop")).alias("spans"))
     return keyed.join(spans, ["doc", "row"], "left").select(

@@ -125,3 +125,31 @@ def test_rows_without_an_id_and_one_id_with_two_texts(documents):
     assert left == a[:50].encode()
     assert sorted(k for i, n, k in rows if i == 7) == sorted([e.encode(), (d + a).encode()])
     assert [k for i, n, k in rows if i == 1] == [passage.encode()] and size
+
+
+@pytest.mark.parametrize("common", [30, 99, 140])
+def test_hot_anchor_is_cut(spark, documents, folder, common):
+    """One phrase amid different text, now and then with equal text beside it."""
+    rnd = random.Random(common)
+    phrase = text(rnd, common)
+    sides = [text(rnd, n) for n in (40, 75, 90)]
+    rows = [(i, text(rnd, 90) + rnd.choice([*sides, ""]) + phrase + rnd.choice([*sides, ""])
+             + text(rnd, 90)) for i in range(150)]
+    docs = documents(rows)
+    keyed = docs.selectExpr("doc_id as doc", "0L as row", "text")
+    found = suffix.stored(suffix.marks(suffix.context_rows(keyed)), "test-marks")
+
+    def largest(places):
+        return places.groupBy("anchor").agg({"*": "count"}).selectExpr(
+            "max(`count(1)`)").first()[0] or 0
+
+    assert largest(found.where("anchor is not null")) > 60
+    places, _ = suffix.split_hot(found, keyed, 4000)
+    sizes = places.selectExpr("anchor", "stop - start as n").groupBy("anchor").sum("n").collect()
+    assert all(r["sum(n)"] <= 4000 for r in sizes)
+    expected = {d: v[:2] for d, v in suffix.brute_force(rows).items()}
+    for limit in (4000, 300, 1):
+        got = {r["doc_id"]: (len(r["text"].encode()), sum(e - s for s, e in suffix.removed(
+            [x.asDict() for x in r["spans"] or []], len(r["text"].encode()))))
+            for r in suffix.repeated_spans(docs, limit).collect()}
+        assert got == expected
