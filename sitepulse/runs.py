@@ -138,30 +138,55 @@ def camera_tickets(store: Store, asof: str, **options) -> None:
     _apply(store, "camera_tickets", current, change, asof)
 
 
-def new_signals(store: Store, overlap_minutes: int = 60) -> DataFrame:
-    """Signals since the stored latest ones, with some overlap for late arrivals."""
-    signals = store.read("recorder_signals")
-    if not finished_versions(store.spark, store.path("latest_signals")):
+def _unread_files(store: Store, signals: DataFrame) -> list[str] | None:
+    """Files of ``signals`` that the stored latest signals don't contain; None: not known."""
+    done = finished_versions(store.spark, store.path("latest_signals"))
+    listed = finished_versions(store.spark, store.path("signals_read"))
+    if not done or done[-1] not in listed:
+        return None
+    read = store.spark.read.parquet(f"{store.path('signals_read')}/v={done[-1]}")
+    return sorted(set(signals.inputFiles()) - {r["file"] for r in read.collect()})
+
+
+def new_signals(store: Store, overlap_minutes: int = 60,
+                signals: DataFrame | None = None) -> DataFrame:
+    """All signals in files that no poll has read, and the newest ones of the other files.
+
+    Files are written once, so a file that was read has nothing new, whatever the times in it.
+    """
+    signals = store.read("recorder_signals") if signals is None else signals
+    unread = _unread_files(store, signals)
+    if unread is None:
         return signals
+    # Spark spells a path without a host with three slashes here and with one there.
+    is_new = F.col("_metadata.file_path").isin(
+        [*unread, *(f.replace(":///", ":/", 1) for f in unread)])
     last = store.read("latest_signals").agg(F.max("at_time")).first()[0]
-    return signals if last is None else look_back(signals, "at_time", last,
-                                                  minutes=overlap_minutes)
+    fresh = signals.filter(is_new)
+    return fresh if last is None else look_back(signals.filter(~is_new), "at_time", last,
+                                                minutes=overlap_minutes).unionByName(fresh)
 
 
 def latest_signals(store: Store, overlap_minutes: int = 60) -> DataFrame:
     """The latest signal per box, device and code, brought up to date and stored.
 
-    A poll reads the signals since the last one only, and a camera that has been silent for
-    months keeps its last signal.
+    A poll reads the files that came since the last one only, so a late upload counts and a fast
+    clock hides nothing, and a camera that has been silent for months keeps its last signal. The
+    files read are listed under the version they belong to, before that version is finished.
     """
     key = ["box_id", "device_id", "event_code"]
-    fresh = new_signals(store, overlap_minutes)
+    signals = store.read("recorder_signals")
+    fresh = new_signals(store, overlap_minutes, signals)
     columns = [c for c in (*key, "at_time", "status") if c in fresh.columns]
     fresh = fresh.select(*columns)
-    if finished_versions(store.spark, store.path("latest_signals")):
+    done = finished_versions(store.spark, store.path("latest_signals"))
+    if done:
         fresh = store.read("latest_signals").unionByName(fresh)
     latest = latest_per_key(fresh, key, [c for c in columns if c not in key])
-    replace_table(latest, store.path("latest_signals"), keep_hours=KEEP_HOURS)
+    version = done[-1] + 1 if done else 1
+    files = store.spark.createDataFrame([(f,) for f in signals.inputFiles()], "file string")
+    replace_table(files, store.path("signals_read"), version=version, keep_hours=KEEP_HOURS)
+    replace_table(latest, store.path("latest_signals"), version=version, keep_hours=KEEP_HOURS)
     return store.read("latest_signals")
 
 

@@ -158,3 +158,22 @@ def test_polls_read_new_signals_only(spark, frame, tmp_path):
     runs.camera_lag_tickets(store, "2024-01-31 12:00:00")
     assert rows(store.read("camera_lag_tickets"), "camera_id", "closed_on") == first
     assert store.read("latest_signals").count() == 2
+
+
+def test_late_uploads_and_fast_clocks(spark, frame, tmp_path):
+    """Signals count by arrival: neither an old time nor a clock ahead hides them."""
+    from tests.test_jobs import signal
+    store = runs.Store(spark, str(tmp_path / "with blank"))
+
+    def poll(*signals):
+        frame("recorder_signals", list(signals)).write.mode("append").parquet(store.path("recorder_signals"))
+        return {(r["box_id"], r["device_id"]): str(r["at_time"]) for r in runs.latest_signals(store).collect()}
+
+    keys = sorted(poll(signal(1, "0701", "29 10:00"), signal(2, "0701", "30 10:00")))
+    assert len(keys) == 2
+    # A site back from an outage uploads its buffer, and another clock is a year ahead.
+    got = poll(signal(1, "0701", "29 20:00"), signal(2, "0701", "2025-01-30 10:00"))
+    assert [got[k] for k in keys] == ["2024-01-29 20:00:00", "2025-01-30 10:00:00"]
+    got = poll(signal(1, "0701", "30 12:00"))
+    assert [got[k] for k in keys] == ["2024-01-30 12:00:00", "2025-01-30 10:00:00"]
+    assert len(runs._unread_files(store, store.read("recorder_signals"))) == 0
