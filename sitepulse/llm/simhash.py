@@ -1,7 +1,7 @@
 """Near-duplicate documents by SimHash and the generalised pigeonhole principle.
 
 1. Every text gets a 64-bit fingerprint of its word shingles; equal fingerprints collapse to one
-   row with the smallest ``doc_id``.
+   row with the smallest ``doc_id``. The fingerprint itself is the node of the graph.
 2. Bits that agree or disagree together are grouped into parts, so that the other parts stay as
    independent as the data allow. A pair within ``bits`` differing bits lies, for every choice of
    thresholds t_i >= -1 with sum t_i = bits - parts + 1, within t_i bits in some part i (-1: the
@@ -15,8 +15,8 @@
 4. Components of the edges by alternating stars.
 
 Defined cases: a null or blank text has fingerprint 0 and is linked like any other; a null
-``doc_id`` joins the group of its fingerprint (null ``component_id`` if no row there has an id);
-rows repeated with one ``doc_id`` give one row each; an empty table gives no rows; other columns
+``doc_id`` is linked like any other (null ``component_id`` if no row of the component has an id);
+rows repeated with one ``doc_id`` give one row each, with the component of their own text; an empty table gives no rows; other columns
 are not read.
 """
 
@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitepulse.llm.common import look_up, stored, table
@@ -58,17 +58,23 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
     return int(np.packbits(ones * 2 > n, bitorder="little").view(np.uint64)[0])
 
 
+def _text_key() -> Column:
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
 def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """doc_id and fp, the fingerprint as a signed long."""
+    """doc_id, fp (the fingerprint as a signed long) and key, a hash of the text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = np.array([fingerprint(t.as_py(), words) for t in batch.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))],
-                                             ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(prints.view(np.int64)), batch.column(2)],
+                ["doc_id", "fp", "key"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.col("text").cast("string").alias("text")).mapInArrow(
-                           run, "doc_id long, fp long")
+                       F.col("text").cast("string").alias("text"),
+                       _text_key().alias("key")).mapInArrow(
+                           run, "doc_id long, fp long, key long")
 
 
 def bit_pairs(reps: DataFrame) -> np.ndarray:
@@ -332,16 +338,28 @@ def near_links(reps: DataFrame, rows: int, bits: int = BITS, most: int = MOST) -
     return edges
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFrame:
-    """One row per document: doc_id, fp, component_id (smallest doc_id reachable over links)."""
+def _grouped(docs: DataFrame, words: int, bits: int) -> DataFrame:
+    """doc_id, fp, key, component_id, and keep: the fingerprint that stands for the component."""
     prints = stored(fingerprints(docs, words), "fingerprints")
     reps = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("rep"),
                                            F.count(F.lit(1)).alias("n")), "representatives")
-    roots = components(near_links(reps, reps.count(), bits))
-    groups = reps.join(roots, reps["rep"] == roots["node"], "left").select(
-        "fp", "n", F.coalesce("root", "rep").alias("component_id"))
+    total = reps.count()
+    nodes = reps.select("fp", F.col("fp").alias("rep"))
+    roots = stored(components(near_links(nodes, total, bits)), "roots")
+    linked = reps.join(roots, reps["fp"] == roots["node"], "left").select(
+        "fp", "n", "rep", F.coalesce("root", "fp").alias("root"))
+    least = linked.groupBy("root").agg(
+        F.min(F.struct(F.col("rep").isNull().alias("none"), "rep", "fp")).alias("least"),
+        F.count(F.lit(1)).alias("fps"))
+    groups = look_up(linked, stored(least, "components"), "root", "fps", total).select(
+        "fp", "n", F.col("least.rep").alias("component_id"), F.col("least.fp").alias("keep"))
     return look_up(prints, groups, "fp", "n", prints.count()).select(
-        "doc_id", "fp", "component_id")
+        "doc_id", "fp", "key", "component_id", "keep")
+
+
+def near_duplicates(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFrame:
+    """One row per document: doc_id, fp, component_id (smallest doc_id reachable over links)."""
+    return _grouped(docs, words, bits).select("doc_id", "fp", "component_id")
 
 
 def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -352,7 +370,20 @@ def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest ``doc_id`` of every component stays; rows without an id stay."""
-    found = near_duplicates(docs)
-    gone = found.where("doc_id != component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One document of every component stays: the smallest ``doc_id``, there the smallest fingerprint.
+
+    Rows repeated with this id and fingerprint stay; of rows without an id one stays at most, and
+    only where no row of the component has an id.
+    """
+    found = _grouped(docs, WORDS, BITS)
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("fp") == F.col("keep"))
+    gone = found.where(F.col("doc_id").isNotNull() & ~stays).select(
+        F.col("doc_id").alias("_d"), F.col("key").alias("_k")).distinct()
+    kept = docs.where("doc_id is not null").withColumn("_key", _text_key()).join(
+        gone, (F.col("doc_id").cast("long") == F.col("_d")) & (F.col("_key") == F.col("_k")),
+        "left_anti")
+    one = found.where(F.col("doc_id").isNull() & stays).groupBy("fp").agg(
+        F.min("key").alias("_k")).select("_k")
+    no_id = docs.where("doc_id is null").withColumn("_key", _text_key()).dropDuplicates(
+        ["_key"]).join(one, F.col("_key") == F.col("_k"), "left_semi")
+    return kept.select(*docs.columns).unionByName(no_id.select(*docs.columns))

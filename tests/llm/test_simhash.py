@@ -123,3 +123,31 @@ def test_stage_keeps_one_of_each_group(spark, documents):
     kept = simhash.simhash_stage(spark, docs, "")
     assert kept.columns == docs.columns
     assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 2, 9]
+
+
+def test_repeated_and_null_ids_go_by_row(spark, documents):
+    """One id with two texts, and near copies without ids."""
+    rnd = random.Random(11)
+
+    def near():  # two texts with fingerprints within three bits of each other
+        while True:
+            words = [f"w{rnd.random()}" for _ in range(400)]
+            a, b = " ".join(words), " ".join([*words[:-1], "end"])
+            if 0 < (simhash.fingerprint(a) ^ simhash.fingerprint(b)).bit_count() <= 3:
+                return a, b
+
+    (x, x2), (y, y2), (z, z2), (v, v2) = (near() for _ in range(4))
+    docs = documents([(3, x), (5, x2), (5, y), (9, y2), (None, z), (None, z2), (None, z),
+                      (12, v), (None, v2)])
+    found = {(r["doc_id"], r["fp"]): r["component_id"] for r in
+             simhash.near_duplicates(docs).collect()}
+
+    def fp(t):
+        return int(np.array([simhash.fingerprint(t)], np.uint64).view(np.int64)[0])
+
+    assert [found[k] for k in ((3, fp(x)), (5, fp(x2)), (5, fp(y)), (9, fp(y2)))] == [3, 3, 5, 5]
+    assert found[None, fp(z)] is None and found[None, fp(v2)] == 12
+    kept = sorted(((r["doc_id"], r["text"]) for r in simhash.simhash_stage(
+        spark, docs, "").collect()), key=str)
+    assert kept[:-1] == sorted([(3, x), (5, y), (12, v)], key=str) and len(kept) == 4
+    assert kept[-1][0] is None and kept[-1][1] in (z, z2)
