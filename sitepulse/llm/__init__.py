@@ -1,7 +1,8 @@
 """Operators for preparing training corpora, with their queries and SQL twins."""
 
 from sitepulse.llm import (
-    exact, licenses, lines, mixing, packing, simhash, suffix, tokens, topk, toxicity,
+    audit, exact, langid, licenses, lines, mixing, packing, simhash, spelling, suffix, tokens, topk,
+    toxicity,
 )
 from sitepulse.llm.common import on_workers
 
@@ -16,6 +17,9 @@ _QUERIES = {
     "op8_suffix_dedup": suffix.op8_suffix_dedup,
     "op9_line_dedup": lines.op9_line_dedup,
     "op10_token_counts": tokens.op10_token_counts,
+    "op11_spelling_variants": spelling.op11_spelling_variants,
+    "op12_language_id": langid.op12_language_id,
+    "op13_filter_audit": audit.op13_filter_audit,
 }
 QUERIES = {name: on_workers(fn) for name, fn in _QUERIES.items()}
 
@@ -24,4 +28,5 @@ CHECKS = {
     "op4_topk_search": topk.SQL,
     "op5_source_mix": mixing.SQL,
     "op6_license_scan": licenses.SQL,
+    "op13_filter_audit": audit.SQL,
 }
