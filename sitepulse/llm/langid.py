@@ -7,8 +7,8 @@ known. A text scores the sum over its words, and the highest language wins.
 
 Words of the labelled texts are counted on the map side and added up by Spark, n-grams are
 counted from those counts, and both cover all labelled texts. The model that goes to every task has
-a fixed size: ``FEATURES`` words and as many n-grams of each length, in equal shares per language,
-the most frequent ones. The limit is a count, found from a histogram of counts: features below it
+a fixed size: ``WORDS`` words and ``GRAMS`` n-grams of each length, in equal shares per language, the
+most frequent ones. The limit is a count, found from a histogram of counts: features below it
 are left out, those at it are all in or all out.
 
 Words are runs of letters, lower-cased. Defined cases: a text that is null or has no letters is
@@ -20,7 +20,6 @@ gives no rows; other columns are not read.
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -34,7 +33,7 @@ from pyspark.sql import functions as F
 from sitepulse.llm.common import stored, table
 
 LONGEST = 5
-FEATURES = 240_000
+WORDS, GRAMS = 240_000, 60_000
 MISSING = -16.0  # log frequency of a feature that a language does not have
 UNKNOWN = "und"
 COUNTED = 200_000  # different words a task gathers before it hands them on
@@ -99,7 +98,7 @@ def gram_counts(words: DataFrame, longest: int = LONGEST) -> DataFrame:
         grams = words.where(F.length("word") >= size - 2).select(
             "lang", F.lit(size).alias("size"), "n",
             F.explode(F.transform(starts, lambda i, k=size: F.substring(padded, i, F.lit(k))))
-            .alias("gram"))
+            .alias("gram")).where(F.col("gram") != " ")
         parts = grams if parts is None else parts.unionByName(grams)
     return parts.groupBy("lang", "size", "gram").agg(F.sum("n").alias("n"))
 
@@ -134,77 +133,72 @@ class Model:
     langs: list[str]
     rows: list[dict[str, int]]  # 0: words, 1 .. LONGEST: n-grams of that length
     scores: np.ndarray
-    remembered: dict[str, np.ndarray] = field(default_factory=dict)
-
-    def unseen(self, word: str) -> np.ndarray | None:
-        """Mean over the longest n-grams of which any is known; None if even no letter is."""
-        if word in self.remembered:
-            return self.remembered[word]
-        value = None
-        for n in range(len(self.rows) - 1, 0, -1):
-            known = self.rows[n]
-            at = [known[g] for g in grams_of(word, n) if g in known and g != " "]
-            if at:
-                value = self.scores[at].mean(axis=0)
-                break
-        if len(self.remembered) >= REMEMBERED:
-            self.remembered.clear()
-        self.remembered[word] = value
-        return value
+    remembered: dict[str, list[int]] = field(default_factory=dict)
+
+    def unseen(self, word: str) -> list[int]:
+        """Rows of the longest n-grams of which any is known; none if even no letter is."""
+        at = self.remembered.get(word)
+        if at is None:
+            for n in range(len(self.rows) - 1, 0, -1):
+                known = self.rows[n]
+                at = [known[g] for g in grams_of(word, n) if g in known]
+                if at:
+                    break
+            if len(self.remembered) >= REMEMBERED:
+                self.remembered.clear()
+            self.remembered[word] = at
+        return at
 
     def predict(self, text: str | None) -> tuple[str, float]:
         words = words_of(text)
         if not words or not self.langs:
             return UNKNOWN, 0.0
         known, at, times = self.rows[0], [], []
-        total = np.zeros(len(self.langs))
         for word, n in words.items():
             row = known.get(word)
             if row is not None:
                 at.append(row)
                 times.append(n)
-            elif (value := self.unseen(word)) is not None:
-                total = total + n * value
-        if at:
-            total = total + np.array(times, np.float64) @ self.scores[at]
+            elif found := self.unseen(word):  # the mean of its n-grams
+                at += found
+                times += [n / len(found)] * len(found)
+        total = np.array(times, np.float64) @ self.scores[np.array(at, np.int64)]
         best = int(total.argmax())
         return self.langs[best], float(1 / np.exp(np.maximum(total - total[best], -700)).sum())
 
 
-def learn(docs: DataFrame, features: int = FEATURES, longest: int = LONGEST) -> Model:
-    """The model of the labelled texts; at most ``features`` words and n-grams of each length."""
-    words = stored(word_counts(docs), "word-counts")
-    langs = sorted(r["lang"] for r in words.select("lang").distinct().collect())
+def learn(docs: DataFrame, words: int = WORDS, grams: int = GRAMS, longest: int = LONGEST) -> Model:
+    """The model of the labelled texts; at most ``words`` words and ``grams`` n-grams a length."""
+    counts = stored(word_counts(docs), "word-counts")
+    langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
     if not langs:
         return Model([], [{} for _ in range(longest + 1)], np.zeros((0, 0)))
-    share = features // len(langs)
-    if not share:
-        raise ValueError(f"{len(langs)} languages do not fit into {features} features")
-    grams = stored(gram_counts(words, longest), "gram-counts")
-    kept = most_frequent(words.select("lang", F.lit(0).alias("size"), F.col("word").alias("gram"),
-                                      "n"), ["lang", "size"], share)
-    kept = kept.unionByName(most_frequent(grams, ["lang", "size"], share)).select(
-        "lang", "size", "gram", "n", "total")
+    if len(langs) > min(words, grams):
+        raise ValueError(f"{len(langs)} languages do not fit into {min(words, grams)} features")
+    whole = counts.select("lang", F.lit(0).alias("size"), F.col("word").alias("gram"), "n")
+    parts = stored(gram_counts(counts, longest), "gram-counts")
+    kept = most_frequent(whole, ["lang", "size"], words // len(langs)).unionByName(
+        most_frequent(parts, ["lang", "size"], grams // len(langs)))
+    found = kept.select("lang", "size", "gram", F.log(F.col("n") / F.col("total")).alias("value"))
     column = {lang: k for k, lang in enumerate(langs)}
     rows: list[dict[str, int]] = [{} for _ in range(longest + 1)]
-    cells = []
-    for lang, size, gram, n, total in _tuples(kept):  # bounded by ``features``
-        row = rows[size].setdefault(gram, sum(map(len, rows)))
-        cells.append((row, column[lang], math.log(n / total)))
-    scores = np.full((sum(map(len, rows)), len(langs)), MISSING, np.float32)
-    for row, lang, value in cells:
-        scores[row, lang] = max(value, MISSING + 1)
+    made, cells = 0, []
+    for batch in found.toArrow().to_batches():  # bounded by ``words`` and ``grams``
+        at = np.empty(batch.num_rows, np.int64)
+        for k, (size, gram) in enumerate(zip(batch["size"].to_pylist(), batch["gram"].to_pylist())):
+            at[k] = rows[size].setdefault(gram, made)
+            made += at[k] == made
+        own = np.array([column[lang] for lang in batch["lang"].to_pylist()], np.int64)
+        cells.append((at, own, np.maximum(batch["value"].to_numpy(), MISSING + 1)))
+    scores = np.full((int(made), len(langs)), MISSING, np.float32)
+    for at, own, value in cells:
+        scores[at, own] = value
     return Model(langs, rows, scores)
 
 
-def _tuples(df: DataFrame) -> Iterator[tuple]:
-    data = df.toArrow()
-    return zip(*(data[c].to_pylist() for c in df.columns))
-
-
 def predictions(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every row."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by FEATURES
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by WORDS and GRAMS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

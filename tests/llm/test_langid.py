@@ -36,7 +36,8 @@ def slow_predictions(rows):
                 counts[0][lang][w] += 1
                 for n in range(1, 6):
                     for i in range(len(w) + 3 - n):
-                        counts[n][lang][f" {w} "[i:i + n]] += 1
+                        if f" {w} "[i:i + n] != " ":
+                            counts[n][lang][f" {w} "[i:i + n]] += 1
     langs = sorted(counts[0])
 
     def frequency(n, lang, gram):
@@ -123,7 +124,7 @@ def test_limit_keeps_the_most_frequent(spark):
     assert {r["word"] for r in kept} == {f"w{k}" for k in range(32, 40)} | {"x"}
     assert {r["total"] for r in kept if r["lang"] == "en"} == {4 * (2 ** 8 + 2 ** 9)}
     with pytest.raises(ValueError):
-        langid.learn(frame(spark, some_rows()), features=2)
+        langid.learn(frame(spark, some_rows()), grams=2)
 
 
 def test_nothing_learned_empty_and_long(spark, folder):
