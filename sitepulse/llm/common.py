@@ -68,3 +68,21 @@ def look_up(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int)
     cold = groups.where(F.col(size) <= limit)
     rest = rows.join(hot.select(key), key, "left_anti")  # hot rows don't meet in one task
     return rows.join(hot, key).unionByName(rest.join(cold, key))
+
+
+def one_by_one(rows: DataFrame, count: str, number: str, at_once: int = 10_000) -> DataFrame:
+    """Each row as often as its column ``count`` (1 or more) says, numbered 0, 1, ... in ``number``.
+
+    A row that comes more than ``at_once`` times is dealt out in parts first, so that no task
+    writes all of them.
+    """
+    n = F.col(count).cast("long")
+    zero = F.lit(0).cast("long")
+    few = rows.where(n <= at_once).withColumn(number, F.explode(F.sequence(zero, n - 1)))
+    parts = F.sequence(zero, F.floor((n - 1) / at_once))
+    many = rows.where(n > at_once).withColumn("_part", F.explode(parts)).repartition(
+        count, "_part")
+    first = F.col("_part") * at_once
+    many = many.withColumn(number, F.explode(F.sequence(
+        first, F.least(n, first + at_once) - 1))).drop("_part")
+    return few.unionByName(many)

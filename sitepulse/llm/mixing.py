@@ -6,29 +6,46 @@ offset, and a running sum inside the range gives each document its place. A sour
 passes over its documents and then the documents up to the place where its budget ends; the
 document across that place is taken if that comes nearer to the budget.
 
+Rows with the same ``doc_id``, source and text are one row with their number (map-side part), with
+consecutive places, so no key is hot; how many of them lie before the end follows by division.
+
 Defined cases: a null text has size 0; documents without a source are a source of their own, the
 last one; a source of size 0 has target 0 and takes nothing; an empty table gives no rows; rows
-repeated with one ``doc_id`` are documents of their own with equal keys. The key depends on
-``doc_id`` and ``seed`` only, so reruns agree.
+repeated with one ``doc_id`` are documents of their own, apart by their texts. The key depends on
+``doc_id``, text and ``seed`` only, so reruns agree, also on rows in another order. The stage keeps all
+columns under their names; of rows with one ``doc_id``, source and text it emits the one with
+the smallest JSON text, as often as all of them are taken.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sitepulse.llm.common import WORDS, stored, table, text_of
+from sitepulse.llm.common import WORDS, one_by_one, stored, table, text_of
 
 LEAST_RANGE = 2000
+EXPANDED = 10_000  # rows that one task writes for equal documents before others take over
+# Repeated documents up to this many are broadcast (about 100 bytes each).
+BROADCAST_REPEATS = 200_000
+
+
+def _text_key() -> Column:
+    return F.md5(text_of())
+
+
+def _source() -> Column:
+    return F.col("source").cast("string")
 
 
 def sized(docs: DataFrame, seed: str = "mix") -> DataFrame:
-    """doc_id, source, size in words, and a hash-random key."""
-    identity = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f":{seed}"))
-    return docs.select(
-        "doc_id", F.col("source").cast("string").alias("source"),
-        F.regexp_count(text_of(), F.lit(WORDS)).cast("long").alias("size"),
-        F.md5(identity).alias("mix_key"))
+    """doc_id, source, text_key, size in words, rows (equal documents), and a hash-random key."""
+    size = F.regexp_count(text_of(), F.lit(WORDS)).cast("long")
+    rows = docs.select("doc_id", _source().alias("source"), _text_key().alias("text_key"),
+                       size.alias("size")).groupBy("doc_id", "source", "text_key", "size").agg(
+                           F.count(F.lit(1)).alias("rows"))
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    return rows.withColumn("mix_key", F.md5(F.concat(name, F.lit(f":{seed}:"), "text_key")))
 
 
 def budgets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5,
@@ -44,8 +61,8 @@ def budgets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
     by_limit = Window.orderBy("limit_ratio", "place")
     everything = Window.partitionBy()
-    per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"),
-                                      F.count(F.lit(1)).alias("n_docs"))
+    per = sizes.groupBy("source").agg(
+        F.sum(F.col("size") * F.col("rows")).alias("source_size"), F.sum("rows").alias("n_docs"))
     per = per.withColumn("place", F.row_number().over(by_name) - 1)
     per = per.withColumn("weight", F.element_at(
         F.array(*[F.lit(w) for w in weights]), (F.col("place") % len(weights) + 1).cast("int")))
@@ -66,33 +83,57 @@ def budgets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float
     return per.select("source", "n_docs", "source_size", target.alias("target"))
 
 
-def mix(sizes: DataFrame, per: DataFrame) -> DataFrame:
-    """doc_id, size, source_size, target, copies, taken for every row of ``sizes``."""
+def decided(sizes: DataFrame, per: DataFrame) -> DataFrame:
+    """``sizes`` with source_size, target, passes (of every row) and extra: so many of the equal
+    rows are taken once more."""
     # The hash key is spread evenly, so equal parts of its values hold about equally many rows.
     ranges = F.ceil(F.col("n_docs") / F.greatest(F.lit(float(LEAST_RANGE)), F.sqrt("n_docs")))
     part = F.conv(F.substring("mix_key", 1, 8), 16, 10).cast("double") / F.lit(float(2**32))
     named = per.withColumnRenamed("source", "_source")
     rows = sizes.join(named, sizes["source"].eqNullSafe(named["_source"])).drop("_source")
-    rows = rows.withColumn("range", F.floor(part * ranges))
-    totals = rows.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
+    rows = rows.withColumn("range", F.floor(part * ranges)).withColumn(
+        "all_size", F.col("size") * F.col("rows"))
+    totals = rows.groupBy("source", "range").agg(F.sum("all_size").alias("range_size"))
     earlier = (Window.partitionBy("source").orderBy("range")
                .rowsBetween(Window.unboundedPreceding, -1))
     totals = totals.select(F.col("source").alias("_source"), F.col("range").alias("_range"),
                            F.coalesce(F.sum("range_size").over(earlier), F.lit(0)).alias("offset"))
-    inside = (Window.partitionBy("source", "range").orderBy("mix_key", "doc_id")
+    inside = (Window.partitionBy("source", "range").orderBy("mix_key", "doc_id", "text_key")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    rows = rows.withColumn("inside", F.sum("size").over(inside))
+    rows = rows.withColumn("inside", F.sum("all_size").over(inside))
     rows = rows.join(totals, rows["source"].eqNullSafe(totals["_source"])
                      & (rows["range"] == totals["_range"]))
-    end = F.col("offset") + F.col("inside")
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))
                     ).otherwise(F.lit(0))
-    rest = F.col("target") - F.col("passes") * F.col("source_size")
-    rows = rows.withColumn("end", end).withColumn("passes", passes).withColumn("rest", rest)
-    last = (F.col("end") <= F.col("rest")) | (
-        F.col("end") - F.col("rest") < F.col("rest") - (F.col("end") - F.col("size")))
-    copies = F.col("passes") + F.when((F.col("size") > 0) & last, 1).otherwise(0)
-    return rows.withColumn("copies", copies).select(
+    rows = rows.withColumn("start", F.col("offset") + F.col("inside") - F.col("all_size"))
+    rows = rows.withColumn("passes", passes).withColumn(
+        "rest", F.col("target") - F.col("passes") * F.col("source_size"))
+
+    def taken(i: Column) -> Column:
+        """Is the i-th of the equal rows taken once more?"""
+        end = F.col("start") + i * F.col("size")
+        return (end <= F.col("rest")) | (
+            end - F.col("rest") < F.col("rest") - (end - F.col("size")))
+
+    guess = F.floor((F.col("rest") - F.col("start")) / F.col("size") + 0.5)
+    rows = rows.withColumn("guess", F.when(F.col("size") > 0, F.least(
+        F.greatest(guess, F.lit(0)), F.col("rows"))).otherwise(0))
+    low, high = F.col("guess"), F.col("guess") + 1
+    extra = (F.when((low > 0) & ~taken(low), low - 1)
+             .when((high <= F.col("rows")) & (F.col("size") > 0) & taken(high), high)
+             .otherwise(low))
+    return rows.select("doc_id", "source", "text_key", "size", "rows", "source_size", "target",
+                       F.col("passes").cast("long").alias("passes"), extra.alias("extra"))
+
+
+def mix(sizes: DataFrame, per: DataFrame) -> DataFrame:
+    """doc_id, size, source_size, target, copies, taken: one row per document."""
+    kinds = F.array(F.struct(F.col("extra").alias("n"), (F.col("passes") + 1).alias("copies")),
+                    F.struct((F.col("rows") - F.col("extra")).alias("n"),
+                             F.col("passes").alias("copies")))
+    rows = decided(sizes, per).withColumn("kind", F.explode(kinds)).where("kind.n > 0").select(
+        "doc_id", "size", "source_size", "target", "kind.n", "kind.copies")
+    return one_by_one(rows, "n", "at", EXPANDED).select(
         "doc_id", "size", "source_size", "target", "copies",
         (F.col("copies") * F.col("size")).alias("taken"))
 
@@ -106,10 +147,25 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents of the mix, each as often as it is taken."""
     sizes = stored(sized(docs), "sizes")
-    copies = mix(sizes, budgets(sizes)).where("copies > 0").groupBy("doc_id").agg(
-        F.max("copies").cast("int").alias("copies"))
-    rows = docs.select(F.struct(*docs.columns).alias("row"), docs["doc_id"].alias("id"))
-    taken = rows.join(copies, rows["id"].eqNullSafe(copies["doc_id"]))
+    copies = stored(decided(sizes, budgets(sizes)).select(
+        "doc_id", "source", "text_key", "rows",
+        (F.col("passes") * F.col("rows") + F.col("extra")).cast("int").alias("copies")).where(
+            "copies > 0"), "copies")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("id"),
+                       _source().alias("of"), _text_key().alias("key"))
+
+    def of(chosen: DataFrame) -> DataFrame:
+        same = (F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("text_key"))
+                & F.col("of").eqNullSafe(F.col("source")))
+        return rows.join(chosen, same).select("row", "id", "of", "key", "copies")
+
+    repeats = copies.where("rows > 1")
+    n = repeats.count()
+    taken = of(copies.where("rows = 1")).select("row", "copies")
+    if n:
+        equal = of(F.broadcast(repeats) if n <= BROADCAST_REPEATS else repeats)
+        taken = taken.unionByName(equal.groupBy("id", "of", "key").agg(
+            F.min_by("row", F.to_json("row")).alias("row"), F.max("copies").alias("copies")).select("row", "copies"))
     return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
 
 
@@ -117,7 +173,8 @@ SQL = r"""
 with s as (
   select doc_id, source,
          len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size,
-         md5(coalesce(doc_id::varchar, '') || ':mix') as k from documents),
+         md5(coalesce(doc_id::varchar, '') || ':mix:' || md5(coalesce(text, ''))) as k
+  from documents),
 p as (select source, sum(size)::bigint as source_size,
              row_number() over (order by source nulls last) - 1 as place from s group by source),
 w as (select *, case place % 3 when 0 then 5 when 1 then 2 else 1 end as weight,

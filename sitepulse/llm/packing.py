@@ -6,9 +6,11 @@ long to short into the open sequence with the least room that still fits; a segm
 room that is left (0 .. sequence length) finds it in a few steps. A shard leaves few sequences
 with room, and a full window is a sequence of its own.
 
-Defined cases: a null text is an empty one (only the end id); a null ``doc_id`` is kept as null;
-rows repeated with one ``doc_id`` are packed each for itself; an empty table gives no rows; other
-columns are not read. Shards, orders and numbers depend on the rows only, so reruns agree.
+Defined cases: a null text is an empty one (only the end id); a null ``doc_id`` is kept as null, and
+every other one as the whole number it is; rows repeated with one ``doc_id`` are packed each for
+itself, and equal pieces are counted (map-side part), numbered and so spread over the shards; an
+empty table gives no rows; other columns are not read. Shards, orders and numbers depend on the
+rows only, so reruns agree.
 """
 
 from __future__ import annotations
@@ -18,12 +20,11 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitepulse.llm.common import stored, table
+from sitepulse.llm.common import one_by_one, stored, table
 from sitepulse.llm.encoding import default_files, encoder
 
 LENGTH = 1024
@@ -121,18 +122,20 @@ def pack(cut: DataFrame, length: int = LENGTH, per_shard: int = PIECES) -> DataF
     shards = max(1, math.ceil(cut.count() / per_shard))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema)
 
-    def run(shard: pd.DataFrame) -> pd.DataFrame:
-        shard = shard.sort_values(["length", "doc_id", "start", "ids_crc32"],
-                                  ascending=[False, True, True, True], kind="stable")
-        sequences, offsets = best_fit(shard["length"].tolist(), length)
-        number = int(shard["_shard"].iloc[0])
-        return shard.drop(columns="_shard").assign(
-            sequence_id=np.array(sequences, np.int64) + (number << 32),
-            offset=np.array(offsets, np.int64))
-
-    dealt = cut.withColumn("_shard", F.pmod(
-        F.xxhash64("doc_id", "start", "ids_crc32", "doc_tokens"), F.lit(shards)))
-    return dealt.groupBy("_shard").applyInPandas(
+    def run(shard: pa.Table) -> pa.Table:
+        shard = shard.sort_by([("length", "descending"), ("doc_id", "ascending"),
+                               ("start", "ascending"), ("ids_crc32", "ascending"),
+                               ("_copy", "ascending")])
+        sequences, offsets = best_fit(shard["length"].to_pylist(), length)
+        number = shard["_shard"][0].as_py()
+        return shard.drop_columns(["_shard", "_copy", "_n"]).append_column(
+            "sequence_id", pa.array(np.array(sequences, np.int64) + (number << 32))).append_column(
+            "offset", pa.array(np.array(offsets, np.int64)))
+
+    equal = cut.groupBy(*cut.columns).agg(F.count(F.lit(1)).alias("_n"))
+    dealt = one_by_one(equal, "_n", "_copy").withColumn("_shard", F.pmod(F.xxhash64(
+        "doc_id", "start", "ids_crc32", "doc_tokens", "_copy"), F.lit(shards)))
+    return dealt.groupBy("_shard").applyInArrow(
         run, f"{fields}, sequence_id long, offset long")
 
 

@@ -16,8 +16,8 @@
 
 Defined cases: a null or blank text has fingerprint 0 and is linked like any other; a null
 ``doc_id`` is linked like any other (null ``component_id`` if no row of the component has an id);
-rows repeated with one ``doc_id`` give one row each, with the component of their own text; an empty table gives no rows; other columns
-are not read.
+rows repeated with one ``doc_id`` give one row each, with the component of their own text; an empty
+table gives no rows; other columns are not read, and the stage gives them back whatever their names.
 """
 
 from __future__ import annotations
@@ -377,13 +377,12 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """
     found = _grouped(docs, WORDS, BITS)
     stays = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("fp") == F.col("keep"))
-    gone = found.where(F.col("doc_id").isNotNull() & ~stays).select(
-        F.col("doc_id").alias("_d"), F.col("key").alias("_k")).distinct()
-    kept = docs.where("doc_id is not null").withColumn("_key", _text_key()).join(
-        gone, (F.col("doc_id").cast("long") == F.col("_d")) & (F.col("_key") == F.col("_k")),
-        "left_anti")
+    gone = found.where(F.col("doc_id").isNotNull() & ~stays).select("doc_id", "key").distinct()
+    # The row is nested, so its columns keep their names and values whatever they are called.
+    rows = docs.select(F.struct(*docs.columns).alias("row"),
+                       F.col("doc_id").cast("long").alias("doc_id"), _text_key().alias("key"))
+    kept = rows.where("doc_id is not null").join(gone, ["doc_id", "key"], "left_anti")
     one = found.where(F.col("doc_id").isNull() & stays).groupBy("fp").agg(
-        F.min("key").alias("_k")).select("_k")
-    no_id = docs.where("doc_id is null").withColumn("_key", _text_key()).dropDuplicates(
-        ["_key"]).join(one, F.col("_key") == F.col("_k"), "left_semi")
-    return kept.select(*docs.columns).unionByName(no_id.select(*docs.columns))
+        F.min("key").alias("key")).select("key")
+    no_id = rows.where("doc_id is null").dropDuplicates(["key"]).join(one, "key", "left_semi")
+    return kept.select("row.*").unionByName(no_id.select("row.*"))

@@ -86,3 +86,39 @@ def test_stage_repeats_documents(spark, documents):
               mixing.mix(sizes, mixing.budgets(sizes)).collect()}
     out = mixing.mix_stage(spark, docs, "").groupBy("doc_id").count().collect()
     assert {r["doc_id"]: r["count"] for r in out} == {d: c for d, c in copies.items() if c}
+
+
+def test_rows_of_one_id_in_any_order(spark, documents):
+    """Rows without an id have keys of their own: another input order gives the same rows."""
+    rows = [(None, f"t{i} " * (1 + i % 9), "a" if i % 3 else "b") for i in range(400)]
+    rows += [(7, "same text here", "a")] * 50 + [(None, "w " * 6, "b")] * 50
+    found = []
+    for order in (rows, rows[::-1], rows[200:] + rows[:200]):
+        sizes = mixing.sized(documents(order).repartition(5))
+        out = mixing.mix(sizes, mixing.budgets(sizes)).collect()
+        assert len(out) == len(rows)
+        found.append(sorted(map(tuple, out), key=str))
+    assert found[0] == found[1] == found[2]
+
+
+def test_equal_rows_end_where_single_ones_do(spark, documents, folder, monkeypatch):
+    """Cutting among equal rows by division is the same as walking over them one by one."""
+    monkeypatch.setattr(mixing, "EXPANDED", 7)
+    rows = [(1, "w " * 3, "a")] * 61 + [(2, "v " * 5, "a")] * 37 + [(3, "x", "b")] * 100
+    rows += [(i, "u " * (i % 4), "c") for i in range(100, 130)]
+    at = folder(documents=documents(rows))
+    same_rows(mixing.op5_source_mix(spark, at), at, mixing.SQL)
+
+
+def test_stage_meets_the_budget_with_repeated_ids(spark, documents):
+    """One id with many different texts: each text is taken as often as decided for it."""
+    rows = [(None, f"t{i} " * (1 + i % 9), "a") for i in range(120)]
+    rows += [(4, f"s{i} " * (1 + i % 5), "b") for i in range(80)] + [(5, "same", "b")] * 30
+    docs = documents(rows).selectExpr("*", "1 as rows", "'x' as row", "2 as copies", "3 as id")
+    sizes = mixing.sized(docs)
+    decided = mixing.mix(sizes, mixing.budgets(sizes)).collect()
+    out = mixing.mix_stage(spark, docs, "")
+    assert out.columns == docs.columns
+    emitted = sum(len((r["text"] or "").split()) for r in out.collect())
+    assert emitted == sum(r["taken"] for r in decided)
+    check([(r, "b" if r["doc_id"] in (4, 5) else "a") for r in decided])

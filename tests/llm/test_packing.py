@@ -121,3 +121,20 @@ def test_both_encoders_agree_on_plain_characters():
             assert both.plain(text)
             assert both.ids(text) == both.exact.encode(text, add_special_tokens=False).ids
     assert not both.plain("ႁ") and not both.plain("<|endoftext|>")
+
+
+def test_large_ids_beside_null_ones(spark, documents):
+    """Ids above 2^53 come back exactly, also in a shard with rows without an id."""
+    ids = [1152921504606846977, 1152921504606846979, -9007199254740993, None, None]
+    docs = documents([(d, f"text {k}") for k, d in enumerate(ids)])
+    rows = packing.packing_stage(spark, docs, "").collect()
+    assert sorted(r["doc_id"] or 0 for r in rows) == sorted(d or 0 for d in ids)
+
+
+def test_equal_rows_are_spread(documents):
+    """A third of the rows equal and without an id: no shard holds them all."""
+    docs = documents([(None, "the same text")] * 300 + [(i, f"t{i} " * 4) for i in range(600)])
+    rows = packing.pack(packing.stored(packing.pieces(docs), "pieces"), per_shard=100).collect()
+    assert len(rows) == 900 == len({(r["sequence_id"], r["offset"]) for r in rows})
+    shards = [r["sequence_id"] >> 32 for r in rows if r["doc_id"] is None]
+    assert max(map(shards.count, set(shards))) < 100

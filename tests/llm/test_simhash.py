@@ -4,6 +4,8 @@ import numpy as np
 import pytest
 import xxhash
 
+from pyspark.sql import functions as F
+
 from sitepulse.llm import simhash
 from sitepulse.llm.components import components
 from tests.llm.conftest import SF
@@ -151,3 +153,15 @@ def test_repeated_and_null_ids_go_by_row(spark, documents):
         spark, docs, "").collect()), key=str)
     assert kept[:-1] == sorted([(3, x), (5, y), (12, v)], key=str) and len(kept) == 4
     assert kept[-1][0] is None and kept[-1][1] in (z, z2)
+
+
+def test_stage_keeps_columns_of_any_name(spark, documents):
+    docs = documents([(1, "one two three four five"), (2, "one two three four five"), (3, "other"),
+                      (None, "no id here")])
+    names = ["_key", "_d", "_k", "key", "row", "fp", "rep", "id", "keep", "component_id"]
+    docs = docs.withColumns({c: F.lit(f"own {c}") for c in names})
+    out = simhash.simhash_stage(spark, docs, "")
+    assert out.columns == docs.columns
+    rows = out.collect()
+    assert sorted(r["doc_id"] or 0 for r in rows) == [0, 1, 3]
+    assert all(r[c] == f"own {c}" for r in rows for c in names)
