@@ -6,15 +6,18 @@ of every vector whose value has bit s. A query adds the slices of all attributes
 bits of its own factors, with carry-save bitmap additions; a negative factor takes the complement
 of the attribute. The sum is again a list of slices, one bitmap per bit of the score. From the
 most significant slice downward the rows that are surely in the best k and the rows that may be
-are narrowed down; rows left at the boundary have equal scores and enter by smaller id. Queries
-meet all blocks, in groups of ``QUERIES``; each (query, block) sends k rows, and one small window
-per query picks the best of them.
-
-Defined cases: vectors that are null, empty, of another length than most, or hold null or
-non-finite components take no part, as queries or candidates (of equally common lengths the
-larger counts); a null id takes no part; rows repeated with one id are candidates each, and a
-query never meets rows of its own id; a repeated query id counts once (its smallest vector);
-fewer than k candidates give them all; an empty table gives no rows; other columns are not read.
+are narrowed down; rows left at the boundary have equal scores and enter by smaller id.
+
+Blocks stay where they are: each goes to one task (to several lanes where there are fewer blocks
+than tasks), and the queries come to it. Each (query, block) sends k rows, and one small window per
+query picks the best of them.
+
+Defined cases: vectors that are null or hold null or non-finite components take no part, as queries
+or candidates; vectors of different lengths have no product, so each length is an index of its own
+and a query meets rows of its length; a null id takes no part; rows repeated with one id are
+candidates each, for each other as well, and a query leaves out its own row only; a repeated
+query id counts once (its smallest vector); fewer than k candidates give them all; an empty table
+gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -22,14 +25,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sitepulse.llm.common import stored, table
+from sitepulse.llm.common import one_by_one, stored, table
 
-ROWS, QUERIES, K, SCALE = 8192, 128, 5, 256
+ROWS, K, SCALE = 8192, 5, 256
 _NONE = np.zeros(0, np.uint64)
 
 
@@ -38,11 +40,8 @@ def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     x = F.col("embedding")
     whole = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf")))
     q = F.transform(x, lambda v: F.floor(F.lit(float(scale)) * v.cast("double")))
-    rows = vectors.where(F.col("vec_id").isNotNull() & x.isNotNull() & (F.size(x) > 0) & whole)
-    rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), q.alias("q"))
-    width = rows.groupBy(F.size("q").alias("n")).count().orderBy(
-        F.desc("count"), F.desc("n")).first()
-    return rows.where(F.size("q") == (width["n"] if width else 0))
+    rows = vectors.where(F.col("vec_id").isNotNull() & x.isNotNull() & whole)
+    return rows.select(F.col("vec_id").cast("long").alias("vec_id"), q.alias("q"))
 
 
 def packed(bits: np.ndarray) -> np.ndarray:
@@ -111,8 +110,9 @@ def select_top(total: list[np.ndarray | None], live: np.ndarray, k: int) -> np.n
 class Block:
     """One block of the index, opened for queries."""
 
-    def __init__(self, ids: np.ndarray, low: np.ndarray, depth: np.ndarray, slices: np.ndarray):
-        self.ids, self.low, self.depth = ids, low, depth
+    def __init__(self, ids: np.ndarray, digests: np.ndarray, low: np.ndarray, depth: np.ndarray,
+                 slices: np.ndarray):
+        self.ids, self.digests, self.low, self.depth = ids, digests, low, depth
         words = -(-len(ids) // 64)
         self.live = packed(np.ones(len(ids), np.uint8))
         rows = slices.reshape(-1, words)
@@ -120,8 +120,9 @@ class Block:
         self.slices = [list(rows[e - d:e]) for e, d in zip(ends, depth)]
         self.flipped = [[~s for s in attribute] for attribute in self.slices]
 
-    def search(self, query_id: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(row ids, scores) of the k best rows of the block, the query's own id left out."""
+    def search(self, query_id: int, digest: int, q: np.ndarray, k: int
+               ) -> tuple[np.ndarray, np.ndarray]:
+        """(row ids, scores) of the k best rows of the block, the query's own row left out."""
         planes: list[list[np.ndarray]] = [[]]
         constant = int(np.dot(q.astype(object), self.low.astype(object)))
         for a, factor in enumerate(q.tolist()):
@@ -138,9 +139,10 @@ class Block:
                         planes[s + t].append(bitmap)
                 f, s = f >> 1, s + 1
         live = self.live
-        own = np.searchsorted(self.ids, query_id)
-        if own < len(self.ids) and self.ids[own] == query_id:
-            mask = (self.ids != query_id).astype(np.uint8)
+        low, high = np.searchsorted(self.ids, [query_id, query_id + 1])
+        if own := np.flatnonzero(self.digests[low:high] == digest).tolist():
+            mask = np.ones(len(self.ids), np.uint8)
+            mask[low + own[0]] = 0
             live = live & packed(mask)
         total = weighted_sum(planes)
         rows = select_top(total, live, k)
@@ -153,54 +155,86 @@ class Block:
 
 
 def build_index(vectors: DataFrame, rows: int = ROWS) -> DataFrame:
-    """block, ids, low, depth, slices: one row per block of about ``rows`` vectors by hash of id."""
-    n = vectors.count()
-    blocks = max(1, -(-n // rows))
-    width = "block int, ids binary, low binary, depth binary, slices binary"
-
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("vec_id", kind="stable")
-        low, depth, slices = slice_block(np.stack(part["q"].to_numpy()).astype(np.int64))
-        return pd.DataFrame({"block": [int(part["block"].iloc[0])],
-                             "ids": [part["vec_id"].to_numpy(np.int64).tobytes()],
-                             "low": [low.tobytes()], "depth": [depth.tobytes()],
-                             "slices": [slices.tobytes()]})
-
-    dealt = vectors.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
-    return dealt.groupBy("block").applyInPandas(run, width)
-
-
-def search(index: DataFrame, queries: DataFrame, k: int = K, group: int = QUERIES) -> DataFrame:
-    """query_id, rank, vec_id, score of the k best rows for every query (vec_id, q)."""
-    queries = queries.groupBy("vec_id").agg(F.min("q").alias("q"))
-    n, blocks = queries.count(), index.count()
-    groups = max(1, -(-n // group))
-    # A group of queries is one row; each group is sent to every block of the index.
-    batches = queries.groupBy(F.pmod(F.xxhash64("vec_id"), F.lit(groups)).alias("batch")).agg(
-        F.collect_list(F.struct("vec_id", "q")).alias("queries"))
-    last = index.agg(F.max("block")).first()[0]
-    grid = batches.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(last or 0))))
-
-    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        opened: tuple[int, Block] | None = None
-        for batch in rows:
-            out: list[tuple[int, int, int]] = []
+    """One row per block of about ``rows`` vectors of one length: width, block, ids, digests, low,
+    depth, slices.
+
+    Equal rows are counted and numbered, so they are dealt out as well. The digest tells the rows
+    of one id apart; only the first of equal rows has one (0 for the others).
+    """
+    fields = ("width int, block long, ids binary, digests binary, low binary, depth binary, "
+              "slices binary")
+
+    def run(part: pa.Table) -> pa.Table:
+        part = part.sort_by([("vec_id", "ascending"), ("copy", "ascending")])
+        width = part["width"][0].as_py()
+        values = np.array(part["q"].combine_chunks().flatten(), np.int64).reshape(
+            len(part), width)
+        low, depth, slices = slice_block(values)
+        return pa.table({
+            "width": part["width"][:1], "block": part["block"][:1],
+            "ids": [part["vec_id"].to_numpy().astype(np.int64).tobytes()],
+            "digests": [part["digest"].to_numpy().astype(np.int64).tobytes()],
+            "low": [low.tobytes()], "depth": [depth.tobytes()], "slices": [slices.tobytes()]})
+
+    equal = vectors.groupBy("vec_id", "q").agg(F.count(F.lit(1)).alias("n"))
+    equal = equal.withColumn("width", F.size("q"))
+    sizes = equal.groupBy("width").agg(F.ceil(F.sum("n") / rows).alias("blocks"))
+    numbered = one_by_one(equal, "n", "copy").join(sizes, "width")
+    dealt = numbered.select(
+        "width", "vec_id", "q", "copy",
+        F.when(F.col("copy") == 0, _digest()).otherwise(F.lit(0).cast("long")).alias("digest"),
+        F.pmod(F.xxhash64("vec_id", "q", "copy"), F.col("blocks")).alias("block"))
+    return dealt.groupBy("width", "block").applyInArrow(run, fields)
+
+
+def _digest() -> Column:
+    """Hash of a vector, never 0."""
+    h = F.xxhash64("q")
+    return F.when(h == 0, F.lit(1).cast("long")).otherwise(h)
+
+
+def search(index: DataFrame, queries: DataFrame, k: int = K, lanes: int | None = None) -> DataFrame:
+    """query_id, rank, vec_id, score of the k best rows for every query (vec_id, q).
+
+    ``index`` is read several times: store it.
+    """
+    spark = index.sparkSession
+    blocks = index.count()
+    parallel = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lanes = lanes or max(1, -(-parallel // max(1, blocks)))
+    asked = queries.groupBy("vec_id").agg(F.min("q").alias("q"))
+    asked = asked.select("vec_id", "q", _digest().alias("digest"), F.size("q").alias("width"),
+                         F.pmod(F.xxhash64("vec_id"), F.lit(lanes)).alias("lane"))
+    # Every query goes to every block of its length, into one of the block's lanes.
+    of_width = index.groupBy("width").agg(F.collect_list("block").alias("blocks"))
+    asked = asked.join(of_width, "width").select(
+        "width", F.explode("blocks").alias("block"), "lane", "vec_id", "digest", "q")
+    lane = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(lanes - 1).cast("long")))
+    rows = index.withColumn("lane", lane).unionByName(asked, allowMissingColumns=True)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = None  # a block comes first, then the queries of its lane
+        for batch in batches:
+            query_ids, ids, scores = [], [], []
             for row in batch.to_pylist():
-                if opened is None or opened[0] != row["block"]:
-                    parts = [np.frombuffer(row[c], np.int64) for c in ("ids", "low", "depth")]
-                    opened = row["block"], Block(*parts, np.frombuffer(row["slices"], np.uint64))
-                for query in row["queries"]:
-                    ids, scores = opened[1].search(query["vec_id"],
-                                                   np.array(query["q"], np.int64), k)
-                    out += [(query["vec_id"], int(i), int(s)) for i, s in zip(ids, scores)]
-            columns = list(zip(*out)) if out else [[], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns],
-                                             ["query_id", "vec_id", "score"])
-
-    # One task per (batch, block) or so: a pair costs QUERIES searches over ROWS rows.
-    pairs = grid.join(index, "block").repartition(
-        max(1, min(blocks * groups, 20_000)), "block", "batch")
-    best = pairs.mapInArrow(run, "query_id long, vec_id long, score long")
+                if row["slices"] is not None:
+                    parts = [np.frombuffer(row[c], np.int64)
+                             for c in ("ids", "digests", "low", "depth")]
+                    block = Block(*parts, np.frombuffer(row["slices"], np.uint64))
+                    continue
+                best, score = block.search(row["vec_id"], row["digest"],
+                                           np.array(row["q"], np.int64), k)
+                query_ids.append(np.full(len(best), row["vec_id"], np.int64))
+                ids.append(best)
+                scores.append(score)
+            if ids:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(c)) for c in (query_ids, ids, scores)],
+                    ["query_id", "vec_id", "score"])
+
+    dealt = rows.repartition(max(1, min(4 * blocks * lanes, 20_000)), "width", "block", "lane")
+    best = dealt.sortWithinPartitions("width", "block", "lane", F.col("slices").isNull()).mapInArrow(
+        run, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")
@@ -218,10 +252,12 @@ with v as (select vec_id, list_transform(embedding, lambda x: floor(256 * x::dou
            from embeddings
            where vec_id is not null and embedding is not null
              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+n as (select row_number() over () as r, vec_id, q from v),
+a as (select vec_id, min(q) as q, arg_min(r, q) as r from n where vec_id % 50 = 0 group by vec_id),
 s as (select a.vec_id as query_id, b.vec_id,
-             list_sum(list_transform(range(1, len(a.q) + 1),
-                                     lambda i: a.q[i] * b.q[i]))::bigint as score
-      from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 50 = 0),
+             coalesce(list_sum(list_transform(range(1, len(a.q) + 1),
+                                              lambda i: a.q[i] * b.q[i])), 0)::bigint as score
+      from a join n b on a.r <> b.r and len(a.q) = len(b.q)),
 r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
 select query_id, rank::int as rank, vec_id, score from r where rank <= 5
 """

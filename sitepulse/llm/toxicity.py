@@ -4,8 +4,9 @@ A text is the set of its words, pairs and triples of neighbours, and pairs with
 between them, each hashed into 2^20 places. Training walks over the labelled texts one by one with
 a learning rate of its own for each place; the L1 term keeps most weights at exactly zero, so the
 model is a short list of places and weights that goes to every task. The number of training texts
-is bounded by ``sample`` (the smallest hashes of ``doc_id``), which also bounds the single task
-that trains. Every text is scored whole.
+is bounded by ``sample`` (the smallest hashes of ``doc_id`` among the documents that have a label) and
+the number of their n-grams by ``SAMPLE_PLACES``, which bounds the single task that trains. Every
+text is scored whole, with weights sent as the list of those that are not zero.
 
 Defined cases: a null or empty text has the score of the intercept alone; rows without a label or
 with a null one do not train; a document with several label rows takes the largest; a label row
@@ -29,6 +30,7 @@ from sitepulse.llm.common import stored, table
 
 PLACES_LOG2 = 20
 SAMPLE = 24_000
+SAMPLE_PLACES = 100_000_000  # n-grams of all training texts together: 400 MB
 THRESHOLD = 0.7
 EPOCHS = 8
 _WORD = re.compile(r"\w+")
@@ -76,14 +78,21 @@ def is_held_out(column: str = "doc_id") -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """toxic and text of at most ``sample`` labelled documents outside the held-out part."""
-    chosen = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()
-                           & ~is_held_out())
-              .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-              .withColumn("place", F.xxhash64("doc_id"))
-              .orderBy("place", "doc_id").limit(sample))
-    return docs.select("doc_id", "text").join(
-        F.broadcast(chosen), "doc_id").select("place", "doc_id", "toxic", "text")  # bounded
+    """place, doc_id, toxic, text of at most ``sample`` labelled texts outside the held-out part.
+
+    Ids meet first, so labels without a document take no place, and a text that is repeated with
+    one ``doc_id`` takes one.
+    """
+    judged = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()
+                          & ~is_held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    key = F.xxhash64(F.coalesce(F.col("text"), F.lit("")), F.length("text"))
+    texts = docs.select("doc_id", key.alias("key"))
+    chosen = (texts.join(judged, "doc_id").distinct().withColumn("place", F.xxhash64("doc_id"))
+              .orderBy("place", "doc_id", "key").limit(sample))
+    found = docs.select("doc_id", "text", key.alias("key")).join(
+        F.broadcast(chosen), ["doc_id", "key"])  # bounded by ``sample``
+    return found.groupBy("place", "doc_id", "toxic", "key").agg(F.max("text").alias("text")).drop(
+        "key")
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarray:
@@ -96,10 +105,14 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarra
                 ["place", "doc_id", "toxic", "places"])
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts, toxic = [], []
+        texts, toxic, held = [], [], 0
         for batch in batches:
-            texts += [np.frombuffer(x.as_py(), np.int32) for x in batch.column(3)]
-            toxic += batch.column(2).to_pylist()
+            for label, data in zip(batch.column(2).to_pylist(), batch.column(3)):
+                at = np.frombuffer(data.as_py(), np.int32)
+                held += len(at)
+                if held <= SAMPLE_PLACES:  # the rest is read past, not kept
+                    texts.append(at)
+                    toxic.append(label)
         model = Ftrl(1 << PLACES_LOG2)
         for _ in range(EPOCHS):
             for at, label in zip(texts, toxic):
@@ -126,14 +139,26 @@ def scores_of(texts: pa.Array, w: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(margin + w[-1], -35, 35)))
 
 
+def _sparse(weights: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
+    kept = np.flatnonzero(weights).astype(np.int32)
+    return len(weights), kept, weights[kept]
+
+
+def _dense(model: tuple[int, np.ndarray, np.ndarray]) -> np.ndarray:
+    weights = np.zeros(model[0], np.float32)
+    weights[model[1]] = model[2]
+    return weights
+
+
 def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
-    """doc_id, held_out, score, predicted. The weights have a fixed size (4 MB)."""
-    model = docs.sparkSession.sparkContext.broadcast(weights)
+    """doc_id, held_out, score, predicted."""
+    model = docs.sparkSession.sparkContext.broadcast(_sparse(weights))  # at most one per place
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w = _dense(model.value)
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(scores_of(batch.column(1), model.value))],
+                [batch.column(0), pa.array(scores_of(batch.column(1), w))],
                 ["doc_id", "score"])
 
     scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
@@ -151,12 +176,13 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def not_toxic(docs: DataFrame, weights: np.ndarray) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, with all their columns."""
-    model = docs.sparkSession.sparkContext.broadcast(weights)
+    model = docs.sparkSession.sparkContext.broadcast(_sparse(weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w = _dense(model.value)
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text"))
-            yield batch.filter(pa.array(scores_of(texts, model.value) < THRESHOLD))
+            yield batch.filter(pa.array(scores_of(texts, w) < THRESHOLD))
 
     return docs.mapInArrow(run, docs.schema)
 

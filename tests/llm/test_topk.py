@@ -35,7 +35,7 @@ def test_against_brute_force(spark, low, high):
                                  "vec_id long, q array<long>")
     queries = rows.where("vec_id % 30 = 0")
     index = topk.build_index(rows, 64)
-    assert found(topk.search(index, queries, 5, 4)) == slow(
+    assert found(topk.search(index, queries, 5, lanes=3)) == slow(
         vectors, [i for i in vectors if i % 30 == 0], 5)
 
 
@@ -67,10 +67,33 @@ def test_vectors_that_take_no_part(spark):
     vectors = spark.createDataFrame(data, "vec_id long, embedding array<float>").withColumn(
         "block", F.lit("clash"))
     rows = {r["vec_id"]: r["q"] for r in topk.quantised(vectors).collect()}
-    assert rows == {0: [128, 64], 50: [-1, 256]}
+    assert rows == {0: [128, 64], 5: [], 6: [256], 50: [-1, 256]}
 
 
 def test_empty_table(spark, folder):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     out = topk.op4_topk_search(spark, folder(embeddings=empty))
     assert out.columns == ["query_id", "rank", "vec_id", "score"] and out.count() == 0
+
+
+def test_lengths_and_repeated_ids(spark, folder):
+    """Each length is searched by itself, and a query leaves out its own row only."""
+    data = [(0, [1.0, 2.0]), (0, [1.0, 2.0]), (0, [3.0, 1.0]), (7, [0.5, 0.5]), (50, [2.0]),
+            (8, [4.0]), (9, [1.0, 2.0]), (100, [1.0, 2.0, 3.0]), (150, []), (11, []), (12, [])]
+    data += [(50 * k, [0.1 * k, -0.2, 0.3]) for k in range(4, 40)]
+    data += [(13, [0.7, 0.7])] * 40  # equal rows are candidates each
+    vectors = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    at = folder(embeddings=vectors)
+    out = topk.op4_topk_search(spark, at)
+    same_rows(out, at, topk.SQL)
+    got = found(out)
+    assert got[50] == [(8, 2 * 256 * 4 * 256)] and got[150] == [(11, 0), (12, 0)]
+    assert [i for i, _ in got[0]][:3] == [0, 0, 9]
+
+
+def test_equal_rows_are_dealt_out(spark):
+    rows = spark.createDataFrame([(5, [1, 2])] * 300 + [(i, [i, 1]) for i in range(100, 130)],
+                                 "vec_id long, q array<long>")
+    index = topk.build_index(rows, 32)
+    sizes = [len(r["ids"]) // 8 for r in index.collect()]
+    assert sum(sizes) == 330 and max(sizes) < 80
