@@ -153,9 +153,11 @@ def blocks(hits: DataFrame, rank: dict[str, int], templates: list[tuple]) -> Dat
     classes = sorted({(by_rank[r], r, class_of(length)) for _, _, ws, _, length in templates
                       for r in ws})
     ranks = spark.createDataFrame(classes, "word string, rank int, class int")
-    # Rows that hold a rare word; the same text under another id is looked at with its own id.
-    holds = hits.where(F.col("word").isin(rare)).select("key").distinct()
-    placed = hits.join(holds, "key", "left_semi").join(F.broadcast(ranks), "word")
+    # Rows that hold a rare word. The number spreads copies of a text; two rows that share one by
+    # chance only let a row through that the filters below stop.
+    numbered = hits.withColumn("row", F.xxhash64("doc_id", "key"))
+    holds = numbered.where(F.col("word").isin(rare)).select("row").distinct()
+    placed = numbered.join(holds, "row", "left_semi").join(F.broadcast(ranks), "word")
     step = F.floor(F.col("at") / F.col("class"))
     placed = placed.select("doc_id", "key", "class", F.struct("at", "rank").alias("hit"),
                            F.explode(F.array(step, step - 1)).alias("block"))
