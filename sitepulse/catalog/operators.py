@@ -351,13 +351,15 @@ def _(spark, sf):
 
 # ---- intervals -------------------------------------------------------------------------------
 
-@query("interval_stab", with_views("tickets episodes", """
+_STAB = with_views("tickets episodes", """
     select event_id, exists (select 1 from episodes e where e.site_id = t.site_id
       and e.at_time <= t.asked_at and (e.closed_on >= t.asked_at or e.closed_on is null))
       as offline, exists (select 1 from episodes e where e.site_id = t.site_id
       and e.at_time <= t.asked_at and e.closed_on >= t.asked_at) as offline_closed
-    from (select event_id, site_id, opened_on + to_minutes(20) as asked_at from tickets) t"""))
-def _(spark, sf):
+    from (select event_id, site_id, opened_on + to_minutes(20) as asked_at from tickets) t""")
+
+
+def _stabbed(spark: SparkSession, sf: str, **options) -> DataFrame:
     asked = b.tickets(spark, sf).select(
         "event_id", "site_id",
         (F.col("opened_on") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(20)))
@@ -365,10 +367,21 @@ def _(spark, sf):
     down = b.episodes(spark, sf)
     out = op.covered_points(asked, {"offline": down, "offline_closed":
                                     down.filter("closed_on is not null")},
-                            "site_id", "asked_at", "at_time", "closed_on")
+                            "site_id", "asked_at", "at_time", "closed_on", **options)
     return out.select("event_id", "offline", "offline_closed")
 
 
+@query("interval_stab", _STAB)
+def _(spark, sf):
+    return _stabbed(spark, sf)
+
+
+@query("interval_stab_busy", _STAB)
+def _(spark, sf):
+    """Days as bins, each with more than a few rows split into hours."""
+    return _stabbed(spark, sf, bin_unit="day", piece_unit="hour", busy_rows=2)
+
+
 @query("interval_overlap", with_views("episodes", """
     select event_id, site_id, at_time, closed_on from episodes
     where opened_on < timestamp '2024-01-16' and (closed_on >= timestamp '2024-01-15'

@@ -1,6 +1,7 @@
 """Operators against pandas or brute force, also with one key holding most rows."""
 
 import random
+import re
 from datetime import datetime, timedelta
 
 import pandas as pd
@@ -10,6 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from sitepulse import operators as op
+from sitepulse.operators.intervals import dealt_rows
 from tests.conftest import rows, t
 
 SLOW = settings(max_examples=6, deadline=None,
@@ -77,6 +79,72 @@ def test_covered_points_like_brute_force(spark, open_covers, bin_unit):
     assert got.columns == ["i", "k", "at", "hit", "early"]
 
 
+def _busy_hour(spark, points=2700, spans=900):
+    """90 % of all points and spans lie in one site and hour, some of them at the same instant."""
+    rng = random.Random(11)
+    first = datetime(2024, 1, 5, 10)
+
+    def when(i):
+        if i % 10 == 0:
+            return datetime(2024, 1, 1) + timedelta(seconds=rng.randint(0, 10 * 86400))
+        if i % 50 == 1:
+            return first + timedelta(minutes=17)
+        return first + timedelta(microseconds=rng.randint(0, 3_600_000_000 - 1))
+
+    def key(i):
+        return f"s{rng.randint(0, 40)}" if i % 10 == 0 else "busy"
+
+    made = []
+    for i in range(spans):
+        a = when(i)
+        # Mostly moments; a few last into the next hours, one is open, one ends before it starts.
+        length = 0.4 if i % 60 else rng.choice([3, 70, 900])
+        z = None if i == 5 else a + timedelta(seconds=-5 if i == 6 else length)
+        made.append((key(i), a, z))
+    made.append(("busy", first - timedelta(hours=3), first + timedelta(minutes=2)))
+    asked = [(i, key(i), when(i)) for i in range(points)]
+    asked += [(10_000 + i, "busy", z) for i, (k, _, z) in enumerate(made) if k == "busy" and z][:300]
+    asked += [(20_000, None, first), (20_001, "busy", None)]
+    return (asked, made, spark.createDataFrame(asked, "i int, k string, at timestamp_ntz"),
+            spark.createDataFrame(made, "k string, a timestamp_ntz, z timestamp_ntz"))
+
+
+@pytest.mark.parametrize("open_covers", [True, False])
+@pytest.mark.parametrize("unit", ["second", "minute"])
+def test_busy_hour_like_brute_force(spark, open_covers, unit):
+    asked, made, points, spans = _busy_hour(spark)
+    kinds = {"all": spans, "some": spans.filter("second(a) % 3 = 0")}
+    got = op.covered_points(points, kinds, "k", "at", "a", "z", busy_rows=100, piece_unit=unit,
+                            open_covers=open_covers)
+
+    def covered(k, at, some):
+        return any(sk == k and at is not None and a <= at and (open_covers if z is None else z >= at)
+                   for sk, a, z in made if not some or a.second % 3 == 0)
+
+    assert {r["i"]: (r["all"], r["some"]) for r in got.collect()} == {
+        i: (covered(k, at, False), covered(k, at, True)) for i, k, at in asked}
+    assert got.columns == ["i", "k", "at", "all", "some"]
+
+
+def test_busy_hour_is_no_large_group_and_spans_are_scanned_once(spark, tmp_path):
+    _, _, points, spans = _busy_hour(spark)
+    points.write.parquet(str(tmp_path / "points"))
+    spans.write.parquet(str(tmp_path / "spans"))
+    points, spans = (spark.read.parquet(str(tmp_path / n)) for n in ("points", "spans"))
+    rows, _ = dealt_rows(points, {"hit": spans}, "k", "at", "a", "z", busy_rows=100)
+    largest = rows.groupBy("k", "_piece", "_part").count().agg(F.max("count")).first()[0]
+    assert largest < 0.03 * rows.count()
+    # Dealt out as the window deals them: no task is far above the median one.
+    sizes = [r["n"] for r in rows.repartition(40, "k", "_piece", "_part").groupBy(
+        F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 40 and max(sizes) < 3 * sorted(sizes)[20]
+    out = op.covered_points(points, {"hit": spans}, "k", "at", "a", "z", busy_rows=100)
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    scans = re.findall(r"FileScan parquet.*", plan)
+    assert sum("/spans" in scan for scan in scans) == 1 and "ReusedExchange" in plan
+
+
 def test_latest_keeps_one_row_per_map_task(spark):
     df = spark.range(1000).select((F.col("id") > 5000).alias("k"), F.col("id").alias("v"))
     latest = op.latest_per_key(df, ["k"], ["v"])
