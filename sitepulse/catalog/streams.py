@@ -106,6 +106,62 @@ def _(spark, sf):
                                            silence="12 hours"))
 
 
+@query("stream_site_alarms", f"""
+    with sites as (select c_custkey as user_id, timestamp '{b.FIRST_DAY}' as ts from customer),
+    rows as (select user_id, ts, true as seen from events union all
+      select user_id, ts, false from sites),
+    runs as (select user_id, min(ts) as first, max(ts) as last,
+        max(ts) filter (seen) as last_signal,
+        row_number() over (partition by user_id order by min(ts)) as pos
+      from (select *, sum(fresh) over (partition by user_id order by ts, seen) as s
+        from (select *, case when ts - lag(ts) over (partition by user_id order by ts, seen)
+                < interval 12 hour then 0 else 1 end as fresh from rows)) group by user_id, s),
+    reached as (select max(ts) - interval 1 hour as t from events)
+    select user_id, 'silent' as kind, last_signal, last + interval 12 hour as at
+    from runs, reached where last + interval 12 hour <= t
+    union all select user_id, 'back', null, first from runs, reached where pos > 1 and first <= t
+    """)
+def _(spark, sf):
+    """Every customer is watched from the first day on; most of them never send anything."""
+    watched = b.table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("user_id"), F.lit(b.FIRST_DAY).cast("timestamp").alias("since"))
+    return _drained(spark, st.site_alarms(_events(spark, sf), watched, "ts", "user_id",
+                                          silence="12 hours"))
+
+
+# Tickets that are open when the stream starts.
+_KNOWN = "closed_on is null and opened_on < timestamp_ntz'2024-01-05'"
+
+
+@query("stream_fault_states", with_views("fault_tickets disk_status", """
+    select box_id, st as error, opened_on, closed_on from (
+      select box_id, st, min(moment) as opened_on,
+        lead(min(moment)) over (partition by box_id order by s) as closed_on
+      from (select *, sum(fresh) over (partition by box_id order by moment, pos, hdd, error) as s
+        from (select *, case when st is not distinct from lag(st) over w and lag(moment) over w
+                is not null then 0 else 1 end as fresh from rows
+              window w as (partition by box_id order by moment, pos, hdd, error)))
+      group by box_id, s, st) where st is not null""",
+    ("known", "select * from fault_tickets where closed_on is null and opened_on < timestamp "
+              "'2024-01-05' qualify row_number() over (partition by box_id order by opened_on "
+              "desc, error desc) = 1"),
+    ("rows", "select box_id, '0' as hdd, error, opened_on as moment, 0 as pos, error as st from known "
+             "union all select d.box_id, hdd, d.error, at_time, 1, "
+             "case when hdd = '0' then d.error end from disk_status d left join known k "
+             "on k.box_id = d.box_id where k.box_id is null or at_time >= k.opened_on")))
+def _(spark, sf):
+    """Closed tickets as the stream writes them, open ones from its state."""
+    folder = _folder(spark)
+    status = _events(spark, sf).filter("event_type in ('error', 'click')").select(
+        F.col("user_id").alias("box_id"),
+        F.when(F.col("event_type") == "error", "0").otherwise("1").alias("hdd"),
+        b._error(F.col("k")).alias("error"), F.col("ts").alias("at_time"))
+    known = b.fault_tickets(spark, sf).filter(_KNOWN)
+    closed = st.run_available(st.fault_states(status, known), folder)
+    still = st.open_faults(spark, f"{folder}/state")
+    return _plain(closed.unionByName(still, allowMissingColumns=True))
+
+
 @query("stream_near_violation", with_views("tickets remarks sites", "select * from near", *_OPEN))
 def _(spark, sf):
     folder = _folder(spark)

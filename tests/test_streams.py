@@ -135,3 +135,91 @@ def test_a_new_checkpoint_does_not_forget_the_table(spark, frame, tmp_path):
         handler()(frame("tickets", [ticket(4, "30 23:32", None)]), 0)
     handler(start=2)(frame("tickets", [ticket(4, "30 23:32", None)]), 0)
     assert rows(current_version(spark, str(tmp_path / "f")), "event_id") == [(1,), (2,), (4,)]
+
+
+def _watched(spark, *rows):
+    return spark.createDataFrame([(k, t(since)) for k, since in rows], "k string, since timestamp")
+
+
+def _alarms(out):
+    return rows(out.select("k", "kind", F.date_format("last_signal", "dd HH:mm"),
+                           F.date_format("at", "dd HH:mm")))
+
+
+def test_sites_that_never_sent_and_sites_that_return(spark, tmp_path):
+    """Over several batches and a restart: the state of each site goes on."""
+    sites = _watched(spark, ("never", "01 00:00"), ("late", "01 00:00"), ("a", "01 00:00"),
+                     ("new", "01 20:00"), (None, "01 00:00"), ("a", "01 05:00"))
+    folder = str(tmp_path / "in")
+
+    def run(*batches):
+        stream = feed(spark, folder, *batches)
+        return _alarms(st.run_available(st.site_alarms(
+            stream, sites, "ts", "k", silence="2 hours", delay="30 minutes"), str(tmp_path / "out")))
+
+    first = run([("a", "01 00:30"), ("a", "01 01:10")], [("a", "01 03:00"), (None, "01 01:00")],
+                [("other", "01 04:00")])
+    assert first == [("late", "silent", None, "01 02:00"), ("never", "silent", None, "01 02:00")]
+    # An hour of out-of-order rows fills a pause that was still open; then everybody is silent.
+    second = run([("late", "01 05:00"), ("a", "01 04:40")], [("other", "01 12:00")])
+    assert sorted(second, key=str) == sorted(first + [
+        ("late", "back", None, "01 05:00"), ("late", "silent", "01 05:00", "01 07:00"),
+        ("a", "silent", "01 04:40", "01 06:40"), ("other", "silent", "01 04:00", "01 06:00")], key=str)
+    third = run([("a", "01 13:00"), ("new", "02 03:00")])
+    new = [r for r in third if r not in second]
+    assert sorted(new, key=str) == [
+        ("a", "back", None, "01 13:00"), ("a", "silent", "01 13:00", "01 15:00"),
+        ("new", "silent", None, "01 22:00"), ("other", "back", None, "01 12:00"),
+        ("other", "silent", "01 12:00", "01 14:00")]
+
+
+def test_busy_site_is_reduced_before_its_rows_meet(spark, tmp_path):
+    from sitepulse.streaming.state import _micros, _runs_of
+    many = spark.range(30_000).selectExpr(
+        "'busy' as k", "timestamp_micros(id * 1000000 + if(id > 20000, 90000000000, 0)) as ts")
+    runs = _runs_of(many, "ts", "k", _micros("2 hours"))
+    assert runs.count() < 30 and runs.agg(F.max("last") - F.min("first")).first()[0] == (
+        29_999 + 90_000) * 1_000_000
+
+
+def _status(spark, folder, *batches):
+    schema = "box_id string, hdd string, error string, ts timestamp_ntz"
+    return feed(spark, folder, *batches, schema=schema).withColumnRenamed("ts", "at_time")
+
+
+def test_fault_states_over_batches_and_a_restart(spark, frame, tmp_path):
+    known = frame("fault_tickets", [
+        {"ticket_id": 1, "box_id": "b2", "error": "E", "opened_on": "01 00:00"},
+        {"ticket_id": 2, "box_id": "b2", "error": "old", "opened_on": "01 00:00"},
+        {"ticket_id": 3, "box_id": "b4", "error": "E", "opened_on": "01 09:00"},
+        {"ticket_id": 4, "box_id": "b5", "error": "E", "opened_on": "01 00:00", "closed_on": "01 01:00"}])
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+
+    def run(*batches):
+        closed = st.run_available(st.fault_states(_status(spark, folder, *batches), known), out)
+        return (rows(closed.select("box_id", "error", F.date_format("opened_on", "HH:mm"),
+                                   F.date_format("closed_on", "HH:mm"))),
+                rows(st.open_faults(spark, f"{out}/state").select(
+                    "box_id", "error", F.date_format("opened_on", "HH:mm"))))
+
+    closed, still = run(
+        [("b1", "0", "E", "01 10:00"), ("b1", "0", "E", "01 10:00"), ("b1", "0", "E", "01 10:05"),
+         ("b3", "1", None, "01 10:00"), (None, "0", "E", "01 10:00")],
+        [("b1", "0", "F", "01 10:10"), ("b2", "0", "old", "01 08:00"), ("b3", "0", None, "01 11:00")],
+        [("b4", "1", "E", "01 08:00")])  # older than the ticket of b4: changes nothing
+    assert closed == [("b1", "E", "10:00", "10:10")]
+    assert still == [("b1", "F", "10:10"), ("b2", "old", "00:00"), ("b3", None, "11:00"), ("b4", "E", "09:00")]
+    # The restart reads new files only and knows what is open; out-of-order rows are sorted.
+    closed, still = run([("b1", "0", "E", "01 13:00"), ("b1", "1", "E", "01 12:00"), ("b4", "1", "x", "01 12:30")])
+    assert closed == [("b1", "E", "10:00", "10:10"), ("b1", "F", "10:10", "12:00"), ("b4", "E", "09:00", "12:30")]
+    assert still == [("b1", "E", "13:00"), ("b2", "old", "00:00"), ("b3", None, "11:00")]
+
+
+def test_open_tickets_are_not_written_again(spark, frame, tmp_path):
+    """A batch with one box writes that box's change only; the output holds closed tickets."""
+    known = frame("fault_tickets", [{"ticket_id": i, "box_id": f"b{i}", "error": "E", "opened_on": "01 00:00"}
+                                    for i in range(500)])
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for batch in ([("b1", "1", "E", "01 10:00")], [("b2", "1", "E", "01 11:00")]):
+        closed = st.run_available(st.fault_states(_status(spark, folder, batch), known), out)
+    assert closed.count() == 2 and st.open_faults(spark, f"{out}/state").count() == 498
