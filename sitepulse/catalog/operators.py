@@ -11,7 +11,7 @@ from sitepulse import bindings as b
 from sitepulse import operators as op
 from sitepulse import sources as src
 from sitepulse.bindings import half_up, with_views
-from sitepulse.catalog.registry import minutes, query
+from sitepulse.catalog.registry import CHECKS, minutes, query
 from sitepulse.functions import (
     clamp, clip, combine_date_time, contains, cube_root, cut, days_before, drop_blanks,
     first_match, hours_between, minutes_between, minutes_between_exact, not_text, number_or_zero,
@@ -925,3 +925,59 @@ def _(spark, sf):
     fresh = customer.filter("c_mktsegment = 'BUILDING'").withColumn("c_acctbal", F.lit(-1.0))
     src.replace_customers(fresh, path, scope, key="c_mktsegment")
     return src.current_version(spark, path)
+
+
+@query("customer_buckets_replaced", CHECKS["customer_slice_replaced"])
+def _(spark, sf):
+    """The same replacement on a table in buckets, where only two buckets are written again."""
+    customer = b.table(spark, sf, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    table = src.KeyedTable(spark, _folder(spark), ["c_mktsegment"], 16)
+    table.replace_keys(customer, customer)
+    scope = customer.filter("c_mktsegment in ('BUILDING', 'FURNITURE')")
+    fresh = customer.filter("c_mktsegment = 'BUILDING'").withColumn("c_acctbal", F.lit(-1.0))
+    table.replace_keys(fresh, scope)
+    return table.read()
+
+
+@query("day_parts_replaced", """
+    select event_id, event_type, cast(ts as date) as date,
+      case when cast(ts as date) = date '2024-01-07' then -value else value end as value
+    from events where cast(ts as date) <> date '2024-01-08'""")
+def _(spark, sf):
+    """A daily table in which one day is replaced and another one becomes empty."""
+    events = b.table(spark, sf, "events").select("event_id", "event_type", "value",
+                                                 F.to_date("ts").alias("date"))
+    days = [f"2024-01-{d:02d}" for d in range(1, 32)]
+    table = src.PartTable(spark, _folder(spark), "date")
+    table.replace(events, days)
+    table.replace(events.filter("date = date'2024-01-07'").withColumn("value", -F.col("value")),
+                  days[6:8])
+    return table.read()
+
+
+@query("ticket_buckets_changed", with_views("fault_tickets", f"""
+    select ticket_id, box_id, error, opened_on, case when closed_on is null and error = 'EIO'
+      then timestamp '{b.ASOF}' else closed_on end as closed_on,
+      case when error = 'ENODR' and closed_on is null then opened_on + interval 1 hour end
+      as latest_remote_recording from fault_tickets
+    union all select null, c_custkey, 'NEW', timestamp '{b.ASOF}', null, null from customer
+    where c_custkey < 20"""))
+def _(spark, sf):
+    """Tickets in buckets: close one kind, touch another, open new ones (numbered by the table)."""
+    known = b.fault_tickets(spark, sf).select("ticket_id", "box_id", "error", "opened_on", "closed_on",
+                                              F.lit(None).cast("timestamp_ntz").alias(
+                                                  "latest_remote_recording"))
+    table = src.TicketTable(spark, _folder(spark), known.schema)
+    table.begin(known)
+    now = table.open()
+    later = F.col("opened_on") + F.expr("interval 1 hour")
+    opened = b.table(spark, sf, "customer").filter("c_custkey < 20").select(
+        F.col("c_custkey").alias("box_id"), F.lit("NEW").alias("error"),
+        F.lit(b.ASOF).cast("timestamp_ntz").alias("opened_on"),
+        F.lit(None).cast("timestamp_ntz").alias("closed_on"))
+    table.apply(b.ASOF, closed=now.filter("error = 'EIO'").select("ticket_id"), opened=opened,
+                touched=now.filter("error = 'ENODR'").select(
+                    "ticket_id", later.alias("latest_remote_recording")))
+    out = table.read()
+    # Which new row gets which new number depends on its hash.
+    return out.withColumn("ticket_id", F.when(F.col("error") != "NEW", F.col("ticket_id")))

@@ -1,8 +1,8 @@
 """One call per job: read the stored tables, compute, store the result the way reports expect.
 
-Daily tables are partitioned by date and a run covers the customers in ``sites``, so running a
-day again replaces it. Tables that are rewritten as a whole, or that a job reads and writes, are
-versioned folders.
+Daily tables are cut by date and a run covers the customers in ``sites``, so running a day again
+replaces it. Tables that are replaced by customer, and ticket tables, are cut into buckets, and a run
+writes the buckets it changes. Tables that are rewritten as a whole are versioned folders.
 """
 
 from __future__ import annotations
@@ -22,9 +22,10 @@ from sitepulse.plans import (
 from sitepulse.schemas import schema
 from sitepulse.session import reuse
 from sitepulse.sources import (
-    apply_ticket_changes, canonical_names, current_version, day_slice, look_back,
-    replace_customers, replace_day, replace_table, scope, write_csv, write_sheets,
+    canonical_names, current_version, day_slice, replace_table, scope, write_csv, write_sheets,
 )
+from sitepulse.sources.files import FileIndex
+from sitepulse.sources.parts import KeyedTable, PartTable, TicketTable, read_parts
 from sitepulse.sources.writers import finished_versions
 
 
@@ -43,7 +44,10 @@ class Store:
         return f"{self.root}/{name}"
 
     def read(self, name: str) -> DataFrame:
-        """A plain table, or the newest version of a versioned one, with the names used here."""
+        """A plain table, or the newest state of a versioned one, with the names used here."""
+        parts = read_parts(self.spark, self.path(name))
+        if parts is not None:
+            return canonical_names(parts)
         if finished_versions(self.spark, self.path(name)):
             return canonical_names(current_version(self.spark, self.path(name)))
         return canonical_names(self.spark.read.parquet(self.path(name)))
@@ -64,14 +68,25 @@ class Store:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
 
-    def ticket_table(self, name: str) -> DataFrame:
-        """Fault tickets; empty before the first run."""
-        if finished_versions(self.spark, self.path(name)):
-            return self.read(name)
-        return self.spark.createDataFrame([], schema("fault_tickets"))
+    def ticket_table(self, name: str) -> TicketTable:
+        """Fault tickets; empty before the first run. A table of whole versions is taken over."""
+        table = TicketTable(self.spark, self.path(name), schema("fault_tickets"))
+        if not table.exists() and finished_versions(self.spark, self.path(name)):
+            table.begin(self.read(name))
+        return table
 
     def daily(self, df: DataFrame, name: str, day: str) -> None:
-        replace_day(df, self.path(name), day)
+        """Replace one day; the others are not touched."""
+        PartTable(self.spark, self.path(name), "date").replace(
+            df.withColumn("date", F.lit(day).cast("date")), [day])
+
+    def customers(self, df: DataFrame, name: str, sites: DataFrame) -> None:
+        """Replace the rows of the customers in ``sites``, also by nothing."""
+        KeyedTable(self.spark, self.path(name), ["bank"]).replace_keys(df, sites)
+
+    def whole(self, df: DataFrame, name: str) -> None:
+        """Replace all rows of a table that is otherwise replaced by customer."""
+        KeyedTable(self.spark, self.path(name), ["bank"]).replace_all(df)
 
 
 def sla_daily(store: Store, day: str, asof: str | None = None) -> None:
@@ -92,10 +107,8 @@ def near_violation(store: Store, asof: str) -> None:
     """The current list of urgent tickets and the counts per class, for all customers."""
     sites = store.sites()
     due = reuse(sla.open_tickets(store.read("tickets"), store.read("remarks"), sites, asof))
-    replace_customers(sla.near_violation(due), store.path("near_violation"), sites,
-                      keep_hours=KEEP_HOURS)
-    replace_customers(sla.class_summary(due, sites), store.path("ticket_class_counts"), sites,
-                      keep_hours=KEEP_HOURS)
+    store.customers(sla.near_violation(due), "near_violation", sites)
+    store.customers(sla.class_summary(due, sites), "ticket_class_counts", sites)
 
 
 def slot_counts(store: Store, kind: str, day: str) -> None:
@@ -114,57 +127,52 @@ def slot_counts(store: Store, kind: str, day: str) -> None:
         portfolio.publish_site_master(sites, store.path("site_master"))
 
 
-def _apply(store: Store, name: str, current: DataFrame, change: tickets.Changes,
-           asof: str) -> None:
-    opened = change.opened.withColumn("closed_on", F.lit(None).cast("timestamp_ntz"))
-    replace_table(apply_ticket_changes(current, asof, closed=change.closed,
-                                       touched=change.touched, opened=opened), store.path(name),
-                  keep_hours=KEEP_HOURS)
+def _apply(table: TicketTable, change: tickets.Changes, asof: str) -> None:
+    table.apply(asof, closed=change.closed, touched=change.touched, opened=change.opened)
 
 
 def disk_tickets(store: Store, asof: str, **options) -> None:
     current = store.ticket_table("disk_tickets")
     change = tickets.disk_tickets(
         store.sites(), store.read("disk_status"), store.read("recorder_signals"),
-        current.filter("closed_on is null"), asof, **options)
-    _apply(store, "disk_tickets", current, change, asof)
+        current.open(), asof, **options)
+    _apply(current, change, asof)
 
 
 def camera_tickets(store: Store, asof: str, **options) -> None:
     current = store.ticket_table("camera_tickets")
     change = tickets.camera_absent_tickets(
         store.sites(), store.read("cameras"), store.read("recorder_signals"),
-        current.filter("closed_on is null"), asof, **options)
-    _apply(store, "camera_tickets", current, change, asof)
+        current.open(), asof, **options)
+    _apply(current, change, asof)
 
 
-def _unread_files(store: Store, signals: DataFrame) -> list[str] | None:
-    """Files of ``signals`` that the stored latest signals don't contain; None: not known."""
+def _signal_files(store: Store) -> tuple[FileIndex, int]:
+    """The index of signal files, and the version up to which the stored signals have read them."""
     done = finished_versions(store.spark, store.path("latest_signals"))
-    listed = finished_versions(store.spark, store.path("signals_read"))
-    if not done or done[-1] not in listed:
-        return None
-    read = store.spark.read.parquet(f"{store.path('signals_read')}/v={done[-1]}")
-    return sorted(set(signals.inputFiles()) - {r["file"] for r in read.collect()})
+    return FileIndex(store.spark, store.path("recorder_signals"), store.path("signals_read")), (
+        done[-1] if done else 0)
+
+
+def _unread_files(store: Store) -> DataFrame:
+    """Files that the stored latest signals don't contain."""
+    index, version = _signal_files(store)
+    return index.unread(version)
 
 
 def new_signals(store: Store, overlap_minutes: int = 60,
-                signals: DataFrame | None = None) -> DataFrame:
+                files: DataFrame | None = None) -> DataFrame:
     """All signals in files that no poll has read, and the newest ones of the other files.
 
     Files are written once, so a file that was read has nothing new, whatever the times in it.
     """
-    signals = store.read("recorder_signals") if signals is None else signals
-    unread = _unread_files(store, signals)
-    if unread is None:
-        return signals
-    # Spark spells a path without a host with three slashes here and with one there.
-    is_new = F.col("_metadata.file_path").isin(
-        [*unread, *(f.replace(":///", ":/", 1) for f in unread)])
+    index, version = _signal_files(store)
+    fresh = index.rows_of(_unread_files(store) if files is None else files).drop("_file")
+    if not version:
+        return fresh
     last = store.read("latest_signals").agg(F.max("at_time")).first()[0]
-    fresh = signals.filter(is_new)
-    return fresh if last is None else look_back(signals.filter(~is_new), "at_time", last,
-                                                minutes=overlap_minutes).unionByName(fresh)
+    again = None if last is None else index.recent(version, last, overlap_minutes)
+    return fresh if again is None else again.unionByName(fresh)
 
 
 def latest_signals(store: Store, overlap_minutes: int = 60) -> DataFrame:
@@ -172,21 +180,20 @@ def latest_signals(store: Store, overlap_minutes: int = 60) -> DataFrame:
 
     A poll reads the files that came since the last one only, so a late upload counts and a fast
     clock hides nothing, and a camera that has been silent for months keeps its last signal. The
-    files read are listed under the version they belong to, before that version is finished.
+    list of unread files is stored first: a file that comes meanwhile is for the next poll. The
+    index gets them under the version they belong to, before that version is finished.
     """
     key = ["box_id", "device_id", "event_code"]
-    signals = store.read("recorder_signals")
-    fresh = new_signals(store, overlap_minutes, signals)
+    index, done = _signal_files(store)
+    files = reuse(index.unread(done))
+    fresh = new_signals(store, overlap_minutes, files)
     columns = [c for c in (*key, "at_time", "status") if c in fresh.columns]
     fresh = fresh.select(*columns)
-    done = finished_versions(store.spark, store.path("latest_signals"))
     if done:
         fresh = store.read("latest_signals").unionByName(fresh)
     latest = latest_per_key(fresh, key, [c for c in columns if c not in key])
-    version = done[-1] + 1 if done else 1
-    files = store.spark.createDataFrame([(f,) for f in signals.inputFiles()], "file string")
-    replace_table(files, store.path("signals_read"), version=version, keep_hours=KEEP_HOURS)
-    replace_table(latest, store.path("latest_signals"), version=version, keep_hours=KEEP_HOURS)
+    index.append(index.rows_of(files), files, done + 1)
+    replace_table(latest, store.path("latest_signals"), version=done + 1, keep_hours=KEEP_HOURS)
     return store.read("latest_signals")
 
 
@@ -194,20 +201,19 @@ def camera_lag_tickets(store: Store, asof: str, **options) -> None:
     current = store.ticket_table("camera_lag_tickets")
     change = tickets.camera_lag_tickets(
         store.sites(), store.read("cameras"), latest_signals(store),
-        current.filter("closed_on is null"), **options)
-    _apply(store, "camera_lag_tickets", current, change, asof)
+        current.open(), **options)
+    _apply(current, change, asof)
 
 
 def lobby_tickets(store: Store, asof: str, **options) -> None:
     current = store.ticket_table("lobby_tickets")
     change = tickets.lobby_stale_tickets(
-        store.sites(), latest_signals(store), current.filter("closed_on is null"), asof,
-        **options)
-    _apply(store, "lobby_tickets", current, change, asof)
+        store.sites(), latest_signals(store), current.open(), asof, **options)
+    _apply(current, change, asof)
 
 
 def lobby_day_report(store: Store, day: str) -> None:
-    report = tickets.ticket_day_report(store.ticket_table("lobby_tickets"), day)
+    report = tickets.ticket_day_report(store.ticket_table("lobby_tickets").read(), day)
     write_sheets({"lobby": report}, store.path(f"reports/lobby-{day}"))
 
 
@@ -215,7 +221,7 @@ def repeated_faults(store: Store, asof: str) -> None:
     """Both lists are replaced as a whole, and stay when the new list is empty."""
     for name, find in (("camera", repeats.repeated_camera_faults),
                        ("disk", repeats.repeated_disk_faults)):
-        replace_table(find(store.ticket_table(f"{name}_tickets"), asof),
+        replace_table(find(store.ticket_table(f"{name}_tickets").read(), asof),
                       store.path(f"{name}_faults_repeated"), skip_empty=True,
                       keep_hours=KEEP_HOURS)
 
@@ -272,8 +278,8 @@ def sensor_matrices(store: Store, asof: str, columns: Mapping[str, str]) -> None
                                            store.read("event_dictionary"), asof))
     for kind in ("trigger", "heartbeat"):
         matrix = sensors.sensor_matrix(recency, sites, columns, asof, kind)
-        replace_customers(matrix.withColumn("priority", F.lit(None).cast("string")),
-                          store.path(f"sensor_{kind}"), sites, keep_hours=KEEP_HOURS)
+        store.customers(matrix.withColumn("priority", F.lit(None).cast("string")),
+                        f"sensor_{kind}", sites)
 
 
 def sensor_priority(store: Store, asof: str, columns: Sequence[str], *, weighted: bool = True,
@@ -286,22 +292,20 @@ def sensor_priority(store: Store, asof: str, columns: Sequence[str], *, weighted
         matrix = store.read(f"sensor_{kind}").drop("priority")
         risk = reuse(sensors.sensor_risk(matrix, columns, online, weighted=weighted))
         ranked = sensors.most_urgent_first(sensors.sensor_priority(risk, edges))
-        replace_table(ranked.drop("risk_score"), store.path(f"sensor_{kind}"),
-                      keep_hours=KEEP_HOURS)
+        store.whole(ranked.drop("risk_score"), f"sensor_{kind}")
 
 
 def site_features(store: Store, asof: str) -> None:
     sites = store.sites()
     features = priority.site_features(sites, store.read("tickets"), asof)
-    replace_customers(features.withColumn("site_priority", F.lit(None).cast("string")),
-                      store.path("site_priority"), sites, keep_hours=KEEP_HOURS)
+    store.customers(features.withColumn("site_priority", F.lit(None).cast("string")),
+                    "site_priority", sites)
 
 
 def site_priority(store: Store) -> None:
     """Ranks all stored sites and rewrites the table it reads."""
     features = store.read("site_priority").drop("site_priority")
-    replace_table(priority.site_priority(features), store.path("site_priority"),
-                  keep_hours=KEEP_HOURS)
+    store.whole(priority.site_priority(features), "site_priority")
 
 
 def penalty_tickets(store: Store, month: str) -> None:
