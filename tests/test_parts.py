@@ -156,16 +156,18 @@ def test_file_index_finds_new_files_whatever_their_times(spark, tmp_path):
 def test_file_index_prunes_old_files_and_its_plan_does_not_grow(spark, tmp_path):
     source = str(tmp_path / "in")
     index = src.FileIndex(spark, source, str(tmp_path / "index"))
-    sizes = []
+    sizes, seen = [], set()
     for version in (1, 2, 3):
         for i in range(8):
             _signals(spark, source, ("a", f"{version:02d} 0{i}:00"))
+        for f in set(glob.glob(f"{source}/*.parquet")) - seen:
+            os.utime(f, (1_700_000_000 + 3600 * version,) * 2)
+            seen.add(f)
         files = index.unread(version - 1)
         df = index.rows_of(files)
         sizes.append(len(df._jdf.queryExecution().optimizedPlan().toString()))
         fixed = spark.createDataFrame(files.collect(), files.schema)
         index.append(df, fixed, version)
-        _age(source, 60)
     assert sizes[2] < sizes[1] + 200 and sizes[1] < sizes[0] + 2500
     _signals(spark, source, ("new", "09 00:00"))
     files = index.unread(3)
