@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitepulse import bindings as b
+from sitepulse import runs
 from sitepulse.bindings import with_views
-from sitepulse.catalog.registry import minutes, query
+from sitepulse.catalog.registry import CHECKS, minutes, query
 from sitepulse.functions import recode
 from sitepulse.functions.time import SLOT_NAMES
 from sitepulse.operators import union_all
 from sitepulse.plans import (
-    availability, footage, outages, penalties, recordings, repeats, sla, slots, tickets,
+    availability, footage, outages, penalties, recordings, repeats, rolling, sla, slots, tickets,
 )
+from sitepulse.session import shared_dir
 
 ASOF_SQL = f"timestamp '{b.ASOF}'"
 DAYS_SQL = f"generate_series(date '{b.FIRST_DAY}', date '{b.LAST_DAY}', interval 1 day)"
@@ -567,6 +571,20 @@ def _(spark, sf):
     return outages.frequent_sites(patterns, b.sites(spark, sf), b.ASOF)
 
 
+@query("outage_patterns_kept", CHECKS["outage_patterns"])
+def _(spark, sf):
+    """The same report from the kept clock table: loaded once, then two more days added."""
+    store = runs.Store(spark, f"{shared_dir(spark)}/sitepulse-{uuid.uuid4().hex}")
+    b.tickets(spark, sf).write.parquet(store.path("tickets"))
+    kinds = list(b.UNITS)
+    runs.outage_load(store, "2024-01-02", "2024-01-29", kinds)
+    for day in ("2024-01-30", "2024-01-31"):
+        runs.outage_add_day(store, day, kinds)
+    changes = runs._clock_changes(store).read()
+    patterns = outages.patterns_of(outages.kept_clock(changes, b.ASOF), LOW)
+    return outages.recurring_patterns(patterns, b.sites(spark, sf), b.ASOF)
+
+
 def _night_check(least: tuple[int, int, int], where: str) -> str:
     return with_views("tickets sites", f"""
         select date '2024-01-31' as date, bank, site_name, site_id, c3 as count_3days,
@@ -613,6 +631,16 @@ def _(spark, sf):
     return repeats.repeated_camera_faults(b.fault_tickets(spark, sf), b.ASOF)
 
 
+@query("repeated_camera_faults_counted", CHECKS["repeated_camera_faults"])
+def _(spark, sf):
+    """The weekly list from daily counters, far fewer of them than there are keys."""
+    faults = b.fault_tickets(spark, sf)
+    day = F.to_date("opened_on")
+    daily = rolling.daily_counters(faults.filter(day >= F.lit("2024-01-24").cast("date")), day,
+                                   rolling.camera_keys(faults), 512)
+    return rolling.repeated_camera_faults(faults, daily, b.ASOF, counters=512)
+
+
 @query("repeated_disk_faults", with_views("fault_tickets", f"""
     select date '2024-01-31' as date, bank, site_name, case when e = a and e >= 3 then 'ENOENT'
       when d = a and d >= 3 then 'ENODR' when e + d >= 3 then 'ENOENT+ENODR' else 'Others' end

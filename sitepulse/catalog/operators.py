@@ -18,6 +18,7 @@ from sitepulse.functions import (
     parse_time, ratio, recode, row_argmin, row_max, row_mean, row_min, row_null_count, row_range,
     row_slope, row_std, row_sum, slot_label, text_flag, title_case,
 )
+from sitepulse.plans import rolling
 from sitepulse.session import shared_dir
 
 TYPES = ["click", "error", "purchase", "signup", "view"]
@@ -526,6 +527,43 @@ def _(spark, sf):
         F.countDistinct("l_suppkey").alias("suppliers"))
 
 
+@query("distinct_rolling", """
+    with days as (select unnest(generate_series((select min(ts) from events)::date,
+        (select max(ts) from events)::date, interval 1 day))::date as day)
+    select day, event_type, count(distinct user_id) as exact, true as within_bound
+    from days join events on ts::date between day - 6 and day group by day, event_type""")
+def _(spark, sf):
+    """Different users in the seven days up to each day: exact, and checked against sketches."""
+    events, day = b.table(spark, sf, "events"), F.to_date("ts")
+    sketches = rolling.distinct_sketches(events, day, ["event_type"], "user_id")
+    found = rolling.rolling_distinct(sketches, ["event_type"], 7).join(
+        rolling.rolling_distinct_exact(events, day, ["event_type"], "user_id", 7),
+        ["day", "event_type"])
+    gap = F.abs(F.col("estimate") - F.col("exact"))
+    return found.select("day", "event_type", "exact",
+                        (gap <= rolling.distinct_bound(F.col("exact"))).alias("within_bound"))
+
+
+@query("profile_of_days", """
+    select 'value' as "column", count(*) as rows, count(*) - count(value) as nulls,
+      round(avg(value), 6) as mean, round(stddev(value), 6) as std, min(value) as smallest,
+      max(value) as largest, true as ranks_right from events
+    union all select 'event_id', count(*), count(*) - count(event_id),
+      round(avg(event_id::double), 6), round(stddev(event_id::double), 6),
+      min(event_id)::double, max(event_id)::double, true from events""")
+def _(spark, sf):
+    """A month's profile from daily sketches; each quantile's true rank is near its share."""
+    events, columns = b.table(spark, sf, "events"), ["value", "event_id"]
+    shares = {"q25": 0.25, "median": 0.5, "q75": 0.75}
+    daily = rolling.daily_profiles(events, F.to_date("ts"), columns)
+    profile = rolling.merged_profile(daily, shares)
+    errors = rolling.rank_errors(events, profile, columns, shares)
+    right = F.greatest(*[F.col(f"e.{n}") for n in shares]) <= 3 / rolling.QUANTILE_K
+    return profile.alias("p").join(errors.alias("e"), "column").select(
+        "column", "rows", "nulls", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"),
+        "smallest", "largest", right.alias("ranks_right"))
+
+
 @query("grouping_levels", with_views("tickets sites", """
     select bank, site_id, case when grouping(site_id) = 1 then 'group' else 'member' end
       as level, cast(count(*) as bigint) as tickets,

@@ -49,6 +49,18 @@ def _(spark, sf):
     return _drained(spark, st.slot_counts(_events(spark, sf), "ts", ["user_id"]))
 
 
+@query("stream_slot_counts_whole", """
+    select user_id, slot_start, slot_start + interval 4 hour as slot_end, signals
+    from (select user_id, time_bucket(interval 4 hour, ts) as slot_start, count(*) as signals
+          from events group by user_id, time_bucket(interval 4 hour, ts))""")
+def _(spark, sf):
+    """Every row counts, in the newest slots and behind the watermark as well."""
+    folder = _folder(spark)
+    st.run_batches(_events(spark, sf), folder, st.slot_handler(spark, f"{folder}/slots", "ts",
+                                                               ["user_id"]))
+    return _plain(st.slot_totals(spark, f"{folder}/slots", ["user_id"]))
+
+
 @query("stream_sliding_counts", """
     select event_type, window_start, window_start + interval 2 hour as window_end, signals
     from (select event_type, window_start, count(*) as signals from (

@@ -92,6 +92,11 @@ def _exists(test: Column, *by: str) -> Column:
 
 
 def all_patterns(base: DataFrame, asof, limits: Thresholds = Thresholds()) -> DataFrame:
+    """``patterns_of`` the closed episodes of the look-back (``outage_base``)."""
+    return patterns_of(_clock_table(base, asof), limits)
+
+
+def patterns_of(clock: DataFrame, limits: Thresholds = Thresholds()) -> DataFrame:
     """Patterns per site after the precedence rules, plus the rows of too frequent sites.
 
     Precedence: a pair of times wins over one of its times; a minute wins over its hour; a pair
@@ -99,7 +104,7 @@ def all_patterns(base: DataFrame, asof, limits: Thresholds = Thresholds()) -> Da
     with too many tickets in total shows only as such. A site has at most one row per pair of
     clock minutes here, whatever the number of its tickets, so the per-site windows are bounded.
     """
-    found = _grouped(_clock_table(base, asof)).filter(
+    found = _grouped(clock).filter(
         F.when(F.col("remark") == "TotalTickets", _reach(limits.total))
         .otherwise(_reach(limits.pattern)))
     # One exchange by site serves every window below.
@@ -149,13 +154,75 @@ def business_hour_outages(base: DataFrame, patterns: DataFrame, sites: DataFrame
                           limits: tuple[int, int, int] = Thresholds.night, *,
                           on_site_only: bool = True) -> DataFrame:
     """Sites off in the evening and back in the morning that show no finer pattern."""
-    night = base.filter(F.date_format("at_time", "HH").isin(OFF_HOURS)
-                        & F.date_format("closed_on", "HH").isin(ON_HOURS))
+    return night_outages(_clock_table(base, asof), patterns, sites, asof, limits,
+                         on_site_only=on_site_only)
+
+
+def night_outages(clock: DataFrame, patterns: DataFrame, sites: DataFrame, asof,
+                  limits: tuple[int, int, int] = Thresholds.night, *,
+                  on_site_only: bool = True) -> DataFrame:
+    """``business_hour_outages`` from the clock table."""
+    night = clock.filter(F.substring("off", 1, 2).isin(OFF_HOURS)
+                         & F.substring("on", 1, 2).isin(ON_HOURS))
     counted = night.groupBy("site_id").agg(
-        *[F.count_if(F.col("at_time") >= days_before(asof, days, whole_days=True)).alias(name)
-          for days, name in zip(HORIZONS[:2], COUNTS)],
-        F.count(F.lit(1)).alias(COUNTS[2])).filter(_reach(limits))
+        F.sum("off3").alias(COUNTS[0]), F.sum("off7").alias(COUNTS[1]),
+        F.sum("all15").alias(COUNTS[2])).filter(_reach(limits))
     members = sites.filter("on_site = 1") if on_site_only else sites
     rows = anti(counted, patterns, ["site_id"]).withColumn(
         "remark", F.lit("Business hour sites"))
     return _with_site(rows, members, asof)
+
+
+# ---- kept from day to day -----------------------------------------------------------------------
+
+EPISODE = ["site_id", "msg", "at_time"]
+
+
+def counting_rows(episodes: DataFrame) -> DataFrame:
+    """Closed episodes with the first day whose look-back counts them (``counts_from``): the day after
+    they closed, and not before the midnight that follows their start."""
+    at_day, closed_day = F.to_date("at_time"), F.to_date("closed_on")
+    begun = F.when(F.col("at_time") == at_day.cast("timestamp_ntz"), at_day).otherwise(
+        F.date_add(at_day, 1))
+    return episodes.filter("at_time is not null and closed_on is not null").select(
+        *EPISODE, "event_id", "closed_on", at_day.alias("at_day"),
+        F.greatest(F.date_add(closed_day, 1), begun).alias("counts_from"))
+
+
+def counted_once(rows: DataFrame) -> DataFrame:
+    """Which of repeated episodes counts from which day on: the smallest ``event_id`` so far.
+
+    A row that takes the place of another one from a later day on brings ``replaces`` (that row's
+    closing time).
+    """
+    so_far = Window.partitionBy(*EPISODE).orderBy("counts_from", "event_id")
+    before = so_far.rowsBetween(Window.unboundedPreceding, -1)
+    smaller = rows.withColumn("_least", F.min("event_id").over(before)).filter(
+        "_least is null or event_id < _least").drop("_least")
+    return smaller.withColumn("replaces", F.lag("closed_on").over(so_far))
+
+
+def clock_changes(counted: DataFrame) -> DataFrame:
+    """Clock-minute counts by site and days, with the rows that others replaced taken off again."""
+    kinds = F.explode(F.array(
+        F.struct(F.col("closed_on").alias("closed"), F.lit(1).alias("n")),
+        F.struct(F.col("replaces").alias("closed"), F.lit(-1).alias("n"))))
+    rows = counted.withColumn("_k", kinds).filter("_k.closed is not null")
+    return rows.groupBy(
+        "counts_from", "at_day", F.to_date("_k.closed").alias("closed_day"), "site_id",
+        F.date_format("at_time", "HH:mm").alias("off"),
+        F.date_format("_k.closed", "HH:mm").alias("on")).agg(F.sum("_k.n").alias("n"))
+
+
+def kept_clock(changes: DataFrame, asof) -> DataFrame:
+    """The clock table of a day from the stored changes of its look-back."""
+    today = F.to_date(days_before(asof, 0, whole_days=True))
+
+    def since(column: str, days: int) -> Column:
+        return F.col(column) >= F.date_sub(today, days)
+
+    recent = changes.filter((F.col("counts_from") <= today) & since("at_day", HORIZONS[-1]))
+    sums = [F.sum(F.when(since(day, days), F.col("n")).otherwise(0)).alias(f"{by}{days}")
+            for by, day in (("off", "at_day"), ("on", "closed_day")) for days in HORIZONS[:2]]
+    return recent.groupBy("site_id", "off", "on").agg(
+        *sums, F.sum("n").alias("all15")).filter("all15 > 0")

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from sitepulse.functions import as_of, days_before
 from sitepulse.operators import active_sites, latest_per_key
 from sitepulse.plans import (
-    availability, dashboard, outages, penalties, portfolio, priority, recordings, repeats, sensors,
-    sla, slots, tickets,
+    availability, dashboard, footage, outages, penalties, portfolio, priority, recordings, repeats,
+    sensors, sla, slots, tickets,
 )
 from sitepulse.schemas import schema
 from sitepulse.session import reuse
@@ -240,6 +240,71 @@ def outage_patterns(store: Store, asof: str,
     store.daily(rows, "outage_patterns", asof[:10])
 
 
+def _counted_episodes(store: Store) -> PartTable:
+    """Which episode counts from which day on, by that day and the day it began."""
+    return PartTable(store.spark, store.path("outage_episodes"), "counts_from", ("at_day",))
+
+
+def _clock_changes(store: Store) -> PartTable:
+    return PartTable(store.spark, store.path("outage_clock"), "counts_from")
+
+
+def outage_load(store: Store, first: str, last: str,
+                messages: Sequence[str] = sla.OFFLINE_MESSAGES) -> None:
+    """Begin the kept clock table with the days from ``first`` to ``last``, in one pass."""
+    days = store.spark.sql(f"select explode(sequence(date'{first}', date'{last}')) as d")
+    listed = [str(r["d"]) for r in days.collect()]  # one row a day
+    rows = outages.counting_rows(store.read("tickets").filter(F.col("msg").isin(list(messages))))
+    counted = reuse(outages.counted_once(rows.filter(
+        F.col("counts_from").between(F.lit(first).cast("date"), F.lit(last).cast("date")))))
+    _counted_episodes(store).replace(counted.drop("replaces"), listed)
+    _clock_changes(store).replace(outages.clock_changes(counted), listed)
+
+
+def outage_add_day(store: Store, day: str,
+                   messages: Sequence[str] = sla.OFFLINE_MESSAGES) -> None:
+    """Add the episodes that count from ``day`` on (they closed the day before).
+
+    Reads their rows and the stored episodes that began on the same days, for repeats; the days of
+    the look-back are not read again. Days are added in order; a day can be added again.
+    """
+    begins = F.date_sub(F.lit(day).cast("date"), outages.HORIZONS[-1])
+    # Only what can still be in the look-back of a day from now on, and pushed to the scan.
+    tickets = store.read("tickets").filter(F.col("msg").isin(list(messages)) & (
+        F.col("at_time") >= begins.cast("timestamp_ntz")))
+    new = reuse(outages.counting_rows(tickets).filter(
+        F.col("counts_from") == F.lit(day).cast("date")))
+    known = _counted_episodes(store)
+    rows = new
+    if known.exists():
+        began = [r["at_day"] for r in new.select("at_day").distinct().collect()]  # 16 days or so
+        rows = rows.unionByName(known.read().filter(
+            F.col("at_day").isin(began) & (F.col("counts_from") < F.lit(day).cast("date"))))
+    counted = reuse(outages.counted_once(rows).filter(
+        F.col("counts_from") == F.lit(day).cast("date")))
+    known.replace(counted.drop("replaces"), [day])
+    _clock_changes(store).replace(outages.clock_changes(counted), [day])
+
+
+def kept_outages(store: Store, asof: str, limits: outages.Thresholds = outages.Thresholds()
+                 ) -> DataFrame:
+    """Patterns, frequent sites and night outages of the day from the kept clock table."""
+    sites = store.sites()
+    clock = reuse(outages.kept_clock(_clock_changes(store).read(_days_back(
+        store, asof, outages.HORIZONS[-1])), asof))
+    found = reuse(outages.patterns_of(clock, limits))
+    return (outages.recurring_patterns(found, sites, asof)
+            .unionByName(outages.frequent_sites(found, sites, asof), allowMissingColumns=True)
+            .unionByName(outages.night_outages(clock, found, sites, asof, limits.night),
+                         allowMissingColumns=True))
+
+
+def _days_back(store: Store, asof: str, days: int) -> list[str]:
+    today = F.to_date(as_of(asof))
+    row = store.spark.range(1).select(F.sequence(F.date_sub(today, days), today).alias("d")).first()
+    return [str(d) for d in row["d"]]
+
+
 def video_daily(store: Store, day: str, camera_names: Mapping[str, str],
                 messages: Sequence[str] = sla.OFFLINE_MESSAGES) -> None:
     episodes = store.read("tickets").filter(F.col("msg").isin(list(messages)) & F.col("active"))
@@ -248,6 +313,16 @@ def video_daily(store: Store, day: str, camera_names: Mapping[str, str],
         store.read("heartbeats"), day, day, camera_names), "video_daily", day)
 
 
+def footage_answers(store: Store, asof: str, **options) -> None:
+    """Answers to all stored requests, from the tickets the other jobs keep."""
+    episodes = store.read("tickets").filter(F.col("msg").isin(list(sla.OFFLINE_MESSAGES)))
+    answers = footage.footage_status(
+        store.read("footage_requests"), footage.lobby_availability(store.read("recording_counts")),
+        episodes, store.ticket_table("lobby_tickets").read(),
+        store.ticket_table("disk_tickets").read(), **options)
+    store.daily(answers, "footage_answers", asof[:10])
+
+
 def vod_daily(store: Store, day: str) -> None:
     sites = store.sites()
     recorded = day_slice(store.read("recording_counts"), "at_time", day,

@@ -15,7 +15,7 @@ from tests.conftest import SF
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
 # Only these end in one task: their aggregates are already one row per map task.
-ONE_ROW = {"conditional_counts", "column_profile", "share_of_total", "time_slices",
+ONE_ROW = {"distinct_rolling", "conditional_counts", "column_profile", "share_of_total", "time_slices",
            "site_features", "site_priority", "dashboard_counts", "dashboard_counts_two_banks",
            "dashboard_document", "portfolio_by_bank", "portfolio_by_state",
            "portfolio_by_state_city", "portfolio_by_customer_state"}
@@ -66,7 +66,7 @@ def test_same_rows(spark, duck, name):
 # These write something, run a stream, or look up a header row or a schema while they are built.
 EAGER = {"scan_pushdown", "append_table", "replace_one_slice", "replace_whole_table", "customer_slice_replaced",
          "csv_sheets", "csv_table", "json_records", "customer_buckets_replaced", "day_parts_replaced",
-         "ticket_buckets_changed"}
+         "ticket_buckets_changed", "outage_patterns_kept"}
 
 
 def test_building_a_query_starts_no_job(spark):
