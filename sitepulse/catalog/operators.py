@@ -138,6 +138,19 @@ def _(spark, sf):
     return op.pct_rank(priced, "v", "pct", digits=4).drop("v")
 
 
+@query("pct_rank_kept", CHECKS["pct_rank_orders"])
+def _(spark, sf):
+    """The same ranks from a kept histogram into which the second half of the orders was merged."""
+    priced = b.table(spark, sf, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice")).alias("v"))
+    path = _folder(spark)
+    src.replace_table(op.rank_histogram(priced.filter("o_orderkey % 2 = 0"), ["v"]), path)
+    src.replace_table(op.rank_histogram(priced.filter("o_orderkey % 2 = 1"), ["v"],
+                                        src.current_version(spark, path)), path)
+    kept = src.current_version(spark, path)
+    return op.ranks_from(priced, kept, {"v": "pct"}, digits=4).drop("v")
+
+
 @query("bucket_by_rank", f"""
     select c_custkey, case when pct <= 0.2 then 'P5' when pct <= 0.4 then 'P4'
       when pct <= 0.6 then 'P3' when pct <= 0.8 then 'P2' else 'P1' end as priority

@@ -16,7 +16,9 @@ from sitepulse.operators.keyed import (
     dedupe, first_per_key, group_size, last_non_null, latest_per_key, latest_values, peer_latest,
     superseded,
 )
-from sitepulse.operators.ranking import bucket_by_rank, pct_rank, pct_ranks, quantiles
+from sitepulse.operators.ranking import (
+    bucket_by_rank, pct_rank, pct_ranks, quantiles, rank_histogram, ranks_from,
+)
 from sitepulse.operators.rowsets import (
     drop_matching, ensure_columns, except_rows, exclusive_classes, move_first, top_rows, union_all,
 )
@@ -28,7 +30,8 @@ __all__ = [
     "first_per_key", "flag_members", "frequency", "group_size", "horizon_counts", "last_non_null",
     "latest_per_key", "latest_values", "move_first", "natural_join", "null_safe_anti",
     "null_safe_semi", "outer_combine", "outer_join_sums", "overlapping", "pct_rank", "pct_ranks",
-    "peer_latest", "pivot_agg", "pivot_mode", "pivot_text", "pivot_unique", "quantiles", "semi",
+    "peer_latest", "pivot_agg", "pivot_mode", "pivot_text", "pivot_unique", "quantiles", "rank_histogram",
+    "ranks_from", "semi",
     "share_of_total", "slope", "summed_measures", "superseded", "top_rows", "two_level_sums",
     "union_all", "without_matches",
 ]

@@ -40,13 +40,17 @@ def _in_ranges(df: DataFrame) -> DataFrame:
 
 
 def _placed(cells: DataFrame) -> DataFrame:
+    """``_placed_counts`` of cells."""
+    return _placed_counts(cells.groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n")))
+
+
+def _placed_counts(counts: DataFrame) -> DataFrame:
     """Per column position ``_c`` and distinct value ``_v``: rows ``_n`` with the value, rows
     before it ``_start``, and rows of the column ``_total``.
 
     The range bounds and the range totals hold at most ``RANGES`` numbers per value column, so
     both are broadcast. NaN comes after infinity.
     """
-    counts = cells.groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
     shares = F.expr(f"array({', '.join(f'{i / RANGES}D' for i in range(1, RANGES))})")
     finite = F.when(F.abs("_v") < float("inf"), F.col("_v"))
     bounds = counts.groupBy("_c").agg(
@@ -65,10 +69,52 @@ def _placed(cells: DataFrame) -> DataFrame:
         "_c", "_v", "_n", start.alias("_start"), "_total")
 
 
-def _scores(cells: DataFrame) -> DataFrame:
+def _placed_few(cells: DataFrame) -> DataFrame:
+    """``_placed`` for columns with few distinct values: one pass over one row per value."""
+    counts = cells.groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    column = Window.partitionBy("_c")
+    before = column.orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select("_c", "_v", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(
+        "_start"), F.sum("_n").over(column).alias("_total"))
+
+
+def _scores(cells: DataFrame, few: bool = False) -> DataFrame:
     """Average rank divided by count, per column position ``_c`` and distinct value ``_v``."""
     rank = F.col("_start") + (F.col("_n") + 1) / 2.0
-    return _placed(cells).select("_c", "_v", (rank / F.col("_total")).alias("_score"))
+    placed = _placed_few(cells) if few else _placed(cells)
+    return placed.select("_c", "_v", (rank / F.col("_total")).alias("_score"))
+
+
+def rank_histogram(df: DataFrame, columns: Sequence[str],
+                   before: DataFrame | None = None) -> DataFrame:
+    """Ordered histogram of the columns: per column and distinct value the rows with it (``n``), the
+    rows below it (``start``) and all rows (``total``). Store it; with ``before``, a stored one, the
+    rows of ``df`` (a new day) are merged into it, and no older row is read again.
+    """
+    name = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("_c") + 1)
+    place = F.array_position(F.array(*[F.lit(c) for c in columns]), F.col("column")) - 1
+    counts = _cells(df, columns).groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    if before is not None:
+        old = before.select(place.cast("int").alias("_c"), F.col("value").alias("_v"),
+                            F.col("n").alias("_n")).filter("_c >= 0")
+        counts = counts.unionByName(old).groupBy("_c", "_v").agg(F.sum("_n").alias("_n"))
+    return _placed_counts(counts).select(name.alias("column"), F.col("_v").alias("value"),
+                                         F.col("_n").alias("n"), F.col("_start").alias("start"),
+                                         F.col("_total").alias("total"))
+
+
+def ranks_from(df: DataFrame, histogram: DataFrame, names: Mapping[str, str],
+               digits: int | None = 2) -> DataFrame:
+    """``pct_ranks`` of ``df`` among the rows of a stored ``rank_histogram``: one join per column."""
+    out = df
+    rank = (F.col("start") + (F.col("n") + 1) / 2.0) / F.col("total")
+    score = rank if digits is None else F.round(rank, digits)
+    for value, name in names.items():
+        ranked = histogram.filter(F.col("column") == value).select(
+            F.col("value").alias("_v"), score.alias(name))
+        out = null_safe_left(out.withColumn("_v", F.col(value).cast("double")), ranked,
+                             ["_v"]).drop("_v")
+    return out
 
 
 def quantiles(df: DataFrame, columns: Sequence[str], shares: Mapping[str, float]) -> DataFrame:
@@ -92,16 +138,17 @@ def quantiles(df: DataFrame, columns: Sequence[str], shares: Mapping[str, float]
 
 
 def pct_ranks(df: DataFrame, names: Mapping[str, str], digits: int | None = 2,
-              key: str | None = None) -> DataFrame:
+              key: str | None = None, few: bool = False) -> DataFrame:
     """Rank divided by the number of ranked rows, for each value column -> new column.
 
     Equal values share their average rank; NULL gets NULL and does not count; NaN ranks above
     infinity. Rows collapse to one per distinct value first. The running count is then taken
     inside value ranges whose bounds are quantiles, so clustered values are spread as well, and
     only the range totals go through one ordered pass per column. With a unique ``key`` column
-    all scores come back in one join.
+    all scores come back in one join. ``few`` says that the columns have some thousand distinct
+    values at most by their definition, whatever the number of rows; then no ranges are needed.
     """
-    scores = _scores(_cells(df, list(names)))
+    scores = _scores(_cells(df, list(names)), few)
     score = F.col("_score") if digits is None else F.round("_score", digits)
     if key is not None:
         found = _cells(df, list(names), [key]).join(scores, ["_c", "_v"]).groupBy(key).agg(*[
@@ -111,6 +158,7 @@ def pct_ranks(df: DataFrame, names: Mapping[str, str], digits: int | None = 2,
     out = df
     for pos, (value, name) in enumerate(names.items()):
         ranked = scores.filter(F.col("_c") == pos).select("_v", score.alias(name))
+        ranked = F.broadcast(ranked) if few else ranked
         out = null_safe_left(out.withColumn("_v", F.col(value).cast("double")), ranked,
                              ["_v"]).drop("_v")
     return out
@@ -122,9 +170,10 @@ def pct_rank(df: DataFrame, value: str, name: str, digits: int | None = 2) -> Da
 
 
 def bucket_by_rank(df: DataFrame, bands: Mapping[str, tuple[str, Sequence[Any]]],
-                   edges: Sequence[float], key: str | None = None) -> DataFrame:
+                   edges: Sequence[float], key: str | None = None,
+                   few: bool = False) -> DataFrame:
     """Labels for right-closed bands of the rounded rank: value column -> (name, labels)."""
-    ranked = pct_ranks(df, {value: f"_rank_{value}" for value in bands}, key=key)
+    ranked = pct_ranks(df, {value: f"_rank_{value}" for value in bands}, key=key, few=few)
     return ranked.withColumns({
         name: cut(F.col(f"_rank_{value}"), edges, labels)
         for value, (name, labels) in bands.items()

@@ -60,6 +60,7 @@ def site_priority(features: DataFrame) -> DataFrame:
     """
     score = F.round(cube_root(F.col("manual_closure"), F.col("footfall"), F.col("night_visit"))
                     + F.col("security"), 2)
+    # Three scores from 1 to 5 and a flag: some hundred values at most.
     ranked = bucket_by_rank(features.withColumn("_score", score),
-                            {"_score": ("site_priority", CLASSES)}, EDGES)
+                            {"_score": ("site_priority", CLASSES)}, EDGES, few=True)
     return ranked.drop("_score")

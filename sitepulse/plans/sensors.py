@@ -92,7 +92,8 @@ def sensor_risk(matrix: DataFrame, columns: Sequence[str], video_daily: DataFram
 
 def sensor_priority(risk: DataFrame, edges: Sequence[float] = RANK_EDGES) -> DataFrame:
     """P1 (most urgent fifth) to P5. ``risk`` is read twice; on large tables pass a stored one."""
-    return bucket_by_rank(risk, {"risk_score": ("priority", PRIORITIES)}, edges)
+    # A score is at most 5 points for each of some dozen sensors, times their number.
+    return bucket_by_rank(risk, {"risk_score": ("priority", PRIORITIES)}, edges, few=True)
 
 
 def most_urgent_first(prioritised: DataFrame) -> DataFrame:

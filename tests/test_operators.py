@@ -296,3 +296,26 @@ def test_quantiles(spark):
     df = spark.createDataFrame([(float(v), w) for v, w in ((1, None), (2, 5.0), (4, None), (8, 7.0))], "a double, b double")
     got = rows(op.quantiles(df, ["a", "b"], {"q25": 0.25, "median": 0.5, "q75": 0.75}))
     assert got == [("a", 1.75, 3.0, 5.0), ("b", 5.5, 6.0, 6.5)]
+
+
+def test_kept_histogram_ranks_like_all_rows(spark, tmp_path):
+    """Days merged one by one, with ties, NULL, NaN, infinities, and a value that only a later day has."""
+    rng = random.Random(4)
+    pool = [None, float("nan"), float("inf"), -float("inf"), 0.0, -1.5, 2.0, 2.0, 1e9]
+    values = [(i, i % 4, rng.choice([*pool, rng.gauss(0, 3)]), rng.choice([1.0, None, 7.5]))
+              for i in range(600)] + [(1000, 3, 123.25, None)]
+    df = spark.createDataFrame(values, "i int, day int, v double, w double")
+    kept = None
+    for day in range(4):
+        kept = op.rank_histogram(df.filter(F.col("day") == day), ["v", "w"], kept)
+        kept.write.parquet(str(tmp_path / str(day)))
+        kept = spark.read.parquet(str(tmp_path / str(day)))
+    got = op.ranks_from(df, kept, {"v": "rv", "w": "rw"}, digits=None)
+    whole = op.pct_ranks(df, {"v": "rv", "w": "rw"}, digits=None)
+    assert rows(got, "i", "rv", "rw") == rows(whole, "i", "rv", "rw")
+    assert kept.count() == op.rank_histogram(df, ["v", "w"]).count()
+
+
+def test_few_values_rank_like_many(spark):
+    df = spark.range(5000).select(F.col("id").alias("i"), F.when(F.col("id") % 13 > 0, F.col("id") % 13).alias("v"))
+    assert rows(op.pct_ranks(df, {"v": "r"}, few=True)) == rows(op.pct_ranks(df, {"v": "r"}))
