@@ -2,10 +2,11 @@
 
 1. Every line becomes a hash (blank lines none). Lines are counted over the documents that hold
    them, with the earliest of these (the smallest ``doc_id``).
-2. A document's lines that an earlier document holds fall into stretches with one earliest
-   holder. The rarest line of a stretch makes a pair of the two documents. So a document meets
-   at most as many partners as it has stretches, a line in very many documents makes one pair
-   for each of them with its first holder, and no line with an earlier holder is left out.
+2. A document makes a pair with the earliest holder of each of its shared lines. That holder is the
+   rare part: a line in very many documents makes one pair for each of them, with its first holder,
+   and no line with an earlier holder is left out. (Keeping only lines below some count, or the
+   rarest line of a stretch with one holder, would give the same pairs or lose blocks of lines that
+   are common one by one, so lines are not cut by their count.)
    Lines that are common one by one may form a passage that is not, so the same is done for runs:
    from every line, forwards and backwards, the shortest run of lines with ``MIN_WORDS`` words.
    Each run makes a pair with its earliest holder. Every line of a block that may go lies in such
@@ -32,7 +33,7 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitepulse.llm.common import look_up, stored, table, text_of
@@ -61,14 +62,7 @@ def pairs(rows: DataFrame) -> DataFrame:
         F.min("doc_id").alias("holder"), F.max("doc_id").alias("last"),
         F.count(F.lit(1)).alias("n")).where("holder < last").drop("last"), "line-holders")
     shared = look_up(single, holders, "line", "n", _total(single)).where("holder < doc_id")
-    # Stretches: neighbouring lines with one earliest holder.
-    order = Window.partitionBy("doc_id", "key").orderBy("at")
-    by_holder = Window.partitionBy("doc_id", "key", "holder").orderBy("at")
-    marked = shared.withColumn("stretch", F.row_number().over(order)
-                               - F.row_number().over(by_holder))
-    rarest = marked.groupBy("doc_id", "key", "holder", "stretch").agg(
-        F.min(F.struct("n", "at", "line")).alias("rarest"))
-    return rarest.select("doc_id", "key", F.col("holder").alias("partner")).distinct()
+    return shared.select("doc_id", "key", F.col("holder").alias("partner")).distinct()
 
 
 def _total(rows: DataFrame) -> int:

@@ -184,3 +184,17 @@ def test_fallback_finds_the_heaviest_common_run():
         if got:
             i, j, n = got
             assert a[i:i + n] == b[j:j + n] and sum(words[j:j + n]) == best
+
+
+def test_pairs_are_all_earliest_holders(documents):
+    """Every shared line, however common, brings its first holder, and nothing else does."""
+    texts = {d: "\n".join(f"line {(d * k) % 17}" for k in range(1, 9)) for d in range(1, 60)}
+    rows = lines.line_rows(documents([*texts.items(), (None, "line 3"), (70, ""), (70, None)]))
+    got = {(r["doc_id"], r["partner"]) for r in lines.pairs(lines.stored(rows, "rows")).collect()}
+    first, expected = {}, set()
+    for d, text in sorted(texts.items()):
+        for line in set(text.split("\n")):
+            first.setdefault(line, d)
+            if first[line] < d:
+                expected.add((d, first[line]))
+    assert got == expected
