@@ -177,3 +177,24 @@ def test_late_uploads_and_fast_clocks(spark, frame, tmp_path):
     got = poll(signal(1, "0701", "30 12:00"))
     assert [got[k] for k in keys] == ["2024-01-30 12:00:00", "2025-01-30 10:00:00"]
     assert runs._unread_files(store).count() == 0
+
+
+def test_footage_answers_use_the_kept_tickets(spark, frame, tmp_path):
+    from tests.test_jobs import cam, signal, site
+    store = runs.Store(spark, str(tmp_path / "s"))
+    frame("sites", [site(1), site(2)]).write.parquet(store.path("sites"))
+    frame("tickets", [{"event_id": 1, "site_id": "1", "msg": "NC-30", "at_time": "29 08:00",
+                       "closed_on": "29 09:00"}]).write.parquet(store.path("tickets"))
+    frame("recording_counts", []).write.parquet(store.path("recording_counts"))
+    frame("recorder_signals", [signal(2, "0702", "28 10:00")]).write.parquet(store.path("recorder_signals"))
+    runs.lobby_tickets(store, "2024-01-29 00:00:00")
+    spark.sql("""select * from values (1L, '1', 'b1', timestamp_ntz'2024-01-29 08:30:00'),
+        (2L, '1', 'b1', timestamp_ntz'2024-01-29 09:30:00'), (3L, '2', 'b2', timestamp_ntz'2024-01-29 12:00:00'),
+        (4L, '2', 'b2', timestamp_ntz'2024-01-27 12:00:00')
+        as t(ticket_id, site_id, box_id, asked_at)""").write.parquet(store.path("footage_requests"))
+    for _ in range(2):
+        runs.footage_answers(store, NOW)
+    site_of = {r["site_id"] for r in store.read("lobby_tickets").collect()}
+    assert len(site_of) == 1
+    answers = {r["ticket_id"]: r["reason"] for r in store.read("footage_answers").collect()}
+    assert answers[1] == "Offline" and answers[2] == "Online - No HDD Issue" and len(answers) == 4
