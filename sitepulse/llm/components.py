@@ -5,17 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitepulse.llm.common import stored
+from sitepulse.llm.common import look_up, stored
 
 
-def _star(edges: DataFrame, directed: DataFrame) -> DataFrame:
-    """(v, least) for every neighbour v of u, where least is the smallest of u's neighbours.
+def _star(directed: DataFrame, total: int) -> DataFrame:
+    """(u, v, least) for every neighbour v of u, where least is the smallest of u's neighbours.
 
-    The smallest neighbour is aggregated (with a map-side part) and joined back, so a node with
-    very many neighbours is never held as one group.
+    The smallest neighbour is aggregated (with a map-side part) and looked up, so the edges of a
+    node with more than a thousandth of ``total`` edges stay where they are.
     """
-    least = directed.groupBy("u").agg(F.min("v").alias("least"))
-    return directed.join(least, "u")
+    least = directed.groupBy("u").agg(F.min("v").alias("least"), F.count(F.lit(1)).alias("n"))
+    return look_up(directed, least, "u", "n", total).drop("n")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -33,11 +33,12 @@ def components(edges: DataFrame) -> DataFrame:
         if state == seen or state["n"] == 0:
             break
         seen = state
+        total = 2 * state["n"]
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _star(now, both).where("v > u").select(
+        large = _star(both, total).where("v > u").select(
             F.col("v").alias("u"), F.least("u", "least").alias("v"))
-        large = large.where("u != v").distinct()
-        small = _star(now, large)
+        large = stored(large.where("u != v").distinct(), "edges-large")
+        small = _star(large, total)
         small = small.select(F.col("v").alias("u"), F.col("least").alias("v")).unionByName(
             small.select("u", F.col("least").alias("v")))
         now = stored(small.where("u != v").distinct(), "edges")

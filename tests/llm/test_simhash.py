@@ -165,3 +165,26 @@ def test_stage_keeps_columns_of_any_name(spark, documents):
     rows = out.collect()
     assert sorted(r["doc_id"] or 0 for r in rows) == [0, 1, 3]
     assert all(r[c] == f"own {c}" for r in rows for c in names)
+
+
+def test_components_with_hot_nodes(spark):
+    """A root above the hot limit on either side of its edges, a long chain, and loose pairs."""
+    rnd = random.Random(8)
+    edges = [(10_000, i) for i in range(10_001, 13_000)] + [(i, 9_999) for i in range(1, 900)]
+    edges += [(20_000 + i, 20_001 + i) for i in range(70)]
+    edges += [(a, a + rnd.randint(0, 3)) for a in range(30_000, 30_400, 2)] + [(12_000, 20_070)]
+    root = {}
+
+    def find(i):
+        while root.setdefault(i, i) != i:
+            i = root[i]
+        return i
+
+    for a, b in edges:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    rnd.shuffle(edges)
+    found = {r["node"]: r["root"] for r in components(spark.createDataFrame(
+        edges + edges[:50], "a long, b long")).collect()}
+    looped = {a for a, b in edges if a == b} - {x for a, b in edges if a != b for x in (a, b)}
+    assert found == {i: find(i) for e in edges for i in e if i not in looped}
