@@ -5,11 +5,11 @@ from sitepulse.sources.readers import (
     promote_header, read_jdbc, read_sheets, read_table, scope,
 )
 from sitepulse.sources.files import FileIndex
-from sitepulse.sources.parts import KeyedTable, PartTable, TicketTable, read_parts
+from sitepulse.sources.parts import KeyedTable, PartTable, TicketTable, read_parts, replace_day
 from sitepulse.sources.tickets import apply_ticket_changes
 from sitepulse.sources.writers import (
-    append, current_version, json_records, nested_document, replace_customers, replace_day,
-    replace_slices, replace_table, write_csv, write_json, write_sheets,
+    append, current_version, json_records, nested_document, replace_customers, replace_slices,
+    replace_table, write_csv, write_json, write_sheets,
 )
 
 __all__ = [

@@ -111,6 +111,15 @@ class PartTable:
         fs.delete(path, True)
 
 
+def replace_day(df: DataFrame, path: str, day: str, column: str = "date") -> None:
+    """Replace one day of a daily table, also by nothing. ``df`` holds that day only.
+
+    Readers (``read_parts``, or ``PartTable`` for another column) see the old day until the new one
+    is complete; a run that stops at any point leaves the old day in place.
+    """
+    PartTable(df.sparkSession, path, column).replace(df, [day])
+
+
 def bucket(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 

@@ -33,27 +33,6 @@ def replace_slices(df: DataFrame, path: str, slice_by: Sequence[str] = ("bank",)
      .option("partitionOverwriteMode", "dynamic").partitionBy(*slice_by).parquet(path))
 
 
-def _swap(spark: SparkSession, new: str, path: str) -> None:
-    """Put the finished folder ``new`` in the place of ``path``."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    target = hadoop.Path(path)
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.mkdirs(target.getParent())
-    fs.delete(target, True)
-    if not fs.rename(hadoop.Path(new), target):
-        raise OSError(f"{new} could not be moved to {path}")
-
-
-def replace_day(df: DataFrame, path: str, day: str, column: str = "date") -> None:
-    """Replace one day of a daily table, also by nothing. ``df`` holds that day only.
-
-    The day is written beside the table first; a run that fails leaves the old day in place.
-    """
-    new = f"{path}/_new-{column}-{day}"
-    df.drop(column).write.mode("overwrite").parquet(new)
-    _swap(df.sparkSession, new, f"{path}/{column}={day}")
-
-
 def finished_versions(spark: SparkSession, path: str) -> list[int]:
     """Versions of a table whose write was completed, oldest first."""
     hadoop = spark._jvm.org.apache.hadoop.fs

@@ -135,9 +135,27 @@ def test_a_failed_run_keeps_the_old_day(spark, tmp_path):
     broken = spark.range(1).select(F.raise_error(F.lit("no")).cast("string").alias("v"), F.lit("2024-01-01").alias("date"))
     with pytest.raises(Exception):
         src.replace_day(broken, path, "2024-01-01")
-    assert rows(spark.read.parquet(path), "v") == [("x",)]
+    assert rows(src.read_parts(spark, path), "v") == [("x",)]
     src.replace_day(spark.createDataFrame([("y", "2024-01-01")], "v string, date string"), path, "2024-01-01")
-    assert rows(spark.read.parquet(path), "v") == [("y",)]
+    assert rows(src.read_parts(spark, path), "v") == [("y",)]
+
+
+def test_a_day_is_replaced_under_a_reader_and_by_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "daily")
+    day = lambda v, d: spark.createDataFrame([(v, d)], "v string, date string")
+    src.replace_day(day("x", "2024-01-01"), path, "2024-01-01")
+    src.replace_day(day("z", "2024-01-02"), path, "2024-01-02")
+    reader = src.read_parts(spark, path)
+    with monkeypatch.context() as m:  # stopped when all rows are written and none is published
+        m.setattr("sitepulse.sources.parts.replace_table", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            src.replace_day(day("lost", "2024-01-01"), path, "2024-01-01")
+    assert rows(src.read_parts(spark, path), "v") == [("x",), ("z",)]
+    src.replace_day(day("y", "2024-01-01"), path, "2024-01-01")
+    assert rows(reader, "v") == [("x",), ("z",)]  # its files are still there
+    assert rows(src.read_parts(spark, path), "v") == [("y",), ("z",)]
+    src.replace_day(day("y", "2024-01-01").limit(0), path, "2024-01-01")
+    assert rows(src.read_parts(spark, path), "v") == [("z",)]
 
 
 def test_a_slice_is_few_files(spark, tmp_path):
