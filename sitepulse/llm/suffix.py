@@ -372,10 +372,12 @@ def split_hot(found: DataFrame, docs: DataFrame, limit: int) -> tuple[DataFrame,
             if held:
                 yield from _settle(parts)
 
-        small = todo.join(F.broadcast(large), "anchor", "left_anti")
+        # Spark broadcasts the list only while it is short by its size; beyond that both joins are
+        # sort-merge joins, whose hot keys adaptive execution splits.
+        small = todo.join(large, "anchor", "left_anti")
         small = small.select("doc", "row", "start", "stop", "anchor")
         places = small if places is None else places.unionByName(small)
-        hot = todo.join(F.broadcast(large), "anchor", "left_semi")
+        hot = todo.join(large, "anchor", "left_semi")
         again = stored(marks(_with_text(hot, docs).mapInArrow(cut, ROW)), "finer-marks")
         spans = spans.unionByName(again.where("anchor is null").drop("anchor"))
         todo = again.where("anchor is not null")
