@@ -20,7 +20,6 @@ gives no rows; other columns are not read.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -38,17 +37,20 @@ MISSING = -16.0  # log frequency of a feature that a language does not have
 UNKNOWN = "und"
 COUNTED = 200_000  # different words a task gathers before it hands them on
 REMEMBERED = 50_000  # unseen words whose scores a task keeps
-_WORD = re.compile(r"[^\W\d_]+")
-
-
-def words_of(text: str | None) -> Counter:
-    """Lower-cased words and how often they occur."""
-    found = Counter(_WORD.findall((text or "").lower()))
-    # A few numerals count as word characters, but are no letters.
-    for word in [w for w in found if not w.isalpha()]:
-        times = found.pop(word)
-        for part in "".join(c if c.isalpha() else " " for c in word).split():
-            found[part] += times
+# Blanks for the ASCII characters that are no letters; the other bytes stay.
+_ASCII = bytes(c if c > 127 or chr(c).isalpha() else 32 for c in range(256))
+
+
+def words_of(text: str | None) -> list[str]:
+    """Lower-cased words in their order."""
+    lower = (text or "").lower()
+    words = lower.encode().translate(_ASCII).decode().split()
+    if lower.isascii() or "".join(words).isalpha():
+        return words
+    found = []
+    for word in words:  # some hold signs or numerals beyond ASCII
+        found += [word] if word.isalpha() else "".join(
+            c if c.isalpha() else " " for c in word).split()
     return found
 
 
@@ -70,9 +72,9 @@ def word_counts(docs: DataFrame) -> DataFrame:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 found.setdefault(lang, Counter()).update(words_of(text.as_py()))
                 if sum(map(len, found.values())) > COUNTED:
-                    yield _counted(found)
+                    yield from _counted(found)
                     found = {}
-        yield _counted(found)
+        yield from _counted(found)
 
     rows = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~is_held_out())
     rows = rows.select(F.col("lang").cast("string").alias("lang"),
@@ -81,26 +83,29 @@ def word_counts(docs: DataFrame) -> DataFrame:
         "lang", "word").agg(F.sum("n").alias("n"))
 
 
-def _counted(found: dict[str, Counter]) -> pa.RecordBatch:
-    rows = [(lang, word, n) for lang, words in found.items() for word, n in words.items()]
-    columns = list(zip(*rows)) or [(), (), ()]
-    kinds = [pa.string(), pa.string(), pa.int64()]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
-                                      ["lang", "word", "n"])
+def _counted(found: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
+    for lang, words in found.items():
+        yield pa.RecordBatch.from_arrays(
+            [pa.repeat(pa.scalar(lang, pa.string()), len(words)), pa.array(list(words), pa.string()),
+             pa.array(list(words.values()), pa.int64())], ["lang", "word", "n"])
 
 
 def gram_counts(words: DataFrame, longest: int = LONGEST) -> DataFrame:
-    """lang, size, gram, n from (lang, word, n)."""
-    padded = F.concat(F.lit(" "), "word", F.lit(" "))
-    parts = None
-    for size in range(1, longest + 1):
-        starts = F.sequence(F.lit(1), F.length(padded) - (size - 1))
-        grams = words.where(F.length("word") >= size - 2).select(
-            "lang", F.lit(size).alias("size"), "n",
-            F.explode(F.transform(starts, lambda i, k=size: F.substring(padded, i, F.lit(k))))
-            .alias("gram")).where(F.col("gram") != " ")
-        parts = grams if parts is None else parts.unionByName(grams)
-    return parts.groupBy("lang", "size", "gram").agg(F.sum("n").alias("n"))
+    """lang, size, gram, n from (lang, word, n).
+
+    Every n-gram begins the window of ``longest`` characters at its place, which is shorter at the
+    end of a word. So windows are counted first, and the n-grams of all lengths from them.
+    """
+    windows = words.select("lang", "n", F.concat(F.lit(" "), "word", F.lit(" ")).alias("padded"))
+    windows = windows.select("lang", "n", "padded", F.explode(
+        F.sequence(F.lit(1), F.length("padded"))).alias("at")).select(
+            "lang", "n", F.substring("padded", F.col("at"), F.lit(longest)).alias("window"))
+    windows = windows.groupBy("lang", "window").agg(F.sum("n").alias("n"))
+    grams = windows.select("lang", "n", "window", F.explode(
+        F.sequence(F.lit(1), F.length("window"))).alias("size")).select(
+            "lang", "size", "n", F.substring("window", F.lit(1), F.col("size")).alias("gram"))
+    return grams.where(F.col("gram") != " ").groupBy("lang", "size", "gram").agg(
+        F.sum("n").alias("n"))
 
 
 def most_frequent(counts: DataFrame, groups: list[str], most: int) -> DataFrame:
@@ -140,8 +145,7 @@ class Model:
         at = self.remembered.get(word)
         if at is None:
             for n in range(len(self.rows) - 1, 0, -1):
-                known = self.rows[n]
-                at = [known[g] for g in grams_of(word, n) if g in known]
+                at = [row for row in map(self.rows[n].get, grams_of(word, n)) if row is not None]
                 if at:
                     break
             if len(self.remembered) >= REMEMBERED:
@@ -150,18 +154,17 @@ class Model:
         return at
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        words = words_of(text)
+        words = Counter(words_of(text))
         if not words or not self.langs:
             return UNKNOWN, 0.0
-        known, at, times = self.rows[0], [], []
-        for word, n in words.items():
-            row = known.get(word)
-            if row is not None:
-                at.append(row)
-                times.append(n)
-            elif found := self.unseen(word):  # the mean of its n-grams
-                at += found
-                times += [n / len(found)] * len(found)
+        at, times = list(map(self.rows[0].get, words)), list(words.values())
+        if None in at:
+            for word, n in [x for x, row in zip(words.items(), at) if row is None]:
+                if found := self.unseen(word):  # the mean of its n-grams
+                    at += found
+                    times += [n / len(found)] * len(found)
+            times = [n for n, row in zip(times, at) if row is not None]
+            at = [row for row in at if row is not None]
         total = np.array(times, np.float64) @ self.scores[np.array(at, np.int64)]
         best = int(total.argmax())
         return self.langs[best], float(1 / np.exp(np.maximum(total - total[best], -700)).sum())
@@ -179,11 +182,13 @@ def learn(docs: DataFrame, words: int = WORDS, grams: int = GRAMS, longest: int
     parts = stored(gram_counts(counts, longest), "gram-counts")
     kept = most_frequent(whole, ["lang", "size"], words // len(langs)).unionByName(
         most_frequent(parts, ["lang", "size"], grams // len(langs)))
-    found = kept.select("lang", "size", "gram", F.log(F.col("n") / F.col("total")).alias("value"))
+    found = kept.select("lang", "size", "gram", "n",
+                        F.log(F.col("n") / F.col("total")).alias("value"))
     column = {lang: k for k, lang in enumerate(langs)}
     rows: list[dict[str, int]] = [{} for _ in range(longest + 1)]
     made, cells = 0, []
-    for batch in found.toArrow().to_batches():  # bounded by ``words`` and ``grams``
+    # Bounded by ``words`` and ``grams``. Frequent features come first and so lie close together.
+    for batch in found.toArrow().sort_by([("n", "descending")]).to_batches():
         at = np.empty(batch.num_rows, np.int64)
         for k, (size, gram) in enumerate(zip(batch["size"].to_pylist(), batch["gram"].to_pylist())):
             at[k] = rows[size].setdefault(gram, made)

@@ -1,5 +1,7 @@
 import collections
 import math
+import random
+import re
 import unicodedata
 import zlib
 
@@ -138,3 +140,30 @@ def test_nothing_learned_empty_and_long(spark, folder):
         "word", "n", "size", "gram", "score", "held_out", "lang_pred")})
     out = {r["doc_id"]: r for r in langid.op12_language_id(spark, folder(documents=docs)).collect()}
     assert out[1000]["lang_pred"] == "de" and out[1001]["lang_pred"] in ("de", "en", "fr")
+
+
+def test_words_are_the_runs_of_letters():
+    rng = random.Random(5)
+    signs = "abzAZ09_-@[`{\n\x00\x1c\x85\xa0éßÀİıſ²Ⅷ½漢一٣\u0301\u00ad\u3000\U0001f600\U00010400ªǅ\u03a3"
+    for _ in range(5000):
+        text = "".join(rng.choice(signs) for _ in range(rng.randint(0, 12)))
+        assert langid.words_of(text) == letters(text), repr(text)
+    for code in [*range(0x3000), *range(0xFF00, 0x10500)]:
+        text = f"a{chr(code)}B{chr(code)}"
+        assert langid.words_of(text) == letters(text), repr(text)
+    assert langid.words_of(None) == []
+
+
+def test_grams_of_all_lengths_come_from_one_pass_over_the_words(spark, tmp_path):
+    words = [("en", "a", 3), ("en", "ab", 2), ("en", "abcdefgh", 5), ("de", "über", 7), ("de", "aaaaaa", 1)]
+    spark.createDataFrame(words, "lang string, word string, n long").write.parquet(str(tmp_path / "words"))
+    found = langid.gram_counts(spark.read.parquet(str(tmp_path / "words")))
+    wanted = collections.Counter()
+    for lang, word, n in words:
+        for size in range(1, 6):
+            for gram in langid.grams_of(word, size):
+                wanted[lang, size, gram] += n * (gram != " ")
+    rows = found.collect()
+    assert {(r["lang"], r["size"], r["gram"]): r["n"] for r in rows} == +wanted and len(rows) == len(+wanted)
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert len(re.findall("FileScan parquet", plan)) == 1
