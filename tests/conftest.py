@@ -14,8 +14,9 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
+    # Plans show whole paths, however long the folder of the tests is.
     session = build_session("tests", "local[8]", spark__sql__shuffle__partitions="8",
-                            spark__driver__memory="8g")
+                            spark__driver__memory="8g", spark__sql__maxMetadataStringLength="1000")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
